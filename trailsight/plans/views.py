@@ -92,6 +92,71 @@ REQUEST_ITEMS = """
  SELECT l_orderkey AS request_id, l_partkey AS item_id FROM {lineitem} WHERE l_returnflag = 'A'
 """
 
+# Stored items, and what the next crawl brings: renamed owners, new points, missing fields,
+# noise below the compared precision, and items not stored yet.
+STORED_ITEMS = """
+ SELECT CAST(substring(code, 3) AS BIGINT) AS id, code, name, premium_only, favorite_points, geocache_type, difficulty, terrain,
+  cache_status, latitude, longitude, CAST(placed_date AS STRING) AS placed_date, owner_username, country, owner_guid
+ FROM {items} i WHERE CAST(substring(code, 3) AS BIGINT) % 10 <> 4
+"""
+INCOMING_ITEMS = """
+ SELECT id, code, CASE WHEN id % 10 = 1 THEN name || ' ' ELSE name END AS name, premium_only,
+  CASE WHEN id % 10 = 3 THEN favorite_points + 1 ELSE favorite_points END AS favorite_points, geocache_type,
+  CASE WHEN id % 10 = 9 THEN difficulty + 0.5 ELSE difficulty END AS difficulty, terrain, cache_status,
+  CASE WHEN premium_only THEN NULL WHEN id % 10 = 2 THEN latitude + 0.00000001 ELSE latitude END AS latitude,
+  CASE WHEN premium_only THEN NULL ELSE longitude END AS longitude,
+  CASE WHEN id % 2 = 0 THEN placed_date || 'T00:00:00Z' ELSE placed_date END AS placed_date,
+  CASE WHEN id % 10 = 5 THEN owner_username || ' II' ELSE owner_username END AS owner_username,
+  CASE WHEN id % 10 = 6 THEN NULL ELSE country END AS country, CAST(NULL AS STRING) AS owner_guid
+ FROM (SELECT CAST(substring(code, 3) AS BIGINT) AS id, code, name, premium_only, favorite_points, geocache_type, difficulty, terrain,
+  cache_status, latitude, longitude, CAST(placed_date AS STRING) AS placed_date, owner_username, country FROM {items} i) x
+ WHERE id % 97 <> 0
+"""
+# One visit per item and person, as stored and as landed next.
+CLEAN_VISITS = """
+ SELECT CAST(substring(gc_code, 3) AS BIGINT) AS k, gc_code, user_name, user_guid, max(visited) AS visited,
+  bool_or(favorite_point_used) AS favorite_point_used, bool_or(is_ftf) AS is_ftf, max(log_type) AS log_type
+ FROM {visits} v WHERE user_name IS NOT NULL GROUP BY gc_code, user_name, user_guid
+"""
+STORED_VISITS = """
+ SELECT gc_code, user_name, user_guid, visited, favorite_point_used, is_ftf, log_type
+ FROM {clean_visits} c WHERE k % 10 <> 4
+"""
+INCOMING_VISITS = """
+ SELECT gc_code, CASE WHEN k % 10 = 5 THEN user_name || ' II' ELSE user_name END AS user_name,
+  CASE WHEN k % 10 = 6 THEN 'deleted' ELSE user_guid END AS user_guid,
+  CASE WHEN k % 10 = 3 THEN CAST(visited + 1 AS DATE) ELSE visited END AS visited,
+  CASE WHEN k % 10 = 8 THEN NOT favorite_point_used ELSE favorite_point_used END AS favorite_point_used,
+  is_ftf, CASE WHEN k % 10 = 7 THEN NULL ELSE log_type END AS log_type
+ FROM {clean_visits} c WHERE k % 3 <> 0
+"""
+# Stored visits in which some people without an account id appear twice for one item.
+REPEATED_STORED = """
+ SELECT * FROM {stored_visits} s UNION ALL
+ SELECT gc_code, user_name, user_guid, CAST(visited - 3 AS DATE) AS visited, favorite_point_used, is_ftf, log_type
+ FROM {clean_visits} c WHERE k % 10 = 2 AND user_guid IS NULL
+"""
+STORED_USERS = """
+ SELECT user_name, CASE WHEN k % 6 = 0 THEN NULL ELSE guid END AS guid, registration_date, fetch_status,
+  CASE WHEN k % 5 = 0 THEN NULL ELSE 'Place ' || CAST(k % 7 AS STRING) END AS reg_place
+ FROM (SELECT *, CAST(substring(guid, 2) AS BIGINT) AS k FROM {users} u) x WHERE k % 10 <> 4
+"""
+# A batch of enrichment results in which some people occur twice.
+USER_BATCH = """
+ SELECT upper(c_name) AS user_name, 'N' || CAST(c_custkey AS STRING) AS guid, s AS seq,
+  CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE CAST(DATE '2000-01-01' + CAST(c_custkey % 300 + s AS INT) AS DATE) END AS registration_date,
+  CASE WHEN c_custkey % 3 = 0 THEN 'parse_failed' ELSE 'ok' END AS fetch_status,
+  CASE WHEN c_custkey % 2 = 0 THEN NULL ELSE 'Land ' || CAST(s AS STRING) END AS reg_place
+ FROM {customer} JOIN (SELECT 0 AS s UNION ALL SELECT 1 AS s) d ON c_custkey % 2 = 0 OR s = 0
+"""
+AVATAR_BATCH = """
+ SELECT c_name AS user_name,
+  CASE WHEN c_custkey % 4 = 0 THEN 'https://img.geocaching.com/user/square250/n' || CAST(c_custkey AS STRING) || '.png?x=1'
+       ELSE 'http://elsewhere/' || CAST(c_custkey AS STRING) END AS avatar_url,
+  CASE WHEN c_custkey % 6 = 1 THEN 'default' WHEN c_custkey % 6 = 5 THEN 'failed' ELSE 'real' END AS avatar_status
+ FROM {customer} WHERE c_custkey % 2 = 0 OR c_custkey % 6 = 1 OR c_custkey % 6 = 5
+"""
+
 VIEWS = {
     "items": ITEMS,
     "visits": VISITS,
@@ -102,6 +167,15 @@ VIEWS = {
     "crawled": CRAWLED,
     "requests": REQUESTS,
     "request_items": REQUEST_ITEMS,
+    "stored_items": STORED_ITEMS,
+    "incoming_items": INCOMING_ITEMS,
+    "clean_visits": CLEAN_VISITS,
+    "stored_visits": STORED_VISITS,
+    "incoming_visits": INCOMING_VISITS,
+    "repeated_stored": REPEATED_STORED,
+    "stored_users": STORED_USERS,
+    "user_batch": USER_BATCH,
+    "avatar_batch": AVATAR_BATCH,
 }
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -109,9 +183,16 @@ TABLES = (
 )
 
 
+class _Names(dict):
+    """Resolves a placeholder to a table or to another view's text."""
+
+    def __missing__(self, name: str) -> str:
+        return f"({VIEWS[name].format_map(self)})"
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    paths = {t: f"parquet.`{sf_dir}/{t}.parquet`" for t in TABLES}
-    return spark.sql(VIEWS[name].format(**paths))
+    tables = _Names({t: f"parquet.`{sf_dir}/{t}.parquet`" for t in TABLES})
+    return spark.sql(VIEWS[name].format_map(tables))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -120,6 +201,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def with_views(sql: str, *names: str) -> str:
     """The query with the named views in front, for an engine that knows the tables by name."""
-    plain = {t: t for t in TABLES}
-    parts = [f"{n} AS ({VIEWS[n].format(**plain)})" for n in names]
+    tables = _Names({t: t for t in TABLES})
+    parts = [f"{n} AS ({VIEWS[n].format_map(tables)})" for n in names]
     return f"WITH {', '.join(parts)} {sql}"

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import tempfile
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -76,6 +78,14 @@ def _versions(spark: SparkSession, root: str, complete_only: bool = False) -> li
     return found
 
 
+def new_folder(spark: SparkSession, label: str) -> str:
+    """A fresh folder every executor can reach: below the cluster's checkpoint folder, and below
+    a local temporary one only where none is set."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    parent = shared or tempfile.mkdtemp(prefix="trailsight-")
+    return f"{parent.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
 def append_rejects(rejects: DataFrame, path: str) -> None:
     """Add rejected rows to a dead-letter folder, as JSON lines."""
     rejects.write.mode("append").json(path)
