@@ -259,11 +259,8 @@ EVOLVE = with_views(
     "visits",
 )
 COMPLETE = with_views(
-    "SELECT country AS box, CASE WHEN country = 'EUROPE' THEN 0 ELSE count(*) END AS received, "
-    "count(*) + CASE WHEN country IN ('ASIA', 'AFRICA') THEN 3 ELSE 0 END AS declared, "
-    "CASE WHEN count(*) + CASE WHEN country IN ('ASIA', 'AFRICA') THEN 3 ELSE 0 END > 10000 THEN 'over_cap' WHEN country = 'EUROPE' THEN 'empty' "
-    "WHEN country IN ('ASIA', 'AFRICA') THEN CASE WHEN count(*) + 3 < 10000 THEN 'mismatch' ELSE 'complete' END ELSE 'complete' END AS status "
-    "FROM items GROUP BY country",
+    "SELECT country AS box, count(*) AS declared, CASE WHEN count(*) > 10000 THEN 'over_cap' WHEN country = 'EUROPE' THEN 'empty' "
+    "ELSE CASE WHEN count(*) < 10000 THEN 'mismatch' ELSE 'complete' END END AS status FROM items GROUP BY country",
     "items",
 )
 DIGEST = with_views(

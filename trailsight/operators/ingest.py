@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from trailsight.functions import fixed, scopes, text
 
-ITEM_PAGE_SCHEMA = """
+ITEM_SCHEMA = """
     id bigint, name string, code string, premiumOnly string, favoritePoints int,
     geocacheType int, containerType int, difficulty double, terrain double, cacheStatus int,
     postedCoordinates struct<latitude: double, longitude: double>, detailsUrl string,
@@ -17,6 +17,9 @@ ITEM_PAGE_SCHEMA = """
     trackableCount int, region string, country string,
     attributes array<struct<id: int, name: string, isApplicable: boolean>>
 """
+ITEM_PAGE_SCHEMA = (
+    f"pageProps struct<searchResults: struct<total: bigint, results: array<struct<{ITEM_SCHEMA}>>>>"
+)
 VISIT_PAGE_SCHEMA = """
     data array<struct<LogType: string, LogText: string, UserName: string, Visited: string,
                       FavoritePointUsed: boolean, AccountGuid: string>>
@@ -29,8 +32,12 @@ def flatten_items(
     countries: Sequence[str] | None = fixed.ALLOWED_COUNTRIES,
     column: str = "body",
 ) -> DataFrame:
-    """One item object per row, as JSON text, to flat item rows that pass box and country."""
-    doc = pages.select(F.from_json(column, ITEM_PAGE_SCHEMA).alias("d"))
+    """Landed map pages, as JSON text, to flat item rows that pass the box and country filters.
+
+    A page is parsed once: the filters stay above the explode.
+    """
+    results = F.from_json(column, ITEM_PAGE_SCHEMA)["pageProps"]["searchResults"]["results"]
+    doc = pages.select(F.explode(results).alias("d"))
     attributes = F.transform(
         F.filter("d.attributes", lambda a: a["isApplicable"]),
         lambda a: F.struct(a["id"].alias("id"), a["name"].alias("name")),
@@ -65,6 +72,14 @@ def flatten_items(
     return flat
 
 
+def declared_totals(pages: DataFrame, box: str = "box", column: str = "body") -> DataFrame:
+    """(box, declared): the number of items the source says a box holds; 0 is no statement."""
+    total = F.from_json(
+        column, "pageProps struct<searchResults: struct<total: bigint>>"
+    )["pageProps"]["searchResults"]["total"]
+    return pages.groupBy(F.col(box).alias("box")).agg(F.max(F.nullif(total, F.lit(0))).alias("declared"))
+
+
 def flatten_visits(pages: DataFrame, column: str = "body") -> DataFrame:
     """Visit pages (gc_code, geocache_type, JSON body) to visit rows of the accepted type.
 

@@ -45,18 +45,12 @@ def profile_fields(landed: DataFrame, url: str = "url", page: str = "html") -> D
 
 def item_page_fields(landed: DataFrame, page: str = "html") -> DataFrame:
     """Position and owner id of item detail pages; rows without a position are left out."""
-    return (
-        landed.withColumn("_at", pages.location(page))
-        .withColumns(
-            {
-                "latitude": F.col("_at.latitude"),
-                "longitude": F.col("_at.longitude"),
-                "owner_guid": pages.owner_guid(page),
-            }
-        )
-        .filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-        .drop(page, "_at")
+    found = F.filter(
+        F.array(pages.location(page)),
+        lambda at: at["latitude"].isNotNull() & at["longitude"].isNotNull(),
     )
+    rest = [c for c in landed.columns if c != page]
+    return landed.select(*rest, F.inline(found), pages.owner_guid(page).alias("owner_guid"))
 
 
 def resolve_status(
