@@ -177,9 +177,19 @@ def values(items) -> str:
     return "VALUES " + ", ".join(f"('{i}')" for i in items)
 
 
+def tenths(value: str) -> str:
+    """Rounding to one place by the exact binary value, ties to even."""
+    low = "floor(a * 10)"
+    over = f"((a * 16 - ({low} * 2 + 1)) + a * 4)"
+    size = f"(SELECT ({low} + CASE WHEN {over} > 0 OR ({over} = 0 AND {low} % 2 = 1) THEN 1 ELSE 0 END) / 10 FROM (SELECT abs(v) AS a))"
+    return (
+        f"(SELECT CASE WHEN v < 0 AND {size} <> 0 THEN -{size} ELSE {size} END FROM (SELECT CAST({value} AS DOUBLE) AS v))"
+    )
+
+
 def growth(now: str, before: str, empty: str) -> str:
     return (
-        f"CASE WHEN {before} > 0 THEN round_even(CAST({now} - {before} AS DOUBLE) / {before} * 100, 1) "
+        f"CASE WHEN {before} > 0 THEN {tenths(f'CAST({now} - {before} AS DOUBLE) / {before} * 100')} "
         f"ELSE CAST({empty} AS DOUBLE) END"
     )
 
@@ -305,7 +315,7 @@ def active_count() -> str:
 def region_share() -> str:
     return (
         f"{base()}, n AS (SELECT rkey AS region, count(*) AS total_caches FROM it JOIN reg ON country = rcountry WHERE act GROUP BY rkey) "
-        "SELECT region, total_caches, round_even(total_caches / (SELECT sum(total_caches) FROM n) * 100, 1) AS percentage FROM n"
+        f"SELECT region, total_caches, {tenths('total_caches / t * 100')} AS percentage FROM n, (SELECT sum(total_caches) AS t FROM n)"
     )
 
 
@@ -357,7 +367,7 @@ def city_cagr() -> str:
     return (
         f"{base()}, c AS (SELECT place AS city, count(*) FILTER (WHERE year(placed_date) = 1992 AND cache_status IS NOT NULL) AS f, "
         "count(*) FILTER (WHERE year(placed_date) = 2001 AND cache_status IS NOT NULL) AS l FROM it WHERE rnk AND place IS NOT NULL GROUP BY 1) "
-        "SELECT city, CASE WHEN f > 0 THEN round_even((pow(l / f, 1.0 / 9) - 1) * 100, 1) ELSE CAST(0 AS DOUBLE) END AS average_growth_pct FROM c"
+        f"SELECT city, CASE WHEN f > 0 THEN {tenths('(pow(l / f, 1.0 / 9) - 1) * 100')} ELSE CAST(0 AS DOUBLE) END AS average_growth_pct FROM c"
     )
 
 
@@ -409,7 +419,7 @@ def community() -> str:
         f"count(DISTINCT user_name) FILTER (WHERE visited >= {D60} AND visited < {D30}) AS b, count(DISTINCT code) AS f FROM jv WHERE rnk), "
         "t AS (SELECT count(*) AS t FROM it WHERE rnk) "
         f"SELECT n AS active_players, {growth('n', 'b', '0')} AS active_players_growth_pct, t AS total_caches, "
-        "round_even(f / t * 100, 1) AS found_cache_coverage_pct FROM a, t"
+        f"{tenths('f / t * 100')} AS found_cache_coverage_pct FROM a, t"
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from trailsight.plans.views import BOXES, with_views
 
-from oracles.boards import EVENTS, TODAY, base
+from oracles.boards import EVENTS, TODAY, base, tenths
 
 
 def in_boxes(lat: str = "latitude", lon: str = "longitude") -> str:
@@ -420,8 +420,8 @@ SUBTITLES = (
  FROM x LEFT JOIN p ON p.city = x.name GROUP BY 1, 2"""
 )
 GROWTH = with_views(
-    """, c AS (SELECT owner_username, count(*) AS n, count(*) FILTER (WHERE placed_date < DATE '2001-01-01') AS b FROM items GROUP BY 1)
- SELECT owner_username, CASE WHEN b > 0 THEN round_even((n - b) / b * 100, 1) END AS growth_pct,
-  CASE WHEN n > 0 THEN round_even((b - n) / n * 100, 1) ELSE 0 END AS back_pct FROM c""",
+    f""", c AS (SELECT owner_username, count(*) AS n, count(*) FILTER (WHERE placed_date < DATE '2001-01-01') AS b FROM items GROUP BY 1)
+ SELECT owner_username, CASE WHEN b > 0 THEN {tenths('(n - b) / b * 100')} END AS growth_pct,
+  CASE WHEN n > 0 THEN {tenths('(b - n) / n * 100')} ELSE 0 END AS back_pct FROM c""",
     "items",
 ).replace(") , c AS", "), c AS")

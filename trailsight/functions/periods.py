@@ -53,9 +53,11 @@ class Clock:
             raise ValueError(f"unknown time range: {time_range}")
         return table[time_range, previous]
 
+    def within_sql(self, column: str, time_range: str, previous: bool = False) -> str:
+        return between_days_sql(column, *self.bounds(time_range, previous))
+
     def within(self, column: str, time_range: str, previous: bool = False) -> Column:
-        low, high = self.bounds(time_range, previous)
-        return between_days(column, low, high)
+        return F.expr(self.within_sql(column, time_range, previous))
 
     def heat(self, column: str, time_range: str) -> Column:
         """Heatmap periods: unlike rankings, the year to date ends today."""
@@ -83,27 +85,42 @@ class Clock:
         return list(range(self.as_of.year - years + 1, self.as_of.year + 1))
 
 
-def between_days(column: str, low: date | None, high: date | None) -> Column:
-    cond = F.lit(True)
+def between_days_sql(column: str, low: date | None, high: date | None) -> str:
+    """Half-open day range as an SQL condition; no bound is no condition."""
+    parts = []
     if low is not None:
-        cond = F.col(column) >= F.lit(low)
+        parts.append(f"{column} >= DATE '{low:%Y-%m-%d}'")
     if high is not None:
-        upper = F.col(column) < F.lit(high)
-        cond = upper if low is None else cond & upper
-    return cond
+        parts.append(f"{column} < DATE '{high:%Y-%m-%d}'")
+    return " AND ".join(parts) or "true"
+
+
+def tenths(value: Column) -> Column:
+    """Round a double to one decimal place by its exact binary value, ties to even.
+
+    ``bround`` rounds the printed decimal instead: it takes 49.85 (stored as a little more) for a
+    tie. Here 20 * value is compared with the odd number in the middle; splitting the product
+    into 16 and 4 times the value keeps every step exact.
+    """
+    size = F.abs(value)
+    low = F.floor(size * 10).cast("double")
+    over = (size * 16 - (low * 2 + 1)) + size * 4
+    up = (over > 0) | ((over == 0) & (low % 2 == 1))
+    out = F.when(up, low + 1).otherwise(low) / 10
+    return F.when((value < 0) & (out != 0), -out).otherwise(out)
 
 
 def growth_pct(current: Column, previous: Column, empty: float | None) -> Column:
-    """Percent change to one place, half to even; ``empty`` when there was nothing before."""
-    pct = F.bround((current - previous) / previous * 100, 1)
+    """Percent change to one place; ``empty`` when there was nothing before."""
+    pct = tenths((current - previous) / previous * 100)
     return F.when(previous > 0, pct).otherwise(F.lit(empty).cast("double"))
 
 
 def share_pct(part: Column, total: Column) -> Column:
-    return F.when(total > 0, F.bround(part / total * 100, 1)).otherwise(F.lit(0.0))
+    return F.when(total > 0, tenths(part / total * 100)).otherwise(F.lit(0.0))
 
 
 def compound_growth_pct(first: Column, last: Column, steps: int) -> Column:
     """Average growth per step over ``steps`` steps, in percent; 0 from an empty start."""
     rate = (F.pow(last / first, F.lit(1.0 / steps)) - 1) * 100
-    return F.when(first > 0, F.bround(rate, 1)).otherwise(F.lit(0.0))
+    return F.when(first > 0, tenths(rate)).otherwise(F.lit(0.0))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,29 +10,51 @@ from pyspark.sql import functions as F
 from trailsight.functions import fixed
 
 
-def not_deleted(status: str = "cache_status") -> Column:
-    return F.coalesce(F.col(status), F.lit(fixed.STATUS_LIVE)) != fixed.STATUS_DELETED
+def quoted(value: str) -> str:
+    """A string literal for an SQL expression."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def listed(values: Iterable) -> str:
+    """Comma-separated literals for an SQL expression."""
+    return ", ".join(quoted(v) if isinstance(v, str) else repr(v) for v in values)
+
 
+def array_of(values: Iterable) -> Column:
+    """Array literal; doubles stay doubles."""
+    parts = [quoted(v) if isinstance(v, str) else f"{v!r}D" if isinstance(v, float) else repr(v) for v in values]
+    return F.expr(f"array({', '.join(parts)})")
 
-def _not_event(kind: str) -> Column:
-    # A NULL type is neither an event nor a non-event, so it drops out of both scopes.
-    return ~F.col(kind).isin(*fixed.EVENT_TYPES)
+
+_EVENTS = listed(fixed.EVENT_TYPES)
+
+
+def not_deleted(status: str = "cache_status") -> Column:
+    """A NULL status counts as live."""
+    return F.expr(f"coalesce({status}, {fixed.STATUS_LIVE}) != {fixed.STATUS_DELETED}")
 
 
 def ranked(status: str = "cache_status", kind: str = "geocache_type") -> Column:
-    """Everything that counts in statistics, archived items included."""
-    return not_deleted(status) & _not_event(kind)
+    """Everything that counts in statistics, archived items included.
+
+    A NULL type is neither an event nor a non-event, so it drops out.
+    """
+    return F.expr(
+        f"coalesce({status}, {fixed.STATUS_LIVE}) != {fixed.STATUS_DELETED} AND {kind} NOT IN ({_EVENTS})"
+    )
 
 
 def active(status: str = "cache_status", kind: str = "geocache_type") -> Column:
-    alive = ~F.coalesce(F.col(status), F.lit(fixed.STATUS_LIVE)).isin(
-        fixed.STATUS_ARCHIVED, fixed.STATUS_DELETED
+    gone = listed((fixed.STATUS_ARCHIVED, fixed.STATUS_DELETED))
+    return F.expr(
+        f"coalesce({status}, {fixed.STATUS_LIVE}) NOT IN ({gone}) AND {kind} NOT IN ({_EVENTS})"
     )
-    return alive & _not_event(kind)
 
 
 def event(status: str = "cache_status", kind: str = "geocache_type") -> Column:
-    return not_deleted(status) & F.col(kind).isin(*fixed.EVENT_TYPES)
+    return F.expr(
+        f"coalesce({status}, {fixed.STATUS_LIVE}) != {fixed.STATUS_DELETED} AND {kind} IN ({_EVENTS})"
+    )
 
 
 def for_range(time_range: str, status: str = "cache_status", kind: str = "geocache_type") -> Column:
@@ -43,11 +65,11 @@ def for_range(time_range: str, status: str = "cache_status", kind: str = "geocac
 
 
 def filled(name: str) -> Column:
-    return F.col(name).isNotNull() & (F.col(name) != "")
+    return F.expr(f"{name} IS NOT NULL AND {name} != ''")
 
 
 def owner_valid(name: str = "owner_username") -> Column:
-    return filled(name) & (F.col(name) != fixed.DELETED_OWNER)
+    return F.expr(f"{name} IS NOT NULL AND {name} NOT IN ('', {quoted(fixed.DELETED_OWNER)})")
 
 
 def item_entry_valid() -> Column:
@@ -56,15 +78,15 @@ def item_entry_valid() -> Column:
 
 def visit_valid(kind: str = "log_type") -> Column:
     """NULL types drop out as well: the comparison is not true for them."""
-    return F.col(kind) != fixed.DELETED_VISIT
+    return F.expr(f"{kind} != {quoted(fixed.DELETED_VISIT)}")
 
 
 def not_self_visit(visitor: str = "user_name", owner: str = "owner_username") -> Column:
-    return F.col(visitor).isNotNull() & (F.lower(visitor) != F.lower(owner))
+    return F.expr(f"{visitor} IS NOT NULL AND lower({visitor}) != lower({owner})")
 
 
 def effective_city(city: str = "city", country: str = "country") -> Column:
-    return F.coalesce(F.nullif(F.trim(city), F.lit("")), F.col(country))
+    return F.expr(f"coalesce(nullif(trim({city}), ''), {country})")
 
 
 def trend_live(status: str = "cache_status") -> Column:
@@ -77,35 +99,32 @@ def trend_archived(status: str = "cache_status") -> Column:
 
 
 def dt_domain() -> Column:
-    return F.col("difficulty").isin(*fixed.DT_VALUES) & F.col("terrain").isin(*fixed.DT_VALUES)
+    values = ", ".join(f"{v!r}D" for v in fixed.DT_VALUES)
+    return F.expr(f"difficulty IN ({values}) AND terrain IN ({values})")
 
 
-def region_keys(country: str | Column, regions: Mapping[str, str]) -> Column:
+def region_keys(country: str, regions: Mapping[str, str]) -> Column:
     """Array of the regions a row counts in: always ``all``, plus its own if published."""
-    col = F.col(country) if isinstance(country, str) else country
-    own = None
-    for key, name in regions.items():
-        own = F.when(col == name, F.lit(key)) if own is None else own.when(col == name, F.lit(key))
-    if own is None:
-        return F.array(F.lit("all"))
-    return F.when(own.isNotNull(), F.array(F.lit("all"), own)).otherwise(F.array(F.lit("all")))
+    if not regions:
+        return F.expr("array('all')")
+    arms = " ".join(
+        f"WHEN {quoted(name)} THEN array('all', {quoted(key)})" for key, name in regions.items()
+    )
+    return F.expr(f"CASE {country} {arms} ELSE array('all') END")
 
 
 def type_keys(kind: str = "geocache_type") -> Column:
     """Array of the item-type filters a row passes: ``all`` plus its own filter, if any."""
-    own = None
-    for key, value in fixed.TYPE_KEYS.items():
-        cond = F.col(kind) == value
-        own = F.when(cond, F.lit(key)) if own is None else own.when(cond, F.lit(key))
-    return F.when(own.isNotNull(), F.array(F.lit("all"), own)).otherwise(F.array(F.lit("all")))
+    arms = " ".join(f"WHEN {v} THEN array('all', {quoted(k)})" for k, v in fixed.TYPE_KEYS.items())
+    return F.expr(f"CASE {kind} {arms} ELSE array('all') END")
 
 
 def type_label(kind: str = "geocache_type") -> Column:
-    col = F.col(kind)
-    out = F.when(col.isNull(), F.lit("Unknown"))
-    for value, label in fixed.TYPE_LABELS.items():
-        out = out.when(col == value, F.lit(label))
-    return out.otherwise(F.concat(F.lit("Type "), col.cast("string")))
+    arms = " ".join(f"WHEN {v} THEN {quoted(label)}" for v, label in fixed.TYPE_LABELS.items())
+    return F.expr(
+        f"CASE WHEN {kind} IS NULL THEN 'Unknown' ELSE CASE {kind} {arms} "
+        f"ELSE concat('Type ', CAST({kind} AS STRING)) END END"
+    )
 
 
 def city_subtitle(

@@ -55,9 +55,10 @@ def normal_timestamp(name: str) -> Column:
     iso = text.rlike(
         r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}([.,]\d{1,9})?)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
     )
-    # Spark wants minutes in a time and a colon in an offset.
+    # Spark wants minutes and seconds in a time and a colon in an offset.
     hours = F.regexp_replace(text, r"^(\d{4}-\d{2}-\d{2}[T ]\d{2})(?=$|Z|[+-])", "$1:00")
-    offset = F.regexp_replace(hours, r"(:\d{2}(?:[.,]\d+)?)([+-]\d{2}):?(\d{2})?$", "$1$2:$3")
+    minutes = F.regexp_replace(hours, r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2})(?=$|Z|[+-])", "$1:00")
+    offset = F.regexp_replace(minutes, r"(:\d{2}(?:[.,]\d+)?)([+-]\d{2}):?(\d{2})?$", "$1$2:$3")
     full = F.regexp_replace(F.regexp_replace(offset, r"([+-]\d{2}):$", "$1:00"), ",", ".")
     stamp = F.date_format(F.try_to_timestamp(full), "yyyy-MM-dd HH:mm:ss")
     return F.when(blank, F.lit(None).cast("string")).when(iso, F.coalesce(stamp, text)).otherwise(text)

@@ -97,18 +97,20 @@ def dt_top(
     )
 
 
+def _index(name: str) -> Column:
+    """Position of a rating in the domain, from 0."""
+    return (F.array_position(scopes.array_of(fixed.DT_VALUES), F.col(name)) - 1).cast("int")
+
+
 def dense_matrix(counts: DataFrame, groups: DataFrame, by: str) -> DataFrame:
     """All 81 cells for every group, with their row and column index."""
-    index = F.create_map(
-        *[x for i, v in enumerate(fixed.DT_VALUES) for x in (F.lit(v), F.lit(i))]
-    )
     full = add_spine(
         add_spine(groups.select(by), "difficulty", fixed.DT_VALUES), "terrain", fixed.DT_VALUES
     )
     return densify(counts, full, [by, "difficulty", "terrain"], ["count"]).select(
         by,
-        index[F.col("difficulty")].alias("row"),
-        index[F.col("terrain")].alias("col"),
+        _index("difficulty").alias("row"),
+        _index("terrain").alias("col"),
         "difficulty",
         "terrain",
         "count",

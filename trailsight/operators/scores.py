@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trailsight.functions import fixed, scopes
-from trailsight.functions.periods import Clock, between_days
+from trailsight.functions.periods import Clock, between_days_sql
 
 PLAYER_TYPES = ("finds", "ftf", "hides", "logs", "favorites")
 CITY_TYPES = ("hides", "finds", "favorites", "logs")
@@ -33,7 +33,7 @@ _METRIC = {  # which visit counter feeds which score
     "ftf": "firsts",
     "favorites": "points",
 }
-_METRIC_FILTER = {"visits": None, "firsts": "is_ftf", "points": "favorite_point_used"}
+_METRIC_FLAG = {"firsts": "is_ftf", "points": "favorite_point_used"}
 
 
 def _window(time_range: str) -> str:
@@ -77,34 +77,31 @@ def collapse_visits(
     The periods of a visit are worked out once per row, as bits of one integer.
     """
     periods = _periods(ranges)
-    mask = F.lit(0)
-    for bit, (_, time_range, previous) in enumerate(periods):
-        inside = F.when(clock.within("visited", time_range, previous), F.lit(1 << bit))
-        mask = mask + F.coalesce(inside, F.lit(0))
+    mask = " + ".join(
+        f"CASE WHEN {clock.within_sql('visited', time_range, previous)} THEN {1 << bit} ELSE 0 END"
+        for bit, (_, time_range, previous) in enumerate(periods)
+    )
     bounds = [clock.bounds(r, p) for _, r, p in periods]
     lows, highs = [low for low, _ in bounds], [high for _, high in bounds]
     # The hull of all periods is pushed to the scan: a 30-day board reads 60 days.
-    hull = between_days(
+    hull = between_days_sql(
         "visited",
         None if None in lows else min(lows),
         None if None in highs else max(highs),
     )
-    rows = visits.filter(scopes.visit_valid() & hull).select(
-        *keys,
-        mask.alias("_visits"),
-        *[
-            F.when(F.col(_METRIC_FILTER[m]), mask).otherwise(F.lit(0)).alias(f"_{m}")
-            for m in metrics
-            if m != "visits"
-        ],
+    rows = visits.filter(scopes.visit_valid() & F.expr(hull)).selectExpr(
+        *keys, f"{mask} AS _visits", *[f"{c} AS _{m}" for m, c in _METRIC_FLAG.items() if m in metrics]
     )
     counters = [
-        F.sum(F.getbit(f"_{m}", F.lit(bit))).alias(f"{m}_{w}_{'prev' if p else 'cur'}")
+        F.expr(
+            f"sum(getbit({f'IF(_{m}, _visits, 0)' if m in _METRIC_FLAG else '_visits'}, {bit})) "
+            f"AS {m}_{w}_{'prev' if p else 'cur'}"
+        )
         for m in metrics
         for bit, (w, _, p) in enumerate(periods)
     ]
     if presence:
-        counters.append(F.bit_or("_visits").alias("present"))
+        counters.append(F.expr("bit_or(_visits) AS present"))
     return rows.groupBy(*keys).agg(*counters)
 
 
@@ -118,43 +115,40 @@ def slim_items(items: DataFrame, *extra: str) -> DataFrame:
     )
 
 
-def _in_scope(time_range: str) -> Column:
-    return F.lit(True) if time_range == "all" else F.col("_active")
+def _cell_names(types: Sequence[str], ranges: Sequence[str]) -> list[tuple[str, str, str, bool]]:
+    return [(k, r, s, p) for k in types for r in ranges for s, p in SIDES]
 
 
-def _scored(kind: str, time_range: str, side: str, value: Column) -> Column:
-    return F.when(_in_scope(time_range), value).otherwise(F.lit(0)).cast("bigint").alias(
-        _cell(kind, time_range, side)
-    )
+def _scoped(time_range: str, value: str, name: str) -> str:
+    """SQL of a score that only items in the scope of the range contribute to."""
+    scope = "true" if time_range == "all" else "_active"
+    return f"CAST(CASE WHEN {scope} THEN {value} ELSE 0 END AS BIGINT) AS {name}"
+
 
+def _placed(clock: Clock, time_range: str, previous: bool) -> str:
+    return f"coalesce(CAST({clock.within_sql('placed_date', time_range, previous)} AS INT), 0)"
 
-def _long(wide: DataFrame, keys: Sequence[str], cells: Sequence[tuple[Column, str, Column, Column]]):
+
+def _long(wide: DataFrame, keys: Sequence[str], cells: Sequence[tuple[str, str, str, str]]) -> DataFrame:
     """One row per cell (type, range, score, prev_score) that scored in either period."""
-    packed = [
-        F.struct(t.alias("type"), F.lit(r).alias("range"), s.alias("score"), p.alias("prev_score"))
-        for t, r, s, p in cells
-    ]
+    packed = ", ".join(
+        f"struct({t} AS type, '{r}' AS range, {s} AS score, {p} AS prev_score)" for t, r, s, p in cells
+    )
     return (
-        wide.select(*keys, F.explode(F.array(*packed)).alias("_c"))
+        wide.selectExpr(*keys, f"explode(array({packed})) AS _c")
         .select(*keys, "_c.type", "_c.range", "_c.score", "_c.prev_score")
-        .filter((F.col("score") > 0) | (F.col("prev_score") > 0))
+        .filter("score > 0 OR prev_score > 0")
     )
 
 
-def _cells(types: Sequence[str], ranges: Sequence[str]) -> list[tuple[Column, str, Column, Column]]:
+def _cells(types: Sequence[str], ranges: Sequence[str]) -> list[tuple[str, str, str, str]]:
     return [
-        (F.lit(k), r, F.col(_cell(k, r, "cur")), F.col(_cell(k, r, "prev")))
-        for k in types
-        for r in ranges
+        (f"'{k}'", r, _cell(k, r, "cur"), _cell(k, r, "prev")) for k in types for r in ranges
     ]
 
 
-def _zero(name: str) -> Column:
-    return F.lit(0).cast("bigint").alias(name)
-
-
-def _hidden(clock: Clock, time_range: str, previous: bool) -> Column:
-    return F.coalesce(clock.within("placed_date", time_range, previous).cast("int"), F.lit(0))
+def _sums(names: Sequence[str]) -> list[Column]:
+    return [F.expr(f"sum({n}) AS {n}") for n in names]
 
 
 # What each role scores: a first and a second measure, summed in the same two sets of columns.
@@ -178,11 +172,10 @@ def player_scores(
     roles = [r for r, pair in _ROLES.items() if any(t in pair for t in types)]
     measures = [i for i in (0, 1) if any(_ROLES[r][i] in types for r in roles)]
 
-    def columns(credit) -> list[Column]:
+    def columns(credit) -> list[str]:
+        """One summable column per measure, range and period, from SQL by ``credit``."""
         return [
-            F.when(_in_scope(r), credit(i, r, side)).otherwise(F.lit(0)).cast("bigint").alias(
-                f"m{i}_{r}_{side}"
-            )
+            _scoped(r, credit(i, r, side), f"m{i}_{r}_{side}")
             for i in measures
             for r in ranges
             for side, _ in SIDES
@@ -192,44 +185,39 @@ def player_scores(
     by_visit = [r for r in roles if r != "placer"]
     if by_visit:
         if "favorites" not in types:
-            named = scopes.filled("user_name") if "logs" not in types else F.col("user_name").isNotNull()
+            named = "user_name IS NOT NULL" + ("" if "logs" in types else " AND user_name != ''")
             visits = visits.filter(named)
         keys = ["gc_code"] if set(types) <= {"favorites", "hides"} else ["gc_code", "user_name"]
         metrics = sorted({_METRIC[t] for t in types if t not in ("finds", "hides")})
         pairs = collapse_visits(visits, keys, metrics, ranges, clock, presence="finds" in types)
         joined = pairs.join(slim_items(items, "owner_username"), "gc_code")
         names = {"visitor": "user_name", "owner": "owner_username"}
-        who = F.array(
-            *[F.struct(F.lit(r).alias("role"), F.col(names[r]).alias("name")) for r in by_visit]
-        )
-        people = joined.withColumn("_who", F.explode(who)).withColumns(
-            {"role": F.col("_who.role"), "name": F.col("_who.name")}
+        who = ", ".join(f"struct('{r}' AS role, {names[r]} AS name)" for r in by_visit)
+        others = "lower(user_name) != lower(owner_username) AS _others"
+        people = (
+            joined.selectExpr("*", f"explode(array({who})) AS _who", *([others] if "logs" in types else []))
+            .selectExpr("*", "_who.role AS role", "_who.name AS name")
+            .filter(scopes.filled("name") & ((F.col("role") == "visitor") | scopes.owner_valid("name")))
         )
-        visitor = F.col("role") == "visitor"
-        people = people.filter(scopes.filled("name") & (visitor | scopes.owner_valid("name")))
 
-        def credit(i: int, r: str, side: str) -> Column:
-            value = F.lit(0)
+        def credit(i: int, r: str, side: str) -> str:
+            arms = ""
             for role in by_visit:
                 kind = _ROLES[role][i]
                 if kind not in types:
                     continue
                 if kind == "finds":
-                    got = F.getbit("present", F.lit(_bit(ranges, r, side))).cast("bigint")
+                    got = f"getbit(present, {_bit(ranges, r, side)})"
                 else:
-                    got = F.col(_counter(_METRIC[kind], r, side))
-                is_role = F.col("role") == role
-                if kind == "logs":
-                    is_role = is_role & F.coalesce(scopes.not_self_visit(), F.lit(False))
-                value = F.when(is_role, got).otherwise(value)
-            return value
+                    got = _counter(_METRIC[kind], r, side)
+                only = " AND _others" if kind == "logs" else ""
+                arms += f" WHEN role = '{role}'{only} THEN {got}"
+            return f"CASE{arms} ELSE 0 END" if arms else "0"
 
         parts.append(
             people.select(
-                scopes.region_keys("country", regions).alias("_regions"),
-                "role",
-                "name",
-                *columns(credit),
+                scopes.region_keys("country", regions).alias("_regions"), "role", "name",
+                *[F.expr(c) for c in columns(credit)],
             )
         )
     if "placer" in roles:
@@ -241,39 +229,28 @@ def player_scores(
                 scopes.region_keys("country", regions).alias("_regions"),
                 F.lit("placer").alias("role"),
                 F.col("owner_username").alias("name"),
-                *columns(
-                    lambda i, r, side: _hidden(clock, r, previous[side]) if i == 0 else F.lit(0)
-                ),
+                *[
+                    F.expr(c)
+                    for c in columns(
+                        lambda i, r, side: _placed(clock, r, previous[side]) if i == 0 else "0"
+                    )
+                ],
             )
         )
     both = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     wide = (
         both.withColumn("region", F.explode("_regions"))
-        .filter(F.col("region").isNotNull())
+        .filter("region IS NOT NULL")
         .groupBy("region", "role", "name")
-        .agg(
-            *[
-                F.sum(f"m{i}_{r}_{side}").alias(f"m{i}_{r}_{side}")
-                for i in measures
-                for r in ranges
-                for side, _ in SIDES
-            ]
-        )
+        .agg(*_sums([f"m{i}_{r}_{side}" for i in measures for r in ranges for side, _ in SIDES]))
     )
 
-    def kind_of(i: int) -> Column:
-        out = F.lit(None).cast("string")
-        for role in roles:
-            if _ROLES[role][i] in types:
-                out = F.when(F.col("role") == role, F.lit(_ROLES[role][i])).otherwise(out)
-        return out
-
-    cells = [
-        (kind_of(i), r, F.col(f"m{i}_{r}_cur"), F.col(f"m{i}_{r}_prev"))
-        for i in measures
-        for r in ranges
-    ]
-    return _long(wide, ["region", "name"], cells).filter(F.col("type").isNotNull()).select(
+    def kind_of(i: int) -> str:
+        arms = [(role, _ROLES[role][i]) for role in roles if _ROLES[role][i] in types]
+        return "CASE role " + " ".join(f"WHEN '{role}' THEN '{kind}'" for role, kind in arms) + " END"
+
+    cells = [(kind_of(i), r, f"m{i}_{r}_cur", f"m{i}_{r}_prev") for i in measures for r in ranges]
+    return _long(wide, ["region", "name"], cells).filter("type IS NOT NULL").select(
         "region", "type", "range", "name", "score", "prev_score"
     )
 
@@ -289,52 +266,31 @@ def city_scores(
     if "ftf" in types:
         raise ValueError("first-to-find scores exist for players only")
     clock = Clock(as_of)
-    city = scopes.effective_city()
+    grid = _cell_names(types, ranges)
+    city = scopes.effective_city().alias("name")
     parts = []
     by_visit = [t for t in types if t != "hides"]
     if by_visit:
         metrics = sorted({_METRIC[t] for t in by_visit})
         counted = collapse_visits(visits, ["gc_code"], metrics, ranges, clock)
+        cells = [
+            _scoped(r, "0" if k == "hides" else _counter(_METRIC[k], r, s), _cell(k, r, s))
+            for k, r, s, _ in grid
+        ]
         joined = counted.join(slim_items(items, "city"), "gc_code")
-        parts.append(
-            joined.select(
-                city.alias("name"),
-                "country",
-                *[
-                    _scored(k, r, s, F.col(_counter(_METRIC[k], r, s)))
-                    if k != "hides"
-                    else _zero(_cell(k, r, s))
-                    for k in types
-                    for r in ranges
-                    for s, _ in SIDES
-                ],
-            )
-        )
+        parts.append(joined.select(city, "country", *[F.expr(c) for c in cells]))
     if "hides" in types:
-        parts.append(
-            slim_items(items, "city", "placed_date").select(
-                city.alias("name"),
-                "country",
-                *[
-                    _scored(k, r, s, _hidden(clock, r, p)) if k == "hides" else _zero(_cell(k, r, s))
-                    for k in types
-                    for r in ranges
-                    for s, p in SIDES
-                ],
-            )
-        )
+        cells = [
+            _scoped(r, _placed(clock, r, p) if k == "hides" else "0", _cell(k, r, s))
+            for k, r, s, p in grid
+        ]
+        placed = slim_items(items, "city", "placed_date")
+        parts.append(placed.select(city, "country", *[F.expr(c) for c in cells]))
     both = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     wide = (
-        both.filter(F.col("name").isNotNull())
+        both.filter("name IS NOT NULL")
         .groupBy("name", "country")
-        .agg(
-            *[
-                F.sum(_cell(k, r, s)).alias(_cell(k, r, s))
-                for k in types
-                for r in ranges
-                for s, _ in SIDES
-            ]
-        )
+        .agg(*_sums([_cell(k, r, s) for k, r, s, _ in grid]))
     )
     return _long(wide, ["name", "country"], _cells(types, ranges))
 
@@ -356,20 +312,15 @@ def item_scores(
         F.col("owner_username").alias("owner"),
         "geocache_type",
     )
-    wide = counted.join(entries, "gc_code").select(
-        F.col("gc_code").alias("code"),
-        "name",
-        "owner",
-        "geocache_type",
-        "country",
+    keys = ["code", "name", "owner", "geocache_type", "country"]
+    wide = counted.join(entries, "gc_code").selectExpr(
+        "gc_code AS code",
+        *keys[1:],
         *[
-            _scored(k, r, s, F.col(_counter(_METRIC[k], r, s)))
-            for k in types
-            for r in ranges
-            for s, _ in SIDES
+            _scoped(r, _counter(_METRIC[k], r, s), _cell(k, r, s))
+            for k, r, s, _ in _cell_names(types, ranges)
         ],
     )
-    keys = ["code", "name", "owner", "geocache_type", "country"]
     return _long(wide, keys, _cells(types, ranges))
 
 

@@ -91,27 +91,28 @@ def yearly10_trend(items: DataFrame, as_of: date, city: str | None = None) -> Da
     return densify(counts, full, ["label"], _COUNTS)
 
 
+def year_total(as_of: date, end: int) -> Column:
+    """Aggregate: live and archived items of the first (0) or last (-1) of the ten years."""
+    year = Clock(as_of).years()[end]
+    return F.expr(f"coalesce(sum(CASE WHEN label = '{year}' THEN `count` + archived END), 0)")
+
+
+def growth_between(first: Column, last: Column) -> Column:
+    return compound_growth_pct(first, last, 9)
+
+
 def average_growth(yearly: DataFrame, as_of: date, keys: tuple[str, ...] = ()) -> DataFrame:
     """Compound growth between the first and the last of the ten years."""
-    years = Clock(as_of).years()
-    both = F.col("count") + F.col("archived")
-    ends = yearly.groupBy(*keys).agg(
-        F.coalesce(F.sum(F.when(F.col("label") == str(years[0]), both)), F.lit(0)).alias("_first"),
-        F.coalesce(F.sum(F.when(F.col("label") == str(years[-1]), both)), F.lit(0)).alias("_last"),
-    )
-    return ends.select(
-        *keys,
-        compound_growth_pct(F.col("_first"), F.col("_last"), len(years) - 1).alias(
-            "average_growth_pct"
-        ),
-    )
+    growth = growth_between(year_total(as_of, 0), year_total(as_of, -1))
+    return yearly.groupBy(*keys).agg(growth.alias("average_growth_pct"))
 
 
-def _cities(items: DataFrame) -> DataFrame:
+def cities(items: DataFrame) -> DataFrame:
+    """All city names in scope."""
     return (
         items.filter(scopes.ranked())
         .select(scopes.effective_city().alias("city"))
-        .filter(F.col("city").isNotNull())
+        .filter("city IS NOT NULL")
         .distinct()
     )
 
@@ -127,7 +128,7 @@ def city_monthly(items: DataFrame, as_of: date) -> DataFrame:
         )
         .agg(*_status_counts())
     )
-    full = add_spine(_cities(items), "label", clock.month_labels())
+    full = add_spine(cities(items), "label", clock.month_labels())
     return densify(counts, full, ["city", "label"], _COUNTS)
 
 
@@ -142,7 +143,7 @@ def city_yearly(items: DataFrame, as_of: date) -> DataFrame:
         )
         .agg(*_status_counts())
     )
-    full = add_spine(_cities(items), "label", [str(y) for y in years])
+    full = add_spine(cities(items), "label", [str(y) for y in years])
     return densify(counts, full, ["city", "label"], _COUNTS)
 
 

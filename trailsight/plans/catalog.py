@@ -38,17 +38,28 @@ def query(name: str) -> Callable[[Query], Query]:
     return register
 
 
-def inputs(spark: SparkSession, sf: str) -> reports.Inputs:
-    return reports.Inputs(
-        visits=view(spark, sf, "visits"),
-        items=view(spark, sf, "items"),
-        users=view(spark, sf, "users"),
-        avatars=view(spark, sf, "avatars"),
-        as_of=AS_OF,
-        regions=REGIONS,
-        subtitles=SUBTITLES,
-        home_country="EUROPE",
-    )
+class ViewInputs:
+    """The report inputs over the views; each view is made when it is first asked for."""
+
+    as_of = AS_OF
+    regions = REGIONS
+    region_list = ["all", *REGIONS]
+    subtitles = SUBTITLES
+    home_country = "EUROPE"
+
+    def __init__(self, spark: SparkSession, sf: str, provinces: DataFrame | None = None) -> None:
+        self._spark, self._sf, self.provinces = spark, sf, provinces
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in ("visits", "items", "users", "avatars"):
+            raise AttributeError(name)
+        frame = view(self._spark, self._sf, name)
+        setattr(self, name, frame)
+        return frame
+
+
+def inputs(spark: SparkSession, sf: str) -> ViewInputs:
+    return ViewInputs(spark, sf)
 
 
 # --- boards, one per type and range -----------------------------------------------------------
@@ -193,10 +204,7 @@ def _(spark, sf):
     provinces = nations.select(
         F.col("n_name").alias("city"), F.concat(F.lit("Province "), "n_regionkey").alias("province")
     )
-    d = inputs(spark, sf)
-    named = reports.Inputs(
-        **{**d.__dict__, "provinces": provinces}
-    )
+    d = ViewInputs(spark, sf, provinces)
     rows = (
         d.items.select(
             scopes.effective_city().alias("name"),
@@ -205,7 +213,7 @@ def _(spark, sf):
         .groupBy("name", "country")
         .agg(F.count(F.lit(1)).alias("items"))
     )
-    return reports.city_captions(named, rows).groupBy("name", "subtitle").agg(F.sum("items").alias("items"))
+    return reports.city_captions(d, rows).groupBy("name", "subtitle").agg(F.sum("items").alias("items"))
 
 
 @query("growth_round")

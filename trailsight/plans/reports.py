@@ -167,32 +167,36 @@ def city_captions(d: Inputs, board: DataFrame) -> DataFrame:
 def city_details(d: Inputs, board: DataFrame) -> DataFrame:
     """One row per ranked city: growth, ten months, ten years and the 81-cell matrix.
 
-    The items are cut down to the ranked cities first; all lists are bounded per city.
+    Series and matrices are made for all cities, which is one small row set per city, and cut to
+    the ranked ones at the end. All lists are bounded per city.
     """
-    cities = board.select(F.col("name").alias("city")).distinct()
-    items = (
-        d.items.withColumn("_city", scopes.effective_city())
-        .join(cities.select(F.col("city").alias("_city")), "_city", "left_semi")
-        .drop("_city")
-    )
     point = F.struct("label", "count", "archived")
-
-    def series(frame: DataFrame, name: str) -> DataFrame:
-        return frame.groupBy("city").agg(F.array_sort(F.collect_list(point)).alias(name))
-
-    yearly = trends.city_yearly(items, d.as_of)
+    first, last = (trends.year_total(d.as_of, end) for end in (0, -1))
+    monthly = (
+        trends.city_monthly(d.items, d.as_of)
+        .groupBy("city")
+        .agg(F.array_sort(F.collect_list(point)).alias("monthly"))
+    )
+    yearly = (
+        trends.city_yearly(d.items, d.as_of)
+        .groupBy("city")
+        .agg(
+            F.array_sort(F.collect_list(point)).alias("yearly"),
+            trends.growth_between(first, last).alias("average_growth_pct"),
+        )
+    )
     matrix = grid.attach_top(
-        grid.dense_matrix(grid.dt_counts(items, "city"), cities, "city"),
-        grid.dt_top(items, "city"),
+        grid.dense_matrix(grid.dt_counts(d.items, "city"), trends.cities(d.items), "city"),
+        grid.dt_top(d.items, "city"),
         "city",
     )
     cell = F.struct("row", "col", "difficulty", "terrain", "count", "top_caches")
     cells = matrix.groupBy("city").agg(F.array_sort(F.collect_list(cell)).alias("dt_matrix"))
+    ranked = board.select(F.col("name").alias("city")).distinct()
     return (
-        cities.join(trends.average_growth(yearly, d.as_of, ("city",)), "city", "left")
-        .join(series(trends.city_monthly(items, d.as_of), "monthly"), "city", "left")
-        .join(series(yearly, "yearly"), "city", "left")
-        .join(cells, "city", "left")
+        monthly.join(yearly, "city")
+        .join(cells, "city")
+        .join(ranked, "city", "right")
         .withColumn("average_growth_pct", F.coalesce("average_growth_pct", F.lit(0.0)))
     )
 

@@ -6,6 +6,7 @@ for the physical tables.
 
 from __future__ import annotations
 
+import zlib
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -190,13 +191,34 @@ class _Names(dict):
         return f"({VIEWS[name].format_map(self)})"
 
 
+_registered: set[tuple] = set()
+
+
+class _Tables(_Names):
+    """Also registers a physical table as a temporary view the first time it is asked for, so that
+    its files are looked up once per session."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        super().__init__()
+        self._spark, self._dir = spark, sf_dir
+
+    def __missing__(self, name: str) -> str:
+        if name not in TABLES:
+            return super().__missing__(name)
+        view_name = f"t{zlib.crc32(self._dir.encode()):08x}_{name}"
+        seen = (self._spark._jsparkSession.sessionUUID(), view_name)
+        if seen not in _registered:
+            self._spark.read.parquet(f"{self._dir}/{name}.parquet").createOrReplaceTempView(view_name)
+            _registered.add(seen)
+        return view_name
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    tables = _Names({t: f"parquet.`{sf_dir}/{t}.parquet`" for t in TABLES})
-    return spark.sql(VIEWS[name].format_map(tables))
+    return spark.sql(VIEWS[name].format_map(_Tables(spark, sf_dir)))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.table(_Tables(spark, sf_dir)[name])
 
 
 def with_views(sql: str, *names: str) -> str:
