@@ -162,6 +162,7 @@ CONTEXT_PATTERNS = (
     r"(?is)(.{0,120}lblMemberSinceDate.{0,180})",
     r"(?is)(.{0,120}(?:lblMemberSinceDate|Joined|Member Since|memberSince|dateJoined).{0,180})",
 )
+CONTEXT_WORDS = r"(?i)lblMemberSinceDate|Joined|Member Since|memberSince|dateJoined"
 PROFILE_MARKERS = (
     "lblMemberSinceDate",
     "ctl00_ProfileHead_ProfileHeader_lblMemberName",

@@ -103,7 +103,10 @@ def profile_name(page: str) -> Column:
 
 
 def joined_context(page: str) -> Column:
-    return F.coalesce(one_line(first_match(page, fixed.CONTEXT_PATTERNS)), F.lit(""))
+    """Text around the registration date. The windowed patterns back-track over the whole page,
+    so they run only where one of their words occurs at all."""
+    around = F.when(F.col(page).rlike(fixed.CONTEXT_WORDS), first_match(page, fixed.CONTEXT_PATTERNS))
+    return F.coalesce(one_line(around), F.lit(""))
 
 
 def marker_list(page: str, markers: Sequence[str] = fixed.PROFILE_MARKERS) -> Column:

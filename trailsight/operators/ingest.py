@@ -116,33 +116,35 @@ def dedup_visits(visits: DataFrame, order: Sequence[str]) -> DataFrame:
     every part of the answer is a minimum or maximum that starts with the day, so a key of any
     size is reduced on the map side.
     """
-    day = text.date_sort_key(F.col("visited").cast("string"))
+    day = text.date_sort_key(F.col("visited").cast("string")).cast("date")
     # Days descending under min(): unparsable dates come last.
-    recency = F.datediff(F.lit("0001-01-01").cast("date"), day.cast("date"))
+    recency = F.datediff(F.lit(text.NO_DATE).cast("date"), day)
     seq = [F.col(c) for c in order]
-    payload = [F.col(c) for c in visits.columns if c not in ("gc_code", *_MERGED)]
-    typed = F.when(scopes.filled("log_type"), F.lit(0)).otherwise(F.lit(1))
+    kept = [c for c in visits.columns if c not in ("gc_code", *_MERGED)]
+    typed = F.nullif("log_type", F.lit(""))
+
+    def any_newest(name: str) -> Column:
+        # Newest day first, and on it a row with the flag first: even means the flag is set.
+        packed = F.col("_d") * 2 + F.when(F.col(name), F.lit(0)).otherwise(F.lit(1))
+        return (F.min(packed) % 2 == 0).alias(name)
+
     return (
         visits.filter(scopes.filled("gc_code"))
-        .withColumn("_key", visit_key())
+        .withColumns({"_key": visit_key(), "_d": recency})
         .filter(F.col("_key").isNotNull())
         .groupBy("gc_code", "_key")
         .agg(
-            F.min(F.struct(recency.alias("_d"), *seq, F.struct(*payload).alias("row"))).alias("_first"),
-            F.min(F.struct(recency.alias("_d"), typed.alias("_t"), *seq, "log_type")).alias("_typed"),
-            *[
-                F.min(
-                    F.struct(recency.alias("_d"), (~F.coalesce(c, F.lit(False))).alias("no"))
-                ).alias(f"_{c}")
-                for c in ("favorite_point_used", "is_ftf")
-            ],
+            F.min(F.struct("_d", *seq, F.struct(*kept).alias("row"))).alias("_first"),
+            F.min(F.struct("_d", typed.isNull().alias("_t"), *seq, typed.alias("log_type"))).alias("_typed"),
+            any_newest("favorite_point_used"),
+            any_newest("is_ftf"),
         )
         .select(
             "gc_code",
-            *[F.col(f"_first.row.{c}").alias(c) for c in visits.columns if c not in ("gc_code", *_MERGED)],
-            (~F.col("_favorite_point_used.no")).alias("favorite_point_used"),
-            (~F.col("_is_ftf.no")).alias("is_ftf"),
-            F.coalesce(F.nullif(F.col("_typed.log_type"), F.lit("")), F.lit(fixed.FOUND)).alias("log_type"),
+            *[F.col(f"_first.row.{c}").alias(c) for c in kept],
+            "favorite_point_used",
+            "is_ftf",
+            F.coalesce("_typed.log_type", F.lit(fixed.FOUND)).alias("log_type"),
         )
         .select(*visits.columns)
     )

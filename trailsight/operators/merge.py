@@ -177,4 +177,6 @@ def split_work(items: DataFrame, completed: DataFrame | None, only: str = "all")
 
 
 def status_lookup(items: DataFrame, codes: DataFrame) -> DataFrame:
-    return items.join(codes.select("code"), "code", "left_semi").select("code", "cache_status")
+    # Distinct first: a code listed very often must not pile up on one side of the join.
+    wanted = codes.select("code").distinct()
+    return items.join(wanted, "code", "left_semi").select("code", "cache_status")

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trailsight.functions import fixed, scopes
+from trailsight.functions import fixed, scopes, text
 from trailsight.operators import grid, merge, ranking, scores, summary, trends
 from trailsight.operators.frames import spine
 from trailsight.sources import documents
@@ -247,8 +247,10 @@ def overview(d: Inputs) -> DataFrame:
 
 # --- documents --------------------------------------------------------------------------------
 
-def generation_stamp(d: Inputs, stamp: str) -> DataFrame:
-    return spine(d.items.sparkSession, generatedAt=[stamp], version=[fixed.REPORT_VERSION])
+def generation_stamp(d: Inputs, made: datetime) -> DataFrame:
+    return spine(d.items.sparkSession, version=[fixed.REPORT_VERSION]).select(
+        text.iso_millis(F.lit(made)).alias("generatedAt"), "version"
+    )
 
 
 def overview_sections(d: Inputs) -> dict[str, DataFrame]:
@@ -324,10 +326,13 @@ def city_sections(d: Inputs) -> dict[str, DataFrame]:
     }
 
 
-def publish(d: Inputs, path: str, stamp: str) -> None:
-    """Write every report below ``path``; any failure fails the whole publication."""
+def publish(d: Inputs, path: str, made: datetime) -> None:
+    """Write every report below ``path``; any failure fails the whole publication.
+
+    Needs a UTC session time zone.
+    """
     documents.write_sections(overview_sections(d), f"{path}/overview")
     documents.write_sections(player_sections(d), f"{path}/player-rankings")
     documents.write_sections(item_sections(d), f"{path}/cache-rankings")
     documents.write_sections(city_sections(d), f"{path}/city-rankings")
-    documents.write_sections({"stamp": generation_stamp(d, stamp)}, f"{path}/generated-at")
+    documents.write_sections({"stamp": generation_stamp(d, made)}, f"{path}/generated-at")

@@ -35,15 +35,13 @@ def nest_maps(rows: DataFrame, path: Sequence[str], field: str) -> DataFrame:
 
     The keys are fixed short domains (type, range), so every map is small.
     """
-    value = field
     for depth in range(len(path) - 1, 0, -1):
-        keys = list(path[:depth])
-        rows = rows.groupBy(*keys).agg(
-            F.map_from_entries(
-                F.array_sort(F.collect_list(F.struct(F.col(path[depth]), F.col(value))))
-            ).alias(field)
+        entries = F.collect_list(F.struct(F.col(path[depth]).alias("k"), F.col(field).alias("v")))
+        # Maps cannot be ordered, so the entries are sorted by key alone.
+        by_key = F.array_sort(
+            entries, lambda a, b: F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).otherwise(0)
         )
-        value = field
+        rows = rows.groupBy(*path[:depth]).agg(F.map_from_entries(by_key).alias(field))
     return rows
 
 

@@ -10,6 +10,7 @@ rows, not as much as the table, and no state is kept besides the streaming check
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from trailsight.operators.ingest import dedup_visits
+from trailsight.operators.merge import keyed_update
 from trailsight.sources.tables import current_version, next_version
 
 
@@ -84,6 +86,14 @@ def compact(spark: SparkSession, root: str, order: Sequence[str]) -> str:
     return target
 
 
+def mark_crawled(
+    spark: SparkSession, root: str, items: DataFrame, day: date, since_batch: int = 0
+) -> DataFrame:
+    """Items with ``logs_crawled_at`` set for those whose visits came in since a batch."""
+    done = progress(spark, root).filter(F.col("last_batch") >= since_batch)
+    return keyed_update(items, done, "code", {"logs_crawled_at": F.lit(day)})
+
+
 def progress(spark: SparkSession, root: str) -> DataFrame:
     """(code, batches, rows, last_batch): the items whose visits have been taken in so far."""
     return (
