@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trailsight.functions import fixed
+from trailsight.functions.scopes import array_of
 
 CELL = 0.1  # degrees at the finest level
 LEVELS = 13  # 0.1 * 2**12 covers the globe
@@ -48,22 +49,34 @@ def polygon_edges(areas: DataFrame) -> DataFrame:
     )
 
 
-def _cell(value: Column, level: Column | int) -> Column:
-    size = F.lit(CELL) * F.pow(F.lit(2.0), level if isinstance(level, Column) else F.lit(float(level)))
-    return F.floor(value / size).cast("bigint")
+def _cell(value: str) -> str:
+    """SQL of the finest grid index of a coordinate."""
+    return f"CAST(floor(({value}) / {CELL}D) AS BIGINT)"
 
 
-def _parent(cell: Column, level: Column) -> Column:
-    return F.floor(cell / F.pow(F.lit(2.0), level)).cast("bigint")
+def _parent(cell: str, level: str) -> str:
+    """SQL of the index, on a coarser level, of a finest-level index."""
+    return f"CAST(floor(({cell}) / pow(2.0D, {level})) AS BIGINT)"
 
 
-def _levels() -> Column:
-    return F.explode(F.array(*[F.lit(k) for k in range(LEVELS)]))
+def _steps(low: int, high: int) -> Column:
+    return F.explode(array_of(range(low, high + 1)))
 
 
-def _around(reach: int) -> Column:
-    steps = [F.lit(d) for d in range(-reach, reach + 1)]
-    return F.explode(F.array(*steps))
+def _block(cells: DataFrame, reach: int) -> DataFrame:
+    """Every cell with the cells around it on its level, as gx and gy."""
+    return (
+        cells.withColumn("dx", _steps(-reach, reach))
+        .withColumn("dy", _steps(-reach, reach))
+        .selectExpr(
+            "rule",
+            "cx",
+            "cy",
+            "level",
+            f"{_parent('cx', 'level')} + dx AS gx",
+            f"{_parent('cy', 'level')} + dy AS gy",
+        )
+    )
 
 
 def nearest_area(points: DataFrame, edges: DataFrame) -> DataFrame:
@@ -72,77 +85,49 @@ def nearest_area(points: DataFrame, edges: DataFrame) -> DataFrame:
     Points match areas of their own ``rule`` only. A point inside an area has distance 0; equal
     distances go to the smaller name. Distances are planar degrees.
     """
-    # Coarse cells are derived from fine ones, for points and vertices alike, so that both agree.
-    placed = points.withColumns({"cx": _cell(F.col("x"), 0), "cy": _cell(F.col("y"), 0)})
+    # Coarse cells are derived from fine ones, for points and edges alike, so that both agree.
+    placed = points.selectExpr("*", f"{_cell('x')} AS cx", f"{_cell('y')} AS cy")
+    levels = _steps(0, LEVELS - 1)
     vertices = (
-        edges.select("rule", _cell(F.col("x1"), 0).alias("vx"), _cell(F.col("y1"), 0).alias("vy"))
+        edges.selectExpr("rule", f"{_cell('x1')} AS vx", f"{_cell('y1')} AS vy")
         .distinct()
-        .withColumn("level", _levels())
-        .select(
-            "rule",
-            "level",
-            _parent(F.col("vx"), F.col("level")).alias("gx"),
-            _parent(F.col("vy"), F.col("level")).alias("gy"),
+        .withColumn("level", levels)
+        .selectExpr(
+            "rule", "level", f"{_parent('vx', 'level')} AS gx", f"{_parent('vy', 'level')} AS gy"
         )
         .distinct()
     )
     cells = placed.select("rule", "cx", "cy").distinct()
     levelled = (
-        cells.withColumn("level", _levels())
-        .withColumn("dx", _around(1))
-        .withColumn("dy", _around(1))
-        .select(
-            "rule",
-            "cx",
-            "cy",
-            "level",
-            (_parent(F.col("cx"), F.col("level")) + F.col("dx")).alias("gx"),
-            (_parent(F.col("cy"), F.col("level")) + F.col("dy")).alias("gy"),
-        )
+        _block(cells.withColumn("level", levels), 1)
         .join(vertices, ["rule", "level", "gx", "gy"], "left_semi")
         .groupBy("rule", "cx", "cy")
         .agg(F.min("level").alias("level"))
     )
-    low = {a: F.least(f"{a}1", f"{a}2") for a in "xy"}
-    high = {a: F.greatest(f"{a}1", f"{a}2") for a in "xy"}
 
     def span(axis: str) -> Column:
-        return F.explode(
-            F.sequence(
-                _parent(_cell(low[axis], 0), F.col("level")),
-                _parent(_cell(high[axis], 0), F.col("level")),
-            )
-        )
+        low = _parent(_cell(f"least({axis}1, {axis}2)"), "level")
+        high = _parent(_cell(f"greatest({axis}1, {axis}2)"), "level")
+        return F.expr(f"explode(sequence({low}, {high}))")
 
     filed = (
-        edges.withColumn("level", _levels())
-        .withColumn("gx", span("x"))
-        .withColumn("gy", span("y"))
+        edges.withColumn("level", levels).withColumn("gx", span("x")).withColumn("gy", span("y"))
     )
     near_edges = (
-        levelled.withColumn("dx", _around(3))
-        .withColumn("dy", _around(3))
-        .select(
-            "rule",
-            "cx",
-            "cy",
-            "level",
-            (_parent(F.col("cx"), F.col("level")) + F.col("dx")).alias("gx"),
-            (_parent(F.col("cy"), F.col("level")) + F.col("dy")).alias("gy"),
-        )
+        _block(levelled, 3)
         .join(filed, ["rule", "level", "gx", "gy"])
         .select("rule", "cx", "cy", "name", "x1", "y1", "x2", "y2")
         .distinct()
     )
     measured = (
         placed.join(near_edges, ["rule", "cx", "cy"])
+        .withColumn("distance", F.round(_distance(), DIGITS))
         .groupBy("id")
-        .agg(F.min(F.struct(F.round(_distance(), DIGITS).alias("distance"), "name")).alias("best"))
+        .agg(F.min(F.struct("distance", "name")).alias("best"))
         .select("id", "best.name", "best.distance")
     )
-    inside = _inside(placed, edges)
     return (
-        measured.unionByName(inside)
+        measured.unionByName(_inside(placed, edges))
         .groupBy("id")
         .agg(F.min(F.struct("distance", "name")).alias("best"))
         .select("id", "best.name", "best.distance")
@@ -151,53 +136,45 @@ def nearest_area(points: DataFrame, edges: DataFrame) -> DataFrame:
 
 def _distance() -> Column:
     """Point to segment: the foot of the perpendicular, clamped to the segment."""
-    ex, ey = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
-    along = (F.col("x") - F.col("x1")) * ex + (F.col("y") - F.col("y1")) * ey
-    t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), along / (ex * ex + ey * ey)))
-    dx = F.col("x") - (F.col("x1") + t * ex)
-    dy = F.col("y") - (F.col("y1") + t * ey)
-    return F.sqrt(dx * dx + dy * dy)
+    along = "((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1))"
+    length = "((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))"
+    t = f"greatest(0.0D, least(1.0D, {along} / {length}))"
+    dx, dy = f"(x - (x1 + {t} * (x2 - x1)))", f"(y - (y1 + {t} * (y2 - y1)))"
+    return F.expr(f"sqrt({dx} * {dx} + {dy} * {dy})")
 
 
 def _inside(placed: DataFrame, edges: DataFrame) -> DataFrame:
     """Points inside an area: an odd number of its edges crosses the ray to the east."""
     boxes = edges.groupBy("rule", "name").agg(
-        F.min(F.least("x1", "x2")).alias("bx1"),
-        F.max(F.greatest("x1", "x2")).alias("bx2"),
-        F.min(F.least("y1", "y2")).alias("by1"),
-        F.max(F.greatest("y1", "y2")).alias("by2"),
+        F.expr("min(least(x1, x2)) AS bx1"),
+        F.expr("max(greatest(x1, x2)) AS bx2"),
+        F.expr("min(least(y1, y2)) AS by1"),
+        F.expr("max(greatest(y1, y2)) AS by2"),
     )
-    # Areas are filed under 0.8 degree cells, edges under the fine latitude bands.
-    coarse = F.lit(3)
+
+    def coarse(value: str) -> str:
+        # Areas are filed under 0.8 degree cells, edges under the fine latitude bands.
+        return _parent(_cell(value), "3")
+
     covers = boxes.withColumn(
-        "gx",
-        F.explode(F.sequence(_parent(_cell(F.col("bx1"), 0), coarse), _parent(_cell(F.col("bx2"), 0), coarse))),
-    ).withColumn(
-        "gy",
-        F.explode(F.sequence(_parent(_cell(F.col("by1"), 0), coarse), _parent(_cell(F.col("by2"), 0), coarse))),
-    )
+        "gx", F.expr(f"explode(sequence({coarse('bx1')}, {coarse('bx2')}))")
+    ).withColumn("gy", F.expr(f"explode(sequence({coarse('by1')}, {coarse('by2')}))"))
     candidates = (
-        placed.withColumns({"gx": _parent(F.col("cx"), coarse), "gy": _parent(F.col("cy"), coarse)})
+        placed.selectExpr("*", f"{_parent('cx', '3')} AS gx", f"{_parent('cy', '3')} AS gy")
         .join(covers, ["rule", "gx", "gy"])
-        .filter(F.col("x").between(F.col("bx1"), F.col("bx2")) & F.col("y").between(F.col("by1"), F.col("by2")))
-        .select("id", "rule", "name", "x", "y", F.col("cy").alias("band"))
+        .filter("x BETWEEN bx1 AND bx2 AND y BETWEEN by1 AND by2")
+        .selectExpr("id", "rule", "name", "x", "y", "cy AS band")
     )
     banded = edges.withColumn(
         "band",
-        F.explode(
-            F.sequence(_cell(F.least("y1", "y2"), 0), _cell(F.greatest("y1", "y2"), 0))
-        ),
-    )
-    straddles = (F.col("y1") > F.col("y")) != (F.col("y2") > F.col("y"))
-    crossing = F.col("x1") + (F.col("y") - F.col("y1")) / (F.col("y2") - F.col("y1")) * (
-        F.col("x2") - F.col("x1")
+        F.expr(f"explode(sequence({_cell('least(y1, y2)')}, {_cell('greatest(y1, y2)')}))"),
     )
     return (
         candidates.join(banded, ["rule", "name", "band"])
-        .filter(straddles & (F.col("x") < crossing))
+        .filter("(y1 > y) != (y2 > y) AND x < x1 + (y - y1) / (y2 - y1) * (x2 - x1)")
         .groupBy("id", "name")
         .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") % 2 == 1)
+        .filter("n % 2 = 1")
         .select("id", "name", F.lit(0.0).alias("distance"))
     )
 
