@@ -148,7 +148,7 @@ USER_BATCH = """
   CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE CAST(DATE '2000-01-01' + CAST(c_custkey % 300 + s AS INT) AS DATE) END AS registration_date,
   CASE WHEN c_custkey % 3 = 0 THEN 'parse_failed' ELSE 'ok' END AS fetch_status,
   CASE WHEN c_custkey % 2 = 0 THEN NULL ELSE 'Land ' || CAST(s AS STRING) END AS reg_place
- FROM {customer} JOIN (SELECT 0 AS s UNION ALL SELECT 1 AS s) d ON c_custkey % 2 = 0 OR s = 0
+ FROM (SELECT c_name, c_custkey, 0 AS s FROM {customer} UNION ALL SELECT c_name, c_custkey, 1 AS s FROM {customer} WHERE c_custkey % 2 = 0) d
 """
 AVATAR_BATCH = """
  SELECT c_name AS user_name,
