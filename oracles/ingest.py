@@ -367,7 +367,7 @@ STAMPS = """
 JOINED = with_views(
     """, k AS (SELECT *, CAST(substring(guid, 2) AS BIGINT) AS k FROM users)
  SELECT user_name, CASE WHEN k % 10 = 9 THEN NULL ELSE registration_date END AS registration_date,
-  CAST(CASE WHEN k % 4 <> 0 THEN k * 3 ELSE 0 END AS INT) AS find_count,
+  CAST(CASE WHEN k % 4 <> 0 THEN k * 3 ELSE 0 END AS BIGINT) AS find_count,
   CASE WHEN k % 10 <> 9 AND registration_date IS NOT NULL THEN 'ok' ELSE 'parse_failed' END AS fetch_status FROM k""",
     "users",
 ).replace(") , k AS", "), k AS")

@@ -298,6 +298,23 @@ def test_dedup_twice_changes_nothing_and_order_does_not_matter(spark):
     assert as_set(ingest.dedup_visits(halves, ["seq"]), *once.columns) == as_set(once, *once.columns)
 
 
+def test_text_dates_are_settled_too_and_bad_ones_come_first(spark):
+    schema = DUP.replace("visited date", "visited string")
+    rows = [{**VISITED, "seq": n, "visited": v, "user_name": v} for n, v in enumerate(["soon", "2024-13-45", "2020-02-02", None])]
+    got = ingest.dedup_visits(spark.createDataFrame(rows, schema), ["seq"])
+    assert as_set(got, "user_name", "visited") == {("2020-02-02", "2020-02-02")}
+
+
+def test_timestamps_do_not_depend_on_the_session_zone(spark):
+    frame = spark.createDataFrame([("2024-01-05T10:00:00Z",), ("2024-01-05T10:00:00",)], "raw string")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+    try:
+        got = [r[0] for r in frame.select(text.normal_timestamp("raw")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == ["2024-01-05 10:00:00"] * 2
+
+
 STORED = "code string, name string, premium_only boolean, latitude double, longitude double, owner_guid string, favorite_points int"
 
 

@@ -53,7 +53,7 @@ def joined_date(page: str) -> Column:
 
 def find_count(page: str) -> Column:
     digits = F.replace(extract(page, fixed.FIND_COUNT_PATTERN), F.lit(","), F.lit(""))
-    return F.coalesce(digits.cast("int"), F.lit(0))
+    return F.coalesce(digits.try_cast("bigint"), F.lit(0))
 
 
 def profile_status(url: str, page: str) -> Column:
@@ -125,8 +125,8 @@ def is_login_page(url: str, page: str) -> Column:
 def is_public_page(page: str) -> Column:
     """Served without a session: two marks, or a shortened first page of a longer list."""
     html = F.col(page)
-    size = extract(page, fixed.PAGE_INFO_PATTERN, 1).cast("bigint")
-    total = extract(page, fixed.PAGE_INFO_PATTERN, 2).cast("bigint")
+    size = extract(page, fixed.PAGE_INFO_PATTERN, 1).try_cast("bigint")
+    total = extract(page, fixed.PAGE_INFO_PATTERN, 2).try_cast("bigint")
     compact = F.regexp_replace(html, r"\s+", "")
     return F.coalesce(
         compact.contains('"isAuthenticated":false')

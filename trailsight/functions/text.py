@@ -48,7 +48,7 @@ def date_sort_key(normalised: Column) -> Column:
 def normal_timestamp(name: str) -> Column:
     """ISO text to 'yyyy-MM-dd HH:mm:ss' in UTC; blanks to NULL; other text unchanged.
 
-    Needs a UTC session time zone.
+    Text without an offset keeps its clock time, whatever the session time zone.
     """
     text = F.trim(F.col(name).cast("string"))
     blank = (text == "") | F.lower(text).isin("none", "nan")
@@ -60,7 +60,9 @@ def normal_timestamp(name: str) -> Column:
     minutes = F.regexp_replace(hours, r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2})(?=$|Z|[+-])", "$1:00")
     offset = F.regexp_replace(minutes, r"(:\d{2}(?:[.,]\d+)?)([+-]\d{2}):?(\d{2})?$", "$1$2:$3")
     full = F.regexp_replace(F.regexp_replace(offset, r"([+-]\d{2}):$", "$1:00"), ",", ".")
-    stamp = F.date_format(F.try_to_timestamp(full), "yyyy-MM-dd HH:mm:ss")
+    instant = F.try_to_timestamp(full)
+    utc = F.when(full.rlike(r":\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})$"), in_utc(instant)).otherwise(instant)
+    stamp = F.date_format(utc, "yyyy-MM-dd HH:mm:ss")
     return F.when(blank, F.lit(None).cast("string")).when(iso, F.coalesce(stamp, text)).otherwise(text)
 
 
@@ -91,5 +93,10 @@ def canonical_attributes(name: str) -> Column:
     return F.to_json(F.array_sort(pairs))
 
 
+def in_utc(stamp: Column) -> Column:
+    """Clock time of an instant in UTC, to be formatted in the session time zone."""
+    return F.to_utc_timestamp(stamp, F.current_timezone())
+
+
 def iso_millis(stamp: Column) -> Column:
-    return F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    return F.date_format(in_utc(stamp), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from trailsight.functions import fixed, scopes, text
 
@@ -116,9 +117,12 @@ def dedup_visits(visits: DataFrame, order: Sequence[str]) -> DataFrame:
     every part of the answer is a minimum or maximum that starts with the day, so a key of any
     size is reduced on the map side.
     """
-    day = text.date_sort_key(F.col("visited").cast("string")).cast("date")
-    # Days descending under min(): unparsable dates come last.
-    recency = F.datediff(F.lit(text.NO_DATE).cast("date"), day)
+    day = F.col("visited")
+    if not isinstance(visits.schema["visited"].dataType, DateType):
+        day = text.date_sort_key(day.cast("string")).try_cast("date")
+    # Days descending under min(): missing and unparsable dates come last.
+    start = F.lit(text.NO_DATE).cast("date")
+    recency = F.coalesce(F.datediff(start, day), F.lit(0))
     seq = [F.col(c) for c in order]
     kept = [c for c in visits.columns if c not in ("gc_code", *_MERGED)]
     typed = F.nullif("log_type", F.lit(""))
