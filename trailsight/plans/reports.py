@@ -13,6 +13,7 @@ from trailsight.functions import fixed, scopes, text
 from trailsight.operators import grid, merge, ranking, scores, summary, trends
 from trailsight.operators.frames import spine
 from trailsight.sources import documents
+from trailsight.sources.tables import materialise
 
 
 @dataclass(frozen=True)
@@ -44,25 +45,38 @@ def player_board(
     types=scores.PLAYER_TYPES,
     ranges=fixed.RANGES,
     limit: int = fixed.PLAYER_LIMIT,
+    rows: DataFrame | None = None,
 ) -> DataFrame:
-    rows = scores.player_scores(d.visits, d.items, d.as_of, types, ranges, d.regions)
+    """Tied top lists of people; ``rows`` are their scores, where they are at hand already."""
+    if rows is None:
+        rows = scores.player_scores(d.visits, d.items, d.as_of, types, ranges, d.regions)
     return ranking.leaderboard(rows, RANKED, limit=limit)
 
 
-def player_stats(d: Inputs, types=scores.PLAYER_TYPES, ranges=fixed.RANGES) -> DataFrame:
-    rows = scores.player_scores(d.visits, d.items, d.as_of, types, ranges, d.regions)
+def player_stats(
+    d: Inputs, types=scores.PLAYER_TYPES, ranges=fixed.RANGES, rows: DataFrame | None = None
+) -> DataFrame:
+    if rows is None:
+        rows = scores.player_scores(d.visits, d.items, d.as_of, types, ranges, d.regions)
     domains = {"region": d.region_list, "type": list(types), "range": list(ranges)}
     return ranking.population_stats(rows, domains, empty_growth=0.0)
 
 
-def newbie_board(d: Inputs, types=("finds", "hides"), limit: int = fixed.PLAYER_LIMIT) -> DataFrame:
-    rows = scores.newbie_scores(d.visits, d.items, d.users, d.as_of, types, d.regions)
+def newbie_board(
+    d: Inputs,
+    types=("finds", "hides"),
+    limit: int = fixed.PLAYER_LIMIT,
+    rows: DataFrame | None = None,
+) -> DataFrame:
+    if rows is None:
+        rows = scores.newbie_scores(d.visits, d.items, d.users, d.as_of, types, d.regions)
     return ranking.flat_leaderboard(rows, ["region", "type"], limit=limit)
 
 
-def newbie_stats(d: Inputs) -> DataFrame:
+def newbie_stats(d: Inputs, rows: DataFrame | None = None) -> DataFrame:
     types = ["finds", "hides"]
-    rows = scores.newbie_scores(d.visits, d.items, d.users, d.as_of, types, d.regions)
+    if rows is None:
+        rows = scores.newbie_scores(d.visits, d.items, d.users, d.as_of, types, d.regions)
     return ranking.population_stats(rows, {"region": d.region_list, "type": types}, None)
 
 
@@ -71,14 +85,17 @@ def event_board(
     types=("hosts", "participants"),
     limit: int = fixed.PLAYER_LIMIT,
     previous_window: bool = False,
+    rows: DataFrame | None = None,
 ) -> DataFrame:
-    rows = scores.event_scores(d.visits, d.items, d.as_of, types, d.regions, previous_window)
+    if rows is None:
+        rows = scores.event_scores(d.visits, d.items, d.as_of, types, d.regions, previous_window)
     return ranking.leaderboard(rows, ["region", "type"], limit=limit)
 
 
-def event_stats(d: Inputs) -> DataFrame:
+def event_stats(d: Inputs, rows: DataFrame | None = None) -> DataFrame:
     types = ["hosts", "participants"]
-    rows = scores.event_scores(d.visits, d.items, d.as_of, types, d.regions)
+    if rows is None:
+        rows = scores.event_scores(d.visits, d.items, d.as_of, types, d.regions)
     return ranking.population_stats(rows, {"region": d.region_list, "type": types}, None)
 
 
@@ -93,8 +110,9 @@ def with_avatars(d: Inputs, board: DataFrame) -> DataFrame:
 ITEM_GROUPS = ["region", "type_key", "type", "range"]
 
 
-def _item_cube(d: Inputs, types, ranges) -> DataFrame:
-    rows = scores.item_scores(d.visits, d.items, d.as_of, types, ranges)
+def _item_cube(d: Inputs, types, ranges, rows: DataFrame | None = None) -> DataFrame:
+    if rows is None:
+        rows = scores.item_scores(d.visits, d.items, d.as_of, types, ranges)
     return scores.item_score_cube(rows, d.regions)
 
 
@@ -104,6 +122,7 @@ def item_board(
     ranges=fixed.RANGES,
     margins: str = "cube",
     limit: int = fixed.ITEM_LIMIT,
+    rows: DataFrame | None = None,
 ) -> DataFrame:
     """Top items by ``region``, by item ``type``, or by both (``cube``, margins included)."""
     keep = {
@@ -112,7 +131,7 @@ def item_board(
         "cube": F.lit(True),
     }[margins]
     board = ranking.leaderboard(
-        _item_cube(d, types, ranges).filter(keep),
+        _item_cube(d, types, ranges, rows).filter(keep),
         ITEM_GROUPS,
         key="code",
         limit=limit,
@@ -121,14 +140,16 @@ def item_board(
     return board.withColumn("type_label", scopes.type_label())
 
 
-def item_stats(d: Inputs, types=scores.ITEM_TYPES, ranges=fixed.RANGES) -> DataFrame:
+def item_stats(
+    d: Inputs, types=scores.ITEM_TYPES, ranges=fixed.RANGES, rows: DataFrame | None = None
+) -> DataFrame:
     domains = {
         "region": d.region_list,
         "type_key": ["all", *fixed.TYPE_KEYS],
         "type": list(types),
         "range": list(ranges),
     }
-    return ranking.population_stats(_item_cube(d, types, ranges), domains, empty_growth=None)
+    return ranking.population_stats(_item_cube(d, types, ranges, rows), domains, empty_growth=None)
 
 
 # --- cities -----------------------------------------------------------------------------------
@@ -290,28 +311,45 @@ def _nested_stats(stats: DataFrame, path: list[str]) -> DataFrame:
 
 
 def player_sections(d: Inputs) -> dict[str, DataFrame]:
+    """Scores feed a board and its stats, so each family is computed once and written."""
     single = ["region", "type"]
-    return {
-        "rankings": _nested_board(with_avatars(d, player_board(d)), RANKED, "name"),
-        "ranking-stats": _nested_stats(player_stats(d), RANKED),
-        "newbie-rankings": _nested_board(with_avatars(d, newbie_board(d)), single, "name"),
-        "newbie-stats": _nested_stats(newbie_stats(d), single),
-        "event-rankings": _nested_board(with_avatars(d, event_board(d)), single, "name"),
-        "event-stats": _nested_stats(event_stats(d), single),
+    players = materialise(
+        scores.player_scores(d.visits, d.items, d.as_of, regions=d.regions), "player-scores"
+    )
+    newbies = materialise(
+        scores.newbie_scores(d.visits, d.items, d.users, d.as_of, regions=d.regions), "newbie-scores"
+    )
+    events = materialise(
+        scores.event_scores(d.visits, d.items, d.as_of, regions=d.regions), "event-scores"
+    )
+    boards = {
+        "rankings": (player_board(d, rows=players), RANKED),
+        "newbie-rankings": (newbie_board(d, rows=newbies), single),
+        "event-rankings": (event_board(d, rows=events), single),
+    }
+    out = {
+        name: _nested_board(with_avatars(d, board), path, "name")
+        for name, (board, path) in boards.items()
+    }
+    return out | {
+        "ranking-stats": _nested_stats(player_stats(d, rows=players), RANKED),
+        "newbie-stats": _nested_stats(newbie_stats(d, rows=newbies), single),
+        "event-stats": _nested_stats(event_stats(d, rows=events), single),
         "community": summary.community_stats(d.visits, d.items, d.as_of),
     }
 
 
 def item_sections(d: Inputs) -> dict[str, DataFrame]:
     """All margins at once: region "all" and type key "all" are the unfiltered lists."""
+    rows = materialise(scores.item_scores(d.visits, d.items, d.as_of), "item-scores")
     return {
-        "rankings": _nested_board(item_board(d), ITEM_GROUPS, "code"),
-        "ranking-stats": _nested_stats(item_stats(d), ITEM_GROUPS),
+        "rankings": _nested_board(item_board(d, rows=rows), ITEM_GROUPS, "code"),
+        "ranking-stats": _nested_stats(item_stats(d, rows=rows), ITEM_GROUPS),
     }
 
 
 def city_sections(d: Inputs) -> dict[str, DataFrame]:
-    board = city_board(d)
+    board = materialise(city_board(d), "city-board")
     yearly = trends.yearly10_trend(d.items, d.as_of)
     matrix = grid.attach_top(
         grid.dt_matrix(d.items, {}), grid.dt_top(d.items, "region", regions={}), "region"

@@ -86,6 +86,14 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{parent.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def materialise(frame: DataFrame, label: str) -> DataFrame:
+    """Write a frame that several jobs need and read it back: lineage ends at the files, so a
+    lost executor costs a re-read, and the work behind the frame is done once."""
+    path = new_folder(frame.sparkSession, label)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.parquet(path)
+
+
 def append_rejects(rejects: DataFrame, path: str) -> None:
     """Add rejected rows to a dead-letter folder, as JSON lines."""
     rejects.write.mode("append").json(path)
