@@ -96,3 +96,13 @@ def scored(docs: DataFrame, keep: tuple[str, ...], score, threshold: float) -> D
             yield pa.record_batch(columns, names=[*keep, "score", "predicted"])
 
     return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(rows, schema)
+
+
+def let(value: Column, then) -> Column:
+    """`then(value)` with the value evaluated once, however often `then` uses it."""
+    return F.transform(F.array(value), then)[0]
+
+
+def squeezed(line: Column) -> Column:
+    """A line as it is compared: lower case, runs of white space as one blank, none at the ends."""
+    return F.trim(F.regexp_replace(F.lower(line), SPACE, " "))

@@ -7,8 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailsight.llm import additive, rank_profiles, ratio_linear
-from trailsight.llm.common import fold, labelled, scored, table
+from trailsight.llm import additive, line_frequency, mixing, near_lines, rank_profiles, ratio_linear
+from trailsight.llm.common import fold, labelled, scored, table, written
+
+
+def op1_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_frequency.judged(table(spark, sf_dir, "documents"))
 
 
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,12 +36,30 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_profiles.identify(rows, profiles, ("doc_id", "held_out"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = near_lines.deduped(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", F.col("_lines").alias("n_lines"), F.col("_gone").alias("n_dropped"), F.md5("text").alias("text_md5"))
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.keyed(table(spark, sf_dir, "documents")).select("doc_id", "source", "_size", "_key", "_bucket")
+    rows = written(rows)
+    return mixing.mixed(rows, mixing.plan(rows)).select("doc_id", F.col("_size").alias("size"), "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_frequency": op1_line_frequency,
     "op2_quality_classifier": op2_quality_classifier,
     "op6_toxicity": op6_toxicity,
     "op7_language_id": op7_language_id,
+    "op9_line_dedup": op9_line_dedup,
+    "op10_mixing": op10_mixing,
 }
 
 
 def statements() -> dict[str, str]:
-    return {}
+    return {
+        "op1_line_frequency": line_frequency.SQL,
+        "op9_line_dedup": near_lines.SQL,
+        "op10_mixing": mixing.SQL,
+    }
