@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailsight.llm import additive, line_frequency, mixing, near_lines, rank_profiles, ratio_linear
-from trailsight.llm.common import fold, labelled, scored, table, written
+from trailsight.llm import additive, grammar_files, line_frequency, mixing, near_lines, packing, rank_profiles, ratio_linear
+from trailsight.llm.common import fold, labelled, scored, shared_folder, table, written
 
 
 def op1_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,23 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(rows, ("doc_id", "held_out"), lambda texts: model.value.score(texts), 0.3)
 
 
+def tokenizer(name: str) -> str:
+    """Place of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
+def op4_grammar_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark)
+    grammar_files.write(table(spark, sf_dir, "documents"), path, tokenizer("word_bpe_49k.json"))
+    return grammar_files.documents(grammar_files.read(spark, path))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", fold(F.col("doc_id"), 4).alias("fold"))
     model = spark.sparkContext.broadcast(ratio_linear.learn(labelled(docs.where("fold <> 2"), table(spark, sf_dir, "labels"), "toxic")))
@@ -50,6 +67,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_frequency": op1_line_frequency,
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_packing": op3_packing,
+    "op4_grammar_files": op4_grammar_files,
     "op6_toxicity": op6_toxicity,
     "op7_language_id": op7_language_id,
     "op9_line_dedup": op9_line_dedup,
