@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailsight.llm import additive, grammar_files, line_frequency, mixing, near_lines, packing, rank_profiles, ratio_linear
+from trailsight.llm import additive, grammar_files, line_frequency, mixing, near_lines, packing, part_enum, rank_profiles, ratio_linear
 from trailsight.llm.common import fold, labelled, scored, shared_folder, table, written
 
 
@@ -39,6 +39,10 @@ def op4_grammar_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grammar_files.documents(grammar_files.read(spark, path))
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return part_enum.joined(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", fold(F.col("doc_id"), 4).alias("fold"))
     model = spark.sparkContext.broadcast(ratio_linear.learn(labelled(docs.where("fold <> 2"), table(spark, sf_dir, "labels"), "toxic")))
@@ -69,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_packing": op3_packing,
     "op4_grammar_files": op4_grammar_files,
+    "op5_ngram_join": op5_ngram_join,
     "op6_toxicity": op6_toxicity,
     "op7_language_id": op7_language_id,
     "op9_line_dedup": op9_line_dedup,
