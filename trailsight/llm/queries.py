@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailsight.llm import additive, grammar_files, line_frequency, mixing, near_lines, packing, part_enum, rank_profiles, ratio_linear
+from trailsight.llm import additive, grammar_files, line_frequency, mixing, near_lines, nn_descent, packing, part_enum, rank_profiles, ratio_linear
 from trailsight.llm.common import fold, labelled, scored, shared_folder, table, written
 
 
@@ -57,6 +57,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_profiles.identify(rows, profiles, ("doc_id", "held_out"))
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = near_lines.deduped(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.select("doc_id", F.col("_lines").alias("n_lines"), F.col("_gone").alias("n_dropped"), F.md5("text").alias("text_md5"))
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_ngram_join": op5_ngram_join,
     "op6_toxicity": op6_toxicity,
     "op7_language_id": op7_language_id,
+    "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_mixing": op10_mixing,
 }
