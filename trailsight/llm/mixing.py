@@ -34,11 +34,16 @@ def quality_weight(text: Column) -> Column:
 
 
 def keyed(docs: DataFrame, seed: str = SEED) -> DataFrame:
-    """With _size, _key (exponential, by quality weight) and _bucket; the other columns stay."""
+    """With _mix_size, _mix_key (exponential, by quality weight) and _mix_bucket; the other columns stay."""
     digits = F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 13)
     u = (F.conv(digits, 16, 10).cast("double") + 0.5) / float(1 << 52)
-    rows = docs.withColumn("_size", n_words(F.col("text"))).withColumn("_key", -F.log(u) / quality_weight(F.col("text")))
-    return rows.withColumn("_bucket", F.least(F.lit(BUCKETS - 1), F.floor((1 - F.exp(-F.col("_key"))) * BUCKETS)).cast("int"))
+    rows = docs.withColumn("_mix_size", n_words(F.col("text"))).withColumn("_mix_key", -F.log(u) / quality_weight(F.col("text")))
+    return rows.withColumn("_mix_bucket", F.least(F.lit(BUCKETS - 1), F.floor((1 - F.exp(-F.col("_mix_key"))) * BUCKETS)).cast("int"))
+
+
+def narrow(rows: DataFrame) -> DataFrame:
+    """What a plan is made from: keyed rows without their texts, written once."""
+    return written(rows.select("doc_id", "source", "_mix_size", "_mix_key", "_mix_bucket"))
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST_EPOCHS) -> DataFrame:
@@ -66,44 +71,46 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
 
 
 def plan(rows: DataFrame, **how) -> DataFrame:
-    """source, source_size, target, epochs, and the last (key, id, size) of the fraction taken, from keyed rows."""
-    filled = written(rows.groupBy("source", "_bucket").agg(F.sum("_size").alias("_words")))
-    goal = targets(filled.groupBy("source").agg(F.sum("_words").alias("source_size")), **how)
+    """For each source of the narrow rows: source_size, target, epochs, and where its fraction ends.
+
+    The fraction takes all of the buckets before `edge`, and of that one the rows up to `last` (key, id, size).
+    """
+    rows = rows.select("doc_id", "source", *(F.col(f"_mix_{c}").alias(c) for c in ("size", "key", "bucket")))
+    filled = written(rows.groupBy("source", "bucket").agg(F.sum("size").alias("words")))
+    goal = targets(filled.groupBy("source").agg(F.sum("words").alias("source_size")), **how)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     goal = written(goal.withColumn("epochs", epochs).withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")))
     f, g = filled.alias("f"), goal.alias("g")
-    by = Window.partitionBy("f.source").orderBy("f._bucket").rowsBetween(Window.unboundedPreceding, -1)
-    edge = f.join(g, F.col("f.source").eqNullSafe(F.col("g.source"))).withColumn("_before", F.coalesce(F.sum("_words").over(by), F.lit(0)))
-    edge = edge.where("_before <= rest and rest < _before + _words").select(F.col("f.source").alias("source"), F.col("f._bucket").alias("_bucket"), "_before", "rest")
+    by = Window.partitionBy("f.source").orderBy("f.bucket").rowsBetween(Window.unboundedPreceding, -1)
+    edge = f.join(g, F.col("f.source").eqNullSafe(F.col("g.source"))).withColumn("before", F.coalesce(F.sum("words").over(by), F.lit(0)))
+    edge = edge.where("before <= rest and rest < before + words").select(F.col("f.source").alias("source"), F.col("f.bucket").alias("bucket"), "before", "rest")
     edge = small(written(edge), PLAN_BYTES).alias("e")
-    r = rows.select("doc_id", "source", "_size", "_key", "_bucket").alias("r")
-    near = r.join(edge, F.col("r.source").eqNullSafe(F.col("e.source")) & (F.col("r._bucket") == F.col("e._bucket")))
-    order = Window.partitionBy("r.source").orderBy("_key", "doc_id", "_size")
-    upto = F.col("_before") + F.sum("_size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_size")
-    near = near.withColumn("_upto", upto).where(2 * F.col("_upto") + F.col("_size") <= 2 * F.col("rest"))
-    last = near.groupBy("r.source").agg(F.max(F.struct("_key", "doc_id", "_size")).alias("last")).alias("l")
-    cut = edge.join(last, F.col("e.source").eqNullSafe(F.col("l.source")), "left").select(F.col("e.source").alias("source"), "e._bucket", "last").alias("c")
+    r = rows.alias("r")
+    near = r.join(edge, F.col("r.source").eqNullSafe(F.col("e.source")) & (F.col("r.bucket") == F.col("e.bucket")))
+    order = Window.partitionBy("r.source").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    near = near.withColumn("upto", F.col("before") + F.sum("size").over(order) - F.col("size")).where("2 * upto + size <= 2 * rest")
+    last = near.groupBy("r.source").agg(F.max(F.struct("key", "doc_id", "size")).alias("last")).alias("l")
+    cut = edge.join(last, F.col("e.source").eqNullSafe(F.col("l.source")), "left").select(F.col("e.source").alias("source"), "bucket", "last").alias("c")
     out = g.join(cut, F.col("g.source").eqNullSafe(F.col("c.source")), "left")
-    return written(out.select("g.source", "source_size", "target", "epochs", F.col("c._bucket").alias("edge"), "last"))
+    return written(out.select("g.source", "source_size", "target", "epochs", F.col("c.bucket").alias("edge"), "last"))
 
 
 def mixed(rows: DataFrame, planned: DataFrame) -> DataFrame:
-    """Keyed rows with source_size, target and taken (words the mix takes, repeats counted)."""
-    p = small(planned, PLAN_BYTES).withColumnRenamed("source", "_of")
-    rows = rows.join(p, F.col("source").eqNullSafe(F.col("_of")))
-    more = F.when(F.col("_bucket") != F.col("edge"), F.col("_bucket") < F.col("edge")).otherwise(
-        F.struct("_key", "doc_id", "_size") <= F.col("last")
-    )
-    times = F.col("epochs") + F.coalesce(more, F.lit(False)).cast("long")
-    return rows.withColumn("taken", times * F.col("_size")).drop("_of", "epochs", "edge", "last")
+    """Keyed rows with _mix_source_size, _mix_target and _mix_taken (words the mix takes, repeats counted)."""
+    p = small(planned, PLAN_BYTES).select(*(F.col(c).alias(f"_mix_{c}") for c in planned.columns))
+    rows = rows.join(p, F.col("source").eqNullSafe(F.col("_mix_source")))
+    before = F.col("_mix_bucket") < F.col("_mix_edge")
+    within = F.struct("_mix_key", "doc_id", "_mix_size") <= F.col("_mix_last")
+    more = F.when(F.col("_mix_bucket") != F.col("_mix_edge"), before).otherwise(within)
+    times = F.col("_mix_epochs") + F.coalesce(more, F.lit(False)).cast("long")
+    return rows.withColumn("_mix_taken", times * F.col("_mix_size"))
 
 
 def copies(docs: DataFrame, **how) -> DataFrame:
     """The mix itself: each row of documents as often as it is taken; columns as before."""
     rows = keyed(docs)
-    narrow = written(rows.select("doc_id", "source", "_size", "_key", "_bucket"))
-    taken = mixed(rows, plan(narrow, **how)).where("taken > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.expr("taken div _size")))).select(*docs.columns)
+    taken = mixed(rows, plan(narrow(rows), **how)).where("_mix_taken > 0")
+    return taken.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.expr("_mix_taken div _mix_size")))).select(*docs.columns)
 
 
 #: The same mix over the table documents, for a second engine.

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trailsight.llm.common import let, small, squeezed, written
+from trailsight.llm.common import WORD, let, small, squeezed, written
 
 MIN_CHARS = 20
 BLOCK = 256
@@ -115,18 +115,24 @@ def dropped(docs: DataFrame) -> DataFrame:
 
 
 def deduped(docs: DataFrame) -> DataFrame:
-    """Documents with the lines that go taken out of text (n_chars follows); _lines and _gone count lines."""
-    gone = small(dropped(docs), 96).select(F.col("doc_id").alias("_id"), F.col("key").alias("_of"), "gone")
-    rows = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
-    rows = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_of")), "left")
-    left = let(F.split("text", "\n"), lambda x: F.array_join(F.filter(x, lambda _, i: ~F.array_contains("gone", i)), "\n"))
-    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(left)
+    """Documents with the lines that go taken out of text (n_chars follows); _ll_lines and _ll_gone count lines."""
+    gone = small(dropped(docs), 96).select(F.col("doc_id").alias("_ll_id"), F.col("key").alias("_ll_of"), F.col("gone").alias("_ll_at"))
+    rows = docs.withColumn("_ll_key", F.xxhash64("doc_id", "text"))
+    rows = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("_ll_id")) & (F.col("_ll_key") == F.col("_ll_of")), "left")
+    left = let(F.split("text", "\n"), lambda x: F.array_join(F.filter(x, lambda _, i: ~F.array_contains("_ll_at", i)), "\n"))
+    text = F.when(F.col("_ll_at").isNull(), F.col("text")).otherwise(left)
     lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n")))
-    rows = rows.withColumn("_lines", lines.cast("long")).withColumn("_gone", F.coalesce(F.size("gone"), F.lit(0)).cast("long"))
-    rows = rows.withColumn("_gone", F.greatest("_gone", F.lit(0))).withColumn("text", text)
+    count = F.when(F.col("_ll_at").isNull(), 0).otherwise(F.size("_ll_at"))
+    rows = rows.withColumn("_ll_lines", lines.cast("long")).withColumn("_ll_gone", count.cast("long")).withColumn("text", text)
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(F.col("gone").isNull(), F.col("n_chars")).otherwise(F.length("text")))
-    return rows.select(*docs.columns, "_lines", "_gone")
+        rows = rows.withColumn("n_chars", F.when(F.col("_ll_at").isNull(), F.col("n_chars")).otherwise(F.length("text")))
+    return rows.select(*docs.columns, "_ll_lines", "_ll_gone")
+
+
+def cleaned(docs: DataFrame) -> DataFrame:
+    """The documents without the lines that go; those that lost lines and have no word left go too."""
+    rows = deduped(docs).where((F.col("_ll_gone") == 0) | F.col("text").rlike(WORD))
+    return rows.select(*docs.columns)
 
 
 #: The same lines over the table documents, for a second engine: lines one edit apart share a half.

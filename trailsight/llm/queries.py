@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailsight.llm import additive, grammar_files, line_frequency, mixing, near_lines, nn_descent, packing, part_enum, rank_profiles, ratio_linear
-from trailsight.llm.common import fold, labelled, scored, shared_folder, table, written
+from trailsight.llm.common import fold, labelled, scored, shared_folder, table
 
 
 def op1_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,13 +63,13 @@ def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = near_lines.deduped(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return rows.select("doc_id", F.col("_lines").alias("n_lines"), F.col("_gone").alias("n_dropped"), F.md5("text").alias("text_md5"))
+    return rows.select("doc_id", F.col("_ll_lines").alias("n_lines"), F.col("_ll_gone").alias("n_dropped"), F.md5("text").alias("text_md5"))
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = mixing.keyed(table(spark, sf_dir, "documents")).select("doc_id", "source", "_size", "_key", "_bucket")
-    rows = written(rows)
-    return mixing.mixed(rows, mixing.plan(rows)).select("doc_id", F.col("_size").alias("size"), "source_size", "target", "taken")
+    rows = mixing.narrow(mixing.keyed(table(spark, sf_dir, "documents").select("doc_id", "source", "text")))
+    names = ("size", "source_size", "target", "taken")
+    return mixing.mixed(rows, mixing.plan(rows)).select("doc_id", *(F.col(f"_mix_{c}").alias(c) for c in names))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -26,6 +26,8 @@ from trailsight.llm.common import bounded_sample
 PER_LANG = 3000
 #: n-grams of a language profile, and of a document that are compared.
 PROFILE, DOC_GRAMS = 1200, 400
+#: Score under which a text is in none of the languages; texts in one of them are far above it.
+LEAST_SCORE = 0.3
 BLANK = 32
 
 _letters: np.ndarray | None = None
@@ -107,19 +109,26 @@ def learn(docs: DataFrame, per_lang: int = PER_LANG, profile: int = PROFILE) ->
     return Profiles(langs, grams, ranks, profile)
 
 
-def identify(docs: DataFrame, profiles: Profiles, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The `keep` columns with lang_pred and score for each row; needs a column text."""
+def identify(docs: DataFrame, profiles: Profiles, keep: tuple[str, ...] = ("doc_id",), names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The `keep` columns, the predicted language and the score of each row; needs a column text."""
     known = docs.sparkSession.sparkContext.broadcast(profiles)
     kept = docs.select(*keep).schema
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", lang_pred string, score double"
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + f", {names[0]} string, {names[1]} double"
+    text = keep.index("text") if "text" in keep else len(keep)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = [known.value.judge(t) for t in b.column(b.num_columns - 1).to_pylist()]
+            got = [known.value.judge(t) for t in b.column(text).to_pylist()]
             columns = [b.column(i) for i in range(len(keep))]
             yield pa.record_batch(
-                [*columns, pa.array([x for x, _ in got], pa.string()), pa.array([s for _, s in got], pa.float64())],
-                names=[*keep, "lang_pred", "score"],
+                [*columns, pa.array([x for x, _ in got], pa.string()), pa.array([s for _, s in got], pa.float64())], names=[*keep, *names]
             )
 
-    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(judge, schema)
+    rows = docs.select(*keep) if "text" in keep else docs.select(*keep, F.col("text").alias("_text"))
+    return rows.mapInArrow(judge, schema)
+
+
+def recognised(docs: DataFrame, profiles: Profiles, least: float = LEAST_SCORE) -> DataFrame:
+    """The documents in a language that the profiles know: not `und`, and of a score of at least `least`."""
+    rows = identify(docs, profiles, tuple(docs.columns), ("_rp_lang", "_rp_score"))
+    return rows.where((F.col("_rp_lang") != "und") & (F.col("_rp_score") >= least)).select(*docs.columns)
