@@ -107,6 +107,7 @@ def statements() -> dict[str, str]:
         "unassigned_diag": i.UNASSIGNED,
         "missing_coords": i.MISSING,
         "user_candidates": i.CANDIDATES,
+        "user_candidates_500": i.CANDIDATES_500,
         "candidate_count": i.CANDIDATE_COUNT,
         "guid_conflicts": i.CONFLICTS,
         "page_scan": i.PAGE_SCAN,
@@ -124,6 +125,7 @@ def statements() -> dict[str, str]:
         "visit_merge": i.visit_merge(),
         "visit_insert_absent": i.insert_absent(),
         "change_summary": i.change_summary(),
+        "change_details": i.change_details(),
         "item_diff": i.item_diff(),
         "item_merge": i.item_merge(),
         "canonical_item": i.canonical_item(),

@@ -87,6 +87,13 @@ def insert_absent() -> str:
     )
 
 
+def change_details() -> str:
+    """The rows behind the summary, all of them."""
+    rows = change_summary()
+    head = rows[: rows.rindex(" r AS (")].rstrip().rstrip(",")
+    return head + " SELECT gc_code, who AS user_name, action, changes FROM t WHERE changes <> ''"
+
+
 def change_summary() -> str:
     key = f"CASE WHEN {ACCOUNT} THEN 'g' || user_guid ELSE 'n' || coalesce(user_name, '') END AS key"
     txt = lambda f: f"CAST(coalesce({f}, false) AS VARCHAR)"
@@ -213,8 +220,8 @@ def vanished_checked() -> str:
     few = vanished(f"{NUM} % 7919 <> 0", ", 'good' AS crawl")
     many = vanished(f"{NUM} % 2 <> 0", ", 'broken' AS crawl")
     return with_views(
-        f"SELECT * FROM ({few}) WHERE (SELECT count(*) FROM ({few})) <= 100 UNION ALL "
-        f"SELECT * FROM ({many}) WHERE (SELECT count(*) FROM ({many})) <= 100",
+        f"SELECT *, (SELECT count(*) FROM ({few})) > 0.01 * (SELECT count(*) FROM items) AS suspicious FROM ({few}) UNION ALL "
+        f"SELECT *, (SELECT count(*) FROM ({many})) > 0.01 * (SELECT count(*) FROM items) AS suspicious FROM ({many})",
         "items",
     )
 
@@ -259,8 +266,10 @@ EVOLVE = with_views(
     "visits",
 )
 COMPLETE = with_views(
-    "SELECT country AS box, count(*) AS declared, CASE WHEN count(*) > 10000 THEN 'over_cap' WHEN country = 'EUROPE' THEN 'empty' "
-    "ELSE CASE WHEN count(*) < 10000 THEN 'mismatch' ELSE 'complete' END END AS status FROM items GROUP BY country",
+    f"SELECT box, received, declared, declared - received AS missing, declared > 10000 AS over_cap, "
+    "CASE WHEN received = declared THEN 'complete' WHEN received = 0 THEN 'empty' ELSE 'mismatch' END AS status FROM ("
+    f"SELECT country AS box, count(*) AS declared, count(*) FILTER (WHERE country <> 'EUROPE' AND {NUM} % 31 <> 0 "
+    f"AND NOT (country = 'ASIA' AND {NUM} // 100 % 2 = 0)) AS received FROM items GROUP BY country)",
     "items",
 )
 DIGEST = with_views(
@@ -298,12 +307,13 @@ def _conflicts(visitor: str) -> str:
 CONFLICTS = with_views("", "items", "visits").rstrip() + ", " + _conflicts(
     "CASE WHEN is_ftf AND user_name LIKE '%7' THEN user_name || ' II' ELSE user_name END"
 ) + " SELECT * FROM cf WHERE name_count > 1"
-CANDIDATES = (
+CANDIDATES_500 = (
     with_views("", "items", "visits", "users").rstrip() + f", {_POOL}, {_conflicts('user_name')}, "
     "lim AS (SELECT p.guid, p.user_name, p.log_count FROM pool p LEFT JOIN users u ON u.guid = p.guid WHERE u.guid IS NULL OR coalesce(u.fetch_status, '') <> 'ok' "
     "ORDER BY log_count DESC, p.user_name, p.guid LIMIT 500) "
     "SELECT guid, user_name, CAST(log_count AS BIGINT) AS log_count FROM lim WHERE guid NOT IN (SELECT guid FROM cf WHERE name_count > 1)"
 )
+CANDIDATES = CANDIDATES_500.replace("LIMIT 500) ", ") ")
 CANDIDATE_COUNT = with_views("", "items", "visits").rstrip() + f", {_POOL} SELECT count(*) AS candidates FROM pool"
 LAST_WINS = with_views(
     "SELECT user_name, guid, seq, registration_date, fetch_status, reg_place FROM user_batch QUALIFY row_number() OVER (PARTITION BY user_name ORDER BY seq DESC) = 1",

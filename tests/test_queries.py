@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from oracles.catalog import statements
 from tests.compare import connect, difference
 from tests.conftest import SF
+from trailsight.plans.catalog import QUERIES
 
-QUERIES = entry.queries()
-STATEMENTS = entry.oracle_sql()
+STATEMENTS = statements()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +18,7 @@ def con():
 
 def test_every_query_has_a_statement():
     assert set(QUERIES) == set(STATEMENTS)
+    assert set(QUERIES) <= set(entry.queries()) and set(STATEMENTS) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -352,8 +352,41 @@ def test_vanished_items_and_the_guard(spark):
     crawled = known.filter("code = 'GC5'")
     gone = ingest.vanished_items(known, crawled, [(2.0, 0.0, 0.0, 2.0)])
     assert as_set(gone, "code") == {("GC1",), ("GC2",)}
-    assert ingest.vanished_to_check(gone, 2).count() == 2
-    assert ingest.vanished_to_check(gone, 1).count() == 0
+    assert as_set(ingest.vanished_to_check(gone, known, 0.5), "code", "suspicious") == {("GC1", False), ("GC2", False)}
+    assert as_set(ingest.vanished_to_check(gone, known, 0.3), "code", "suspicious") == {("GC1", True), ("GC2", True)}
+    everywhere = ingest.vanished_items(known, crawled, [])
+    assert as_set(everywhere, "code") == {("GC1",), ("GC2",), ("GC4",)}
+
+
+def test_merges_settle_doubled_rows(spark):
+    old = items(spark, {}, dict(code="GC2"))
+    batch = items(spark, dict(name="first"), dict(name="last"), dict(code="GC3", name="a"), dict(code="GC3", name="b"))
+    batch = batch.withColumn("seq", F.when(F.col("name").isin("last", "b"), 2).otherwise(1))
+    merged = ingest.merge_items(batch, old, ["seq"])
+    assert as_set(merged, "code", "name") == {("GC1", "last"), ("GC2", old.filter("code = 'GC2'").first()["name"]), ("GC3", "b")}
+    assert merged.count() == 3
+    assert ingest.diff_items(batch, old, ["seq"]).count() == 2
+    again = ingest.merge_items(batch, merged, ["seq"])
+    assert sorted(again.collect(), key=str) == sorted(merged.collect(), key=str)
+
+
+def test_visit_merges_settle_both_sides_and_take_unreadable_dates(spark):
+    stored = visits(spark, dict(visited=date(2020, 1, 1)), dict(visited=date(2020, 2, 1)))
+    new = visits(spark, dict(user_guid="x"), dict(user_guid="x", visited=date(2025, 1, 1)))
+    merged = ingest.merge_visits(new, stored)
+    assert as_set(merged, "user_guid", "visited") == {("u", date(2020, 2, 1)), ("x", date(2025, 1, 1))} and merged.count() == 2
+    assert sorted(ingest.merge_visits(new, merged).collect(), key=str) == sorted(merged.collect(), key=str)
+    assert ingest.insert_absent(new, stored).filter("user_guid = 'x'").count() == 1
+    text_dates = new.withColumn("visited", F.lit("no date"))
+    assert ingest.merge_visits(text_dates, stored).filter("user_guid = 'x' AND visited IS NULL").count() == 1
+    assert ingest.diff_visits(text_dates, stored).count() == 1
+
+
+def test_ties_are_kept_up_to_the_cap_or_all(spark):
+    frame = spark.createDataFrame([("g", f"n{i:02}", 5) for i in range(30)], "g string, name string, score int")
+    assert ranking.top_with_ties(frame, ["g"], ["name"], 5).count() == 10
+    assert ranking.top_with_ties(frame, ["g"], ["name"], 5, tie_cap=4).count() == 20
+    assert ranking.top_with_ties(frame, ["g"], ["name"], 5, tie_cap=None).count() == 30
 
 
 def test_change_details_use_the_account_then_the_name(spark):
@@ -402,7 +435,9 @@ def test_completeness_states(spark):
     declared = spark.createDataFrame([("a", 2), ("b", 3), ("c", 20000), ("d", 1)], "box string, declared long")
     received = spark.createDataFrame([("a",)] * 2 + [("b",)] * 2 + [("c",)], "box string")
     got = as_set(summary.completeness_check(received, declared), "box", "status")
-    assert got == {("a", "complete"), ("b", "mismatch"), ("c", "over_cap"), ("d", "empty")}
+    assert got == {("a", "complete"), ("b", "mismatch"), ("c", "mismatch"), ("d", "empty")}
+    more = as_set(summary.completeness_check(received, declared), "box", "received", "missing", "over_cap")
+    assert more == {("a", 2, 0, False), ("b", 2, 1, False), ("c", 1, 19999, True), ("d", 0, 1, False)}
 
 
 def test_box_filter_wants_both_coordinates_unless_premium(spark):

@@ -61,7 +61,7 @@ PLAYER_LIMIT = 50
 CITY_LIMIT = 30
 ITEM_LIMIT = 50
 TOP_PER_CELL = 5
-VANISHED_GUARD = 100
+SUSPICIOUS_SHARE = 0.01
 PAGE_CAP = 10_000
 DETAILS_PER_ITEM = 5
 MIN_VISITS_FOR_CANDIDATE = 10

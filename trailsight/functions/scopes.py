@@ -145,8 +145,8 @@ def city_subtitle(
 
 
 def in_any_box(lat: str, lon: str, boxes: Sequence[Sequence[float]]) -> Column:
-    """Inside one of the (max_lat, min_lon, min_lat, max_lon) boxes."""
-    hit = F.lit(False)
+    """Inside one of the (max_lat, min_lon, min_lat, max_lon) boxes; without boxes everywhere."""
+    hit = F.lit(not boxes)
     for max_lat, min_lon, min_lat, max_lon in boxes:
         hit = hit | (F.col(lat).between(min_lat, max_lat) & F.col(lon).between(min_lon, max_lon))
     return hit

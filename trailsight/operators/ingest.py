@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
 from trailsight.functions import fixed, scopes, text
+from trailsight.operators.merge import last_per_key
 
 ITEM_SCHEMA = """
     id bigint, name string, code string, premiumOnly string, favoritePoints int,
@@ -82,13 +83,15 @@ def declared_totals(pages: DataFrame, box: str = "box", column: str = "body") ->
 
 
 def flatten_visits(pages: DataFrame, column: str = "body") -> DataFrame:
-    """Visit pages (gc_code, geocache_type, JSON body) to visit rows of the accepted type.
+    """Visit pages (gc_code, geocache_type, JSON body, maybe page) to visit rows of the accepted type.
 
-    ``seq`` numbers a page's entries, so that "first seen" survives the shuffle.
+    ``page`` (0 where pages are not numbered) and ``seq``, the place on the page, carry "first
+    seen" over the shuffle; order by both.
     """
+    page = F.col("page").cast("bigint") if "page" in pages.columns else F.lit(0).cast("bigint")
     entries = pages.select(
-        "gc_code", "geocache_type", F.posexplode(F.from_json(column, VISIT_PAGE_SCHEMA)["data"])
-    ).select("gc_code", "geocache_type", F.col("pos").alias("seq"), "col.*")
+        "gc_code", "geocache_type", page.alias("page"), F.posexplode(F.from_json(column, VISIT_PAGE_SCHEMA)["data"])
+    ).select("gc_code", "geocache_type", "page", F.col("pos").alias("seq"), "col.*")
     kept = entries.filter(scopes.accepted_visit_type("geocache_type", "LogType"))
     return kept.select(
         "gc_code",
@@ -98,6 +101,7 @@ def flatten_visits(pages: DataFrame, column: str = "body") -> DataFrame:
         text.has_first_marker("LogText").alias("is_ftf"),
         F.col("LogType").alias("log_type"),
         F.col("AccountGuid").alias("user_guid"),
+        "page",
         "seq",
     )
 
@@ -233,8 +237,21 @@ def _item_change(fields: Sequence[str]) -> Column:
     )
 
 
-def diff_items(incoming: DataFrame, stored: DataFrame) -> DataFrame:
-    """(code, change, fields): new, updated or unchanged, with 'field: before -> after' texts."""
+def settled_items(incoming: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The last record of every code by ``order``; records without a code are left out.
+
+    Boxes share edges and pages shift while they are read, so one crawl may hold a code twice.
+    """
+    rows = incoming.filter(F.col("code").isNotNull())
+    return last_per_key(rows, "code", order) if order else rows
+
+
+def diff_items(incoming: DataFrame, stored: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """(code, change, fields): new, updated or unchanged, with 'field: before -> after' texts.
+
+    ``order`` says which record of a code is the last; without it codes have to be unique.
+    """
+    incoming = settled_items(incoming, order)
     fields = _comparable(incoming, stored)
 
     def shown(name: str) -> Column:
@@ -267,12 +284,15 @@ def diff_counts(diffs: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def merge_items(incoming: DataFrame, stored: DataFrame) -> DataFrame:
+def merge_items(incoming: DataFrame, stored: DataFrame, order: Sequence[str] = ()) -> DataFrame:
     """Stored items after applying new and changed incoming rows; columns of ``stored``.
 
+    ``order`` says which record of a code is the last; without it codes have to be unique.
+
     A changed row takes every incoming value, except that premium items keep their stored
     position and a known owner id is never erased by a missing one.
     """
+    incoming = settled_items(incoming, order)
     fields = _comparable(incoming, stored)
     take = F.col("old.code").isNull() | (_item_change(fields) == "updated")
     take = F.col("new.code").isNotNull() & take
@@ -311,13 +331,15 @@ def vanished_items(
     )
 
 
-def vanished_to_check(vanished: DataFrame, guard: int = fixed.VANISHED_GUARD) -> DataFrame:
-    """Drop everything when suspiciously many vanished: the crawl is broken, not the items.
-
-    Only guard + 1 rows are ever counted.
+def vanished_to_check(
+    vanished: DataFrame, known: DataFrame, share: float = fixed.SUSPICIOUS_SHARE
+) -> DataFrame:
+    """All vanished items, with ``suspicious`` set when they are more than a share of the known
+    ones: then the crawl is rather broken than the items gone, and the caller decides.
     """
-    size = vanished.limit(guard + 1).agg(F.count(F.lit(1)))
-    return vanished.filter(size.scalar() <= guard)
+    gone = vanished.agg(F.count(F.lit(1)).alias("n")).scalar()
+    all_known = known.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return vanished.withColumn("suspicious", gone > all_known * share)
 
 
 def visit_change(new: str = "new.", old: str = "old.") -> dict[str, Column]:
@@ -351,8 +373,31 @@ def _visit_match() -> Column:
     )
 
 
+def dated(incoming: DataFrame) -> DataFrame:
+    """Visits with ``visited`` as a date; a text that is none becomes NULL instead of ending the job.
+
+    Put ``split_rejects`` with a rule on the date before a merge to keep such rows out of the table.
+    """
+    if isinstance(incoming.schema["visited"].dataType, DateType):
+        return incoming
+    return incoming.withColumn("visited", text.date_sort_key(F.col("visited").cast("string")).try_cast("date"))
+
+
+def settled_visits(rows: DataFrame) -> DataFrame:
+    """One row for each (item, account): the newest, of equal days the largest by its values.
+
+    Rows without an account pass; they have no key to be settled by.
+    """
+    rest = [c for c in rows.columns if c not in ("gc_code", "user_guid")]
+    newest = F.max_by(F.struct(*rest), F.struct("visited", *[F.col(c).cast("string") for c in rest]))
+    one = rows.filter(has_account()).groupBy("gc_code", "user_guid").agg(newest.alias("_r"))
+    one = one.select("gc_code", "user_guid", *[F.col(f"_r.{c}").alias(c) for c in rest]).select(*rows.columns)
+    return one.unionByName(rows.filter(~has_account()))
+
+
 def diff_visits(incoming: DataFrame, stored: DataFrame) -> DataFrame:
-    """Incoming (deduplicated) visits with ``change``: insert, update or unchanged."""
+    """Incoming visits, settled, with ``change``: insert, update or unchanged."""
+    incoming, stored = settled_visits(dated(incoming)), settled_visits(stored)
     old = stored.filter(has_account()).alias("old")
     changes = visit_change()
     changed = F.lit(False)
@@ -371,7 +416,8 @@ def diff_visits(incoming: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def insert_absent(incoming: DataFrame, stored: DataFrame) -> DataFrame:
-    """Stored visits plus the incoming ones whose (item, account) is not there yet."""
+    """Stored visits plus the incoming ones, settled, whose (item, account) is not there yet."""
+    incoming = settled_visits(dated(incoming))
     keys = stored.filter(has_account()).select("gc_code", "user_guid")
     fresh = incoming.filter(has_account()).join(keys, ["gc_code", "user_guid"], "left_anti")
     nameless = incoming.filter(~has_account())
@@ -381,8 +427,12 @@ def insert_absent(incoming: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def merge_visits(incoming: DataFrame, stored: DataFrame) -> DataFrame:
-    """Stored visits after inserting new and rewriting changed incoming (deduplicated) ones."""
+    """Stored visits after inserting new and rewriting changed incoming ones.
+
+    Both sides are settled first, so doubled rows of an account leave one.
+    """
     columns = stored.columns
+    incoming, stored = settled_visits(dated(incoming)), settled_visits(stored)
     old = stored.filter(has_account()).alias("old")
     new = incoming.filter(has_account()).alias("new")
     here = F.col("new.gc_code").isNotNull()

@@ -36,11 +36,19 @@ def merge_users(incoming: DataFrame, stored: DataFrame) -> DataFrame:
     )
 
 
-def merge_avatars(incoming: DataFrame, stored: DataFrame, checked_at: Column) -> DataFrame:
-    """Avatars by name: only valid real pictures and explicit defaults are taken, and stamped."""
+def merge_avatars(
+    incoming: DataFrame, stored: DataFrame, checked_at: Column, order: Sequence[str] = ()
+) -> DataFrame:
+    """Avatars by name: only valid real pictures and explicit defaults are taken, and stamped.
+
+    ``order`` says which record of a name is the last; without it names have to be unique.
+    """
     real = (F.col("avatar_status") == "real") & avatar_valid("avatar_url")
     default = F.col("avatar_status") == "default"
-    taken = incoming.filter(real | default).select(
+    taken = incoming.filter(real | default)
+    if order:
+        taken = last_per_key(taken, "user_name", order)
+    taken = taken.select(
         "user_name",
         F.when(real, F.col("avatar_url")).otherwise(F.lit(fixed.DEFAULT_AVATAR)).alias("avatar_url"),
         "avatar_status",
@@ -61,7 +69,7 @@ def resolve_avatars(names: DataFrame, avatars: DataFrame) -> DataFrame:
     status = F.coalesce("avatar_status", F.lit("real"))
     state = (
         F.when((status == "real") & avatar_valid("avatar_url"), F.lit("real"))
-        .when((status == "default") & F.col("avatar_url").isNotNull(), F.lit("default"))
+        .when(status == "default", F.lit("default"))
         .otherwise(F.lit("uncached"))
     )
     return joined.select("user_name", state.alias("state"), "avatar_url").select(
@@ -92,8 +100,15 @@ def keyed_update(table: DataFrame, keys: DataFrame, key: str, values: Mapping[st
     )
 
 
-def backfill_fields(items: DataFrame, found: DataFrame, guid_only_when_null: bool = False) -> DataFrame:
-    """Positions read from landed pages, to six places, and owner ids where one was found."""
+def backfill_fields(
+    items: DataFrame, found: DataFrame, guid_only_when_null: bool = False, order: Sequence[str] = ()
+) -> DataFrame:
+    """Positions read from landed pages, to six places, and owner ids where one was found.
+
+    ``order`` says which record of a code is the last; without it codes have to be unique.
+    """
+    if order:
+        found = last_per_key(found, "code", order)
     facts = found.select(
         "code",
         F.bround("latitude", 6).alias("_lat"),

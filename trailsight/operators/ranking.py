@@ -18,19 +18,23 @@ def top_with_ties(
     order: Sequence[str],
     limit: int,
     score: str = "score",
+    tie_cap: int | None = 2,
 ) -> DataFrame:
-    """Rows ranked 1..limit with competition ranks, ties at the edge kept up to 2 x limit rows.
+    """Rows ranked 1..limit with competition ranks, ties at the edge kept up to ``tie_cap`` x limit
+    rows of a list, or all of them with ``tie_cap=None``.
 
-    The row_number filter comes first and plans a WindowGroupLimit: every task passes on at most
-    2 x limit rows per group, so no group is ever gathered whole. What survives is a prefix of
+    The filter on the place (or rank) plans a WindowGroupLimit: every task passes on only rows
+    that may be in the list, so no group is ever gathered whole. What survives is a prefix of
     the sorted group, on which rank() is the same as on the whole group.
     """
     place = Window.partitionBy(*groups).orderBy(F.desc(score), *[F.asc(c) for c in order])
     tied = Window.partitionBy(*groups).orderBy(F.desc(score))
+    if tie_cap is None:
+        return scores.filter(F.col(score) > 0).withColumn("rank", F.rank().over(tied)).filter(F.col("rank") <= limit)
     return (
         scores.filter(F.col(score) > 0)
         .withColumn("_place", F.row_number().over(place))
-        .filter(F.col("_place") <= 2 * limit)
+        .filter(F.col("_place") <= tie_cap * limit)
         .withColumn("rank", F.rank().over(tied))
         .filter(F.col("rank") <= limit)
         .drop("_place")

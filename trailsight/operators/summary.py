@@ -145,7 +145,11 @@ def missing_positions(items: DataFrame, countries=fixed.ALLOWED_COUNTRIES) -> Da
 
 
 def completeness_check(received: DataFrame, declared: DataFrame, cap: int = fixed.PAGE_CAP) -> DataFrame:
-    """Rows received per box against the total the source declared for it."""
+    """Rows received per box against the total the source declared for it.
+
+    The comparison is always made. ``over_cap`` says that the box holds more than the source pages
+    out, so that rows must be missing until the box is split.
+    """
     counted = received.groupBy("box").agg(F.count(F.lit(1)).alias("received"))
     joined = declared.join(counted, "box", "left").select(
         "box",
@@ -153,12 +157,16 @@ def completeness_check(received: DataFrame, declared: DataFrame, cap: int = fixe
         F.col("declared").cast("bigint").alias("declared"),
     )
     status = (
-        F.when(F.col("declared") > cap, F.lit("over_cap"))
+        F.when(F.col("received") == F.col("declared"), F.lit("complete"))
         .when(F.col("received") == 0, F.lit("empty"))
-        .when((F.col("declared") < cap) & (F.col("received") != F.col("declared")), F.lit("mismatch"))
-        .otherwise(F.lit("complete"))
+        .otherwise(F.lit("mismatch"))
+    )
+    return joined.select(
+        "*",
+        (F.col("declared") - F.col("received")).alias("missing"),
+        (F.col("declared") > cap).alias("over_cap"),
+        status.alias("status"),
     )
-    return joined.withColumn("status", status)
 
 
 def request_digest(requests: DataFrame, request_items: DataFrame) -> DataFrame:

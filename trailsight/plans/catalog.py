@@ -115,7 +115,8 @@ _SIMPLE = {
     "overview": reports.overview,
     "unassigned_diag": lambda d: summary.unassigned_diagnostic(d.items),
     "missing_coords": lambda d: summary.missing_positions(d.items, list(REGIONS.values())),
-    "user_candidates": lambda d: users.candidates_to_fetch(d.visits, d.items, d.users, 500),
+    "user_candidates": lambda d: users.candidates_to_fetch(d.visits, d.items, d.users),
+    "user_candidates_500": lambda d: users.candidates_to_fetch(d.visits, d.items, d.users, 500),
     "candidate_count": lambda d: users.candidate_count(d.visits, d.items),
     "page_scan": lambda d: merge.page_scan(d.items, 200, 2000).select("code", "name", "country"),
     "archived_keyset": lambda d: merge.archived_after(d.items, "gc3", 100),
@@ -280,6 +281,7 @@ def _pages_of(rows: DataFrame) -> DataFrame:
     return listed.join(totals, "country").select(
         F.col("country").alias("box"),
         F.to_json(F.struct(F.struct(results).alias("pageProps"))).alias("body"),
+        "page",
     )
 
 
@@ -329,7 +331,7 @@ def visit_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("visit_flatten")
 def _(spark, sf):
-    return ingest.flatten_visits(visit_pages(spark, sf)).drop("seq")
+    return ingest.flatten_visits(visit_pages(spark, sf)).drop("page", "seq")
 
 
 @query("accepted_types")
@@ -381,14 +383,28 @@ def _(spark, sf):
     return ingest.change_summary(details)
 
 
+@query("change_details")
+def _(spark, sf):
+    """Every change, without the cut of the summary's text."""
+    return ingest.change_details(view(spark, sf, "incoming_visits"), view(spark, sf, "repeated_stored"))
+
+
+def crawled_twice(spark: SparkSession, sf: str) -> DataFrame:
+    """The incoming items with an older record of every third one, which the later replaces."""
+    last = view(spark, sf, "incoming_items").withColumn("crawl_seq", F.lit(2))
+    k = F.substring("code", 3, 20).cast("bigint")
+    first = last.filter(k % 3 == 0).withColumn("crawl_seq", F.lit(1)).withColumn("name", F.lit("stale"))
+    return last.unionByName(first)
+
+
 @query("item_diff")
 def _(spark, sf):
-    return ingest.diff_items(view(spark, sf, "incoming_items"), view(spark, sf, "stored_items"))
+    return ingest.diff_items(crawled_twice(spark, sf), view(spark, sf, "stored_items"), ["crawl_seq"])
 
 
 @query("item_merge")
 def _(spark, sf):
-    return ingest.merge_items(view(spark, sf, "incoming_items"), view(spark, sf, "stored_items"))
+    return ingest.merge_items(crawled_twice(spark, sf), view(spark, sf, "stored_items"), ["crawl_seq"])
 
 
 @query("canonical_item")
@@ -408,13 +424,13 @@ def _(spark, sf):
 
 @query("vanished_checked")
 def _(spark, sf):
-    """The guard lets the check run for few vanished items and drops it for many."""
+    """Few vanished items, and so many that the crawl is suspicious; all are listed."""
     known = view(spark, sf, "items")
     k = F.substring("code", 3, 20).cast("bigint")
     few = ingest.vanished_items(known, known.filter(k % 7919 != 0), BOXES)
     many = ingest.vanished_items(known, known.filter(k % 2 != 0), BOXES)
-    return ingest.vanished_to_check(few).withColumn("crawl", F.lit("good")).unionByName(
-        ingest.vanished_to_check(many).withColumn("crawl", F.lit("broken"))
+    return ingest.vanished_to_check(few, known).withColumn("crawl", F.lit("good")).unionByName(
+        ingest.vanished_to_check(many, known).withColumn("crawl", F.lit("broken"))
     )
 
 
@@ -487,11 +503,11 @@ def _(spark, sf):
     """Landed pages, one box per country; the pages of one box and some of another got lost."""
     landed = item_pages(spark, sf)
     declared = ingest.declared_totals(landed)
-    lost = (F.col("box") == "EUROPE") | ((F.col("box") == "ASIA") & (F.length("body") % 2 == 0))
+    lost = (F.col("box") == "EUROPE") | ((F.col("box") == "ASIA") & (F.col("page") % 2 == 0))
     kept = landed.withColumn("body", F.when(lost, F.lit("{}")).otherwise(F.col("body")))
     flat = ingest.flatten_items(kept, None, None)
     received = flat.select(F.col("country").alias("box"))
-    return summary.completeness_check(received, declared).select("box", "declared", "status")
+    return summary.completeness_check(received, declared)
 
 
 @query("request_digest")
@@ -752,10 +768,10 @@ def _(spark, sf):
 # --- incremental ------------------------------------------------------------------------------
 
 def _land(rows: DataFrame, folder: str) -> None:
-    """Visits as landed files, one per month."""
-    rows.withColumn("month", F.date_format("visited", "yyyy-MM")).repartition("month").write.mode(
-        "append"
-    ).partitionBy("month").parquet(folder)
+    """Visits as landed files below a folder for each month, as many as the tasks that hold some."""
+    rows.withColumn("month", F.date_format("visited", "yyyy-MM")).write.mode("append").partitionBy(
+        "month"
+    ).parquet(folder)
 
 
 @query("stream_visit_merge")

@@ -79,11 +79,17 @@ def _versions(spark: SparkSession, root: str, complete_only: bool = False) -> li
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A fresh folder every executor can reach: below the cluster's checkpoint folder, and below
-    a local temporary one only where none is set."""
+    """A fresh folder every executor can reach, below the cluster's checkpoint folder.
+
+    Only a session on one machine, as in tests, may do without that setting; a cluster is refused,
+    since files that executors wrote to their own disks can't be read back.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    parent = shared or tempfile.mkdtemp(prefix="trailsight-")
-    return f"{parent.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if not shared:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="trailsight-")
+    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
 def materialise(frame: DataFrame, label: str) -> DataFrame:
