@@ -380,7 +380,7 @@ def dated(incoming: DataFrame) -> DataFrame:
     """
     if isinstance(incoming.schema["visited"].dataType, DateType):
         return incoming
-    return incoming.withColumn("visited", text.date_sort_key(F.col("visited").cast("string")).try_cast("date"))
+    return incoming.withColumn("visited", F.col("visited").cast("string").try_cast("date"))
 
 
 def settled_visits(rows: DataFrame) -> DataFrame:
