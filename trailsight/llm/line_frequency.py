@@ -95,8 +95,9 @@ def judged(docs: DataFrame, limit: int = LIMIT, share: float = SHARE, rest: floa
     return rows.withColumn("kept", ~F.col("base_failed") & (F.col("n_words") - F.col("boilerplate_words") >= rest * F.col("n_words")))
 
 
-#: The same rules over the table documents, for a second engine.
-SQL = rf"""
+def sql(limit: int = LIMIT, share: float = SHARE, rest: float = REST) -> str:
+    """The same rules over the table documents, for a second engine."""
+    return rf"""
 WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t, md5(coalesce(text, 'null' || chr(1))) AS k FROM documents),
 w AS (SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
       list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
@@ -109,7 +110,7 @@ rep AS (SELECT doc_id, k, sum(least({WINDOW}, i - before)) AS n_repeat_words FRO
 l AS (SELECT doc_id, k, source, trim(regexp_replace(lower(x), '[\x20\x09-\x0D]+', ' ', 'g')) AS line FROM (SELECT doc_id, k, source, unnest(ls) AS x FROM one)),
 hosts AS (SELECT source, count(DISTINCT (doc_id, k)) AS all_docs FROM one GROUP BY source),
 f AS (SELECT l.source, line FROM l JOIN hosts h ON l.source IS NOT DISTINCT FROM h.source
-      GROUP BY l.source, line, all_docs HAVING count(DISTINCT (doc_id, k)) > {LIMIT} AND count(DISTINCT (doc_id, k)) > {SHARE} * all_docs),
+      GROUP BY l.source, line, all_docs HAVING count(DISTINCT (doc_id, k)) > {limit} AND count(DISTINCT (doc_id, k)) > {share} * all_docs),
 lost AS (SELECT doc_id, k, sum(len(string_split(l.line, ' '))) AS lost FROM l JOIN f ON l.line = f.line AND l.source IS NOT DISTINCT FROM f.source GROUP BY ALL),
 r AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words, (length(t) - length(regexp_replace(t, '[^\x20\x09-\x0D]+', '', 'g')))::BIGINT AS word_chars,
       length(regexp_replace(t, '{SYMBOLS}', '', 'g'))::BIGINT AS n_symbols, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
@@ -117,5 +118,5 @@ r AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words, (length(t) - length(regexp_re
       FROM w LEFT JOIN rep ON w.doc_id IS NOT DISTINCT FROM rep.doc_id AND w.k = rep.k
       LEFT JOIN lost ON w.doc_id IS NOT DISTINCT FROM lost.doc_id AND w.k = lost.k),
 b AS (SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {REPEAT_PERCENT} * n_words AS base_failed FROM r)
-SELECT *, NOT base_failed AND n_words - boilerplate_words >= {REST} * n_words AS kept FROM b
+SELECT *, NOT base_failed AND n_words - boilerplate_words >= {rest} * n_words AS kept FROM b
 """

@@ -88,7 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 def statements() -> dict[str, str]:
     return {
-        "op1_line_frequency": line_frequency.SQL,
+        "op1_line_frequency": line_frequency.sql(),
         "op9_line_dedup": near_lines.SQL,
         "op10_mixing": mixing.SQL,
     }
