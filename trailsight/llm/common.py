@@ -14,7 +14,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
 #: Rows up to this many bytes in all may be sent to every executor; beyond it a side is shuffled.
-BROADCAST_BYTES = 8 << 20
+BROADCAST_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

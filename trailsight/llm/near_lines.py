@@ -1,15 +1,16 @@
 """Line dedup by a deletion-neighbourhood join, edit bound 1.
 
-Two lines are alike if they are equal after normalisation or one edit (a character put in, taken out
-or changed) apart. Of alike lines the earliest, by document id and place, stays: a line goes if an
+Two lines are alike if, in lower case and trimmed, they are equal or one edit (a character put in,
+taken out or changed) apart. Of alike lines the earliest, by document id and place, stays: a line goes if an
 earlier line is alike. Lines under MIN_CHARS characters always stay.
 
 Variants are emitted in two steps, so that long lines don't cost the square of their length. First a
-whole block of a line is deleted: lines one edit apart agree on all but one block. Where two different
-lines share such a key, each character of the deleted block is deleted in turn, and the hash of what
-is left is the key. A key holds the place of the deletion (or says that one line is longer by one), so
-all lines of a key are one edit apart; each needs only the earliest, no pairs are made. The edit
-distance of a line and its earliest partner is then verified.
+stretch of a line is deleted: lines one edit apart agree on what is before some stretch, counted from
+the start, and on what is after it, counted from the end. Where two different lines share such a key,
+each character of the stretch is deleted in turn, and the hash of what is left is the key. A key holds
+the place of the deletion (or says that one line is longer by one), so all lines of a key are one edit
+apart; each needs only the earliest, no pairs are made. The edit distance of a line and its earliest
+partner is then verified.
 
 Cases: null and empty texts have no lines and stay. Rows without an id come after all others. Rows of
 equal (id, place) are no earlier than each other, so repeated rows keep their lines alike. Blank lines
@@ -21,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trailsight.llm.common import WORD, let, small, squeezed, written
+from trailsight.llm.common import WORD, let, small, written
 
 MIN_CHARS = 20
 BLOCK = 256
@@ -30,8 +31,9 @@ _LAST_ID = str(1 << 63)
 
 def numbered(docs: DataFrame) -> DataFrame:
     """doc_id, key, pos, norm of every line that may go."""
-    rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    return rows.withColumn("norm", squeezed(F.col("line"))).where(F.length("norm") >= MIN_CHARS).drop("line")
+    lines = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("pos"), F.trim(F.lower(x)).alias("norm")))
+    rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), F.explode(F.filter(lines, lambda x: F.length(x["norm"]) >= MIN_CHARS)).alias("x"))
+    return rows.select("doc_id", "key", "x.pos", "x.norm")
 
 
 def rank(doc_id: Column, pos: Column) -> Column:
@@ -39,44 +41,47 @@ def rank(doc_id: Column, pos: Column) -> Column:
     return (F.coalesce(doc_id.cast("decimal(20,0)"), F.lit(_LAST_ID).cast("decimal(20,0)")) * F.lit(1 << 31).cast("decimal(12,0)") + pos).cast("decimal(38,0)")
 
 
-def block_keys(norm: Column) -> Column:
-    """A struct (key, part, longer) for each block of the line that may be deleted.
+def shape(size: Column) -> Column:
+    """(block, count): a line is taken as so many blocks, counted from either end; the last may be longer."""
+    block = F.least(F.lit(BLOCK), F.pow(F.lit(2), F.length(F.bin(F.floor(size / 2))) - 1)).cast("int")
+    return let(block, lambda b: F.struct(b.alias("block"), F.floor(size / b).cast("int").alias("count")))
 
-    `part` is the deleted block. `longer`: the line as the longer one of two, cut like a line with one
-    character less; what follows the block is then counted from one character further on.
+
+def stretch_keys(norm: Column, parts: bool) -> Column:
+    """A key for each stretch of the line that may be deleted; with `parts` a struct (key, part, longer).
+
+    A line stands for its own length, and (`longer`) for one less, to meet lines of that length; a key
+    holds the length. The shape follows the length stood for, mostly the same for both.
     """
 
-    def cut(longer: bool):
-        extra = 1 if longer else 0
-        size = F.length(norm) - extra
-        count = F.greatest(F.lit(2), F.ceil(size / BLOCK).cast("int"))
+    def of(shape_: Column, size: Column, bases: Column) -> Column:
+        b, n = shape_["block"], shape_["count"]
+        places = F.sequence(F.lit(0), n - 2)
+        head = F.transform(places, lambda j: F.xxhash64(F.substring(norm, j * b + 1, b)))
+        tail = F.transform(places, lambda j: F.xxhash64(F.substring(norm, size - (j + 1) * b + 1, b)))
 
-        def of(shape: Column) -> Column:
-            n, b, size = shape["n"], shape["b"], shape["size"]
-            blocks = lambda start: F.transform(F.sequence(F.lit(0), n - 1), lambda q: F.xxhash64(F.substring(norm, q * b + 1 + start, b)))
+        def keys(sides: Column) -> Column:
+            def one(base: Column, q: Column) -> Column:
+                key = F.xxhash64(base["size"], b, n, q, F.slice(sides["head"], 1, q), F.slice(sides["tail"], 1, n - 1 - q))
+                if not parts:
+                    return key
+                return F.struct(key.alias("key"), F.substring(norm, q * b + 1, size - (n - 1) * b).alias("part"), base["longer"].alias("longer"))
 
-            def keys(sides: Column) -> Column:
-                head, tail = sides["head"], sides["tail"]
-                return F.transform(
-                    F.sequence(F.lit(0), n - 1),
-                    lambda q: F.struct(
-                        F.xxhash64(size, q, F.slice(head, 1, q), F.slice(tail, q + 2, F.greatest(n - q - 1, F.lit(0)))).alias("key"),
-                        F.substring(norm, q * b + 1, F.least(b, size - q * b) + extra).alias("part"),
-                        F.lit(longer).alias("longer"),
-                    ),
-                )
+            mine = F.filter(bases, lambda y: y["shape"] == shape_)
+            return F.flatten(F.transform(mine, lambda base: F.transform(F.sequence(F.lit(0), n - 1), lambda q: one(base, q))))
 
-            head = blocks(0)
-            return let(F.struct(head.alias("head"), (blocks(1) if longer else head).alias("tail")), keys)
+        return let(F.struct(head.alias("head"), tail.alias("tail")), keys)
 
-        shape = F.struct(count.alias("n"), F.ceil(size / count).cast("int").alias("b"), size.alias("size"))
-        return let(shape, of)
+    def all_of(size: Column) -> Column:
+        stands = lambda s, longer: F.struct(s.alias("size"), shape(s).alias("shape"), F.lit(longer).alias("longer"))
+        each = lambda bases: F.transform(F.array_distinct(F.transform(bases, lambda y: y["shape"])), lambda x: of(x, size, bases))
+        return let(F.array(stands(size, False), stands(size - 1, True)), lambda bases: F.flatten(each(bases)))
 
-    return F.concat(cut(False), cut(True))
+    return let(F.length(norm), all_of)
 
 
 def variant_keys(key: Column, part: Column, longer: Column) -> Column:
-    """A struct (key, kind) for each deletion inside a block; kind 0 changed, 1 shorter, 2 longer."""
+    """A struct (key, kind) for each deletion inside a stretch; kind 0 changed, 1 shorter, 2 longer."""
     one = lambda i: F.concat(F.substring(part, F.lit(1), i), F.substring(part, i + 2, F.length(part)))
     places = F.sequence(F.lit(0), F.length(part) - 1)
     entry = lambda k, kind: F.struct(k.alias("key"), F.lit(kind).alias("kind"))
@@ -89,7 +94,7 @@ def variant_keys(key: Column, part: Column, longer: Column) -> Column:
 def dropped(docs: DataFrame) -> DataFrame:
     """doc_id, key (hash of id and text) and the sorted places of the lines that go."""
     lines = numbered(docs)
-    keys = F.transform(block_keys(F.col("norm")), lambda x: x["key"])
+    keys = stretch_keys(F.col("norm"), parts=False)
     lines = written(lines.select("doc_id", "key", "pos", F.xxhash64("norm").alias("h"), keys.alias("blocks")))
     coarse = lines.select("h", F.explode("blocks").alias("block"))
     shared = coarse.groupBy("block").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a < b").select("block")
@@ -98,9 +103,10 @@ def dropped(docs: DataFrame) -> DataFrame:
     first = lines.join(maybe, "h", "left_semi").groupBy("h").agg(F.min(rank(F.col("doc_id"), F.col("pos"))).alias("at"))
     texts = numbered(docs).select(F.xxhash64("norm").alias("h"), "norm").join(maybe, "h", "left_semi")
     lone = written(texts.groupBy("h").agg(F.first("norm").alias("norm")).join(first, "h"))
-    parts = lone.select("h", "at", F.explode(block_keys(F.col("norm"))).alias("x")).select("h", "at", "x.key", "x.part", "x.longer")
+    parts = lone.select("h", "at", F.explode(stretch_keys(F.col("norm"), parts=True)).alias("x")).select("h", "at", "x.key", "x.part", "x.longer")
     parts = parts.join(shared, F.col("key") == F.col("block"), "left_semi")
     fine = parts.select("h", "at", F.explode(variant_keys(F.col("key"), F.col("part"), F.col("longer"))).alias("v")).select("h", "at", "v.key", "v.kind")
+    fine = written(fine)
     least = [F.min(F.when(F.col("kind") == k, F.col("at"))).alias(f"at{k}") for k in range(3)]
     groups = fine.groupBy("key").agg(*least, F.min("h").alias("a"), F.max("h").alias("b")).where("a < b").drop("a", "b")
     partner = F.when(F.col("kind") == 0, F.col("at0")).when(F.col("kind") == 1, F.col("at2")).otherwise(F.col("at1"))
@@ -137,7 +143,7 @@ def cleaned(docs: DataFrame) -> DataFrame:
 
 #: The same lines over the table documents, for a second engine: lines one edit apart share a half.
 LINES_SQL = rf"""
-l AS (SELECT doc_id, pos, line, trim(regexp_replace(lower(line), '[\x20\x09-\x0D]+', ' ', 'g')) AS norm
+l AS (SELECT doc_id, pos, line, trim(lower(line)) AS norm
       FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM {{docs}} WHERE text IS NOT NULL)),
 e AS (SELECT norm, min((coalesce(doc_id::HUGEINT, {_LAST_ID}::HUGEINT) * {1 << 31} + pos)) AS at, length(norm) AS n FROM l WHERE length(norm) >= {MIN_CHARS} GROUP BY norm),
 c AS (SELECT a.norm AS x, b.norm AS y, a.at AS xa, b.at AS ya FROM e a JOIN e b ON b.n = a.n AND left(a.norm, a.n // 2) = left(b.norm, a.n // 2) AND a.norm <> b.norm
