@@ -418,6 +418,12 @@ def test_candidates_need_more_than_ten_visits_and_conflicts_use_up_quota(spark):
     assert users.candidate_count(v, i).first().candidates == 3
 
 
+def test_conflicts_of_a_shared_id(spark):
+    v = visits(spark, *[dict(user_guid="shared", user_name=f"n{k}") for k in range(200)], *[dict(user_guid=f"g{k}", user_name="one") for k in range(200)])
+    got = users.name_conflicts(v, items(spark).limit(0)).collect()
+    assert len(got) == 200 and {(r.guid, r.name_count) for r in got} == {("shared", 200)}
+
+
 def test_user_merge_rules(spark):
     schema = "user_name string, guid string, registration_date date, fetch_status string, reg_place string"
     old = spark.createDataFrame([("a", "g", date(2020, 1, 1), "ok", "X")], schema)

@@ -12,27 +12,54 @@ def _named(name: str) -> Column:
     return F.coalesce(F.trim(name), F.lit("")) != ""
 
 
-def _visitors(visits: DataFrame, more_than: int) -> DataFrame:
-    return (
+def account_names(visits: DataFrame, items: DataFrame) -> DataFrame:
+    """(guid, user_name, visits, owns): the names an account was seen under, one row each.
+
+    One scan of either table. ``visits`` counts the visits under the name; ``owns`` says that the
+    name owns a live item under a real account. The facts are only counted, by hashing; all that
+    looks at names works on this much shorter frame.
+    """
+    from_visits = (
         visits.filter(F.col("user_guid").isNotNull() & _named("user_name"))
-        .groupBy(F.col("user_guid").alias("guid"))
-        .agg(F.max(F.trim("user_name")).alias("user_name"), F.count(F.lit(1)).alias("log_count"))
-        .filter(F.col("log_count") > more_than)
+        .groupBy(F.col("user_guid").alias("guid"), F.trim("user_name").alias("user_name"))
+        .agg(F.count(F.lit(1)).alias("visits"))
+        .withColumn("owns", F.lit(0))
+    )
+    real = (
+        (F.col("owner_guid") != fixed.MISSING_GUID)
+        & (F.col("owner_username") != fixed.DELETED_OWNER)
+        & scopes.not_deleted()
+    )
+    from_items = (
+        items.filter(F.col("owner_guid").isNotNull() & _named("owner_username"))
+        .groupBy(F.col("owner_guid").alias("guid"), F.trim("owner_username").alias("user_name"))
+        .agg(F.lit(0).cast("bigint").alias("visits"), F.max(F.coalesce(real, F.lit(False)).cast("int")).alias("owns"))
+    )
+    return (
+        from_visits.unionByName(from_items)
+        .groupBy("guid", "user_name")
+        .agg(F.sum("visits").alias("visits"), F.max("owns").alias("owns"))
     )
 
 
-def _owners(items: DataFrame) -> DataFrame:
-    return (
-        items.filter(
-            F.col("owner_guid").isNotNull()
-            & (F.col("owner_guid") != fixed.MISSING_GUID)
-            & (F.col("owner_username") != fixed.DELETED_OWNER)
-            & _named("owner_username")
-            & scopes.not_deleted()
+def _accounts(visits: DataFrame, items: DataFrame, more_than: int) -> DataFrame:
+    """Candidates with ``name_count``, the number of names they were seen under."""
+    seen = (
+        account_names(visits, items)
+        .groupBy("guid")
+        .agg(
+            F.sum("visits").alias("seen"),
+            F.max(F.when(F.col("visits") > 0, F.col("user_name"))).alias("visitor"),
+            F.max(F.when(F.col("owns") > 0, F.col("user_name"))).alias("owner"),
+            F.count(F.lit(1)).alias("name_count"),
         )
-        .groupBy(F.col("owner_guid").alias("guid"))
-        .agg(F.max(F.trim("owner_username")).alias("user_name"))
-        .withColumn("log_count", F.lit(0).cast("bigint"))
+    )
+    often = F.col("seen") > more_than
+    return seen.filter(often | F.col("owner").isNotNull()).select(
+        "guid",
+        F.when(often, F.col("visitor")).otherwise(F.col("owner")).alias("user_name"),
+        F.when(often, F.col("seen")).otherwise(F.lit(0)).cast("bigint").alias("log_count"),
+        "name_count",
     )
 
 
@@ -40,9 +67,7 @@ def candidate_pool(
     visits: DataFrame, items: DataFrame, more_than: int = fixed.MIN_VISITS_FOR_CANDIDATE
 ) -> DataFrame:
     """Accounts with more than the given number of visits, and owners that are not among them."""
-    visitors = _visitors(visits, more_than)
-    owners = _owners(items).join(visitors.select("guid"), "guid", "left_anti")
-    return visitors.unionByName(owners)
+    return _accounts(visits, items, more_than).drop("name_count")
 
 
 def candidates_to_fetch(
@@ -57,7 +82,7 @@ def candidates_to_fetch(
 
     Accounts with conflicting names are taken out after the limit, so they use up quota.
     """
-    pool = candidate_pool(visits, items, more_than)
+    pool = _accounts(visits, items, more_than)
     known = users.select("guid", F.lit(True).alias("_known"), "fetch_status")
     wanted = F.col("_known").isNull()
     if retry_failed:
@@ -65,37 +90,29 @@ def candidates_to_fetch(
     todo = (
         pool.join(known, "guid", "left")
         .filter(wanted)
-        .select("guid", "user_name", "log_count")
-        .orderBy(F.desc("log_count"), "user_name", "guid")
+        .select("guid", "user_name", "log_count", "name_count")
     )
     if limit is not None:
-        todo = todo.limit(limit)
-    return todo.join(name_conflicts(visits, items).select("guid").distinct(), "guid", "left_anti")
-
-
-def _names(visits: DataFrame, items: DataFrame) -> DataFrame:
-    from_visits = visits.filter(F.col("user_guid").isNotNull() & _named("user_name")).select(
-        F.col("user_guid").alias("guid"), F.trim("user_name").alias("user_name")
-    )
-    from_items = items.filter(F.col("owner_guid").isNotNull() & _named("owner_username")).select(
-        F.col("owner_guid").alias("guid"), F.trim("owner_username").alias("user_name")
-    )
-    return from_visits.unionByName(from_items).distinct()
+        todo = todo.orderBy(F.desc("log_count"), "user_name", "guid").limit(limit)
+    return todo.filter(F.col("name_count") == 1).drop("name_count")
 
 
-def name_conflicts(visits: DataFrame, items: DataFrame) -> DataFrame:
+def name_conflicts(visits: DataFrame, items: DataFrame, salts: int = 16) -> DataFrame:
     """(guid, user_name, name_count) for accounts seen under more than one name.
 
     One row per name instead of an array per account: a shared id, such as that of removed
-    accounts, may carry any number of names.
+    accounts, may carry any number of names. Such an id's names are spread over ``salts`` tasks,
+    and its count is sent to each.
     """
-    names = _names(visits, items)
+    names = account_names(visits, items).select("guid", "user_name")
     many = (
         names.groupBy("guid")
         .agg(F.count(F.lit(1)).alias("name_count"))
         .filter(F.col("name_count") > 1)
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     )
-    return names.join(many, "guid")
+    salted = names.withColumn("_salt", F.pmod(F.xxhash64("user_name"), F.lit(salts)).cast("int"))
+    return salted.join(many, ["guid", "_salt"]).select("guid", "user_name", "name_count")
 
 
 def candidate_count(
