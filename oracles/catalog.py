@@ -149,6 +149,8 @@ def statements() -> dict[str, str]:
         "page_summary": f"{summary} ({i.PAGE_SUMMARY})",
         "page_class": i.PAGE_CLASS,
         "first_pattern": i.FIRST_PATTERN,
+        "build_id": i.BUILD_ID,
+        "item_page_fields": i.ITEM_PAGE_FIELDS,
         "ftf_marker": i.FTF,
         "date_normalise": i.DATES,
         "ts_normalise": i.STAMPS,

@@ -365,6 +365,13 @@ PAGE_CLASS = """
  WITH m AS (SELECT page_id, CASE WHEN page_id % 7 = 0 THEN url || '?ReturnUrl=/x' ELSE url END AS url, page_id % 9 AS n, lower(html) AS low FROM pages)
  SELECT page_id, n = 3 OR contains(lower(url), 'returnurl=') OR contains(lower(url), '/login') OR contains(low, '<title>log in') OR contains(low, '<title>sign in')
    OR contains(low, 'next-auth') AS login_page, n = 1 OR n = 2 AS public_page, n = 0 AS archived_page FROM m"""
+BUILD_ID = """SELECT page_id, CASE page_id % 6 WHEN 0 THEN '20240101.1.' || page_id WHEN 1 THEN '20240102.2.' || page_id
+  WHEN 2 THEN 'dev' || page_id WHEN 3 THEN '3.4.' || page_id WHEN 4 THEN '20240105.5.' || page_id END AS found FROM pages"""
+ITEM_PAGE_FIELDS = with_views(
+    f"SELECT code, CAST({NUM} % 90 + 0.25 AS DOUBLE) AS latitude, CAST({NUM} % 180 + 0.5 AS DOUBLE) AS longitude, "
+    f"CASE WHEN {NUM} % 2 = 0 THEN CAST({NUM} AS VARCHAR) END AS owner_guid FROM items WHERE {NUM} % 3 < 2",
+    "items",
+)
 FIRST_PATTERN = """
  SELECT page_id, coalesce(nullif(regexp_extract(html, 'track\\((\\d*7)\\)', 1), ''), nullif(regexp_extract(html, 'lang="([^"]+)"', 1), '')) AS found FROM pages"""
 FTF = """

@@ -1,5 +1,6 @@
 """Rules that are easy to get wrong, on small frames with answers worked out by hand."""
 
+import json
 import random
 from datetime import date
 
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from trailsight.functions import fixed, pages, scopes, text
 from trailsight.functions.periods import Clock, compound_growth_pct, growth_pct, months_before
 from trailsight.operators import grid, ingest, merge, ranking, scores, summary, trends, users
+from trailsight.sources import tables
 
 DAY = date(2024, 6, 15)
 ITEM = """code string, name string, owner_username string, owner_guid string, city string, country string,
@@ -382,6 +384,27 @@ def test_visit_merges_settle_both_sides_and_take_unreadable_dates(spark):
     assert ingest.diff_visits(text_dates, stored).count() == 1
 
 
+def test_landed_pages_to_merged_visits(spark, tmp_path):
+    """Landed JSON lines -> flatten -> rejects -> dedup by (page, seq) -> merge; several pages, bad dates, quiet items."""
+    def entry(user, day, **more):
+        return {"LogType": "Found it", "LogText": "", "UserName": user, "Visited": day, "FavoritePointUsed": False, "AccountGuid": user} | more
+
+    landed = [
+        {"gc_code": "GC1", "geocache_type": 2, "page": 2, "body": json.dumps({"data": [entry("ann", "2024-05-01", UserName="late"), entry("bob", "not a day")]})},
+        {"gc_code": "GC1", "geocache_type": 2, "page": 1, "body": json.dumps({"data": [entry("cid", "2024-05-02"), entry("ann", "2024-05-01")]})},
+        {"gc_code": "GC2", "geocache_type": 2, "page": 1, "body": json.dumps({"data": []})},
+    ]
+    (tmp_path / "landed.json").write_text("\n".join(map(json.dumps, landed)))
+    rows = ingest.flatten_visits(tables.read_landed_json(spark, str(tmp_path / "landed.json"), "gc_code string, geocache_type int, page int"))
+    good, bad = ingest.split_rejects(rows, {"no_day": F.col("visited").try_cast("date").isNotNull()})
+    assert as_set(bad, "user_guid", "error") == {("bob", "no_day")}
+    clean = ingest.dedup_visits(good, ["page", "seq"]).drop("page", "seq")
+    assert as_set(clean, "user_guid", "user_name") == {("ann", "ann"), ("cid", "cid")}
+    stored = visits(spark, dict(user_guid="ann", user_name="ann", visited=date(2024, 4, 1)))
+    merged = ingest.merge_visits(clean, stored)
+    assert as_set(merged, "user_guid", "visited") == {("ann", date(2024, 5, 1)), ("cid", date(2024, 5, 2))}
+
+
 def test_ties_are_kept_up_to_the_cap_or_all(spark):
     frame = spark.createDataFrame([("g", f"n{i:02}", 5) for i in range(30)], "g string, name string, score int")
     assert ranking.top_with_ties(frame, ["g"], ["name"], 5).count() == 10

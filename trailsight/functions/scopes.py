@@ -57,13 +57,6 @@ def event(status: str = "cache_status", kind: str = "geocache_type") -> Column:
     )
 
 
-def for_range(time_range: str, status: str = "cache_status", kind: str = "geocache_type") -> Column:
-    """``all`` keeps archived items, the other ranges do not."""
-    if time_range not in fixed.RANGES:
-        raise ValueError(f"unknown time range: {time_range}")
-    return ranked(status, kind) if time_range == "all" else active(status, kind)
-
-
 def filled(name: str) -> Column:
     return F.expr(f"{name} IS NOT NULL AND {name} != ''")
 
@@ -81,10 +74,6 @@ def visit_valid(kind: str = "log_type") -> Column:
     return F.expr(f"{kind} != {quoted(fixed.DELETED_VISIT)}")
 
 
-def not_self_visit(visitor: str = "user_name", owner: str = "owner_username") -> Column:
-    return F.expr(f"{visitor} IS NOT NULL AND lower({visitor}) != lower({owner})")
-
-
 def effective_city(city: str = "city", country: str = "country") -> Column:
     return F.expr(f"coalesce(nullif(trim({city}), ''), {country})")
 

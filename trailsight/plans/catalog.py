@@ -602,6 +602,39 @@ def _(spark, sf):
     return table(spark, sf, "pages").select("page_id", pages.build_id("html", patterns).alias("found"))
 
 
+@query("build_id")
+def _(spark, sf):
+    """Pages with the marks that a build number is read from, one kind each; some have none."""
+    n = F.col("page_id").cast("string")
+    marks = (
+        F.concat(F.lit("/_next/data/release-20240101.1."), n, F.lit("/en/play/map.json")),
+        F.concat(F.lit('"buildId":"release-20240102.2.'), n, F.lit('"')),
+        F.concat(F.lit('"buildId":"dev'), n, F.lit('"')),
+        F.concat(F.lit("sentry-release=release-3.4."), n),
+        F.concat(F.lit("<!-- release-20240105.5."), n, F.lit(" -->")),
+        F.lit(""),
+    )
+    mark = F.element_at(F.array(*marks), (F.col("page_id") % 6 + 1).cast("int"))
+    landed = table(spark, sf, "pages").select("page_id", F.concat("html", mark).alias("html"))
+    return landed.select("page_id", pages.build_id("html").alias("found"))
+
+
+@query("item_page_fields")
+def _(spark, sf):
+    """Detail pages of the items: a third with a JSON-LD block, a third with a script, the rest with neither."""
+    k = F.substring("code", 3, 20).cast("bigint")
+    lat, lon = F.concat((k % 90).cast("string"), F.lit(".25")), F.concat((k % 180).cast("string"), F.lit(".5"))
+    block = F.concat(
+        F.lit('<script type="application/ld+json">{"location": {"latitude": "'), lat,
+        F.lit('", "longitude": "'), lon, F.lit('"}}</script>'),
+    )
+    script = F.concat(F.lit("<script>var lat = "), lat, F.lit(", lng = "), lon, F.lit(";</script>"))
+    place = F.when(k % 3 == 0, block).when(k % 3 == 1, script).otherwise(F.lit("<p>no place</p>"))
+    owner = F.when(k % 2 == 0, F.concat(F.lit('<a href="/p/?guid='), k.cast("string"), F.lit('">'))).otherwise(F.lit(""))
+    landed = view(spark, sf, "items").select("code", F.concat(place, owner).alias("html"))
+    return page_ops.item_page_fields(landed)
+
+
 @query("ftf_marker")
 def _(spark, sf):
     """Documents, some with a mark put in front or behind."""
