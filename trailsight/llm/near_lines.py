@@ -43,7 +43,9 @@ def rank(doc_id: Column, pos: Column) -> Column:
 
 def shape(size: Column) -> Column:
     """(block, count): a line is taken as so many blocks, counted from either end; the last may be longer."""
-    block = F.least(F.lit(BLOCK), F.pow(F.lit(2), F.length(F.bin(F.floor(size / 2))) - 1)).cast("int")
+    block, power = F.lit(BLOCK), BLOCK // 2  # the largest power of two that is half of the size, or BLOCK
+    while power >= 8:
+        block, power = F.when(size < 4 * power, power).otherwise(block), power // 2
     return let(block, lambda b: F.struct(b.alias("block"), F.floor(size / b).cast("int").alias("count")))
 
 
@@ -85,7 +87,8 @@ def variant_keys(key: Column, part: Column, longer: Column) -> Column:
     one = lambda i: F.concat(F.substring(part, F.lit(1), i), F.substring(part, i + 2, F.length(part)))
     places = F.sequence(F.lit(0), F.length(part) - 1)
     entry = lambda k, kind: F.struct(k.alias("key"), F.lit(kind).alias("kind"))
-    same = F.transform(places, lambda i: entry(F.xxhash64(key, i, one(i)), 0))
+    halves = lambda i: (F.substring(part, F.lit(1), i), F.substring(part, i + 2, F.length(part)))
+    same = F.transform(places, lambda i: entry(F.xxhash64(key, i, *halves(i)), 0))
     short = F.array(entry(F.xxhash64(key, F.lit(-1), part), 1))
     long = F.transform(places, lambda i: entry(F.xxhash64(key, F.lit(-1), one(i)), 2))
     return F.when(longer, long).otherwise(F.concat(same, short))
