@@ -29,9 +29,9 @@ from trailsight.llm.common import small, written
 from trailsight.llm.token_ids import encoder
 
 END = 1
-#: Bytes of text of a range of ids, about, and ids of a shard after which the next one begins.
-RANGE_BYTES, SHARD_IDS = 8 << 20, 4_000_000
-ROUNDS, RULES_A_ROUND, LEAST = 6, 2500, 24
+#: Documents of a range of ids, about, and ids of a shard after which the next one begins.
+RANGE_DOCS, SHARD_IDS = 2500, 4_000_000
+ROUNDS, RULES_A_ROUND, LEAST = 4, 4000, 24
 _NONE = np.int32(2**31 - 1)
 _SLOTS = 18
 SCHEMA = "part long, shard int, n_docs long, n_ids long, base int, doc_ids binary, null_ids binary, first_ids binary, first_symbols binary, rules binary, lengths binary, symbols binary"
@@ -70,18 +70,17 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int, rounds: int = ROUNDS,
         slot = (pairs * mix) >> shift
         table = np.full(1 << _SLOTS, len(pairs), dtype=np.int32)
         table[slot] = np.arange(len(pairs), dtype=np.int32)
-        rank = table[(code * mix) >> shift]
-        maybe = np.flatnonzero(rank < len(pairs))
-        maybe = maybe[(pairs[rank[maybe]] == code[maybe]) & free[maybe]]
-        best = np.full(len(x) + 1, _NONE)
-        best[maybe + 1] = rank[maybe]
-        mine = rank[maybe]
-        where = maybe[(mine < best[maybe]) & (mine <= np.append(best, _NONE)[maybe + 2])]
+        rank = table.take((code * mix) >> shift)
+        hit = (np.append(pairs, pairs[:1]).take(rank) == code) & free & (rank < len(pairs))
+        near = np.full(len(code) + 2, _NONE)
+        near[1:-1] = np.where(hit, rank, _NONE)
+        where = np.flatnonzero((near[1:-1] < near[:-2]) & (near[1:-1] <= near[2:]))
         x[where] = base + len(rules) + rank[where].astype(np.uint32)
         last[where] = last[where + 1]
         stay = np.ones(len(x), dtype=bool)
         stay[where + 1] = False
-        x, last = x[stay], last[stay]
+        stay = np.flatnonzero(stay)
+        x, last = x.take(stay), last.take(stay)
         new = np.stack([(pairs >> half).astype(np.uint32), (pairs & ((1 << int(half)) - 1)).astype(np.uint32)], axis=1)
         size = lambda v: np.where(v < base, 1, np.append(lengths, 1)[np.minimum(np.maximum(v.astype(np.int64) - base, 0), len(lengths))])  # noqa: B023, E731
         lengths = np.concatenate([lengths, (size(new[:, 0]) + size(new[:, 1])).astype(np.uint32)])
@@ -112,9 +111,12 @@ class Shard:
         self.flat = np.concatenate(flat + grown)
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
-        n = self.size[symbols]
+        n = self.size.take(symbols)
         total = np.cumsum(n)
-        return self.flat[np.repeat(self.at[symbols] - total + n, n) + np.arange(total[-1] if len(total) else 0)]
+        kind = np.int32 if not len(total) or max(total[-1], len(self.flat)) < 1 << 31 else np.int64
+        place = np.repeat((self.at.take(symbols) - total + n).astype(kind), n)
+        place += np.arange(len(place), dtype=kind)
+        return self.flat.take(place)
 
     def ids(self, doc: int, start: int = 0, stop: int | None = None) -> np.ndarray:
         """Ids start to stop of the document at this place; only symbols that overlap are expanded."""
@@ -130,8 +132,7 @@ class Shard:
 def write(docs: DataFrame, path: str, tokenizer: str, end: int = END, shard_ids: int = SHARD_IDS) -> None:
     """Encodes the documents and writes their shards, in ascending order of doc_id, to the folder."""
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    rows = rows.repartitionByRange(max(1, -(-size // RANGE_BYTES)), F.col("doc_id").asc_nulls_first())
+    rows = rows.repartitionByRange(max(1, -(-rows.count() // RANGE_DOCS)), F.col("doc_id").asc_nulls_first())
     rows = rows.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).withColumn("part", F.spark_partition_id().cast("long"))
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

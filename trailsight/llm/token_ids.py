@@ -18,7 +18,7 @@ import numpy as np
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Pieces that a worker keeps at most; then it starts anew.
-PIECES = 600_000
+PIECES = 1_500_000
 #: White space other than space and newline.
 _ODD_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
