@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A word is a run of characters other than the six ASCII white-space characters.
@@ -66,13 +66,11 @@ def bounded_sample(rows: DataFrame, key: str, most: int, per: str | None = None)
     """At most `most` rows (for each value of `per`), those of the smallest hash of the key.
 
     Only the key and `per` are ranked; the ranking keeps `most` rows a task and group, so no group
-    is gathered whole.
+    is gathered whole. The chosen keys are few, so the rows themselves stay where they are.
     """
-    from pyspark.sql import Window
-
     by = Window.partitionBy(F.col(per) if per else F.lit(0)).orderBy(F.xxhash64(key, F.lit(11)), F.col(key))
     ranked = rows.select(key, *([per] if per else [])).distinct().withColumn("_n", F.row_number().over(by))
-    return rows.join(ranked.where(F.col("_n") <= most).select(key).distinct(), key, "left_semi")
+    return rows.join(small(written(ranked.where(F.col("_n") <= most).select(key).distinct()), 16), key, "left_semi")
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
