@@ -15,9 +15,12 @@ Two refinements keep this exact and keep signatures from being shared for nothin
 * Shingles that very many documents share (estimated on a sample) are left out of the domain, which
   can't raise the difference of two sets, and come last in a prefix.
 
-Sets that share a signature are candidates. The smallest set of each signature is held against the
-others, components are formed of the true links, and then only pairs of a signature that are still in
-different components are held against each other. Equal sets are one node, so copies cost nothing.
+Sets that share a signature are candidates. In some rounds one set of each signature is held against
+the others, and components are formed of the true links. Then only pairs of a signature that are still
+in different components are left; they are compared in blocks. Before two sets are fetched, sketches
+of them must allow for the similarity: a bit for each range of hashes holds the parity of its count,
+so the bits that differ are no more than the shingles that differ. Equal sets are one node, so copies
+cost nothing.
 
 Cases: null and empty texts, and texts without a word, have an empty set and link with nothing. Fewer
 than five words are one shingle. Rows without an id have their count, but link with nothing and have
@@ -43,7 +46,9 @@ WORDS, PERCENT = 5, 80
 #: Documents that the common shingles are estimated on, and how many of them must share one.
 SAMPLE, COMMON, COMMON_MOST = 4000, 4, 200_000
 #: Signatures that a task holds at a time, and of a bucket, about.
-HELD, BUCKET = 2_000_000, 1_500_000
+HELD, BUCKET = 800_000, 1_500_000
+#: Rounds of one set against the others of a signature, and sets of a block that are compared at once.
+STARS, BLOCK = 3, 256
 _U = np.uint64
 _BASE, _A, _B = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
 _INVERSE = _U(pow(int(_BASE), -1, 1 << 64))
@@ -194,28 +199,40 @@ def shared(docs: DataFrame, common: np.ndarray, total: int, words: int = WORDS)
         count = 0
 
         def blocks(s: np.ndarray, n: np.ndarray, kind: int, deal: np.ndarray) -> pa.RecordBatch:
-            order = np.argsort(deal, kind="stable")
+            """One row for each bucket; sets that follow each other in a bucket are sent as runs."""
+            order = np.argsort(deal.astype(np.uint16) if buckets < 1 << 16 else deal, kind="stable")
             s, n, deal = s[order], n[order], deal[order]
             at = np.flatnonzero(np.r_[True, deal[1:] != deal[:-1]])
             cut = list(zip(at, np.r_[at[1:], len(deal)], strict=True))
-            raw = lambda v: pa.array([v[a:z].tobytes() for a, z in cut], pa.binary())
-            return pa.record_batch([pa.array(deal[at].astype(np.int32)), pa.array([kind] * len(cut), pa.int32()), raw(s), raw(n)], names=["bucket", "kind", "sigs", "nodes"])
+            run = np.flatnonzero(np.r_[True, (n[1:] != n[:-1]) | (deal[1:] != deal[:-1])])
+            nodes, counts = n[run], np.diff(np.r_[run, len(n)]).astype(np.uint32)
+            runs = list(zip(np.searchsorted(run, at), np.r_[np.searchsorted(run, at[1:]), len(run)], strict=True))
+            raw = lambda v, ranges: pa.array([v[a:z].tobytes() for a, z in ranges], pa.binary())
+            values = [pa.array(deal[at].astype(np.int32)), pa.array([kind] * len(cut), pa.int32()), raw(s, cut), raw(nodes, runs), raw(counts, runs)]
+            return pa.record_batch(values, names=["bucket", "kind", "sigs", "nodes", "counts"])
 
         def flush() -> Iterator[pa.RecordBatch]:
             s, n = np.concatenate(sigs), np.concatenate(nodes)
-            order = np.lexsort((n, s))
-            s, n = s[order], n[order]
-            first = np.r_[True, s[1:] != s[:-1]]
-            new = first | np.r_[True, n[1:] != n[:-1]]
-            s, n, first = s[new], n[new], first[new]
-            many = np.repeat(np.diff(np.r_[np.flatnonzero(first), len(s)]) > 1, np.diff(np.r_[np.flatnonzero(first), len(s)]))
             deal = ((s >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int64)
+            order = np.argsort(s)
+            same = s[order][1:] == s[order][:-1]
+            again = order[np.r_[False, same] | np.r_[same, False]]  # signatures seen more than once, few
+            single = np.ones(len(s), dtype=bool)
+            single[again] = False
+            if single.any():
+                yield blocks(s[single], n[single], 0, deal[single])
+            again = again[np.lexsort((n[again], s[again]))]
+            first = np.r_[True, s[again][1:] != s[again][:-1]] if len(again) else np.zeros(0, dtype=bool)
+            new = first.copy()
+            new[1:] |= n[again][1:] != n[again][:-1]
+            again, first = again[new], first[new]
+            many = np.repeat(np.diff(np.r_[np.flatnonzero(first), len(first)]) > 1, np.diff(np.r_[np.flatnonzero(first), len(first)]))
             for pick, kind in ((~many, 0), (many & first, 1)):
                 if pick.any():
-                    yield blocks(s[pick], n[pick], kind, deal[pick])
-            rest = many & ~first
-            if rest.any():
-                yield blocks(s[rest], n[rest], 2, np.arange(int(rest.sum())) * buckets // int(rest.sum()))
+                    yield blocks(s[again[pick]], n[again[pick]], kind, deal[again[pick]])
+            rest = again[many & ~first]
+            if len(rest):
+                yield blocks(s[rest], n[rest], 2, np.arange(len(rest)) * buckets // len(rest))
 
         for b in batches:
             for text in b["text"].to_pylist():
@@ -233,25 +250,66 @@ def shared(docs: DataFrame, common: np.ndarray, total: int, words: int = WORDS)
 
     def match(block: pd.DataFrame) -> pd.DataFrame:
         part = lambda rows, c, t: np.concatenate([np.zeros(0, dtype=t), *(np.frombuffer(x, dtype=t) for x in rows[c])])
+        named = lambda rows: np.repeat(part(rows, "nodes", np.int64), part(rows, "counts", np.uint32))
         found, rest = block[block["kind"] == 2], block[block["kind"] != 2]
-        s, n = part(rest, "sigs", _U), part(rest, "nodes", np.int64)
+        s, n = part(rest, "sigs", _U), named(rest)
         sure = np.concatenate([np.zeros(0, dtype=bool), *(np.full(len(x) // 8, k == 1) for x, k in zip(rest["sigs"], rest["kind"], strict=True))])
-        order = np.argsort(s, kind="stable")
+        order = np.argsort(s)
         s, n, sure = s[order], n[order], sure[order]
         at = np.flatnonzero(np.r_[True, s[1:] != s[:-1]]) if len(s) else np.zeros(0, dtype=np.int64)
         size = np.diff(np.r_[at, len(s)])
         if len(at):
             keep = np.repeat(np.logical_or.reduceat(sure, at) | (np.minimum.reduceat(n, at) < np.maximum.reduceat(n, at)), size)
             s, n = s[keep], n[keep]
-        s, n = np.concatenate([s, part(found, "sigs", _U)]), np.concatenate([n, part(found, "nodes", np.int64)])
+        s, n = np.concatenate([s, part(found, "sigs", _U)]), np.concatenate([n, named(found)])
         return pd.DataFrame({"sig": s.view(np.int64), "node": n})
 
-    sent = docs.where("doc_id is not null").select("text").mapInArrow(send, "bucket int, kind int, sigs binary, nodes binary")
+    sent = docs.where("doc_id is not null").select("text").mapInArrow(send, "bucket int, kind int, sigs binary, nodes binary, counts binary")
     return sent.groupBy("bucket").applyInPandas(match, "sig long, node long").distinct()
 
 
+def sketch(s: np.ndarray) -> np.ndarray:
+    """Parities of the numbers of hashes in equal ranges, at least as many ranges as hashes, in 64-bit words."""
+    bits = max(9, int(len(s) - 1).bit_length())
+    odd = np.bincount((mix(s ^ _A) >> _U(64 - bits)).astype(np.int64), minlength=1 << bits).astype(np.uint8) & 1
+    return np.packbits(odd, bitorder="little").view(_U)
+
+
+def folded(x: np.ndarray, words: int) -> np.ndarray:
+    """A sketch in fewer ranges: neighbouring parities are added up until so many words are left."""
+    while len(x) > words:
+        bits = np.unpackbits(x.view(np.uint8), bitorder="little")
+        x = np.packbits(bits[::2] ^ bits[1::2], bitorder="little").view(_U)
+    return x
+
+
+def may_differ(n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Shingles that similar sets of these sizes can differ in at most; -1 if the sizes rule it out."""
+    most = (n + m) * (100 - PERCENT) // (100 + PERCENT)
+    return np.where(100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m), most, -1)
+
+
+def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes whose sketches allow for similarity."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            most = may_differ(batch["na"].to_numpy(), batch["nb"].to_numpy())
+            ok = []
+            for x, y, k in zip(batch["x"].to_pylist(), batch["y"].to_pylist(), most.tolist(), strict=True):
+                x, y = np.frombuffer(x, dtype=_U), np.frombuffer(y, dtype=_U)
+                words = min(len(x), len(y))
+                ok.append(k >= 0 and int(np.bitwise_count(folded(x, words) ^ folded(y, words)).sum()) <= k)
+            keep = pa.array(ok, pa.bool_())
+            yield pa.record_batch([batch["a"].filter(keep), batch["b"].filter(keep)], names=["a", "b"])
+
+    left = pairs.join(sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("x")), "a")
+    both = left.join(sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("y")), "b")
+    return both.select("a", "b", "na", "nb", "x", "y").mapInArrow(check, "a long, b long")
+
+
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets are similar."""
+    """The pairs (a, b) of nodes, a written table, whose sets are similar."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -264,23 +322,54 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             keep = pa.array(ok, pa.bool_())
             yield pa.record_batch([b["a"].filter(keep), b["b"].filter(keep)], names=["a", "b"])
 
-    left = pairs.join(sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("set").alias("x")), "a")
-    sized = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("set").alias("y"))
-    both = left.join(sized, "b").where((100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")))
+    pairs = small(pairs, 24)
+    mine, theirs = sets.select(F.col("node").alias("a"), F.col("set").alias("x")), sets.select(F.col("node").alias("b"), F.col("set").alias("y"))
+    # Only sets that are asked for are sent on.
+    theirs = theirs.join(small(written(pairs.select("b").distinct()), 16), "b", "left_semi")
+    both = mine.join(pairs, "a").join(theirs, "b")
     return both.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long")
 
 
+def block_pairs(tagged: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of a signature in different components whose sketches allow for similarity.
+
+    `tagged`: sig, node, c (component), n (sets of the signature). A set is sent to each block of its signature.
+    """
+    own = tagged.join(sets.select("node", F.col("n").alias("size"), "sketch"), "node").withColumn("parts", F.ceil(F.col("n") / BLOCK))
+    own = own.withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")))
+    sent = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    sent = sent.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+    blocks = sent.groupBy("sig", "i", "j").agg(F.collect_list(F.struct("node", "c", "size", "sketch", "own")).alias("m"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, m in zip(batch["i"].to_pylist(), batch["j"].to_pylist(), batch["m"].to_pylist(), strict=True):
+                words = min(len(x["sketch"]) for x in m) // 8
+                sketches = np.stack([folded(np.frombuffer(x["sketch"], dtype=_U), words) for x in m])
+                node, c, size, own = (np.array([x[f] for x in m], dtype=np.int64) for f in ("node", "c", "size", "own"))
+                for k in range(len(m)):
+                    near = np.bitwise_count(sketches ^ sketches[k]).sum(axis=1) <= may_differ(size, size[k])
+                    near &= (node < node[k]) & (c != c[k])
+                    if i != j:
+                        near &= own != own[k]
+                    if near.any():
+                        yield pa.record_batch([pa.array(np.full(int(near.sum()), node[k])), pa.array(node[near])], names=["a", "b"])
+
+    return blocks.mapInArrow(compare, "a long, b long").distinct()
+
+
 def node_sets(docs: DataFrame, reps: DataFrame, words: int = WORDS) -> DataFrame:
-    """node, n and set (hashes, sorted) of the documents that stand for the nodes of reps (doc_id, node)."""
+    """node, n, sketch and set (sorted hashes) of the documents that stand for the nodes of reps (doc_id, node)."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for node, text in zip(b["node"].to_pylist(), b["text"].to_pylist(), strict=True):
                 s = shingles(text, words)
                 if len(s) and node_of(s) == node:
-                    yield pa.record_batch([pa.array([node], pa.int64()), pa.array([len(s)], pa.int64()), pa.array([s.tobytes()], pa.binary())], names=["node", "n", "set"])
+                    values = [pa.array([node], pa.int64()), pa.array([len(s)], pa.int64()), pa.array([sketch(s).tobytes()], pa.binary()), pa.array([s.tobytes()], pa.binary())]
+                    yield pa.record_batch(values, names=["node", "n", "sketch", "set"])
 
-    return docs.select("doc_id", "text").join(reps, "doc_id").select("node", "text").mapInArrow(build, "node long, n long, set binary")
+    return docs.select("doc_id", "text").join(reps, "doc_id").select("node", "text").mapInArrow(build, "node long, n long, sketch binary, set binary")
 
 
 def joined(docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -290,23 +379,31 @@ def joined(docs: DataFrame, words: int = WORDS) -> DataFrame:
     n, total = rows.agg(F.count("*"), F.sum("n_shingles")).first()
     common = common_shingles(docs, n, words)
     sigs = written(shared(docs, common, total or 0, words))
-    least = sigs.groupBy("sig").agg(F.min("node").alias("b"))
-    pairs = written(sigs.join(least, "sig").where("node <> b").select(F.col("node").alias("a"), "b").distinct())
     nodes = sigs.select("node").distinct()
     reps = rows.where("doc_id is not null").join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     sets = written(node_sets(docs, small(written(reps), 16), words).dropDuplicates(["node"]), "none")
-    links = written(linked(pairs, sets))
-    of = written(components(links))
-    # What is left to compare: sets of one signature that are in different components so far.
-    tagged = sigs.join(of, "node", "left").select("sig", "node", F.coalesce("component", "node").alias("c"))
-    open_sigs = tagged.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n")).where("lo < hi and n > 2").select("sig")
-    left = written(tagged.join(open_sigs, "sig", "left_semi"))
-    other = left.select("sig", F.col("node").alias("b"), F.col("c").alias("d"))
-    rest = left.withColumnRenamed("node", "a").join(other, "sig").where("a > b and c <> d").select("a", "b").distinct()
-    rest = rest.join(pairs, ["a", "b"], "left_anti")
-    more = written(linked(written(rest), sets))
-    if not more.isEmpty():
-        of = written(components(links.unionByName(more)))
+    tagged, links, of = sigs.withColumn("c", F.col("node")), None, None
+    for turn in range(STARS + 1):
+        # Signatures whose sets are not all in one component so far.
+        open_sigs = tagged.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n"), F.min(F.xxhash64("node", F.lit(turn))).alias("lead"))
+        # The only pair of a signature of two is settled by the first round.
+        open_sigs = open_sigs.where("lo < hi" if turn == 0 else "lo < hi and n > 2")
+        tagged = written(tagged.join(open_sigs.drop("lo", "hi"), "sig"))
+        if turn < STARS:
+            lead = tagged.where(F.xxhash64("node", F.lit(turn)) == F.col("lead")).select("sig", F.col("node").alias("b"), F.col("c").alias("d"))
+            pairs = tagged.select("sig", F.col("node").alias("a"), "c").join(lead, "sig").where("c <> d").select("a", "b").distinct()
+            pairs = possible(pairs, sets)
+        else:
+            pairs = block_pairs(tagged, sets)
+        new = written(linked(written(pairs), sets))
+        tagged = tagged.drop("n", "lead")
+        if new.isEmpty():
+            continue
+        links = new if links is None else links.unionByName(new)
+        of = written(components(links))
+        tagged = tagged.drop("c").join(of, "node", "left").select("sig", "node", F.coalesce("component", "node").alias("c"))
+    if of is None:
+        of = rows.where("false").select("node", F.col("node").alias("component"))
     firsts = rows.where("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("first"))
     firsts = firsts.join(of, "node", "left").select("node", "first", F.coalesce("component", "node").alias("component"))
     smallest = firsts.groupBy("component").agg(F.min("first").alias("component_id"))
