@@ -119,6 +119,41 @@ def test_grammar_round_trip(base):
             assert (shard.ids(i) == ids[a:z]).all()
 
 
+def passages(kind):
+    rng = np.random.default_rng(3)
+    if kind == "run":
+        return [np.full(5000, 7, dtype=np.uint32)] * 2
+    if kind == "passage":  # hundreds of ids that all documents share
+        shared = rng.integers(0, 60_000, 700)
+        return [np.r_[rng.integers(0, 60_000, 5), shared].astype(np.uint32) for _ in range(200)]
+    zipf = rng.zipf(1.3, 400_000) if kind == "many" else rng.zipf(1.3, 30_000)
+    return np.array_split((zipf % 60_000).astype(np.uint32), 50)
+
+
+@pytest.mark.parametrize("kind", ["run", "passage", "mixed", "many"])
+@pytest.mark.parametrize("base", [60_000, 70_000])
+def test_no_frequent_pair_remains(kind, base):
+    docs, least = passages(kind), 2 if kind == "many" else grammar_files.LEAST
+    x, first, rules, lengths = grammar_files.compress(np.concatenate(docs), np.cumsum([len(d) for d in docs]), base, least=least)
+    last = np.zeros(len(x), dtype=bool)
+    last[np.r_[first[1:], len(x)] - 1] = True
+    pairs, n = np.unique(np.stack([x[:-1], x[1:]])[:, ~last[:-1]], axis=1, return_counts=True)
+    assert not len(n) or n.max() < least
+    assert len(np.unique(rules, axis=0)) == len(rules)
+    if kind == "many":
+        assert base + len(rules) > 1 << 16
+    if kind == "passage":
+        assert lengths.max() >= 350 and len(x) <= 200 * 9
+    if kind == "run":
+        assert len(x) < 2 * 24 + 10
+
+
+def test_places_of_runs():
+    none = int(grammar_files._NONE)
+    for ranks, want in (([0] * 6, [0, 2, 4]), ([1, 2, 2, 2, 2], [0, 2, 4]), ([2, 2, 2, 1], [0, 3]), ([none, 3, 3, none, 3], [1, 4]), ([1, 1, 0, 2, 2, 2], [0, 2, 4])):
+        assert grammar_files.places(np.array(ranks, dtype=np.int32)).tolist() == want
+
+
 def test_empty_tables(spark, tmp_path):
     none = spark.createDataFrame([], SCHEMA)
     assert packing.pack(none, BYTES).count() == 0

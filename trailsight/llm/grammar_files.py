@@ -2,7 +2,8 @@
 
 Documents are encoded in order of their ids and cut into shards. In each shard frequent pairs of ids
 are replaced by nonterminals, in rounds: the most frequent pairs of a round get rules, and of two
-overlapping places the one of the more frequent pair is replaced. No pair crosses the end of a
+overlapping places the one of the more frequent pair is replaced. Rounds end when no pair stands in
+LEAST places; symbols past 16 bits take 32. No pair crosses the end of a
 document, so each document is a run of symbols of its own. A shard holds its rules, the length that
 each rule expands to, the symbols, and for each document the first symbol and the first id: any
 document, or any range of one, is decoded without the rest.
@@ -31,57 +32,80 @@ from trailsight.llm.token_ids import encoder
 END = 1
 #: Documents of a range of ids, about, and ids of a shard after which the next one begins.
 RANGE_DOCS, SHARD_IDS = 2500, 4_000_000
-ROUNDS, RULES_A_ROUND, LEAST = 4, 4000, 24
+RULES_A_ROUND, LEAST = 4000, 24
 _NONE = np.int32(2**31 - 1)
 _SLOTS = 18
 SCHEMA = "part long, shard int, n_docs long, n_ids long, base int, doc_ids binary, null_ids binary, first_ids binary, first_symbols binary, rules binary, lengths binary, symbols binary"
 
 
-def compress(ids: np.ndarray, ends: np.ndarray, base: int, rounds: int = ROUNDS, a_round: int = RULES_A_ROUND, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def places(rank: np.ndarray) -> np.ndarray:
+    """Places of smaller rank than those that overlap them; of a run of equal ranks every other one."""
+    near = np.full(len(rank) + 2, _NONE)
+    near[1:-1] = rank
+    low = (rank < near[:-2]) & (rank <= near[2:])
+    again = np.flatnonzero((rank == near[:-2]) & (rank < _NONE))
+    if len(again):
+        start = np.flatnonzero(np.r_[True, again[1:] != again[:-1] + 1])
+        n = np.diff(np.r_[start, len(again)])
+        nth = np.arange(1, len(again) + 1) - np.repeat(start, n)
+        head = again[start] - 1
+        odd = rank[head] > near[head]  # the first place of the run goes to the pair before it
+        low[again] = (rank[again] <= near[again + 2]) & (nth % 2 == np.repeat(odd, n))
+    return np.flatnonzero(low)
+
+
+def compress(ids: np.ndarray, ends: np.ndarray, base: int, a_round: int = RULES_A_ROUND, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, the first symbol of each document, rules (left, right), and what each rule expands to in length.
 
-    `ends`: one past the last id of each document. `base`: symbols below it are ids.
+    `ends`: one past the last id of each document. `base`: symbols below it are ids. Rounds go on until no
+    pair has `least` places. A pair without a new symbol gains no places, so only the pairs that were
+    frequent and those with a new symbol (`live`) are counted again.
     """
-    # Two symbols make one number; of 32 bits if all symbols have 16.
-    narrow = base < 1 << 16
-    wide, half, room = (np.uint32, np.uint32(16), (1 << 16) - base) if narrow else (np.uint64, np.uint64(32), 1 << 31)
-    mix, shift = (np.uint32(0x9E3779B1), np.uint32(32 - _SLOTS)) if narrow else (np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - _SLOTS))
     x = ids.astype(np.uint32)
     last = np.zeros(len(x), dtype=bool)
     last[ends - 1] = True
+    live = ~last
     rules, lengths = np.zeros((0, 2), dtype=np.uint32), np.zeros(0, dtype=np.uint32)
-    for _ in range(rounds):
-        if len(x) < 2:
-            break
-        code = (x[:-1].astype(wide) << half) | x[1:]
-        free = ~last[:-1]
-        s = np.sort(code[free])
-        if not len(s):
+    while True:
+        # Two symbols make one number; of 32 bits while all symbols have 16.
+        narrow = base + len(rules) <= 1 << 16
+        wide, half = (np.uint32, np.uint32(16)) if narrow else (np.uint64, np.uint64(32))
+        mix, shift = (np.uint32(0x9E3779B1), np.uint32(32 - _SLOTS)) if narrow else (np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - _SLOTS))
+        at = np.flatnonzero(live)
+        if not len(at):
             break
-        at = np.flatnonzero(np.r_[True, s[1:] != s[:-1]])
-        n = np.diff(np.r_[at, len(s)])
+        code = (x[at].astype(wide) << half) | x[at + 1]
+        s = np.sort(code)
+        first = np.flatnonzero(np.r_[True, s[1:] != s[:-1]])
+        n = np.diff(np.r_[first, len(s)])
         often = np.flatnonzero(n >= least)
-        if not len(often) or len(rules) >= room:
+        if not len(often):
             break
-        often = often[np.argsort(-n[often], kind="stable")[: min(a_round, room - len(rules))]]
-        pairs = s[at[often]]
-        slot = (pairs * mix) >> shift
-        pairs = pairs[np.sort(np.unique(slot, return_index=True)[1])]  # of pairs in one slot the most frequent
-        slot = (pairs * mix) >> shift
-        table = np.full(1 << _SLOTS, len(pairs), dtype=np.int32)
+        often = often[np.argsort(-n[often], kind="stable")]
+        pairs = s[first[often]]
+        slot, slots = (pairs * mix) >> shift, (code * mix) >> shift
+        held = np.zeros(1 << _SLOTS, dtype=bool)
+        held[slot] = True
+        live[at] = held[slots]
+        # Of pairs in one slot the most frequent; the others, and those past a_round, are still live in the next round.
+        mine = np.sort(np.unique(slot, return_index=True)[1])[:a_round]
+        pairs, slot = pairs[mine], slot[mine]
+        table = np.full(1 << _SLOTS, _NONE)
         table[slot] = np.arange(len(pairs), dtype=np.int32)
-        rank = table.take((code * mix) >> shift)
-        hit = (np.append(pairs, pairs[:1]).take(rank) == code) & free & (rank < len(pairs))
-        near = np.full(len(code) + 2, _NONE)
-        near[1:-1] = np.where(hit, rank, _NONE)
-        where = np.flatnonzero((near[1:-1] < near[:-2]) & (near[1:-1] <= near[2:]))
-        x[where] = base + len(rules) + rank[where].astype(np.uint32)
-        last[where] = last[where + 1]
-        stay = np.ones(len(x), dtype=bool)
-        stay[where + 1] = False
-        stay = np.flatnonzero(stay)
-        x, last = x.take(stay), last.take(stay)
-        new = np.stack([(pairs >> half).astype(np.uint32), (pairs & ((1 << int(half)) - 1)).astype(np.uint32)], axis=1)
+        rank = table[slots]
+        rank[np.append(pairs, pairs[:1])[np.minimum(rank, len(pairs))] != code] = _NONE
+        ranks = np.full(len(x), _NONE)
+        ranks[at] = rank
+        while len(where := places(ranks)):
+            x[where] = base + len(rules) + ranks[where].astype(np.uint32)
+            last[where] = last[where + 1]
+            for changed in (where, np.maximum(where - 1, 0)):
+                live[changed], ranks[changed] = ~last[changed], _NONE
+            stay = np.ones(len(x), dtype=bool)
+            stay[where + 1] = False
+            stay = np.flatnonzero(stay)
+            x, last, live, ranks = x.take(stay), last.take(stay), live.take(stay), ranks.take(stay)
+        new = np.stack([pairs >> half, pairs & wide((1 << int(half)) - 1)], axis=1).astype(np.uint32)
         size = lambda v: np.where(v < base, 1, np.append(lengths, 1)[np.minimum(np.maximum(v.astype(np.int64) - base, 0), len(lengths))])  # noqa: B023, E731
         lengths = np.concatenate([lengths, (size(new[:, 0]) + size(new[:, 1])).astype(np.uint32)])
         rules = np.concatenate([rules, new])
