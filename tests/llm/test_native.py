@@ -51,6 +51,24 @@ def test_line_frequency_rejects_depleted_documents(docs):
     assert any(r["kept"] for r in lost)
 
 
+def test_line_frequency_takes_lines_out(docs):
+    squeeze = lambda x: " ".join(x.lower().split())
+    data, holders = [r.asDict() for r in docs.collect()], {}
+    for r in data:
+        for x in (r["text"] or "").split("\n"):
+            holders.setdefault((r["source"], squeeze(x)), set()).add((r["doc_id"], r["text"]))
+    frequent = {k for k, v in holders.items() if k[1] and len(v) > 2}
+    want = []
+    for r in data:
+        kept = None if r["text"] is None else "\n".join(x for x in r["text"].split("\n") if (r["source"], squeeze(x)) not in frequent)
+        want.append((r["doc_id"], r["source"], kept, r["n_chars"] if kept == r["text"] else len(kept)))
+    got = line_frequency.cleaned(clashing(docs), 2, 0.0)
+    assert got.columns == clashing(docs).columns + [f"_lf_{c}" for c in line_frequency.JUDGED]
+    assert sorted(map(str, ((r["doc_id"], r["source"], r["text"], r["n_chars"]) for r in got.collect()))) == sorted(map(str, want))
+    assert sum(w[2] != r["text"] for w, r in zip(want, data, strict=True)) > 5
+    assert all(r["key"] == 7 and r["host"] == 7 and r["_lf_n_words"] - r["_lf_boilerplate_words"] == len((r["text"] or "").encode().split()) for r in got.collect())
+
+
 def test_repeat_words_by_hand(spark):
     texts = ["a b c d e f g h " * 3, "a b c d e f g h x a b c d e f g h", "a b c d e f g", "", "a b c d e f g h i a b c d e f g h i"]
     frame = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, source string")

@@ -1,13 +1,14 @@
 """Quality rules: cross-document line frequency.
 
 Lines are normalised and hashed; a line that more than LIMIT documents of one host hold, and more
-than SHARE of the host's documents, is boilerplate there. A document that loses so many words with
-its boilerplate lines that less than REST of them are left is rejected. Before that stand rules on
+than SHARE of the host's documents, is boilerplate there and is taken out of them. A document that
+loses so many words with its boilerplate lines that less than REST of them are left is rejected. Before that stand rules on
 the text alone: too few words, and too many words inside repeated windows of eight words.
 
 Cases: null and empty texts have no words and fail the base rules. A null source is a host of its
-own. A document is an (id, text): repeated rows count once for a host and get equal results. Very
-long texts are read whole. Other columns are not read.
+own. A document is an (id, text): repeated rows count once for a host and get equal results; rows of
+several hosts lose the lines of their own. Lines without a word stay. Very long texts are read whole.
+Other columns pass through `cleaned`.
 """
 
 from __future__ import annotations
@@ -15,14 +16,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trailsight.llm.common import let, small, squeezed, words_of, written
+from trailsight.llm.common import let, n_words, small, squeezed, words_of, written
 
 WINDOW, LEAST_WORDS, REPEAT_PERCENT = 8, 20, 30
 LIMIT, SHARE, REST = 25, 0.001, 0.5
 SYMBOLS = "[^#*$%&|<>]+"
 HAS_WORD = r"[^\x20\x09-\x0D]"
-#: Bytes of a row of the frequent lines when it is sent to executors.
-LINE_BYTES = 64
+JUDGED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "boilerplate_words", "base_failed", "kept")
+#: Bytes of a row of the frequent lines, and of the places of a document, when it is sent to executors.
+LINE_BYTES, GONE_BYTES = 64, 128
 
 
 def repeat_words(words: Column, window: int = WINDOW) -> Column:
@@ -45,10 +47,11 @@ def repeat_words(words: Column, window: int = WINDOW) -> Column:
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """doc_id, key, host, the base columns, and `lines`: hash and words of each line with a word."""
+    """doc (the row), doc_id, key, host, the base columns, and `lines`: hash and place of each line with a word."""
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", F.col("source").alias("host"), F.xxhash64("doc_id", "text").alias("key"), text.alias("text"))
-    lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(HAS_WORD))
+    doc = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")
+    rows = docs.select(doc, "doc_id", F.col("source").alias("host"), F.xxhash64("doc_id", "text").alias("key"), text.alias("text"))
+    lines = F.filter(F.transform(F.split("text", "\n"), lambda x, i: F.struct(x.alias("line"), i.alias("pos"))), lambda x: x["line"].rlike(HAS_WORD))
     stats = let(
         words_of(F.col("text")),
         lambda w: F.struct(F.size(w).cast("long").alias("n_words"), repeat_words(w).cast("long").alias("n_repeat_words")),
@@ -56,43 +59,49 @@ def measured(docs: DataFrame) -> DataFrame:
     by_line = let(
         lines,
         lambda x: F.struct(
-            (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-            F.transform(
-                F.transform(x, squeezed),
-                lambda s: F.struct(F.xxhash64(s).alias("h"), (F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit(""))) + 1).alias("words")),
-            ).alias("lines"),
+            (F.size(x) - F.size(F.array_distinct(x["line"]))).cast("long").alias("n_dup_lines"),
+            F.transform(x, lambda y: F.struct(F.xxhash64(squeezed(y["line"])).alias("h"), y["pos"].alias("pos"))).alias("lines"),
         ),
     )
     spaces = F.length(F.regexp_replace("text", r"[^\x20\x09-\x0D]+", ""))
     rows = rows.select(
-        "doc_id", "key", "host", stats.alias("a"), by_line.alias("b"),
+        "doc", "doc_id", "key", "host", stats.alias("a"), by_line.alias("b"),
         (F.length("text") - spaces).cast("long").alias("word_chars"),
         F.length(F.regexp_replace("text", SYMBOLS, "")).cast("long").alias("n_symbols"),
     )
-    return rows.select("doc_id", "key", "host", "a.n_words", "word_chars", "n_symbols", "b.n_dup_lines", "a.n_repeat_words", "b.lines")
+    return rows.select("doc", "doc_id", "key", "host", "a.n_words", "word_chars", "n_symbols", "b.n_dup_lines", "a.n_repeat_words", "b.lines")
 
 
-def judged(docs: DataFrame, limit: int = LIMIT, share: float = SHARE, rest: float = REST) -> DataFrame:
-    """The base columns with boilerplate_words, base_failed and kept for each row of documents."""
+def cleaned(docs: DataFrame, limit: int = LIMIT, share: float = SHARE, rest: float = REST) -> DataFrame:
+    """Documents with their boilerplate lines taken out of text (n_chars follows); the other columns of `judged` as _lf_*."""
     base = written(measured(docs))
-    lines = base.select("doc_id", "key", "host", F.explode("lines").alias("line")).select("doc_id", "key", "host", "line.h", "line.words")
+    lines = base.select("doc_id", "key", "host", F.explode("lines").alias("line")).select("doc_id", "key", "host", "line.h", "line.pos")
     many = lines.groupBy("host", "h").agg(F.countDistinct("key").alias("docs")).where(F.col("docs") > limit)
     hosts = base.groupBy("host").agg(F.countDistinct("key").alias("all_docs"))
     many, hosts = many.alias("m"), hosts.alias("s")
     frequent = many.join(hosts, F.col("m.host").eqNullSafe(F.col("s.host"))).where(F.col("docs") > share * F.col("all_docs"))
     frequent = small(written(frequent.select("m.host", "m.h")), LINE_BYTES).alias("f")
     found = lines.alias("l").join(frequent, F.col("l.host").eqNullSafe(F.col("f.host")) & (F.col("l.h") == F.col("f.h")))
-    # Repeated rows repeat their lines: `times` brings the sum back to one document.
-    lost = found.groupBy("l.doc_id", "l.key").agg(F.sum("l.words").alias("lost")).alias("x")
-    times = base.groupBy("doc_id", "key").agg(F.count("*").alias("times")).where("times > 1").alias("t")
-    same = lambda a, b: F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & (F.col(f"{a}.key") == F.col(f"{b}.key"))
-    rows = base.drop("lines").alias("b").join(lost, same("b", "x"), "left").join(times, same("b", "t"), "left")
-    gone = F.coalesce(F.expr("x.lost div coalesce(t.times, 1)"), F.lit(0)).cast("long")
+    gone = found.groupBy("l.doc_id", "l.key", "l.host").agg(F.collect_set("l.pos").alias("at"))
+    gone = small(written(gone), GONE_BYTES).alias("x")
+    same = F.col("b.doc_id").eqNullSafe(F.col("x.doc_id")) & (F.col("b.key") == F.col("x.key")) & F.col("b.host").eqNullSafe(F.col("x.host"))
+    rows = base.drop("lines").alias("b").join(gone, same, "left")
+    left = let(F.split("b.doc.text", "\n"), lambda x: F.array_join(F.filter(x, lambda _, i: ~F.array_contains("x.at", i)), "\n"))
+    rows = rows.select("b.*", F.col("x.at").isNotNull().alias("loses"), F.when(F.col("x.at").isNotNull(), left).otherwise(F.col("b.doc.text")).alias("text"))
+    lost = F.when(F.col("loses"), F.col("n_words") - n_words(F.col("text"))).otherwise(F.lit(0)).cast("long")
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
-    rows = rows.select(
-        "b.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", gone.alias("boilerplate_words"), failed.alias("base_failed")
-    )
-    return rows.withColumn("kept", ~F.col("base_failed") & (F.col("n_words") - F.col("boilerplate_words") >= rest * F.col("n_words")))
+    rows = rows.withColumn("boilerplate_words", lost).withColumn("base_failed", failed)
+    rows = rows.withColumn("kept", ~F.col("base_failed") & (F.col("n_words") - F.col("boilerplate_words") >= rest * F.col("n_words")))
+    passed = {c: F.col("doc").getField(c) for c in docs.columns} | {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        passed["n_chars"] = F.when(F.col("loses"), F.length("text")).otherwise(passed["n_chars"])
+    return rows.select(*(v.alias(c) for c, v in passed.items()), *(F.col(c).alias(f"_lf_{c}") for c in JUDGED))
+
+
+def judged(docs: DataFrame, limit: int = LIMIT, share: float = SHARE, rest: float = REST) -> DataFrame:
+    """The base columns with boilerplate_words, base_failed and kept for each row of documents; the words are those that `cleaned` took out."""
+    rows = cleaned(docs.select("doc_id", "source", "text"), limit, share, rest)
+    return rows.select("doc_id", *(F.col(f"_lf_{c}").alias(c) for c in JUDGED))
 
 
 def sql(limit: int = LIMIT, share: float = SHARE, rest: float = REST) -> str:
