@@ -1,9 +1,11 @@
 """Quality rules: cross-document line frequency.
 
 Lines are normalised and hashed; a line that more than LIMIT documents of one host hold, and more
-than SHARE of the host's documents, is boilerplate there and is taken out of them. A document that
-loses so many words with its boilerplate lines that less than REST of them are left is rejected. Before that stand rules on
-the text alone: too few words, and too many words inside repeated windows of eight words.
+than SHARE of the host's documents, is boilerplate there and is taken out of them. Both must hold, so
+above LIMIT / SHARE documents (25,000) the limit grows with the host: in a host of 3 million a line of
+3,000 documents or fewer stays. A document that loses so many words with its boilerplate lines that
+less than REST of them are left is rejected. Before that stand rules on the text alone: too few words,
+and too many words inside repeated windows of eight words.
 
 Cases: null and empty texts have no words and fail the base rules. A null source is a host of its
 own. A document is an (id, text): repeated rows count once for a host and get equal results; rows of
