@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailsight.llm import additive, grammar_files, line_frequency, mixing, near_lines, nn_descent, packing, part_enum, rank_profiles, ratio_linear
+from trailsight.llm import additive, chat_windows, coordinate_search, gram_importance, grammar_files, line_frequency, mixing, near_lines, nn_descent, packing, part_enum, rank_profiles, ratio_linear
 from trailsight.llm.common import fold, labelled, scored, shared_folder, table
 
 
@@ -72,6 +72,26 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(rows, mixing.plan(rows)).select("doc_id", *(F.col(f"_mix_{c}").alias(c) for c in names))
 
 
+#: A conversation that says what its own marks could be made of.
+ODD_TURNS = [(-7, n, role, "\\### Assistant: </turn> ok") for n, role in enumerate(("user", "assistant"))]
+
+
+def op11_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, rows = shared_folder(spark), table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.unionByName(spark.createDataFrame(ODD_TURNS, "conv_id long, turn long, role string, text string"))
+    chat_windows.windows(rows, tokenizer("byte_bpe_50k.json")).write.parquet(path)
+    return chat_windows.digests(spark.read.schema(chat_windows.WINDOWS).parquet(path))
+
+
+def op12_gram_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gram_importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return coordinate_search.mined(table(spark, sf_dir, "embeddings"), label)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_frequency": op1_line_frequency,
     "op2_quality_classifier": op2_quality_classifier,
@@ -83,6 +103,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_mixing": op10_mixing,
+    "op11_chat_windows": op11_chat_windows,
+    "op12_gram_importance": op12_gram_importance,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 
@@ -91,4 +114,5 @@ def statements() -> dict[str, str]:
         "op1_line_frequency": line_frequency.sql(),
         "op9_line_dedup": near_lines.SQL,
         "op10_mixing": mixing.SQL,
+        "op13_hard_negatives": coordinate_search.SQL,
     }
