@@ -423,6 +423,20 @@ def community() -> str:
     )
 
 
+def community_regions() -> str:
+    """Distinct people per region, counted over all visits."""
+    counts = regional_rows(
+        f"count(DISTINCT user_name) FILTER (WHERE visited >= {D30}) AS n, "
+        f"count(DISTINCT user_name) FILTER (WHERE visited >= {D60} AND visited < {D30}) AS b, "
+        "count(DISTINCT nullif(user_name, '')) AS total_finders, count(*) AS total_logs",
+        "(SELECT * FROM jv WHERE rnk) q", "",
+    )
+    return (
+        f"{base()}, c AS ({counts}) SELECT region, n AS active_players, b AS active_before, "
+        f"{growth('n', 'b', '0')} AS active_players_growth_pct, total_finders, total_logs FROM c"
+    )
+
+
 def time_range_matrix() -> str:
     cols = ", ".join(
         f"count(*) FILTER (WHERE {period('visited', r, p)}) AS \"{r}_{'prev' if p else 'cur'}\""

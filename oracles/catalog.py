@@ -89,6 +89,7 @@ def statements() -> dict[str, str]:
         "active_count": b.active_count(),
         "region_share": b.region_share(),
         "community_stats": b.community(),
+        "community_incremental": b.community_regions(),
         "yearly_trend": b.yearly_trend(),
         "monthly_trend": b.trend(True),
         "yearly10_trend": b.trend(False),

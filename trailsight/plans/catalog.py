@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailsight.functions import fixed, pages, scopes, text
 from trailsight.functions.periods import Clock, growth_pct
-from trailsight.operators import grid, ingest, merge, ranking, scores, spatial, summary, trends, users
+from trailsight.operators import daily, grid, ingest, merge, ranking, scores, spatial, summary, trends, users
 from trailsight.operators import pages as page_ops
 from trailsight.plans import reports
 from trailsight.sources.tables import new_folder
@@ -125,6 +126,17 @@ for _name, _fn in _SIMPLE.items():
     QUERIES[_name] = lambda spark, sf, fn=_fn: fn(inputs(spark, sf))
 
 
+@query("community_incremental")
+def _(spark, sf):
+    """Distinct people from daily states: all older days at once, two days one by one, then the rest."""
+    d, root = inputs(spark, sf), new_folder(spark, "people")
+    first = AS_OF - timedelta(2)
+    daily.refresh(spark, root, d.visits.filter(F.col("visited").isNull() | (F.col("visited") < F.lit(first))), d.items, regions=d.regions)
+    for low, high in ((first, first + timedelta(1)), (first + timedelta(1), AS_OF), (AS_OF, None)):
+        daily.refresh(spark, root, d.visits, d.items, low, high, d.regions)
+    return daily.community(daily.states(spark, root), d.as_of, d.regions)
+
+
 @query("leaderboard_limit")
 def _(spark, sf):
     d = inputs(spark, sf)

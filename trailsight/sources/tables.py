@@ -78,6 +78,11 @@ def _versions(spark: SparkSession, root: str, complete_only: bool = False) -> li
     return found
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder every executor can reach, below the cluster's checkpoint folder.
 
