@@ -62,10 +62,18 @@ def test_jaccard_join(spark):
     assert join_rows(clashing(docs)) == want
     kept = part_enum.one_of_each(clashing(docs))
     assert kept.columns == clashing(docs).columns
-    ids = [d for _, d, _, c in want if d == c]
+    ids = {d for _, d, _, c in want if d is not None and d == c}
     assert sorted(r[0] for r in kept.where("doc_id is not null").collect()) == sorted(ids)
 
 
+def test_one_of_each_by_text(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(20)) for x in "abc")
+    data = [(1, a), (2, a), (2, b), (3, c), (3, c), (3, c.upper()), (4, None), (4, None), (5, ""), (None, c), (None, c), (2, a), (6, b + " z")]
+    frame = spark.createDataFrame(data, "doc_id long, text string").withColumn("_n", F.lit(1))
+    kept = sorted(((r[0] is None, r[0] or 0, (r[1] or "").lower()) for r in part_enum.one_of_each(frame).collect()))
+    assert kept == sorted([(False, 1, a), (False, 2, b), (False, 3, c), (False, 4, ""), (False, 4, ""), (False, 5, ""), (True, 0, c), (True, 0, c)])
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_jaccard_join_at_the_bound(spark, seed):
     """Families at every size whose members lie just above and below the bound."""

@@ -65,12 +65,20 @@ def n_words(text: Column) -> Column:
 def bounded_sample(rows: DataFrame, key: str, most: int, per: str | None = None) -> DataFrame:
     """At most `most` rows (for each value of `per`), those of the smallest hash of the key.
 
-    Only the key and `per` are ranked; the ranking keeps `most` rows a task and group, so no group
-    is gathered whole. The chosen keys are few, so the rows themselves stay where they are.
+    Only the key and `per` are ranked. Groups are counted first; of a large one only the keys under a
+    hash that lets few more than `most` through are ranked, so no task holds a group. The chosen keys are
+    few, so the rows themselves stay where they are.
     """
-    by = Window.partitionBy(F.col(per) if per else F.lit(0)).orderBy(F.xxhash64(key, F.lit(11)), F.col(key))
-    ranked = rows.select(key, *([per] if per else [])).distinct().withColumn("_n", F.row_number().over(by))
-    return rows.join(small(written(ranked.where(F.col("_n") <= most).select(key).distinct()), 16), key, "left_semi")
+    group = F.col(per) if per else F.lit(0)
+    h = F.xxhash64(key, F.lit(11))
+    keys = written(rows.select(group.alias("_per"), F.col(key).alias("_key"), h.alias("_h")).distinct())
+    sizes = small(written(keys.groupBy("_per").agg(F.count("*").alias("_size"))), 64)
+    sizes = sizes.withColumnRenamed("_per", "_of")
+    share = F.col("_h") / float(1 << 64) + 0.5
+    near = keys.join(sizes, F.col("_per").eqNullSafe(F.col("_of"))).where(share * F.col("_size") <= most + 8 * most**0.5 + 64)
+    by = Window.partitionBy("_per").orderBy("_h", "_key")
+    ranked = near.withColumn("_n", F.row_number().over(by)).where(F.col("_n") <= most).select(F.col("_key").alias(key))
+    return rows.join(small(written(ranked.distinct()), 16), key, "left_semi")
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:

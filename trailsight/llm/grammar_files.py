@@ -153,11 +153,16 @@ class Shard:
         return self.expand(symbols[i:j])[start - skipped : stop - skipped]
 
 
-def write(docs: DataFrame, path: str, tokenizer: str, end: int = END, shard_ids: int = SHARD_IDS) -> None:
-    """Encodes the documents and writes their shards, in ascending order of doc_id, to the folder."""
+def write(docs: DataFrame, path: str, tokenizer: str, end: int = END, shard_ids: int = SHARD_IDS, least: int = LEAST) -> None:
+    """Encodes the documents and writes their shards, in ascending order of doc_id, to the folder.
+
+    Pairs of fewer than `least` places get no rule: a rule takes room too, and rare ones take most of the time.
+    """
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    rows = rows.repartitionByRange(max(1, -(-rows.count() // RANGE_DOCS)), F.col("doc_id").asc_nulls_first())
-    rows = rows.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).withColumn("part", F.spark_partition_id().cast("long"))
+    # By the text as well, as rows of one id, or without one, may be too many for a range.
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+    rows = rows.repartitionByRange(max(1, -(-rows.count() // RANGE_DOCS)), *order).sortWithinPartitions(*order)
+    rows = rows.withColumn("part", F.spark_partition_id().cast("long"))
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoder(tokenizer, False)
@@ -168,7 +173,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end: int = END, shard_ids:
 
         def flush() -> pa.RecordBatch:
             ends = np.cumsum([len(h) for h in held])
-            x, first, rules, lengths = compress(np.concatenate(held), ends, base)
+            x, first, rules, lengths = compress(np.concatenate(held), ends, base, least=least)
             x = x.astype("<u4" if base + len(rules) > 1 << 16 else "<u2")
             doc_ids = np.array([d or 0 for d in docs_held], dtype="<i8")
             nulls = np.array([d is None for d in docs_held], dtype=np.uint8)

@@ -2,7 +2,8 @@
 
 Two lines are alike if, in lower case and trimmed, they are equal or one edit (a character put in,
 taken out or changed) apart. Of alike lines the earliest, by document id and place, stays: a line goes if an
-earlier line is alike. Lines under MIN_CHARS characters always stay.
+earlier line is alike. Lines of under MIN_CHARS characters are alike only if they are equal, as one edit
+makes another word of a short one.
 
 Variants are emitted in two steps, so that long lines don't cost the square of their length. First a
 stretch of a line is deleted: lines one edit apart agree on what is before some stretch, counted from
@@ -24,7 +25,9 @@ from pyspark.sql import functions as F
 
 from trailsight.llm.common import WORD, let, small, written
 
+#: Characters of a line that may be one edit away from another.
 MIN_CHARS = 20
+HAS_WORD = r"[^\x20\x09-\x0D]"
 BLOCK = 256
 _LAST_ID = str(1 << 63)
 
@@ -32,7 +35,7 @@ _LAST_ID = str(1 << 63)
 def numbered(docs: DataFrame) -> DataFrame:
     """doc_id, key, pos, norm of every line that may go."""
     lines = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("pos"), F.trim(F.lower(x)).alias("norm")))
-    rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), F.explode(F.filter(lines, lambda x: F.length(x["norm"]) >= MIN_CHARS)).alias("x"))
+    rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), F.explode(F.filter(lines, lambda x: x["norm"].rlike(HAS_WORD))).alias("x"))
     return rows.select("doc_id", "key", "x.pos", "x.norm")
 
 
@@ -97,7 +100,7 @@ def variant_keys(key: Column, part: Column, longer: Column) -> Column:
 def dropped(docs: DataFrame) -> DataFrame:
     """doc_id, key (hash of id and text) and the sorted places of the lines that go."""
     lines = numbered(docs)
-    keys = stretch_keys(F.col("norm"), parts=False)
+    keys = F.when(F.length("norm") >= MIN_CHARS, stretch_keys(F.col("norm"), parts=False))
     lines = written(lines.select("doc_id", "key", "pos", F.xxhash64("norm").alias("h"), keys.alias("blocks")))
     coarse = lines.select("h", F.explode("blocks").alias("block"))
     shared = coarse.groupBy("block").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a < b").select("block")
@@ -148,13 +151,14 @@ def cleaned(docs: DataFrame) -> DataFrame:
 LINES_SQL = rf"""
 l AS (SELECT doc_id, pos, line, trim(lower(line)) AS norm
       FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM {{docs}} WHERE text IS NOT NULL)),
-e AS (SELECT norm, min((coalesce(doc_id::HUGEINT, {_LAST_ID}::HUGEINT) * {1 << 31} + pos)) AS at, length(norm) AS n FROM l WHERE length(norm) >= {MIN_CHARS} GROUP BY norm),
-c AS (SELECT a.norm AS x, b.norm AS y, a.at AS xa, b.at AS ya FROM e a JOIN e b ON b.n = a.n AND left(a.norm, a.n // 2) = left(b.norm, a.n // 2) AND a.norm <> b.norm
-  UNION SELECT a.norm, b.norm, a.at, b.at FROM e a JOIN e b ON b.n = a.n AND substr(a.norm, a.n // 2 + 1) = substr(b.norm, a.n // 2 + 1) AND a.norm <> b.norm
-  UNION SELECT a.norm, b.norm, a.at, b.at FROM e a JOIN e b ON b.n = a.n + 1 AND left(a.norm, a.n // 2) = left(b.norm, a.n // 2)
-  UNION SELECT a.norm, b.norm, a.at, b.at FROM e a JOIN e b ON b.n = a.n + 1 AND substr(a.norm, a.n // 2 + 1) = substr(b.norm, a.n // 2 + 2)),
+e AS (SELECT norm, min((coalesce(doc_id::HUGEINT, {_LAST_ID}::HUGEINT) * {1 << 31} + pos)) AS at, length(norm) AS n FROM l WHERE regexp_matches(norm, '{HAS_WORD}') GROUP BY norm),
+b AS (SELECT * FROM e WHERE n >= {MIN_CHARS}),
+c AS (SELECT a.norm AS x, b.norm AS y, a.at AS xa, b.at AS ya FROM b a JOIN b b ON b.n = a.n AND left(a.norm, a.n // 2) = left(b.norm, a.n // 2) AND a.norm <> b.norm
+  UNION SELECT a.norm, b.norm, a.at, b.at FROM b a JOIN b b ON b.n = a.n AND substr(a.norm, a.n // 2 + 1) = substr(b.norm, a.n // 2 + 1) AND a.norm <> b.norm
+  UNION SELECT a.norm, b.norm, a.at, b.at FROM b a JOIN b b ON b.n = a.n + 1 AND left(a.norm, a.n // 2) = left(b.norm, a.n // 2)
+  UNION SELECT a.norm, b.norm, a.at, b.at FROM b a JOIN b b ON b.n = a.n + 1 AND substr(a.norm, a.n // 2 + 1) = substr(b.norm, a.n // 2 + 2)),
 near AS (SELECT DISTINCT CASE WHEN xa > ya THEN x ELSE y END AS norm FROM c WHERE xa <> ya AND levenshtein(x, y) <= 1),
-m AS (SELECT l.doc_id, l.pos, l.line, length(l.norm) >= {MIN_CHARS} AND (near.norm IS NOT NULL OR (coalesce(l.doc_id::HUGEINT, {_LAST_ID}::HUGEINT) * {1 << 31} + l.pos) > e.at) AS gone
+m AS (SELECT l.doc_id, l.pos, l.line, e.norm IS NOT NULL AND (near.norm IS NOT NULL OR (coalesce(l.doc_id::HUGEINT, {_LAST_ID}::HUGEINT) * {1 << 31} + l.pos) > e.at) AS gone
       FROM l LEFT JOIN e ON l.norm = e.norm LEFT JOIN near ON l.norm = near.norm),
 r AS (SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
       coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS new_text FROM m GROUP BY doc_id)

@@ -117,7 +117,8 @@ def refined(lists: DataFrame, nodes: DataFrame) -> DataFrame:
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for m in batch["m"].to_pylist():
+            for row in range(batch.num_rows):  # one list at a time as Python objects
+                m = batch["m"][row].as_py()
                 out.append(best_pairs(np.array([x["b"] for x in m], dtype=np.int64), unit([x["vec"] for x in m]), NEIGHBOURS, FLOOR))
             if out:
                 a, b, sim = (np.concatenate(c) for c in zip(*out, strict=True))

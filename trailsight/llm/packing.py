@@ -3,11 +3,11 @@
 Documents become pieces of at most LENGTH ids, an end id included; only longer ones are cut, and only
 the first piece may then be shorter than LENGTH. Pieces go to bins online: into the open bin with the
 least room that is enough, found in a bitset of free spaces; else into a new one. At most OPEN bins
-are open; one more closes the fullest. The pieces are dealt out by a hash, so that a packing task has
+are open; one more closes the fullest. The pieces are dealt out in turn, so that a packing task has
 a bounded number of them however many there are.
 
 Cases: a null text is an empty one, and an empty text is its end id alone. Repeated rows are packed
-each. Null ids are kept. Very long texts give many pieces. Other columns are not read.
+each. Null ids are kept. Of bins with the same room the one that came to it last is taken or closed. Very long texts give many pieces. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -92,8 +92,8 @@ class Bins:
 def packed(rows: DataFrame, length: int = LENGTH, most: int = OPEN) -> DataFrame:
     """The pieces (a written table) with sequence_id and offset."""
     tasks = max(1, -(-rows.count() // TASK_PIECES))
-    dealt = rows.withColumn("_deal", F.xxhash64("doc_id", "piece", F.lit(5)))
-    dealt = dealt.repartition(tasks, "_deal").sortWithinPartitions("_deal", "ids_crc32").drop("_deal")
+    # Dealt out in turn, not by a key: repeated ids, and rows without one, go to all tasks alike.
+    dealt = rows.repartition(tasks).sortWithinPartitions(F.xxhash64("doc_id", "piece", F.lit(5)), "ids_crc32")
     names = rows.columns
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -25,7 +25,7 @@ cost nothing.
 Cases: null and empty texts, and texts without a word, have an empty set and link with nothing. Fewer
 than five words are one shingle. Rows without an id have their count, but link with nothing and have
 no component. Repeated rows and equal sets are one component. Very long texts are read whole. Other
-columns pass through `one_of_each`, and are not read elsewhere.
+columns pass through `one_of_each`, and are not read elsewhere. An id with several texts stands for each of them: it is in the component of each.
 """
 
 from __future__ import annotations
@@ -46,7 +46,7 @@ WORDS, PERCENT = 5, 80
 #: Documents that the common shingles are estimated on, and how many of them must share one.
 SAMPLE, COMMON, COMMON_MOST = 4000, 4, 200_000
 #: Signatures that a task holds at a time, and of a bucket, about.
-HELD, BUCKET = 800_000, 1_500_000
+HELD, BUCKET = 400_000, 1_500_000
 #: Rounds of one set against the others of a signature, and sets of a block that are compared at once.
 STARS, BLOCK = 3, 256
 _U = np.uint64
@@ -158,15 +158,16 @@ def signatures(s: np.ndarray, common: np.ndarray) -> np.ndarray:
 
 
 def counted(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id, n_shingles and node (a number for the set, null for an empty one)."""
+    """doc_id, n_shingles, node (a number for the set, null for an empty one) and text_hash."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [shingles(t, words) for t in b["text"].to_pylist()]
             nodes = pa.array([node_of(s) if len(s) else None for s in sets], pa.int64())
-            yield pa.record_batch([b["doc_id"], pa.array([len(s) for s in sets], pa.int64()), nodes], names=["doc_id", "n_shingles", "node"])
+            yield pa.record_batch([b["doc_id"], pa.array([len(s) for s in sets], pa.int64()), nodes, b["text_hash"]], names=["doc_id", "n_shingles", "node", "text_hash"])
 
-    return docs.select("doc_id", "text").mapInArrow(count, "doc_id long, n_shingles long, node long")
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    return rows.mapInArrow(count, "doc_id long, n_shingles long, node long, text_hash long")
 
 
 def common_shingles(docs: DataFrame, rows: int, words: int = WORDS) -> np.ndarray:
@@ -343,7 +344,8 @@ def block_pairs(tagged: DataFrame, sets: DataFrame) -> DataFrame:
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, m in zip(batch["i"].to_pylist(), batch["j"].to_pylist(), batch["m"].to_pylist(), strict=True):
+            for row in range(batch.num_rows):  # one block at a time as Python objects
+                i, j, m = (batch[c][row].as_py() for c in ("i", "j", "m"))
                 words = min(len(x["sketch"]) for x in m) // 8
                 sketches = np.stack([folded(np.frombuffer(x["sketch"], dtype=_U), words) for x in m])
                 node, c, size, own = (np.array([x[f] for x in m], dtype=np.int64) for f in ("node", "c", "size", "own"))
@@ -372,8 +374,8 @@ def node_sets(docs: DataFrame, reps: DataFrame, words: int = WORDS) -> DataFrame
     return docs.select("doc_id", "text").join(reps, "doc_id").select("node", "text").mapInArrow(build, "node long, n long, sketch binary, set binary")
 
 
-def joined(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id, n_shingles, component_id of each document."""
+def grouped(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """doc_id, n_shingles, component_id, component (a node of it, null without a word) and text_hash of each document."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = written(counted(docs, words))
     n, total = rows.agg(F.count("*"), F.sum("n_shingles")).first()
@@ -407,13 +409,36 @@ def joined(docs: DataFrame, words: int = WORDS) -> DataFrame:
     firsts = rows.where("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("first"))
     firsts = firsts.join(of, "node", "left").select("node", "first", F.coalesce("component", "node").alias("component"))
     smallest = firsts.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = written(firsts.join(smallest, "component").select(F.col("node").alias("_node"), "component_id"))
+    named = written(firsts.join(smallest, "component").select(F.col("node").alias("_node"), "component", "component_id"))
     out = rows.join(named, F.col("node") == F.col("_node"), "left")
     own = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), own).alias("component_id"))
+    component = F.when(F.col("doc_id").isNotNull(), own).alias("component_id")
+    return out.select("doc_id", "n_shingles", component, "component", "text_hash")
+
+
+def joined(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """doc_id, n_shingles, component_id of each document."""
+    return grouped(docs, words).select("doc_id", "n_shingles", "component_id")
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """The documents that stand for their component (the smallest id), and all rows without an id."""
-    goes = joined(docs, words).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(small(written(goes), 16), "doc_id", "left_anti")
+    """One row of each component, and all rows without an id or without a word.
+
+    The row has the component's smallest id; of several texts with that id, one by their hashes, and of
+    fully equal rows (id and text) one. A text that is linked with nothing stays, whatever ids it shares.
+    """
+    rows = grouped(docs, words).where("doc_id is not null and component is not null")
+    texts = written(rows.groupBy("component", "doc_id", "text_hash").agg(F.count("*").alias("n")))
+    # An id can be the smallest of several components, by different texts; so they are told apart by nodes.
+    first = texts.groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
+    texts = texts.join(first, "component").withColumn("stays", F.struct("doc_id", "text_hash") == F.col("first"))
+    texts = written(texts.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "stays", "n"))
+    goes, again = texts.where("not stays"), texts.where("stays and n > 1")
+    keyed = docs.withColumn("_of", F.xxhash64("text"))
+    same = (F.col("doc_id") == F.col("_id")) & (F.col("_of") == F.col("_hash"))
+    if again.isEmpty():
+        return keyed.join(small(goes, 24, goes.count()), same, "left_anti").drop("_of")
+    # Rows that are repeated go out with the others, and one of each comes back.
+    rest = texts.where("not stays or n > 1")
+    one = keyed.join(small(again, 24), same, "left_semi").dropDuplicates(["doc_id", "_of"])
+    return keyed.join(small(rest, 24), same, "left_anti").unionByName(one).drop("_of")
