@@ -129,6 +129,10 @@ def statements() -> dict[str, str]:
         "change_details": i.change_details(),
         "item_diff": i.item_diff(),
         "item_merge": i.item_merge(),
+        "item_merge_parts": i.item_merge(),
+        "visit_merge_parts": i.visit_merge(),
+        "item_change_log": i.item_change_log(),
+        "visit_change_log": i.visit_change_log(),
         "canonical_item": i.canonical_item(),
         "vanished_items": b.with_views(i.vanished(f"{i.NUM} % 97 <> 0"), "items"),
         "vanished_checked": i.vanished_checked(),

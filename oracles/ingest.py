@@ -166,6 +166,40 @@ def item_merge() -> str:
     )
 
 
+def item_change_log() -> str:
+    """The rows of the difference that are no mere repetition."""
+    notes = ", ".join(
+        f"CASE WHEN {c} THEN '{f}: ' || coalesce(CAST(o.{f} AS VARCHAR), 'None') || ' -> ' || CAST(n.{f} AS VARCHAR) END"
+        for f, c in _ITEM_CHECKS.items()
+    )
+    return with_views(
+        "SELECT n.code, CASE WHEN o.code IS NULL THEN 'insert' ELSE 'update' END AS action, "
+        f"CASE WHEN o.code IS NULL THEN '' ELSE concat_ws(' | ', {notes}) END AS changes, "
+        "o.favorite_points AS points_before, n.favorite_points AS points_after "
+        f"FROM incoming_items n LEFT JOIN stored_items o ON n.code = o.code WHERE o.code IS NULL OR {_item_changed()}",
+        "incoming_items", "stored_items",
+    )
+
+
+def visit_change_log() -> str:
+    shown = {
+        "visited": ("n.visited IS DISTINCT FROM o.visited", "CAST({p}visited AS VARCHAR)"),
+        "favorite_point_used": ("coalesce(n.favorite_point_used, false) <> coalesce(o.favorite_point_used, false)", "CAST(coalesce({p}favorite_point_used, false) AS VARCHAR)"),
+        "is_ftf": ("coalesce(n.is_ftf, false) <> coalesce(o.is_ftf, false)", "CAST(coalesce({p}is_ftf, false) AS VARCHAR)"),
+        "log_type": ("coalesce(n.log_type, 'Found it') <> coalesce(o.log_type, 'Found it')", "coalesce({p}log_type, 'Found it')"),
+    }
+    notes = ", ".join(
+        f"CASE WHEN {cond} THEN '{f}: ' || coalesce({t.format(p='o.')}, '') || ' -> ' || coalesce({t.format(p='n.')}, '') END"
+        for f, (cond, t) in shown.items()
+    )
+    return with_views(
+        "SELECT n.gc_code, n.user_name, CASE WHEN o.gc_code IS NULL THEN 'insert' ELSE 'update' END AS action, "
+        f"CASE WHEN o.gc_code IS NULL THEN '' ELSE concat_ws('; ', {notes}) END AS changes, o.visited AS visited_before, n.visited AS visited_after "
+        f"FROM incoming_visits n LEFT JOIN stored_visits o ON {_MATCH} WHERE o.gc_code IS NULL OR {_CHANGED}",
+        "incoming_visits", "stored_visits",
+    )
+
+
 def canonical_item() -> str:
     return with_views(
         "SELECT code, trim(name) AS name, premium_only, CAST(round(CAST(latitude AS DECIMAL(20,10)), 6) AS DOUBLE) AS latitude, "

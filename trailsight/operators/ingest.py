@@ -246,13 +246,8 @@ def settled_items(incoming: DataFrame, order: Sequence[str]) -> DataFrame:
     return last_per_key(rows, "code", order) if order else rows
 
 
-def diff_items(incoming: DataFrame, stored: DataFrame, order: Sequence[str] = ()) -> DataFrame:
-    """(code, change, fields): new, updated or unchanged, with 'field: before -> after' texts.
-
-    ``order`` says which record of a code is the last; without it codes have to be unique.
-    """
-    incoming = settled_items(incoming, order)
-    fields = _comparable(incoming, stored)
+def _item_notes(fields: Sequence[str]) -> Column:
+    """'field: before -> after' of every changed field; empty for new records."""
 
     def shown(name: str) -> Column:
         col = F.to_json(name) if name.endswith(".attributes") else F.col(name).cast("string")
@@ -269,10 +264,20 @@ def diff_items(incoming: DataFrame, stored: DataFrame, order: Sequence[str] = ()
             ]
         )
     )
+    return F.array_join(notes, " | ")
+
+
+def diff_items(incoming: DataFrame, stored: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """(code, change, fields): new, updated or unchanged, with 'field: before -> after' texts.
+
+    ``order`` says which record of a code is the last; without it codes have to be unique.
+    """
+    incoming = settled_items(incoming, order)
+    fields = _comparable(incoming, stored)
     return _item_pairs(incoming, stored, "left").select(
         F.col("new.code").alias("code"),
         _item_change(fields).alias("change"),
-        F.array_join(notes, " | ").alias("fields"),
+        _item_notes(fields).alias("fields"),
     )
 
 
@@ -284,17 +289,9 @@ def diff_counts(diffs: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def merge_items(incoming: DataFrame, stored: DataFrame, order: Sequence[str] = ()) -> DataFrame:
-    """Stored items after applying new and changed incoming rows; columns of ``stored``.
-
-    ``order`` says which record of a code is the last; without it codes have to be unique.
-
-    A changed row takes every incoming value, except that premium items keep their stored
-    position and a known owner id is never erased by a missing one.
-    """
-    incoming = settled_items(incoming, order)
-    fields = _comparable(incoming, stored)
-    take = F.col("old.code").isNull() | (_item_change(fields) == "updated")
+def _taken_items(incoming: DataFrame, stored: DataFrame) -> tuple[Column, list[Column]]:
+    """Whether a pair takes the incoming record, and the columns of ``stored`` after it did or not."""
+    take = F.col("old.code").isNull() | (_item_change(_comparable(incoming, stored)) == "updated")
     take = F.col("new.code").isNotNull() & take
     premium_known = F.col("old.code").isNotNull() & F.coalesce(
         F.col("new.premium_only"), F.lit(False)
@@ -311,9 +308,41 @@ def merge_items(incoming: DataFrame, stored: DataFrame, order: Sequence[str] = (
         elif c == "owner_guid":
             new = F.coalesce(new, old)
         out.append(F.when(take, new).otherwise(old).alias(c))
+    return take, out
+
+
+def merge_items(incoming: DataFrame, stored: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """Stored items after applying new and changed incoming rows; columns of ``stored``.
+
+    ``order`` says which record of a code is the last; without it codes have to be unique.
+
+    A changed row takes every incoming value, except that premium items keep their stored
+    position and a known owner id is never erased by a missing one.
+    """
+    incoming = settled_items(incoming, order)
+    _, out = _taken_items(incoming, stored)
     return _item_pairs(incoming, stored, "full_outer").select(*out)
 
 
+def _tagged(take: Column, is_new: Column, notes: Column, before: Column, after: Sequence[Column]) -> list[Column]:
+    action = F.when(take & is_new, F.lit("insert")).when(take, F.lit("update")).otherwise(F.lit("keep"))
+    return [
+        action.alias("action"),
+        F.when(take & ~is_new, notes).otherwise(F.lit("")).alias("changes"),
+        F.when(take & ~is_new, before).alias("before"),
+        F.struct(*after).alias("after"),
+    ]
+
+
+def tag_items(incoming: DataFrame, stored: DataFrame) -> DataFrame:
+    """What a merge does to each row, incoming codes and stored codes being unique: action (insert,
+    update or keep), changes as text, the row before an update, and the row after."""
+    take, out = _taken_items(incoming, stored)
+    before = F.struct(*[F.col(f"old.{c}").alias(c) for c in stored.columns])
+    tags = _tagged(take, F.col("old.code").isNull(), _item_notes(_comparable(incoming, stored)), before, out)
+    return _item_pairs(incoming, stored, "full_outer").select(*tags)
+
+
 def vanished_items(
     known: DataFrame,
     crawled: DataFrame,
@@ -426,16 +455,8 @@ def insert_absent(incoming: DataFrame, stored: DataFrame) -> DataFrame:
     )
 
 
-def merge_visits(incoming: DataFrame, stored: DataFrame) -> DataFrame:
-    """Stored visits after inserting new and rewriting changed incoming ones.
-
-    Both sides are settled first, so doubled rows of an account leave one.
-    """
-    columns = stored.columns
-    incoming, stored = settled_visits(dated(incoming)), settled_visits(stored)
-    old = stored.filter(has_account()).alias("old")
-    new = incoming.filter(has_account()).alias("new")
-    here = F.col("new.gc_code").isNotNull()
+def _taken_visits(stored: DataFrame) -> tuple[Column, list[Column]]:
+    """Whether a pair takes the incoming visit, and the columns of ``stored`` after it did or not."""
     defaults = {
         "favorite_point_used": F.lit(False),
         "is_ftf": F.lit(False),
@@ -449,15 +470,66 @@ def merge_visits(incoming: DataFrame, stored: DataFrame) -> DataFrame:
     changed = F.lit(False)
     for cond in visit_change().values():
         changed = changed | cond
-    take = here & (F.col("old.gc_code").isNull() | changed)
-    merged = new.join(old, _visit_match(), "full_outer").select(
-        *[F.when(take, value(c)).otherwise(F.col(f"old.{c}")).alias(c) for c in columns]
-    )
+    take = F.col("new.gc_code").isNotNull() & (F.col("old.gc_code").isNull() | changed)
+    return take, [F.when(take, value(c)).otherwise(F.col(f"old.{c}")).alias(c) for c in stored.columns]
+
+
+def merge_visits(incoming: DataFrame, stored: DataFrame) -> DataFrame:
+    """Stored visits after inserting new and rewriting changed incoming ones.
+
+    Both sides are settled first, so doubled rows of an account leave one.
+    """
+    columns = stored.columns
+    incoming, stored = settled_visits(dated(incoming)), settled_visits(stored)
+    old = stored.filter(has_account()).alias("old")
+    new = incoming.filter(has_account()).alias("new")
+    _, out = _taken_visits(stored)
+    merged = new.join(old, _visit_match(), "full_outer").select(*out)
     rest = stored.filter(~has_account()).select(*columns)
     nameless = incoming.filter(~has_account()).select(*columns)
     return merged.unionByName(rest).unionByName(nameless)
 
 
+def tag_visits(incoming: DataFrame, stored: DataFrame) -> DataFrame:
+    """What a merge does to each row, incoming and stored accounts of an item being unique; see
+    ``tag_items``. Incoming visits without an account are inserted, stored ones kept."""
+    columns = stored.columns
+    old, new = stored.filter(has_account()).alias("old"), incoming.filter(has_account()).alias("new")
+    take, out = _taken_visits(stored)
+    before = F.struct(*[F.col(f"old.{c}").alias(c) for c in columns])
+    tags = _tagged(take, F.col("old.gc_code").isNull(), F.concat_ws("; ", *_visit_reasons()), before, out)
+    merged = new.join(old, _visit_match(), "full_outer").select(*tags)
+    shape = lambda action: [
+        F.lit(action).alias("action"), F.lit("").alias("changes"),
+        F.lit(None).cast(merged.schema["before"].dataType).alias("before"),
+        F.struct(*[F.col(c).cast(stored.schema[c].dataType).alias(c) for c in columns]).alias("after"),
+    ]
+    rest = stored.filter(~has_account()).select(*shape("keep"))
+    nameless = incoming.filter(~has_account()).select(*shape("insert"))
+    return merged.unionByName(rest).unionByName(nameless)
+
+
+def _visit_reasons() -> list[Column]:
+    """'field: before -> after' of each field of a visit, null where it is unchanged."""
+    shown = {
+        "visited": lambda p: F.date_format(p + "visited", "yyyy-MM-dd"),
+        "favorite_point_used": lambda p: F.coalesce(F.col(p + "favorite_point_used"), F.lit(False)).cast("string"),
+        "is_ftf": lambda p: F.coalesce(F.col(p + "is_ftf"), F.lit(False)).cast("string"),
+        "log_type": lambda p: F.coalesce(F.col(p + "log_type"), F.lit(fixed.FOUND)),
+    }
+    changes = visit_change()
+    return [
+        F.when(
+            changes[f],
+            F.concat(
+                F.lit(f"{f}: "), F.coalesce(show("old."), F.lit("")), F.lit(" -> "),
+                F.coalesce(show("new."), F.lit("")),
+            ),
+        )
+        for f, show in shown.items()
+    ]
+
+
 def change_details(incoming: DataFrame, stored: DataFrame) -> DataFrame:
     """One row per visit that a merge would insert or rewrite, with its reasons as text.
 
@@ -488,23 +560,7 @@ def change_details(incoming: DataFrame, stored: DataFrame) -> DataFrame:
         F.struct("user_name", "visited", "favorite_point_used", "is_ftf", "log_type").alias("new"),
     )
     paired = new.join(old, ["gc_code", "_key"], "left")
-    changes = visit_change()
-    shown = {
-        "visited": lambda p: F.date_format(p + "visited", "yyyy-MM-dd"),
-        "favorite_point_used": lambda p: F.coalesce(F.col(p + "favorite_point_used"), F.lit(False)).cast("string"),
-        "is_ftf": lambda p: F.coalesce(F.col(p + "is_ftf"), F.lit(False)).cast("string"),
-        "log_type": lambda p: F.coalesce(F.col(p + "log_type"), F.lit(fixed.FOUND)),
-    }
-    reasons = [
-        F.when(
-            changes[f],
-            F.concat(
-                F.lit(f"{f}: "), F.coalesce(show("old."), F.lit("")), F.lit(" -> "),
-                F.coalesce(show("new."), F.lit("")),
-            ),
-        )
-        for f, show in shown.items()
-    ]
+    reasons = _visit_reasons()
     copies = F.when(
         F.col("_copies") > 1, F.concat(F.lit("duplicate_count="), F.col("_copies").cast("string"))
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from trailsight.functions import fixed, pages, scopes, text
 from trailsight.functions.periods import Clock, growth_pct
-from trailsight.operators import daily, grid, ingest, merge, ranking, scores, spatial, summary, trends, users
+from trailsight.operators import daily, grid, ingest, merge, ranking, scores, spatial, summary, trends, upsert, users
 from trailsight.operators import pages as page_ops
 from trailsight.plans import reports
 from trailsight.sources.tables import new_folder
@@ -419,6 +419,38 @@ def _(spark, sf):
     return ingest.merge_items(crawled_twice(spark, sf), view(spark, sf, "stored_items"), ["crawl_seq"])
 
 
+def merged_by_parts(spark: SparkSession, sf: str, kind: upsert.Kind, what: str) -> str:
+    """A stored table laid out by key, with one batch merged into the folders it touches."""
+    root = new_folder(spark, what)
+    upsert.create(view(spark, sf, f"stored_{what}"), root, kind, parts=16)
+    batch = crawled_twice(spark, sf) if what == "items" else view(spark, sf, f"incoming_{what}")
+    upsert.apply_batch(batch, root, kind, 1, ["crawl_seq"] if what == "items" else (), parts=16)
+    return root
+
+
+@query("item_merge_parts")
+def _(spark, sf):
+    return upsert.stored(spark, merged_by_parts(spark, sf, upsert.ITEMS, "items"))
+
+
+@query("visit_merge_parts")
+def _(spark, sf):
+    return upsert.stored(spark, merged_by_parts(spark, sf, upsert.VISITS, "visits"))
+
+
+@query("item_change_log")
+def _(spark, sf):
+    """What the merge of a batch really changed, from the merge itself."""
+    done = upsert.log(spark, merged_by_parts(spark, sf, upsert.ITEMS, "items"))
+    return done.select("after.code", "action", "changes", F.col("before.favorite_points").alias("points_before"), F.col("after.favorite_points").alias("points_after"))
+
+
+@query("visit_change_log")
+def _(spark, sf):
+    done = upsert.log(spark, merged_by_parts(spark, sf, upsert.VISITS, "visits"))
+    return done.select("after.gc_code", "after.user_name", "action", "changes", F.col("before.visited").alias("visited_before"), F.col("after.visited").alias("visited_after"))
+
+
 @query("canonical_item")
 def _(spark, sf):
     return ingest.canonical_items(view(spark, sf, "incoming_items")).select(
