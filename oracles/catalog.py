@@ -166,5 +166,7 @@ def statements() -> dict[str, str]:
         "nearest_area": i.nearest_area(),
         "stream_visit_merge": i.dedup(),
         "stream_resume": i.resume(),
+        "stream_newest": i.dedup(),
+        "stream_retry": i.retry(),
     }
     return out

@@ -37,6 +37,23 @@ def resume() -> str:
     return f"SELECT gc_code AS code, count(*) AS visits, max(visited) AS newest FROM ({dedup()}) GROUP BY gc_code"
 
 
+def retry() -> str:
+    """Three rounds in turn; an item that is done or has failed three times takes no part in the next."""
+    return with_views(
+        """, r AS (SELECT *, CASE WHEN round <= 2 THEN 1 WHEN round <= 4 THEN 2 ELSE 3 END AS turn FROM results),
+ t AS (SELECT code, turn, count(*) FILTER (WHERE error IS NULL) AS ok, count(*) FILTER (WHERE error IS NOT NULL) AS bad FROM r GROUP BY code, turn),
+ u AS (SELECT code, turn, coalesce(sum(ok) OVER w, 0) AS ok_before, coalesce(sum(bad) OVER w, 0) AS bad_before
+   FROM t WINDOW w AS (PARTITION BY code ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+ c AS (SELECT r.* FROM r JOIN u ON r.code = u.code AND r.turn = u.turn WHERE ok_before = 0 AND bad_before < 3),
+ v AS (SELECT code, count(DISTINCT user_name) AS visits FROM c WHERE error IS NULL AND user_name IS NOT NULL GROUP BY code),
+ e AS (SELECT code, error, row_number() OVER (PARTITION BY code ORDER BY attempt DESC, error DESC) AS n FROM c WHERE error IS NOT NULL),
+ a AS (SELECT code, count(*) AS attempts, count(error) AS failures, bool_or(error IS NULL) AS done FROM c GROUP BY code)
+ SELECT a.code, attempts, failures, CASE WHEN done THEN 'done' WHEN failures >= 3 THEN 'dead' ELSE 'failing' END AS state,
+   e.error AS last_error, coalesce(visits, 0) AS visits FROM a LEFT JOIN v ON a.code = v.code LEFT JOIN e ON a.code = e.code AND e.n = 1""".lstrip(),
+        "results",
+    ).replace(") , r AS", "), r AS")
+
+
 def keep_latest() -> str:
     return with_views(
         "SELECT gc_code, user_name, visited, favorite_point_used FROM (SELECT *, row_number() OVER "

@@ -14,6 +14,7 @@ from trailsight.operators import daily, grid, ingest, merge, ranking, scores, sp
 from trailsight.operators import pages as page_ops
 from trailsight.plans import reports
 from trailsight.sources.tables import new_folder
+from trailsight.streaming import newest, retry
 from trailsight.streaming import visits as incremental
 from trailsight.plans.views import (
     AS_OF,
@@ -888,3 +889,47 @@ def _(spark, sf):
         .agg(F.count(F.lit(1)).alias("visits"), F.max("visited").alias("newest"))
     )
     return done.join(counts, "code")
+
+
+@query("stream_newest")
+def _(spark, sf):
+    """All visits through a stateful stream, the older half of them landing last."""
+    rows = view(spark, sf, "repeated")
+    root = new_folder(spark, "newest")
+    late = F.year("visited") < 1998
+    for part in (rows.filter(~late), rows.filter(late)):
+        _land(part, f"{root}/landed")
+        newest.run_available(
+            spark, f"{root}/landed", rows.schema, root, REPEATED_ORDER, files_per_batch=24, parts=8
+        ).awaitTermination()
+    return newest.read_newest(spark, root).drop(*REPEATED_ORDER)
+
+
+def landed_results(spark: SparkSession, sf: str) -> DataFrame:
+    """Results of fetching items, with the round in which they land."""
+    r = view(spark, sf, "results")
+    visit = F.struct(
+        "user_name", F.lit(None).cast("string").alias("user_guid"), "visited", F.lit(False).alias("favorite_point_used"),
+        F.lit(False).alias("is_ftf"), F.lit(fixed.FOUND).alias("log_type"), F.col("attempt").alias("seq"),
+    )
+    found = F.when(F.col("user_name").isNull(), F.expr("array()")).otherwise(F.array(visit))
+    return r.select("round", "code", "attempt", "error", found.alias("visits"))
+
+
+@query("stream_retry")
+def _(spark, sf):
+    """Three rounds of fetching, the ledger compacted after the first: what became of each item."""
+    rows, root = landed_results(spark, sf), new_folder(spark, "retry")
+    for n, cond in enumerate(("round <= 2", "round BETWEEN 3 AND 4", "round >= 5")):
+        rows.filter(cond).drop("round").write.parquet(f"{root}/landed/{n}")
+        retry.run_available(spark, f"{root}/landed", root).awaitTermination()
+        if n == 0:
+            retry.compact(spark, root)
+    visits = incremental.read_visits(spark, root, retry.VISIT_ORDER).groupBy(F.col("gc_code").alias("code")).agg(
+        F.count(F.lit(1)).alias("visits")
+    )
+    return (
+        retry.ledger(spark, root)
+        .join(visits, "code", "left")
+        .select("code", "attempts", "failures", "state", F.col("last_error.error").alias("last_error"), F.coalesce("visits", F.lit(0)).alias("visits"))
+    )

@@ -137,6 +137,13 @@ REPEATED_STORED = """
  SELECT gc_code, user_name, user_guid, CAST(visited - 3 AS DATE) AS visited, favorite_point_used, is_ftf, log_type
  FROM {clean_visits} c WHERE k % 10 = 2 AND user_guid IS NULL
 """
+# What came of fetching items: some failed, some were fetched and have no visits.
+RESULTS = """
+ SELECT 'GC' || CAST(l_orderkey AS STRING) AS code, CAST(l_linenumber AS BIGINT) AS attempt, CAST(l_linenumber AS INT) AS round,
+  CASE WHEN CAST(l_quantity AS INT) % 4 = 0 THEN NULL WHEN CAST(l_quantity AS INT) % 4 = 1 THEN 'timeout' ELSE 'status 500' END AS error,
+  CASE WHEN CAST(l_quantity AS INT) % 8 = 0 THEN NULL ELSE 'user ' || CAST(l_suppkey AS STRING) END AS user_name, CAST(l_shipdate AS DATE) AS visited
+ FROM {lineitem}
+"""
 STORED_USERS = """
  SELECT user_name, CASE WHEN k % 6 = 0 THEN NULL ELSE guid END AS guid, registration_date, fetch_status,
   CASE WHEN k % 5 = 0 THEN NULL ELSE 'Place ' || CAST(k % 7 AS STRING) END AS reg_place
@@ -174,6 +181,7 @@ VIEWS = {
     "stored_visits": STORED_VISITS,
     "incoming_visits": INCOMING_VISITS,
     "repeated_stored": REPEATED_STORED,
+    "results": RESULTS,
     "stored_users": STORED_USERS,
     "user_batch": USER_BATCH,
     "avatar_batch": AVATAR_BATCH,

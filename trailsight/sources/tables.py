@@ -9,6 +9,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def read_table(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
@@ -83,6 +84,31 @@ def exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
+def complete_batches(spark: SparkSession, root: str) -> list[str]:
+    """Folders ``batch_id=N`` below ``root`` that were written completely, in order of N."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(root)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    found = []
+    for status in fs.listStatus(folder):
+        name = status.getPath().getName()
+        done = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
+        if re.fullmatch(r"batch_id=\d+", name) and fs.exists(done):
+            found.append((int(name[9:]), f"{root}/{name}"))
+    return [path for _, path in sorted(found)]
+
+
+def read_batches(spark: SparkSession, root: str, schema: str | StructType | None = None) -> DataFrame | None:
+    """The complete batches below ``root`` with their ``batch_id``; None while there is none."""
+    paths = complete_batches(spark, root)
+    if not paths:
+        return None
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.option("basePath", root).parquet(*paths)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder every executor can reach, below the cluster's checkpoint folder.
 
