@@ -108,7 +108,7 @@ def ranked(source: str, part: str, key: str, limit: int, columns: str, tie: str
 
 def player_board(types, ranges) -> str:
     scores = union(_people(k, r) for k in types for r in ranges)
-    return (
+    return with_avatar(
         f"{base()}, sc AS ({scores}), rs AS ({regional('sc', 'type, \"range\", name')}),"
         + ranked("rs", 'region, type, "range"', "name", 50, 'region, type, "range", name')
     )
@@ -232,11 +232,11 @@ def _newbies(types) -> str:
 
 
 def newbie_board(types) -> str:
-    return _newbies(types) + """,
+    return with_avatar(_newbies(types) + """,
  cur AS (SELECT *, rank() OVER (PARTITION BY region, type ORDER BY s DESC) AS rk,
    row_number() OVER (PARTITION BY region, type ORDER BY s DESC, name) AS rn FROM rs WHERE s > 0)
  SELECT region, type, CAST(rk AS INT) AS rank, name, s AS score, 'flat' AS trend, CAST(0 AS INT) AS trend_delta
- FROM cur WHERE rk <= 50 AND rn <= 100"""
+ FROM cur WHERE rk <= 50 AND rn <= 100""")
 
 
 def newbie_stats() -> str:
@@ -255,7 +255,7 @@ def _events(types, window: bool) -> str:
 
 
 def event_board(types, window: bool = False) -> str:
-    return _events(types, window) + "," + ranked("rs", "region, type", "name", 50, "region, type, name")
+    return with_avatar(_events(types, window) + "," + ranked("rs", "region, type", "name", 50, "region, type, name"))
 
 
 def event_stats() -> str:
@@ -266,11 +266,10 @@ def event_stats() -> str:
 
 def with_avatar(board: str) -> str:
     """A board with the resolved picture of each person."""
-    head, tail = board.split(" cur AS (", 1)
     return (
-        f"SELECT b.*, CASE WHEN coalesce(avatar_status, 'real') = 'real' AND avatar_url LIKE 'https://img.geocaching.com/%' "
+        "SELECT b.*, CASE WHEN coalesce(avatar_status, 'real') = 'real' AND avatar_url LIKE 'https://img.geocaching.com/%' "
         "THEN avatar_url ELSE 'https://www.geocaching.com/images/default_avatar.png' END AS avatar_url "
-        f"FROM ({head} cur AS ({tail}) b LEFT JOIN ({with_views('SELECT * FROM avatars', 'avatars')}) a ON a.user_name = b.name"
+        f"FROM ({board}) b LEFT JOIN ({with_views('SELECT * FROM avatars', 'avatars')}) a ON a.user_name = b.name"
     )
 
 

@@ -82,7 +82,7 @@ def statements() -> dict[str, str]:
         "item_stats": b.item_stats(ENTRIES, R),
         "city_board": b.city_board(("hides", "finds", "favorites"), R),
         "city_details": _city_details(),
-        "rank_with_avatar": b.with_avatar(b.player_board(("finds",), ("ytd",))),
+        "rank_with_avatar": b.player_board(("finds",), ("ytd",)),
         "leaderboard_limit": b.limited("finds", "active", 30),
         "ranked_names": b.ranked_names(),
         "scope_counts": b.scope_counts(),

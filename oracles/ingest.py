@@ -301,8 +301,8 @@ KEYED = with_views(
 )
 BACKFILL = with_views(
     f""", x AS (SELECT *, {NUM} AS k, latitude IS NULL AND {NUM} % 2 = 0 AS hit FROM items)
- SELECT code, CASE WHEN hit THEN round_even(20 + (k % 1000) / 8192::DOUBLE, 6) ELSE latitude END AS latitude,
-  CASE WHEN hit THEN round_even(80 + (k % 1000) / 4096::DOUBLE, 6) ELSE longitude END AS longitude,
+ SELECT code, CASE WHEN hit THEN CAST(round(CAST(20 + (k % 1000) / 2000000::DOUBLE AS DECIMAL(20,10)), 6) AS DOUBLE) ELSE latitude END AS latitude,
+  CASE WHEN hit THEN CAST(round(CAST(80 + (k % 1000) / 7000::DOUBLE AS DECIMAL(20,10)), 6) AS DOUBLE) ELSE longitude END AS longitude,
   CASE WHEN hit AND k % 3 = 0 THEN 'X' || k ELSE owner_guid END AS owner_guid FROM x""",
     "items",
 ).replace(") , x AS", "), x AS")

@@ -114,7 +114,7 @@ def test_published_documents(spark, tmp_path):
     stats = {r["region"]: r["stats"] for r in lines("cache-rankings/ranking-stats")}
     assert set(stats["all"]) == {"all", *fixed.TYPE_KEYS}
     details = lines("city-rankings/city-details")
-    assert all(len(c["dt_matrix"]) == 81 and len(c["monthly"]) == 10 and len(c["yearly"]) == 10 for c in details)
+    assert all(len(c["dtMatrix"]) == 81 and set(c) == {"city", "averageGrowthPct", "monthly", "yearly", "dtMatrix"} and len(c["monthly"]) == 10 and len(c["yearly"]) == 10 for c in details)
     assert {r["region"]: len(r["dtMatrix"]) for r in lines("overview/dt-matrix")}["all"] == 81
     assert lines("generated-at/stamp") == [{"generatedAt": "2001-06-15T07:08:09.120Z", "version": "1.0.0"}]
 

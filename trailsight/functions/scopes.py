@@ -102,6 +102,14 @@ def region_keys(country: str, regions: Mapping[str, str]) -> Column:
     return F.expr(f"CASE {country} {arms} ELSE array('all') END")
 
 
+def own_region(country: str, regions: Mapping[str, str]) -> Column:
+    """The published region of a row, NULL if it has none."""
+    if not regions:
+        return F.lit(None).cast("string")
+    arms = " ".join(f"WHEN {quoted(name)} THEN {quoted(key)}" for key, name in regions.items())
+    return F.expr(f"CASE {country} {arms} END")
+
+
 def type_keys(kind: str = "geocache_type") -> Column:
     """Array of the item-type filters a row passes: ``all`` plus its own filter, if any."""
     arms = " ".join(f"WHEN {v} THEN array('all', {quoted(k)})" for k, v in fixed.TYPE_KEYS.items())

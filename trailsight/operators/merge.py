@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trailsight.functions import fixed, scopes
+from trailsight.functions import fixed, scopes, text
 from trailsight.functions.pages import avatar_valid
 
 
@@ -81,6 +81,12 @@ def resolve_avatars(names: DataFrame, avatars: DataFrame) -> DataFrame:
     )
 
 
+def pictures(avatars: DataFrame) -> DataFrame:
+    """(user_name, avatar_url) of everyone with a valid real picture."""
+    real = (F.coalesce("avatar_status", F.lit("real")) == "real") & avatar_valid("avatar_url")
+    return avatars.filter(real).select("user_name", "avatar_url")
+
+
 def avatar_tally(resolved: DataFrame) -> DataFrame:
     return resolved.agg(
         F.count_if(F.col("state") == "real").alias("real_cached"),
@@ -111,8 +117,8 @@ def backfill_fields(
         found = last_per_key(found, "code", order)
     facts = found.select(
         "code",
-        F.bround("latitude", 6).alias("_lat"),
-        F.bround("longitude", 6).alias("_lon"),
+        text.rounded("latitude", 6).alias("_lat"),
+        text.rounded("longitude", 6).alias("_lon"),
         F.nullif("owner_guid", F.lit("")).alias("_guid"),
     )
     guid = (

@@ -147,6 +147,19 @@ def _cells(types: Sequence[str], ranges: Sequence[str]) -> list[tuple[str, str,
     ]
 
 
+def with_total(rows: DataFrame, measures: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Sums of measures per ``region`` and keys, and over all regions as region ``all``.
+
+    Rows are summed by their own region first; the totals are rolled up from those partial sums, so
+    facts are never repeated for the regions they count in. A NULL region counts in ``all`` only.
+    """
+    own = rows.groupBy("region", *keys).agg(*_sums(measures))
+    level = ["region", *keys]
+    both = own.groupingSets([level, list(keys)], *level).agg(*_sums(measures), F.grouping("region").alias("_total"))
+    named = F.when(F.col("_total") == 1, F.lit("all")).otherwise(F.col("region"))
+    return both.select(named.alias("region"), *keys, *measures).filter("region IS NOT NULL")
+
+
 def _sums(names: Sequence[str]) -> list[Column]:
     return [F.expr(f"sum({n}) AS {n}") for n in names]
 
@@ -216,7 +229,7 @@ def player_scores(
 
         parts.append(
             people.select(
-                scopes.region_keys("country", regions).alias("_regions"), "role", "name",
+                scopes.own_region("country", regions).alias("region"), "role", "name",
                 *[F.expr(c) for c in columns(credit)],
             )
         )
@@ -226,7 +239,7 @@ def player_scores(
             slim_items(items, "owner_username", "placed_date")
             .filter(scopes.owner_valid())
             .select(
-                scopes.region_keys("country", regions).alias("_regions"),
+                scopes.own_region("country", regions).alias("region"),
                 F.lit("placer").alias("role"),
                 F.col("owner_username").alias("name"),
                 *[
@@ -238,12 +251,7 @@ def player_scores(
             )
         )
     both = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    wide = (
-        both.withColumn("region", F.explode("_regions"))
-        .filter("region IS NOT NULL")
-        .groupBy("region", "role", "name")
-        .agg(*_sums([f"m{i}_{r}_{side}" for i in measures for r in ranges for side, _ in SIDES]))
-    )
+    wide = with_total(both, [f"m{i}_{r}_{side}" for i in measures for r in ranges for side, _ in SIDES], ["role", "name"])
 
     def kind_of(i: int) -> str:
         arms = [(role, _ROLES[role][i]) for role in roles if _ROLES[role][i] in types]
@@ -338,13 +346,17 @@ def newbie_scores(
     as_of: date,
     types: Sequence[str] = ("finds", "hides"),
     regions: Mapping[str, str] = fixed.REGIONS,
+    whole: DataFrame | None = None,
 ) -> DataFrame:
     """Finds and hides of people by registration cohort: this year's is the score, last year's
     the previous score. People are matched on the lower-case name, once per spelling, and after
-    scoring: the join sees one row per name and region instead of one per visit.
+    scoring: the join sees one row per name and region instead of one per visit. ``whole`` are the
+    scores of all people, where they are at hand already.
     """
     clock = Clock(as_of)
-    whole = player_scores(visits, items, as_of, types, ("all",), regions)
+    if whole is None:
+        whole = player_scores(visits, items, as_of, types, ("all",), regions)
+    whole = whole.filter((F.col("range") == "all") & F.col("type").isin(*types))
     cohorts = (
         users.filter(
             clock.cohort("registration_date") | clock.cohort("registration_date", previous=True)

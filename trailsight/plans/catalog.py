@@ -96,7 +96,7 @@ _SIMPLE = {
     "item_rank_by_type": lambda d: reports.item_board(d, ("logs",), ("ytd",), "type"),
     "item_stats": lambda d: reports.item_stats(d),
     "city_board": lambda d: reports.city_board(d),
-    "rank_with_avatar": lambda d: reports.with_avatars(d, reports.player_board(d, ("finds",), ("ytd",))),
+    "rank_with_avatar": lambda d: reports.player_board(d, ("finds",), ("ytd",)),
     "scope_counts": lambda d: summary.scope_metrics(d.visits, d.items, d.regions),
     "active_count": lambda d: summary.active_counts(d.items, d.regions),
     "region_share": lambda d: summary.region_shares(d.items, d.regions),
@@ -511,8 +511,8 @@ def _(spark, sf):
     k = F.substring("code", 3, 20).cast("bigint")
     found = d.filter(F.col("latitude").isNull() & (k % 2 == 0)).select(
         "code",
-        (F.lit(20) + (k % 1000) / 8192).alias("latitude"),
-        (F.lit(80) + (k % 1000) / 4096).alias("longitude"),
+        (F.lit(20) + (k % 1000) / 2000000).alias("latitude"),
+        (F.lit(80) + (k % 1000) / 7000).alias("longitude"),
         F.when(k % 3 == 0, F.concat(F.lit("X"), k.cast("string"))).alias("owner_guid"),
     )
     return merge.backfill_fields(d, found).select("code", "latitude", "longitude", "owner_guid")

@@ -47,10 +47,11 @@ def player_board(
     limit: int = fixed.PLAYER_LIMIT,
     rows: DataFrame | None = None,
 ) -> DataFrame:
-    """Tied top lists of people; ``rows`` are their scores, where they are at hand already."""
+    """Tied top lists of people with their pictures; ``rows`` are their scores, where they are at hand
+    already."""
     if rows is None:
         rows = scores.player_scores(d.visits, d.items, d.as_of, types, ranges, d.regions)
-    return ranking.leaderboard(rows, RANKED, limit=limit)
+    return with_avatars(d, ranking.leaderboard(rows, RANKED, limit=limit))
 
 
 def player_stats(
@@ -70,7 +71,7 @@ def newbie_board(
 ) -> DataFrame:
     if rows is None:
         rows = scores.newbie_scores(d.visits, d.items, d.users, d.as_of, types, d.regions)
-    return ranking.flat_leaderboard(rows, ["region", "type"], limit=limit)
+    return with_avatars(d, ranking.flat_leaderboard(rows, ["region", "type"], limit=limit))
 
 
 def newbie_stats(d: Inputs, rows: DataFrame | None = None) -> DataFrame:
@@ -89,7 +90,7 @@ def event_board(
 ) -> DataFrame:
     if rows is None:
         rows = scores.event_scores(d.visits, d.items, d.as_of, types, d.regions, previous_window)
-    return ranking.leaderboard(rows, ["region", "type"], limit=limit)
+    return with_avatars(d, ranking.leaderboard(rows, ["region", "type"], limit=limit))
 
 
 def event_stats(d: Inputs, rows: DataFrame | None = None) -> DataFrame:
@@ -100,9 +101,7 @@ def event_stats(d: Inputs, rows: DataFrame | None = None) -> DataFrame:
 
 
 def with_avatars(d: Inputs, board: DataFrame) -> DataFrame:
-    return ranking.with_avatars(
-        board, merge.resolve_avatars(board.select(F.col("name").alias("user_name")), d.avatars)
-    )
+    return ranking.with_avatars(board, merge.pictures(d.avatars))
 
 
 # --- items ------------------------------------------------------------------------------------
@@ -188,18 +187,21 @@ def city_captions(d: Inputs, board: DataFrame) -> DataFrame:
 def city_details(d: Inputs, board: DataFrame) -> DataFrame:
     """One row per ranked city: growth, ten months, ten years and the 81-cell matrix.
 
-    Series and matrices are made for all cities, which is one small row set per city, and cut to
-    the ranked ones at the end. All lists are bounded per city.
+    Only items of ranked cities are looked at; the list of those cities is written once and is as
+    short as the board. All lists are bounded per city.
     """
+    ranked = materialise(board.select(F.col("name").alias("city")).distinct(), "ranked-cities")
+    named = ranked.select(F.col("city").alias("_city"))
+    items = d.items.join(named, scopes.effective_city() == F.col("_city"), "left_semi")
     point = F.struct("label", "count", "archived")
     first, last = (trends.year_total(d.as_of, end) for end in (0, -1))
     monthly = (
-        trends.city_monthly(d.items, d.as_of)
+        trends.city_monthly(items, d.as_of)
         .groupBy("city")
         .agg(F.array_sort(F.collect_list(point)).alias("monthly"))
     )
     yearly = (
-        trends.city_yearly(d.items, d.as_of)
+        trends.city_yearly(items, d.as_of)
         .groupBy("city")
         .agg(
             F.array_sort(F.collect_list(point)).alias("yearly"),
@@ -207,13 +209,12 @@ def city_details(d: Inputs, board: DataFrame) -> DataFrame:
         )
     )
     matrix = grid.attach_top(
-        grid.dense_matrix(grid.dt_counts(d.items, "city"), trends.cities(d.items), "city"),
-        grid.dt_top(d.items, "city"),
+        grid.dense_matrix(grid.dt_counts(items, "city"), trends.cities(items), "city"),
+        grid.dt_top(items, "city"),
         "city",
     )
     cell = F.struct("row", "col", "difficulty", "terrain", "count", "top_caches")
     cells = matrix.groupBy("city").agg(F.array_sort(F.collect_list(cell)).alias("dt_matrix"))
-    ranked = board.select(F.col("name").alias("city")).distinct()
     return (
         monthly.join(yearly, "city")
         .join(cells, "city")
@@ -278,7 +279,7 @@ def overview_sections(d: Inputs) -> dict[str, DataFrame]:
     named = F.create_map(*[F.lit(x) for kv in fixed.REGION_NAMES.items() for x in kv])
     shares = summary.region_shares(d.items, d.regions)
     out = {
-        "metrics": summary.scope_metrics(d.visits, d.items, d.regions),
+        "metrics": documents.camel_rows(summary.scope_metrics(d.visits, d.items, d.regions)),
         "yearly-trend": documents.nest_lists(
             trends.yearly_trend(d.items, d.as_of, d.regions), ["region"], ["year"], "yearlyTrend"
         ),
@@ -317,7 +318,8 @@ def player_sections(d: Inputs) -> dict[str, DataFrame]:
         scores.player_scores(d.visits, d.items, d.as_of, regions=d.regions), "player-scores"
     )
     newbies = materialise(
-        scores.newbie_scores(d.visits, d.items, d.users, d.as_of, regions=d.regions), "newbie-scores"
+        scores.newbie_scores(d.visits, d.items, d.users, d.as_of, regions=d.regions, whole=players),
+        "newbie-scores",
     )
     events = materialise(
         scores.event_scores(d.visits, d.items, d.as_of, regions=d.regions), "event-scores"
@@ -328,14 +330,14 @@ def player_sections(d: Inputs) -> dict[str, DataFrame]:
         "event-rankings": (event_board(d, rows=events), single),
     }
     out = {
-        name: _nested_board(with_avatars(d, board), path, "name")
+        name: _nested_board(board, path, "name")
         for name, (board, path) in boards.items()
     }
     return out | {
         "ranking-stats": _nested_stats(player_stats(d, rows=players), RANKED),
         "newbie-stats": _nested_stats(newbie_stats(d, rows=newbies), single),
         "event-stats": _nested_stats(event_stats(d, rows=events), single),
-        "community": summary.community_stats(d.visits, d.items, d.as_of),
+        "community": documents.camel_rows(summary.community_stats(d.visits, d.items, d.as_of)),
     }
 
 
@@ -356,11 +358,11 @@ def city_sections(d: Inputs) -> dict[str, DataFrame]:
     )
     return {
         "rankings": _nested_board(board, ["type", "range"], "name"),
-        "trend-monthly": trends.monthly_trend(d.items, d.as_of),
-        "trend-yearly": yearly,
-        "trend-growth": trends.average_growth(yearly, d.as_of),
+        "trend-monthly": documents.camel_rows(trends.monthly_trend(d.items, d.as_of)),
+        "trend-yearly": documents.camel_rows(yearly),
+        "trend-growth": documents.camel_rows(trends.average_growth(yearly, d.as_of)),
         "dt-matrix": documents.nest_lists(matrix, ["region"], ["row", "col"], "dtMatrix"),
-        "city-details": city_details(d, board),
+        "city-details": documents.camel_rows(city_details(d, board)),
     }
 
 

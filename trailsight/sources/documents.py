@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StructField, StructType
 
 
 def camel(name: str) -> str:
@@ -22,6 +23,19 @@ def camel_struct(columns: Sequence[str]) -> Column:
     return F.struct(*[F.col(c).alias(camel(c)) for c in columns])
 
 
+def camel_rows(rows: DataFrame) -> DataFrame:
+    """The rows with every name in camel case, those of nested lists as well."""
+
+    def renamed(kind: DataType) -> DataType:
+        if isinstance(kind, ArrayType):
+            return ArrayType(renamed(kind.elementType), kind.containsNull)
+        if isinstance(kind, StructType):
+            return StructType([StructField(camel(f.name), renamed(f.dataType), f.nullable) for f in kind.fields])
+        return kind
+
+    return rows.select(*[F.col(f.name).cast(renamed(f.dataType)).alias(camel(f.name)) for f in rows.schema.fields])
+
+
 def nest_lists(rows: DataFrame, path: Sequence[str], order: Sequence[str], field: str) -> DataFrame:
     """Collect bounded lists of entries under their group columns, in the given order."""
     entry = [c for c in rows.columns if c not in path]
