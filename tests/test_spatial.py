@@ -76,3 +76,36 @@ def test_city_rules(spark):
     )
     got = {r.code: r.city for r in spatial.assign_cities(items, edges).collect()}
     assert got == {"hk": "香港", "tw": "臺北市", "cn": "plain", "kept": "kept", "nowhere": " ", "null": "plain"}
+
+
+def pairs_and_points(spark, rows, points):
+    edges = spatial.polygon_edges(spark.createDataFrame(rows, SHAPE)).withColumn("rule", F.lit("r"))
+    frame = spark.createDataFrame(points, "id int, x double, y double").withColumn("rule", F.lit("r"))
+    placed = frame.selectExpr("*", f"{spatial._cell('x')} AS cx", f"{spatial._cell('y')} AS cy")
+    return frame, edges, sum(at.join(near, ["rule", "cx", "cy"]).count() for at, near in spatial.candidates(placed, edges))
+
+
+def test_a_dense_boundary_is_measured_in_small_part(spark):
+    """10,000 edges within one cell: a point measures under 1 % of them."""
+    rng, n = random.Random(7), 10_000
+    turn = lambda k: (0.55 + (0.03 + 0.003 * math.sin(40 * k)) * math.cos(k), 0.55 + (0.03 + 0.003 * math.sin(40 * k)) * math.sin(k))
+    ring = [turn(2 * math.pi * k / n) for k in range(n)]
+    assert all(0.5 < x < 0.6 and 0.5 < y < 0.6 for x, y in ring)
+    points = [(i, rng.uniform(0.5, 0.6), rng.uniform(0.5, 0.6)) for i in range(300)]
+    rows = [("a", [[[{"x": x, "y": y} for x, y in ring]]])]
+    frame, edges, pairs = pairs_and_points(spark, rows, points)
+    assert pairs < len(points) * n / 100
+    got = {r.id: r.distance for r in spatial.nearest_area(frame, edges).collect()}
+    for i, x, y in points[:60]:
+        assert abs(got[i] - distance([[ring]], x, y)) < 2e-9
+
+
+def test_many_edges_through_one_spot(spark):
+    """Edges that no split parts from each other, and names that tie there."""
+    fan = [(f"f{k:03d}", [[[{"x": 0.05, "y": 0.05}, {"x": 0.05 + math.cos(k / 30), "y": 0.05 + math.sin(k / 30)}, {"x": 0.05 + math.cos(k / 30 + 0.001), "y": 0.05 + math.sin(k / 30 + 0.001)}]]]) for k in range(90)]
+    frame, edges, _ = pairs_and_points(spark, fan, [(1, 0.05, 0.05), (2, 0.04999, 0.05), (3, -3.0, 0.05)])
+    got = {r.id: r for r in spatial.nearest_area(frame, edges).collect()}
+    assert got[1].name == "f000" and got[1].distance == 0
+    for i, x, y in ((2, 0.04999, 0.05), (3, -3.0, 0.05)):
+        want = min((round(distance([[[(p["x"], p["y"]) for p in r] for r in s[0]]], x, y), 9), n) for n, s in fan)
+        assert (got[i].distance, got[i].name) == want

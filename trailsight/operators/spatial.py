@@ -3,9 +3,17 @@
 Every boundary edge is filed under the grid cells its bounding box touches, on a pyramid of grids
 whose cells double in size. A point looks for the finest level at which a *vertex* lies in the
 3 x 3 cells around it: the boundary is then at most 2 * sqrt(2) cells away, so the nearest edge
-is filed within three cells of the point at that level. Only those edges are measured. Whether a
-point lies inside is decided separately, by counting the edges a ray to the east crosses, among
-the edges of the point's latitude band. The level is found once per occupied cell, not per point.
+is filed within three cells of the point at that level. The level is found once per occupied cell,
+not per point.
+
+Of these edges a cell keeps those that can be nearest to one of its points: the distance from a cell
+to an edge is largest at a corner, so the least such distance bounds that of every point, and an edge
+whose box is farther from the cell is dropped. A cell that still has many edges is split in four, its
+edges are bounded anew for each part that holds points, and so on; where edges are dense the cells
+get small, and a point measures few edges however many there are.
+
+Whether a point lies inside is decided separately, by counting the edges a ray to the east crosses,
+among the edges of the point's latitude band.
 """
 
 from __future__ import annotations
@@ -17,10 +25,14 @@ from pyspark.sql import functions as F
 
 from trailsight.functions import fixed
 from trailsight.functions.scopes import array_of
+from trailsight.sources.tables import materialise
 
 CELL = 0.1  # degrees at the finest level
 LEVELS = 13  # 0.1 * 2**12 covers the globe
 DIGITS = 9  # distances are equal below a billionth of a degree
+SLACK = 1e-8  # by which a bound may be missed: more than what rounding makes equal
+CROWD = 64  # edges of a cell above which it is split
+DEPTH = 16  # times a cell is split at most; many edges through one spot stay together
 
 
 def polygon_edges(areas: DataFrame) -> DataFrame:
@@ -49,9 +61,9 @@ def polygon_edges(areas: DataFrame) -> DataFrame:
     )
 
 
-def _cell(value: str) -> str:
-    """SQL of the finest grid index of a coordinate."""
-    return f"CAST(floor(({value}) / {CELL}D) AS BIGINT)"
+def _cell(value: str, depth: int = 0) -> str:
+    """SQL of the grid index of a coordinate: of the finest grid, or of one split so many times."""
+    return f"CAST(floor(({value}) / {CELL / 2**depth!r}D) AS BIGINT)"
 
 
 def _parent(cell: str, level: str) -> str:
@@ -79,6 +91,10 @@ def _block(cells: DataFrame, reach: int) -> DataFrame:
     )
 
 
+_EDGE = ("name", "x1", "y1", "x2", "y2")
+_CELL = ("rule", "cx", "cy")
+
+
 def nearest_area(points: DataFrame, edges: DataFrame) -> DataFrame:
     """(id, name, distance) for points (id, rule, x, y) and edges (rule, name, x1, y1, x2, y2).
 
@@ -87,6 +103,41 @@ def nearest_area(points: DataFrame, edges: DataFrame) -> DataFrame:
     """
     # Coarse cells are derived from fine ones, for points and edges alike, so that both agree.
     placed = points.selectExpr("*", f"{_cell('x')} AS cx", f"{_cell('y')} AS cy")
+    found = _inside(placed, edges)
+    for at, near in candidates(placed, edges):
+        measured = at.join(near, list(_CELL)).select("id", "name", F.round(_distance(), DIGITS).alias("distance"))
+        found = found.unionByName(measured)
+    return (
+        found.groupBy("id")
+        .agg(F.min(F.struct("distance", "name")).alias("best"))
+        .select("id", "best.name", "best.distance")
+    )
+
+
+def candidates(placed: DataFrame, edges: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+    """Points by cell and the edges that each cell has to measure, once per size of cells."""
+    cells = placed.select(*_CELL).distinct()
+    near = materialise(_bounded(_near_edges(cells, edges), 0), "near-edges")
+    at, out = placed.select("id", "rule", "x", "y", "cx", "cy"), []
+    for depth in range(1, DEPTH + 1):
+        dense = near.groupBy(*_CELL).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > CROWD).select(*_CELL)
+        dense = materialise(dense, "dense-cells")
+        if dense.isEmpty():
+            break
+        out.append((at.join(dense, list(_CELL), "left_anti"), near))
+        parts = at.join(dense, list(_CELL), "left_semi").selectExpr(
+            "id", "rule", "x", "y", "cx AS px", "cy AS py", f"{_cell('x', depth)} AS cx", f"{_cell('y', depth)} AS cy"
+        )
+        at = materialise(parts, "split-cells")
+        split = at.select("px", "py", *_CELL).distinct()
+        parent = near.withColumnsRenamed({"cx": "px", "cy": "py"})
+        near = materialise(_bounded(split.join(parent, ["rule", "px", "py"]).drop("px", "py"), depth), "near-edges")
+        at = at.drop("px", "py")
+    return [*out, (at, near)]
+
+
+def _near_edges(cells: DataFrame, edges: DataFrame) -> DataFrame:
+    """Each cell with the edges filed around it, on the finest level that has a vertex near by."""
     levels = _steps(0, LEVELS - 1)
     vertices = (
         edges.selectExpr("rule", f"{_cell('x1')} AS vx", f"{_cell('y1')} AS vy")
@@ -97,7 +148,6 @@ def nearest_area(points: DataFrame, edges: DataFrame) -> DataFrame:
         )
         .distinct()
     )
-    cells = placed.select("rule", "cx", "cy").distinct()
     levelled = (
         _block(cells.withColumn("level", levels), 1)
         .join(vertices, ["rule", "level", "gx", "gy"], "left_semi")
@@ -113,34 +163,37 @@ def nearest_area(points: DataFrame, edges: DataFrame) -> DataFrame:
     filed = (
         edges.withColumn("level", levels).withColumn("gx", span("x")).withColumn("gy", span("y"))
     )
-    near_edges = (
+    return (
         _block(levelled, 3)
         .join(filed, ["rule", "level", "gx", "gy"])
-        .select("rule", "cx", "cy", "name", "x1", "y1", "x2", "y2")
+        .select(*_CELL, *_EDGE)
         .distinct()
     )
-    measured = (
-        placed.join(near_edges, ["rule", "cx", "cy"])
-        .withColumn("distance", F.round(_distance(), DIGITS))
-        .groupBy("id")
-        .agg(F.min(F.struct("distance", "name")).alias("best"))
-        .select("id", "best.name", "best.distance")
-    )
-    return (
-        measured.unionByName(_inside(placed, edges))
-        .groupBy("id")
-        .agg(F.min(F.struct("distance", "name")).alias("best"))
-        .select("id", "best.name", "best.distance")
-    )
 
 
-def _distance() -> Column:
+def _bounded(pairs: DataFrame, depth: int) -> DataFrame:
+    """The pairs of a cell and an edge in which the edge may be the nearest of a point of the cell."""
+    size = f"{CELL / 2**depth!r}D"
+    sides = {"bx1": f"cx * {size}", "bx2": f"(cx + 1) * {size}", "by1": f"cy * {size}", "by2": f"(cy + 1) * {size}"}
+    corners = ", ".join(_distance_sql(sides[x], sides[y]) for x in ("bx1", "bx2") for y in ("by1", "by2"))
+    apart = lambda a: f"greatest(0.0D, least({a}1, {a}2) - {sides[f'b{a}2']}, {sides[f'b{a}1']} - greatest({a}1, {a}2))"
+    bounds = pairs.selectExpr("*", f"greatest({corners}) AS _far", f"{apart('x')} AS _dx", f"{apart('y')} AS _dy")
+    least = bounds.groupBy(*_CELL).agg(F.min("_far").alias("_far"))
+    kept = bounds.drop("_far").join(least, list(_CELL)).filter(f"sqrt(_dx * _dx + _dy * _dy) <= _far + {SLACK!r}D")
+    return kept.select(*_CELL, *_EDGE)
+
+
+def _distance_sql(x: str, y: str) -> str:
     """Point to segment: the foot of the perpendicular, clamped to the segment."""
-    along = "((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1))"
+    along = f"(({x} - x1) * (x2 - x1) + ({y} - y1) * (y2 - y1))"
     length = "((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))"
     t = f"greatest(0.0D, least(1.0D, {along} / {length}))"
-    dx, dy = f"(x - (x1 + {t} * (x2 - x1)))", f"(y - (y1 + {t} * (y2 - y1)))"
-    return F.expr(f"sqrt({dx} * {dx} + {dy} * {dy})")
+    dx, dy = f"({x} - (x1 + {t} * (x2 - x1)))", f"({y} - (y1 + {t} * (y2 - y1)))"
+    return f"sqrt({dx} * {dx} + {dy} * {dy})"
+
+
+def _distance() -> Column:
+    return F.expr(_distance_sql("x", "y"))
 
 
 def _inside(placed: DataFrame, edges: DataFrame) -> DataFrame:
