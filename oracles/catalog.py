@@ -135,7 +135,13 @@ def statements() -> dict[str, str]:
         "visit_change_log": i.visit_change_log(),
         "canonical_item": i.canonical_item(),
         "vanished_items": b.with_views(i.vanished(f"{i.NUM} % 97 <> 0"), "items"),
+        "vanished_boxes": i.vanished_boxes(),
         "vanished_checked": i.vanished_checked(),
+        "unknown_fields": i.UNKNOWN_FIELDS,
+        "extra_fields": i.EXTRA_FIELDS,
+        "page_of_layout": i.PAGE_OF_LAYOUT,
+        "scope_counts_bucketed": b.scope_counts(),
+        "item_board_bucketed": b.item_board(ENTRIES, R),
         "refresh_candidates": i.REFRESH,
         "work_split": i.WORK,
         "status_lookup": i.STATUS,

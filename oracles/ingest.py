@@ -267,6 +267,28 @@ def vanished(cond: str, extra: str = "") -> str:
     )
 
 
+def vanished_boxes() -> str:
+    return with_views(
+        "SELECT code, cache_status, latitude IS NULL OR longitude IS NULL AS unplaced FROM items i "
+        f"WHERE cache_status IS DISTINCT FROM 2 AND NOT ({NUM} % 97 <> 0) AND (latitude IS NULL OR longitude IS NULL OR EXISTS "
+        "(SELECT 1 FROM crawl_boxes b WHERE latitude BETWEEN min_lat AND max_lat AND longitude BETWEEN min_lon AND max_lon))",
+        "items", "crawl_boxes",
+    )
+
+
+_DRIFT = f"d AS (SELECT *, {NUM} AS k FROM items), e AS (SELECT * FROM d WHERE k % 11 <> 0)"
+UNKNOWN_FIELDS = (
+    with_views("", "items").rstrip() + f", {_DRIFT} "
+    "SELECT 'newFlag' AS field, 'BOOLEAN' AS type, count(*) AS items FROM e WHERE k % 5 = 0 UNION ALL "
+    "SELECT 'rank', 'VARIANT', count(*) FROM e WHERE k % 5 IN (0, 1) UNION ALL "
+    "SELECT 'place', 'OBJECT<no: BIGINT, zip: STRING>', count(*) FROM e WHERE k % 5 = 2"
+)
+EXTRA_FIELDS = (
+    with_views("", "items").rstrip() + f", {_DRIFT} "
+    "SELECT code, k % 11 <> 0 AND k % 5 = 0 AND k % 2 = 0 AS new_flag, CASE WHEN k % 11 <> 0 AND k % 5 = 0 THEN k ELSE -1 END AS rank FROM d"
+)
+
+
 def vanished_checked() -> str:
     few = vanished(f"{NUM} % 7919 <> 0", ", 'good' AS crawl")
     many = vanished(f"{NUM} % 2 <> 0", ", 'broken' AS crawl")
@@ -288,6 +310,7 @@ ARCHIVED = with_views(
     "items",
 )
 PAGE_SCAN = with_views("SELECT code, name, country FROM items ORDER BY code LIMIT 2000 OFFSET 200", "items")
+PAGE_OF_LAYOUT = with_views("SELECT code, name, country FROM items ORDER BY code LIMIT 300 OFFSET 1000", "items")
 WORK = with_views(
     f"SELECT code, premium_only, CASE WHEN premium_only THEN 'premium' ELSE 'nonpremium' END AS work_group FROM items WHERE {NUM} % 3 <> 0",
     "items",

@@ -10,6 +10,7 @@ from pyspark.sql.types import DateType
 
 from trailsight.functions import fixed, scopes, text
 from trailsight.operators.merge import last_per_key
+from trailsight.operators.spatial import in_boxes
 
 ITEM_SCHEMA = """
     id bigint, name string, code string, premiumOnly string, favoritePoints int,
@@ -74,6 +75,52 @@ def flatten_items(
     return flat
 
 
+_RESULTS_PATH = "$.pageProps.searchResults.results"
+
+
+def _is_known(field: Column, rows: DataFrame) -> Column:
+    return field.isin(*rows.sparkSession.createDataFrame([], ITEM_SCHEMA).columns)
+
+
+def item_variants(pages: DataFrame, column: str = "body") -> DataFrame:
+    """The items of landed pages with whatever fields they have, one VARIANT each; unreadable pages have none."""
+    results = F.try_variant_get(F.try_parse_json(column), _RESULTS_PATH, "array<variant>")
+    return pages.select(F.explode(results).alias("item")).filter("item IS NOT NULL")
+
+
+def unknown_fields(pages: DataFrame, column: str = "body") -> DataFrame:
+    """(field, type, items): fields of landed items that no column is made of, with the type over all
+    items that have them and their number. Types that differ come as one that holds both."""
+    fields = F.explode(F.try_variant_get("item", "$", "map<string,variant>"))
+    each = item_variants(pages, column).select(fields.alias("field", "value"))
+    return (
+        each.filter(~_is_known(F.col("field"), pages))
+        .groupBy("field")
+        .agg(F.schema_of_variant_agg("value").alias("type"), F.count(F.lit(1)).alias("items"))
+    )
+
+
+def flatten_extra(pages: DataFrame, column: str = "body") -> DataFrame:
+    """(code, extra): the unknown fields of each landed item that has some, as JSON, so that none is lost."""
+    fields = F.try_variant_get("item", "$", "map<string,variant>")
+    extra = F.map_filter(fields, lambda k, _: ~_is_known(k, pages))
+    rows = item_variants(pages, column).select(F.try_variant_get("item", "$.code", "string").alias("code"), extra.alias("extra"))
+    return rows.filter(scopes.filled("code") & (F.size("extra") > 0)).select("code", F.to_json("extra").alias("extra"))
+
+
+def with_extra(items: DataFrame, extra: DataFrame, additions: Mapping[str, tuple[str, str, object]]) -> DataFrame:
+    """Items with columns taken from the unknown fields, by name: (field, type, default). A value of
+    another type, and a missing one, is the default."""
+    values = extra.groupBy("code").agg(F.max("extra").alias("_extra"))
+    joined = items.join(values, "code", "left")
+    value = F.try_parse_json(F.col("_extra"))
+    added = {
+        name: F.coalesce(F.try_variant_get(value, f"$['{field}']", kind), F.lit(default).cast(kind))
+        for name, (field, kind, default) in additions.items()
+    }
+    return joined.select(*[F.col(c) for c in items.columns], *[v.alias(n) for n, v in added.items()])
+
+
 def declared_totals(pages: DataFrame, box: str = "box", column: str = "body") -> DataFrame:
     """(box, declared): the number of items the source says a box holds; 0 is no statement."""
     total = F.from_json(
@@ -346,15 +393,19 @@ def tag_items(incoming: DataFrame, stored: DataFrame) -> DataFrame:
 def vanished_items(
     known: DataFrame,
     crawled: DataFrame,
-    boxes: Sequence[Sequence[float]] = fixed.CRAWL_BOXES,
+    boxes: Sequence[Sequence[float]] | DataFrame = fixed.CRAWL_BOXES,
 ) -> DataFrame:
     """Known, not archived items this crawl did not return, where it should have: inside a
-    crawled box or without a position.
+    crawled box or without a position. Boxes are a short list, or a table of any size.
     """
     unplaced = F.col("latitude").isNull() | F.col("longitude").isNull()
-    live = ~F.col("cache_status").eqNullSafe(fixed.STATUS_ARCHIVED)
+    live = known.filter(~F.col("cache_status").eqNullSafe(fixed.STATUS_ARCHIVED))
+    if isinstance(boxes, DataFrame):
+        expected = in_boxes(live, boxes).unionByName(live.filter(unplaced))
+    else:
+        expected = live.filter(unplaced | scopes.in_any_box("latitude", "longitude", boxes))
     return (
-        known.filter(live & (unplaced | scopes.in_any_box("latitude", "longitude", boxes)))
+        expected
         .join(crawled.select("code"), "code", "left_anti")
         .select("code", "cache_status", unplaced.alias("unplaced"))
     )

@@ -121,9 +121,9 @@ def candidates(placed: DataFrame, edges: DataFrame) -> list[tuple[DataFrame, Dat
     at, out = placed.select("id", "rule", "x", "y", "cx", "cy"), []
     for depth in range(1, DEPTH + 1):
         dense = near.groupBy(*_CELL).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > CROWD).select(*_CELL)
-        dense = materialise(dense, "dense-cells")
         if dense.isEmpty():
             break
+        dense = materialise(dense, "dense-cells")
         out.append((at.join(dense, list(_CELL), "left_anti"), near))
         parts = at.join(dense, list(_CELL), "left_semi").selectExpr(
             "id", "rule", "x", "y", "cx AS px", "cy AS py", f"{_cell('x', depth)} AS cx", f"{_cell('y', depth)} AS cy"
@@ -232,6 +232,38 @@ def _inside(placed: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
+def in_boxes(points: DataFrame, boxes: DataFrame, key: str = "code") -> DataFrame:
+    """The points (key, latitude, longitude) inside at least one box (max_lat, min_lon, min_lat, max_lon), borders
+    included; any number of boxes may overlap.
+
+    A box is filed on the grid whose cells are as large as the box, in four cells at most. A point
+    looks up its cell on the grids that occur, and a semi join stops at the first box that holds it.
+    """
+    size = "greatest(max_lat - min_lat, max_lon - min_lon)"
+    level = f"CAST(least({LEVELS - 1}, greatest(0, ceil(log2(greatest({size}, {CELL}D) / {CELL}D)))) AS INT)"
+    span = lambda low, high: f"explode(sequence({_parent(_cell(low), 'level')}, {_parent(_cell(high), 'level')}))"
+    filed = (
+        boxes.filter("max_lat >= min_lat AND max_lon >= min_lon")
+        .selectExpr("max_lat", "min_lon", "min_lat", "max_lon", f"{level} AS level")
+        .withColumn("gx", F.expr(span("min_lon", "max_lon")))
+        .withColumn("gy", F.expr(span("min_lat", "max_lat")))
+    )
+    used = sorted(r[0] for r in filed.select("level").distinct().collect())  # LEVELS numbers at most
+    if not used:
+        return points.limit(0)
+    placed = (
+        points.filter("latitude IS NOT NULL AND longitude IS NOT NULL")
+        .select(F.col(key).alias("_key"), F.col("latitude").cast("double").alias("_lat"), F.col("longitude").cast("double").alias("_lon"))
+        .withColumn("level", F.explode(array_of(used)))
+        .withColumn("gx", F.expr(_parent(_cell("_lon"), "level")))
+        .withColumn("gy", F.expr(_parent(_cell("_lat"), "level")))
+    )
+    same = (placed["level"] == filed["level"]) & (placed["gx"] == filed["gx"]) & (placed["gy"] == filed["gy"])
+    inside = F.expr("_lat BETWEEN min_lat AND max_lat AND _lon BETWEEN min_lon AND max_lon")
+    hit = placed.join(filed, same & inside, "left_semi").select("_key").distinct()
+    return points.join(hit, points[key] == hit["_key"], "left_semi")
+
+
 def assign_cities(
     items: DataFrame,
     edges: DataFrame,

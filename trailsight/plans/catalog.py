@@ -13,7 +13,7 @@ from trailsight.functions.periods import Clock, growth_pct
 from trailsight.operators import daily, grid, ingest, merge, ranking, scores, spatial, summary, trends, upsert, users
 from trailsight.operators import pages as page_ops
 from trailsight.plans import reports
-from trailsight.sources.tables import new_folder
+from trailsight.sources.tables import bucketed, new_folder, read_page, write_pages
 from trailsight.streaming import newest, retry
 from trailsight.streaming import visits as incremental
 from trailsight.plans.views import (
@@ -138,6 +138,33 @@ def _(spark, sf):
     return daily.community(daily.states(spark, root), d.as_of, d.regions)
 
 
+def co_located(spark: SparkSession, sf: str, buckets: int = 8) -> reports.Inputs:
+    """Visits and items as tables in buckets of the item code."""
+    d = inputs(spark, sf)
+    d.visits = bucketed(d.visits, "gc_code", buckets, "visits")
+    d.items = bucketed(d.items, "code", buckets, "items")
+    return d
+
+
+@query("scope_counts_bucketed")
+def _(spark, sf):
+    d = co_located(spark, sf)
+    return summary.scope_metrics(d.visits, d.items, d.regions)
+
+
+@query("item_board_bucketed")
+def _(spark, sf):
+    return reports.item_board(co_located(spark, sf), margins="region")
+
+
+@query("page_of_layout")
+def _(spark, sf):
+    """A page deep in the items, from a layout that knows how many rows each of its folders has."""
+    root = new_folder(spark, "pages")
+    write_pages(view(spark, sf, "items").select("code", "name", "country"), root, ["code"], 500)
+    return read_page(spark, root, ["code"], 1000, 300)
+
+
 @query("leaderboard_limit")
 def _(spark, sf):
     d = inputs(spark, sf)
@@ -308,6 +335,38 @@ def _(spark, sf):
     )
 
 
+def drifted_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Landed pages, one item each, some with fields that the source began to send."""
+    k = F.substring("code", 3, 20).cast("bigint")
+    item = F.to_json(F.struct("code", "name", F.col("favorite_points").alias("favoritePoints"), "country"))
+    more = (
+        F.when(k % 5 == 0, F.concat(F.lit(',"newFlag":'), (k % 2 == 0).cast("string"), F.lit(',"rank":'), k.cast("string")))
+        .when(k % 5 == 1, F.concat(F.lit(',"rank":"r'), k.cast("string"), F.lit('"')))
+        .when(k % 5 == 2, F.lit(',"place":{"zip":"x","no":7}'))
+        .otherwise(F.lit(""))
+    )
+    body = F.concat(
+        F.lit('{"pageProps":{"searchResults":{"total":1,"results":['), F.regexp_replace(item, r"\}$", ""),
+        more, F.lit("}]}}}"),
+    )
+    return view(spark, sf, "items").select("code", F.when(k % 11 == 0, F.lit("{broken")).otherwise(body).alias("body"))
+
+
+@query("unknown_fields")
+def _(spark, sf):
+    """Fields of landed items that the tables have no column for."""
+    return ingest.unknown_fields(drifted_pages(spark, sf))
+
+
+@query("extra_fields")
+def _(spark, sf):
+    """Items with two of the unknown fields as columns, by name, type and default."""
+    landed = drifted_pages(spark, sf)
+    items = view(spark, sf, "items").select("code")
+    additions = {"new_flag": ("newFlag", "boolean", False), "rank": ("rank", "bigint", -1)}
+    return ingest.with_extra(items, ingest.flatten_extra(landed), additions)
+
+
 @query("box_filter")
 def _(spark, sf):
     i = view(spark, sf, "items")
@@ -467,6 +526,14 @@ def _(spark, sf):
     return gone
 
 
+@query("vanished_boxes")
+def _(spark, sf):
+    """Vanished items of a crawl of many overlapping boxes, which are a table."""
+    known = view(spark, sf, "items")
+    crawled = known.filter(F.substring("code", 3, 20).cast("bigint") % 97 != 0)
+    return ingest.vanished_items(known, crawled, view(spark, sf, "crawl_boxes"))
+
+
 @query("vanished_checked")
 def _(spark, sf):
     """Few vanished items, and so many that the crawl is suspicious; all are listed."""

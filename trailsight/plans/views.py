@@ -144,6 +144,13 @@ RESULTS = """
   CASE WHEN CAST(l_quantity AS INT) % 8 = 0 THEN NULL ELSE 'user ' || CAST(l_suppkey AS STRING) END AS user_name, CAST(l_shipdate AS DATE) AS visited
  FROM {lineitem}
 """
+# Crawled boxes of all sizes, many of them overlapping.
+CRAWL_BOXES = """
+ SELECT 18.0 + (c_custkey % 97) / CAST(60 AS DOUBLE) + CASE WHEN c_custkey % 50 = 0 THEN CAST(0.7 AS DOUBLE) ELSE CAST(0.01 AS DOUBLE) END AS max_lat,
+  73.0 + (c_custkey % 89) / CAST(50 AS DOUBLE) AS min_lon, 18.0 + (c_custkey % 97) / CAST(60 AS DOUBLE) AS min_lat,
+  73.0 + (c_custkey % 89) / CAST(50 AS DOUBLE) + CASE WHEN c_custkey % 50 = 0 THEN CAST(0.3 AS DOUBLE) ELSE CAST(0.015 AS DOUBLE) END AS max_lon
+ FROM {customer} WHERE c_custkey % 3 <> 0
+"""
 STORED_USERS = """
  SELECT user_name, CASE WHEN k % 6 = 0 THEN NULL ELSE guid END AS guid, registration_date, fetch_status,
   CASE WHEN k % 5 = 0 THEN NULL ELSE 'Place ' || CAST(k % 7 AS STRING) END AS reg_place
@@ -182,6 +189,7 @@ VIEWS = {
     "incoming_visits": INCOMING_VISITS,
     "repeated_stored": REPEATED_STORED,
     "results": RESULTS,
+    "crawl_boxes": CRAWL_BOXES,
     "stored_users": STORED_USERS,
     "user_batch": USER_BATCH,
     "avatar_batch": AVATAR_BATCH,

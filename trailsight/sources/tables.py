@@ -189,3 +189,35 @@ def city_provinces(features: DataFrame, provinces: Mapping[str, str], direct: Ma
     pairs = F.explode(F.create_map(*[F.lit(x) for kv in direct.items() for x in kv]))
     fixed_rows = spark.range(1).select(pairs.alias("city", "province"))
     return named.join(fixed_rows, "city", "left_anti").unionByName(fixed_rows)
+
+
+def bucketed(frame: DataFrame, column: str, buckets: int, label: str) -> DataFrame:
+    """The rows as a stored table in buckets of a column, sorted in each: tables with the same number of
+    buckets join and group on it without a shuffle."""
+    spark = frame.sparkSession
+    name = f"{label}_{uuid.uuid4().hex}"
+    writer = frame.repartition(buckets, column).write.bucketBy(buckets, column).sortBy(column)
+    writer.option("path", new_folder(spark, label)).saveAsTable(name)
+    return spark.table(name)
+
+
+def write_pages(rows: DataFrame, root: str, order: Sequence[str], rows_per_range: int) -> None:
+    """Lay rows out in order, in folders of about so many, with the number of rows of each."""
+    ranges = max(1, -(-rows.count() // rows_per_range))
+    dealt = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order).withColumn("_range", F.spark_partition_id())
+    dealt.write.mode("errorifexists").partitionBy("_range").parquet(f"{root}/rows")
+    counts = rows.sparkSession.read.parquet(f"{root}/rows").groupBy("_range").agg(F.count(F.lit(1)).alias("n"))
+    counts.coalesce(1).write.mode("errorifexists").parquet(f"{root}/counts")
+
+
+def read_page(spark: SparkSession, root: str, order: Sequence[str], offset: int, size: int) -> DataFrame:
+    """Rows ``offset`` to ``offset + size`` in order. Only the folders that hold some are opened; the
+    counts, one row a folder, say which."""
+    before = "sum(n) OVER (ORDER BY _range ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n"
+    counts = spark.read.parquet(f"{root}/counts").selectExpr("_range", "n", f"{before} AS before")
+    hit = counts.filter((F.col("before") < offset + size) & (F.col("before") + F.col("n") > offset)).orderBy("_range").collect()
+    if not hit:
+        return spark.read.parquet(f"{root}/rows").drop("_range").limit(0)
+    paths = [f"{root}/rows/_range={r['_range']}" for r in hit]
+    rows = spark.read.option("basePath", f"{root}/rows").parquet(*paths).drop("_range")
+    return rows.orderBy(*order).offset(offset - hit[0]["before"]).limit(size)
