@@ -141,11 +141,15 @@ _ITEM_CHECKS = {
     "premium_only": "n.premium_only <> o.premium_only",
     "favorite_points": "n.favorite_points <> o.favorite_points",
     "geocache_type": "n.geocache_type <> o.geocache_type",
+    "container_type": "n.container_type <> o.container_type",
     "difficulty": "round(n.difficulty, 1) <> round(o.difficulty, 1)",
     "terrain": "round(n.terrain, 1) <> round(o.terrain, 1)",
     "cache_status": "n.cache_status <> o.cache_status",
+    "details_url": "trim(n.details_url) <> trim(o.details_url)",
     "placed_date": "substring(n.placed_date, 1, 10) <> o.placed_date",
     "owner_username": "trim(n.owner_username) <> trim(o.owner_username)",
+    "last_found_date": "substring(n.last_found_date, 1, 10) <> o.last_found_date",
+    "trackable_count": "n.trackable_count <> o.trackable_count",
     "country": "n.country <> o.country",
     "owner_guid": "n.owner_guid <> o.owner_guid",
     "latitude": "NOT n.premium_only AND abs(n.latitude - o.latitude) > 0.000001",
@@ -171,7 +175,7 @@ def item_diff() -> str:
 
 
 def item_merge() -> str:
-    plain = ("id", "code", "name", "premium_only", "favorite_points", "geocache_type", "difficulty", "terrain", "cache_status")
+    plain = ("id", "code", "name", "premium_only", "favorite_points", "geocache_type", "difficulty", "terrain", "cache_status", "container_type", "details_url", "last_found_date", "trackable_count")
     take = f"(n.code IS NOT NULL AND (o.code IS NULL OR {_item_changed()}))"
     pick = lambda f: f"CASE WHEN {take} THEN n.{f} ELSE o.{f} END AS {f}"
     at = lambda f: f"CASE WHEN {take} AND NOT (n.premium_only AND o.code IS NOT NULL) THEN n.{f} ELSE o.{f} END AS {f}"
@@ -221,7 +225,8 @@ def canonical_item() -> str:
     return with_views(
         "SELECT code, trim(name) AS name, premium_only, CAST(round(CAST(latitude AS DECIMAL(20,10)), 6) AS DOUBLE) AS latitude, "
         "CAST(round(CAST(longitude AS DECIMAL(20,10)), 6) AS DOUBLE) AS longitude, CAST(round(CAST(difficulty AS DECIMAL(20,10)), 1) AS DOUBLE) AS difficulty, "
-        "substring(placed_date, 1, 10) || ' 00:00:00' AS placed_date FROM incoming_items",
+        "substring(placed_date, 1, 10) || ' 00:00:00' AS placed_date, container_type, trim(details_url) AS details_url, "
+        "substring(last_found_date, 1, 10) || ' 00:00:00' AS last_found_date, trackable_count FROM incoming_items",
         "incoming_items",
     )
 
@@ -232,7 +237,9 @@ def item_flatten() -> str:
  y AS (SELECT k AS id, code, name, premium_only, favorite_points, geocache_type, cache_status,
    CASE WHEN premium_only THEN NULL WHEN k % 29 = 0 THEN 0 ELSE latitude END AS latitude,
    CASE WHEN premium_only THEN NULL ELSE longitude END AS longitude,
-   CAST(placed_date AS VARCHAR) AS placed_date, owner_username, country,
+   CAST(placed_date AS VARCHAR) AS placed_date, owner_username, country, CAST(k % 6 AS INT) AS container_type, difficulty, terrain,
+   '/geocache/' || code AS details_url, CAST(NULL AS VARCHAR) AS owner_guid, CASE WHEN k % 5 <> 0 THEN CAST(CAST(placed_date + 30 AS DATE) AS VARCHAR) END AS last_found_date,
+   CAST(k % 4 AS INT) AS trackable_count, 'Part ' || (k % 3) AS region,
    concat_ws(',', CASE WHEN k % 2 = 0 THEN 'attr 1' END, CASE WHEN k % 3 = 0 THEN 'attr 2' END) AS attributes
    FROM x WHERE k % 31 <> 0)
  SELECT * FROM y WHERE (premium_only OR (latitude <> 0 AND {in_boxes()})) AND country IN ('EUROPE', 'ASIA', 'AFRICA')""",

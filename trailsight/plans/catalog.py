@@ -304,6 +304,11 @@ def item_pages(spark: SparkSession, sf: str) -> DataFrame:
                     ),
                 ).alias("postedCoordinates"),
                 F.date_format("placed_date", "yyyy-MM-dd").alias("placedDate"),
+                (k % 6).cast("int").alias("containerType"),
+                F.concat(F.lit("/geocache/"), "code").alias("detailsUrl"),
+                F.when(k % 5 != 0, F.date_format(F.date_add("placed_date", 30), "yyyy-MM-dd")).alias("lastFoundDate"),
+                (k % 4).cast("int").alias("trackableCount"),
+                F.concat(F.lit("Part "), (k % 3).cast("string")).alias("region"),
                 F.struct(F.col("owner_username").alias("username")).alias("owner"),
                 "country",
                 F.array(attribute(1, k % 2 == 0), attribute(2, k % 3 == 0)).alias("attributes"),
@@ -330,7 +335,8 @@ def _(spark, sf):
     flat = ingest.flatten_items(item_pages(spark, sf), BOXES, ("EUROPE", "ASIA", "AFRICA"))
     return flat.select(
         "id", "code", "name", "premium_only", "favorite_points", "geocache_type", "cache_status",
-        "latitude", "longitude", "placed_date", "owner_username", "country",
+        "latitude", "longitude", "placed_date", "owner_username", "country", "container_type", "difficulty", "terrain",
+        "details_url", "owner_guid", "last_found_date", "trackable_count", "region",
         F.array_join(F.transform("attributes", lambda a: a["name"]), ",").alias("attributes"),
     )
 
@@ -514,7 +520,8 @@ def _(spark, sf):
 @query("canonical_item")
 def _(spark, sf):
     return ingest.canonical_items(view(spark, sf, "incoming_items")).select(
-        "code", "name", "premium_only", "latitude", "longitude", "difficulty", "placed_date"
+        "code", "name", "premium_only", "latitude", "longitude", "difficulty", "placed_date",
+        "container_type", "details_url", "last_found_date", "trackable_count",
     )
 
 

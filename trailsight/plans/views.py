@@ -97,7 +97,9 @@ REQUEST_ITEMS = """
 # noise below the compared precision, and items not stored yet.
 STORED_ITEMS = """
  SELECT CAST(substring(code, 3) AS BIGINT) AS id, code, name, premium_only, favorite_points, geocache_type, difficulty, terrain,
-  cache_status, latitude, longitude, CAST(placed_date AS STRING) AS placed_date, owner_username, country, owner_guid
+  cache_status, latitude, longitude, CAST(placed_date AS STRING) AS placed_date, owner_username, country, owner_guid,
+  CAST(CAST(substring(code, 3) AS BIGINT) % 6 AS INT) AS container_type, '/geocache/' || code AS details_url,
+  CAST(CAST(placed_date + 30 AS DATE) AS STRING) AS last_found_date, CAST(CAST(substring(code, 3) AS BIGINT) % 4 AS INT) AS trackable_count
  FROM {items} i WHERE CAST(substring(code, 3) AS BIGINT) % 10 <> 4
 """
 INCOMING_ITEMS = """
@@ -108,9 +110,13 @@ INCOMING_ITEMS = """
   CASE WHEN premium_only THEN NULL ELSE longitude END AS longitude,
   CASE WHEN id % 2 = 0 THEN placed_date || 'T00:00:00Z' ELSE placed_date END AS placed_date,
   CASE WHEN id % 10 = 5 THEN owner_username || ' II' ELSE owner_username END AS owner_username,
-  CASE WHEN id % 10 = 6 THEN NULL ELSE country END AS country, CAST(NULL AS STRING) AS owner_guid
+  CASE WHEN id % 10 = 6 THEN NULL ELSE country END AS country, CAST(NULL AS STRING) AS owner_guid,
+  CAST(CASE WHEN id % 30 = 7 THEN id % 6 + 1 ELSE id % 6 END AS INT) AS container_type,
+  CASE WHEN id % 10 = 1 THEN ' /geocache/' || code WHEN id % 40 = 8 THEN '/moved/' || code ELSE '/geocache/' || code END AS details_url,
+  CASE WHEN id % 10 = 2 THEN CAST(CAST(found + 1 AS DATE) AS STRING) WHEN id % 2 = 0 THEN CAST(found AS STRING) || ' 00:00:00' ELSE CAST(found AS STRING) END AS last_found_date,
+  CAST(CASE WHEN id % 10 = 5 THEN NULL WHEN id % 13 = 0 THEN id % 4 + 2 ELSE id % 4 END AS INT) AS trackable_count
  FROM (SELECT CAST(substring(code, 3) AS BIGINT) AS id, code, name, premium_only, favorite_points, geocache_type, difficulty, terrain,
-  cache_status, latitude, longitude, CAST(placed_date AS STRING) AS placed_date, owner_username, country FROM {items} i) x
+  cache_status, latitude, longitude, CAST(placed_date AS STRING) AS placed_date, owner_username, country, CAST(placed_date + 30 AS DATE) AS found FROM {items} i) x
  WHERE id % 97 <> 0
 """
 # One visit per item and person, as stored and as landed next.
