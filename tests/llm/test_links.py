@@ -155,6 +155,37 @@ def test_near_duplicates(spark, kind):
     assert got == brute_links(data)
 
 
+def family_and_pairs(seed=2, family=3000, pairs=150):
+    rng = np.random.default_rng(seed)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    centre = rng.standard_normal(64)
+    out = list(unit(centre + 0.1 * rng.standard_normal((family, 64))))
+    for x in unit(rng.standard_normal((pairs, 64))):
+        out += [x, unit(x + 0.015 * rng.standard_normal(64))]
+    return [(i, v.tolist(), 0) for i, v in enumerate(out)], family
+
+
+def test_lone_pairs_beside_a_family(spark):
+    data, family = family_and_pairs()
+    x = np.array([v for _, v, _ in data])
+    links = (x @ x.T >= 0.98).sum(axis=1) - 1
+    got = {r[0]: r for r in nn_descent.near_duplicates(spark.createDataFrame(data, "vec_id long, embedding array<double>, label int")).collect()}
+    assert [got[i]["n_links"] for i, *_ in data] == links.tolist()
+    assert all(got[i]["component_id"] == i - (i - family) % 2 for i in range(family, len(data)) if links[i])
+
+
+@pytest.mark.parametrize("tables", [0, 1])
+def test_exact_lists_stand_behind_the_tables(spark, monkeypatch, tables):
+    monkeypatch.setattr(nn_descent, "MOST_TABLES", tables)
+    monkeypatch.setattr(nn_descent, "TABLES", 1)
+    monkeypatch.setattr(nn_descent, "RECALL", 1.1)
+    monkeypatch.setattr(nn_descent, "SPLIT", 7)
+    data = vectors()
+    frame = spark.createDataFrame(data, "vec_id long, embedding array<double>, label int")
+    got = sorted((r[0] is None, r[0] or 0, r[1], r[2], r[3]) for r in nn_descent.near_duplicates(frame).collect())
+    assert got == brute_links(data)
+
+
 def test_empty_tables(spark):
     assert part_enum.joined(spark.createDataFrame([], SCHEMA)).count() == 0
     assert nn_descent.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0

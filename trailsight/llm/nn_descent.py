@@ -1,12 +1,15 @@
 """Near-duplicate embeddings by NN-descent.
 
 Each vector has a list of its nearest vectors of the same label. First lists come from blocks of
-vectors with equal signs under random hyperplanes. Then lists are refined: the neighbours of a vector,
-and those that have it as neighbour, are compared with each other, until no list changes. Lists hold
-neighbours of cosine FLOOR or more only, as far ones don't lead to links. A list that is full of links
-is saturated: it is enlarged to the vector's whole component, whose vectors are then compared in
-blocks. Recall is audited against all vectors on a sample of AUDIT; while it is under RECALL, more
-hyperplane tables are added. Links are exact cosines in double precision.
+vectors with equal signs under random hyperplanes; a large block is compared part by part, each with
+each. Then lists are refined: the neighbours of a vector, and those that have it as neighbour, are
+compared with each other, until no list changes. A list holds its OPEN best neighbours whatever their
+cosine, so that every vector is reached, and others of cosine FLOOR or more, as far ones don't lead to
+links. A list that is full of links is saturated: it is enlarged to the vector's whole component, whose
+vectors are then compared in blocks. Recall is audited against all vectors: of a sample of AUDIT it is
+the mean, over the vectors that have links, of the share that was found, so that a pair counts as much
+as a member of a family. While it is under RECALL, more hyperplane tables are added; after MOST_TABLES
+the vectors of a label are all compared, in blocks. Links are exact cosines in double precision.
 
 Cases: null, empty and zero vectors, vectors with null or non-finite components, rows without a label
 or id link with nothing; so do vectors of different lengths. Equal vectors of a label are one node
@@ -27,11 +30,11 @@ from pyspark.sql import functions as F
 from trailsight.llm.common import small, written
 from trailsight.llm.components import components
 
-THRESHOLD, FLOOR = 0.98, 0.85
+THRESHOLD, FLOOR, OPEN = 0.98, 0.85, 2
 NEIGHBOURS, FIRST, ROUNDS = 16, 8, 6
 TABLES, BLOCK, MOST_TABLES = 8, 64, 32
 SPLIT = 256
-AUDIT, RECALL = 200, 0.98
+AUDIT, RECALL = 400, 0.98
 
 
 def unit(vecs: list[bytes] | pd.Series) -> np.ndarray:
@@ -40,16 +43,20 @@ def unit(vecs: list[bytes] | pd.Series) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def best_pairs(ids: np.ndarray, x: np.ndarray, most: int, floor: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(a, b, cosine) of up to `most` nearest others of each row."""
+def best_pairs(ids: np.ndarray, x: np.ndarray, most: int, floor: float, sides: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a, b, cosine) of up to `most` nearest others of each row, the first OPEN of any cosine, the rest of
+    `floor` or more; with `sides` of other sides only."""
     s = x @ x.T
     s[ids[:, None] == ids[None, :]] = -2
+    if sides is not None:
+        s[sides[:, None] == sides[None, :]] = -2
     k = min(most, len(ids) - 1)
     if k < 1:
         return ids[:0], ids[:0], np.zeros(0)
     at = np.argpartition(-s, k - 1, axis=1)[:, :k]
     sims = np.take_along_axis(s, at, axis=1)
-    keep = sims >= floor
+    open_ = np.partition(sims, k - min(OPEN, k), axis=1)[:, k - min(OPEN, k)]
+    keep = (sims >= np.minimum(floor, open_)[:, None]) & (sims > -1.5)
     return np.repeat(ids, keep.sum(axis=1)), ids[at[keep]], sims[keep]
 
 
@@ -92,13 +99,31 @@ def first_lists(nodes: DataFrame, tables: range) -> DataFrame:
 
     coded = written(sized.mapInArrow(code, "t int, grp string, code long, node long, vec binary"), "none")
     blocks = written(coded.groupBy("t", "grp", "code").agg(F.ceil(F.count("*") / SPLIT).alias("parts")))
-    split = coded.join(blocks, ["t", "grp", "code"]).withColumn("sub", F.pmod(F.xxhash64("node", "t"), F.col("parts")))
+    return compared(coded.join(blocks, ["t", "grp", "code"]), ["t", "grp", "code"], FIRST, FLOOR)
+
+
+def compared(rows: DataFrame, keys: list[str], most: int, floor: float) -> DataFrame:
+    """Edges between the nodes of a block, of which `parts` are compared two at a time; a node goes to all of them."""
+    own = rows.withColumn("own", F.pmod(F.xxhash64("node", F.lit(5)), F.col("parts")))
+    sent = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    sent = sent.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
 
     def compare(block: pd.DataFrame) -> pd.DataFrame:
-        a, b, sim = best_pairs(block["node"].to_numpy(), unit(block["vec"]), FIRST, FLOOR)
+        if block["i"].iloc[0] == block["j"].iloc[0]:
+            block = block.drop_duplicates("node")
+            sides = None
+        else:
+            sides = block["own"].to_numpy()
+        a, b, sim = best_pairs(block["node"].to_numpy(), unit(block["vec"]), most, floor, sides)
         return pd.DataFrame({"a": a, "b": b, "sim": sim})
 
-    return split.groupBy("t", "grp", "code", "sub").applyInPandas(compare, "a long, b long, sim double")
+    return nearest(sent.groupBy(*keys, "i", "j").applyInPandas(compare, "a long, b long, sim double"))
+
+
+def exact_lists(nodes: DataFrame) -> DataFrame:
+    """The lists of all nodes by comparing all vectors of a label, in blocks."""
+    sizes = nodes.groupBy("grp").agg(F.ceil(F.count("*") / (4 * SPLIT)).alias("parts"))
+    return compared(nodes.join(small(written(sizes), 64), "grp"), ["grp"], NEIGHBOURS, FLOOR)
 
 
 def nearest(edges: DataFrame, most: int = NEIGHBOURS) -> DataFrame:
@@ -154,7 +179,7 @@ def block_links(members: DataFrame, threshold: float) -> DataFrame:
 
 
 def recall(nodes: DataFrame, found: DataFrame, threshold: float, sample: int = AUDIT) -> float:
-    """Share of the true links of a sample of nodes that are found (node, links)."""
+    """Mean share of the true links that are found (node, links), over the nodes of a sample that have some."""
     asked = nodes.orderBy(F.xxhash64("node", F.lit(9)), "node").limit(sample).select("node", "grp", "vec").toPandas()
     if not len(asked):
         return 1.0
@@ -171,8 +196,9 @@ def recall(nodes: DataFrame, found: DataFrame, threshold: float, sample: int = A
                     yield pa.record_batch([pa.array(q), pa.array(hit @ w[mine])], names=["node", "truth"])
 
     truth = nodes.select("grp", "node", "weight", "vec").mapInArrow(count, "node long, truth long").groupBy("node").agg(F.sum("truth").alias("truth"))
-    both = truth.join(found, "node", "left").agg(F.sum("truth"), F.sum(F.least("truth", F.coalesce("links", F.lit(0))))).first()
-    return (both[1] or 0) / both[0] if both[0] else 1.0
+    share = F.least("truth", F.coalesce("links", F.lit(0))) / F.col("truth")
+    mean = truth.where("truth > 0").join(found, "node", "left").agg(F.avg(share)).first()[0]
+    return 1.0 if mean is None else mean
 
 
 def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -182,7 +208,7 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     lists, done = None, 0
     tables = TABLES
     while True:
-        more = first_lists(nodes, range(done, tables))
+        more = first_lists(nodes, range(done, tables)) if done < MOST_TABLES else exact_lists(nodes)
         lists = written(nearest(more if lists is None else lists.unionByName(more)))
         mark = _mark(lists)
         for _ in range(ROUNDS):
@@ -201,7 +227,7 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         weights = nodes.select(F.col("node").alias("b"), "weight")
         listed = both.join(weights, "b").groupBy(F.col("a").alias("node")).agg(F.sum("weight").alias("links"))
         found = written(listed.join(counted, "node", "left_anti").unionByName(counted))
-        if tables >= MOST_TABLES or recall(nodes, found, threshold) >= RECALL:
+        if done >= MOST_TABLES or recall(nodes, found, threshold) >= RECALL:
             break
         done, tables = tables, 2 * tables
     named = nodes.join(found, "node", "left").join(of, "node", "left")
