@@ -113,6 +113,7 @@ def sized(rows: DataFrame, tokenizer: str) -> DataFrame:
                 n, upto = n + 1, upto + sizes[-1]
             more = [pa.array(c, pa.int64()) for c in (sizes, nth, before)]
             yield pa.record_batch([*b.columns, *more], names=[*b.schema.names, "n", "nth", "upto"])
+        code.forget()
 
     return written(dealt.mapInArrow(count, "conv_id long, turn long, role string, text string, part long, n long, nth long, upto long"))
 

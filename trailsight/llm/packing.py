@@ -51,6 +51,7 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = END
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()))
             names = ("doc_id", "piece", "start", "length", "ids_crc32", "ids")[: 5 + ids]
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds[: 5 + ids], strict=False)], names=list(names))
+        code.forget()
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * ids
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, schema)
