@@ -142,6 +142,26 @@ def test_mixing(docs):
     assert copies.count() == int((out["taken"] / out["size"].where(out["size"] > 0)).fillna(0).sum())
 
 
+@pytest.mark.parametrize("most", [1, 3, 40])
+def test_mixing_splits_a_large_edge(spark, docs, monkeypatch, most):
+    """All rows in one bucket, of marks mostly; the part that is sorted gets small."""
+    monkeypatch.setattr(mixing, "EDGE_ROWS", most)
+    frame = docs
+    keyed = mixing.keyed(frame).withColumn("_mix_bucket", F.lit(mixing.BUCKETS - 1))
+    got = mixing.mixed(mixing.narrow(keyed), mixing.plan(mixing.narrow(keyed)))
+    got = got.select("doc_id", *(F.col(f"_mix_{c}").alias(c) for c in ("size", "source_size", "target", "taken")))
+    assert difference(got, sql_over(frame), mixing.SQL) is None
+
+
+@pytest.mark.parametrize("which", ["lines", "frequency"])
+def test_places_beyond_the_broadcast_bound(docs, monkeypatch, which):
+    """Nothing may be sent: the joins shuffle, with the same result."""
+    run = (lambda: near_lines.deduped(docs)) if which == "lines" else (lambda: line_frequency.cleaned(docs, 2, 0.0))
+    whole = sorted(map(str, run().collect()))
+    monkeypatch.setattr("trailsight.llm.common.BROADCAST_BYTES", -1)
+    assert sorted(map(str, run().collect())) == whole
+
+
 @pytest.mark.parametrize("sizes", [[100], [100, 1, 1], [1, 1, 1, 1000], [5, 50, 500, 7, 70], [0, 10], [0, 0]])
 def test_mixing_targets(spark, sizes):
     frame = spark.createDataFrame([(f"s{i}", n) for i, n in enumerate(sizes)], "source string, source_size long")

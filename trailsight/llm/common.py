@@ -48,6 +48,12 @@ def small(df: DataFrame, row_bytes: int, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if n * row_bytes <= BROADCAST_BYTES else df
 
 
+def small_sized(df: DataFrame, row_bytes: Column) -> DataFrame:
+    """As `small`, for a written table whose rows differ in size."""
+    total = df.agg(F.sum(row_bytes)).first()[0] or 0
+    return F.broadcast(df) if total <= BROADCAST_BYTES else df
+
+
 def fold(doc_id: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo `parts`; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % parts

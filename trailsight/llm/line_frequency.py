@@ -18,14 +18,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trailsight.llm.common import let, n_words, small, squeezed, words_of, written
+from trailsight.llm.common import let, n_words, small, small_sized, squeezed, words_of, written
 
 WINDOW, LEAST_WORDS, REPEAT_PERCENT = 8, 20, 30
 LIMIT, SHARE, REST = 25, 0.001, 0.5
 SYMBOLS = "[^#*$%&|<>]+"
 HAS_WORD = r"[^\x20\x09-\x0D]"
 JUDGED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "boilerplate_words", "base_failed", "kept")
-#: Bytes of a row of the frequent lines, and of the places of a document, when it is sent to executors.
+#: Bytes of a row of the frequent lines, and of a document besides its places, when it is sent to executors.
 LINE_BYTES, GONE_BYTES = 64, 128
 
 
@@ -85,7 +85,7 @@ def cleaned(docs: DataFrame, limit: int = LIMIT, share: float = SHARE, rest: flo
     frequent = small(written(frequent.select("m.host", "m.h")), LINE_BYTES).alias("f")
     found = lines.alias("l").join(frequent, F.col("l.host").eqNullSafe(F.col("f.host")) & (F.col("l.h") == F.col("f.h")))
     gone = found.groupBy("l.doc_id", "l.key", "l.host").agg(F.collect_set("l.pos").alias("at"))
-    gone = small(written(gone), GONE_BYTES).alias("x")
+    gone = small_sized(written(gone), GONE_BYTES + 4 * F.size("at")).alias("x")
     same = F.col("b.doc_id").eqNullSafe(F.col("x.doc_id")) & (F.col("b.key") == F.col("x.key")) & F.col("b.host").eqNullSafe(F.col("x.host"))
     rows = base.drop("lines").alias("b").join(gone, same, "left")
     left = let(F.split("b.doc.text", "\n"), lambda x: F.array_join(F.filter(x, lambda _, i: ~F.array_contains("x.at", i)), "\n"))

@@ -3,7 +3,8 @@
 Each source has a target number of words. As often as its whole size fits, all its documents are
 taken (complete epochs); the rest is filled in the order of exponential keys -ln(u) / weight, with u
 from a hash of the id, up to the document that brings the sum nearest to the target. The prefix sums
-are taken over buckets of the key first, so that only one bucket of each source is ever sorted.
+are taken over buckets of the key first, so that only one bucket of each source is ever sorted; one of
+more than EDGE_ROWS rows is split by key until the part that holds the end is smaller.
 
 Cases: a null or empty text has size 0 and is never taken; a null source is a source of its own, the
 last in order; a null id hashes as an empty one. Ties of the key go to the smaller id, then the
@@ -22,6 +23,8 @@ WEIGHTS = (5, 2, 1)
 SHARE, MOST_EPOCHS = 1.5, 2
 SEED = "mix-1"
 BUCKETS = 1024
+#: Rows of a source that are sorted at most, unless their keys are equal.
+EDGE_ROWS = 200_000
 #: Bytes of a row of the plan when it is sent to executors.
 PLAN_BYTES = 256
 
@@ -70,6 +73,29 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     return ranked.select("source", "source_size", target.alias("target"))
 
 
+def narrowed(near: DataFrame) -> DataFrame:
+    """The rows of each source's edge bucket (source, key, doc_id, size, before, rest) cut to the part in which
+    the fraction ends, with `before` as the words ahead of it and `passed`, the last row ahead of it if any."""
+    near = near.withColumn("passed", F.struct("key", "doc_id", "size"))
+    near = near.withColumn("passed", F.when(F.lit(False), F.col("passed")))
+    while True:
+        sizes = near.groupBy("source").agg(F.count("*").alias("n"), F.min("key").alias("lo"), F.max("key").alias("hi"))
+        if sizes.where((F.col("n") > EDGE_ROWS) & (F.col("lo") < F.col("hi"))).isEmpty():
+            return near
+        n, s = near.alias("n"), small(written(sizes), PLAN_BYTES).alias("s")
+        part = F.least(F.lit(BUCKETS - 1), F.floor((F.col("key") - F.col("lo")) / (F.col("hi") - F.col("lo")) * BUCKETS))
+        split = n.join(s, F.col("n.source").eqNullSafe(F.col("s.source")))
+        split = split.select("n.*", F.when(F.col("s.n") > EDGE_ROWS, F.coalesce(part, F.lit(0))).otherwise(F.lit(0)).alias("part"))
+        words = split.groupBy("source", "part").agg(F.sum("size").alias("words"), F.max(F.struct("key", "doc_id", "size")).alias("top"), F.first("before").alias("start"), F.first("rest").alias("rest"))
+        by = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        ends = written(words).withColumn("ahead", F.col("start") + F.coalesce(F.sum("words").over(by), F.lit(0))).withColumn("last_top", F.max("top").over(by))
+        ends = ends.where("ahead <= rest and rest < ahead + words").select("source", "part", "ahead", "last_top")
+        e = small(written(ends), PLAN_BYTES).alias("e")
+        split = split.alias("n")
+        kept = split.join(e, F.col("n.source").eqNullSafe(F.col("e.source")) & (F.col("n.part") == F.col("e.part")))
+        near = written(kept.select("n.source", "key", "doc_id", "size", F.col("ahead").alias("before"), "rest", F.coalesce("last_top", "passed").alias("passed")))
+
+
 def plan(rows: DataFrame, **how) -> DataFrame:
     """For each source of the narrow rows: source_size, target, epochs, and where its fraction ends.
 
@@ -87,9 +113,11 @@ def plan(rows: DataFrame, **how) -> DataFrame:
     edge = small(written(edge), PLAN_BYTES).alias("e")
     r = rows.alias("r")
     near = r.join(edge, F.col("r.source").eqNullSafe(F.col("e.source")) & (F.col("r.bucket") == F.col("e.bucket")))
-    order = Window.partitionBy("r.source").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    near = near.withColumn("upto", F.col("before") + F.sum("size").over(order) - F.col("size")).where("2 * upto + size <= 2 * rest")
-    last = near.groupBy("r.source").agg(F.max(F.struct("key", "doc_id", "size")).alias("last")).alias("l")
+    near = narrowed(near.select("r.source", "key", "doc_id", "size", "before", "rest"))
+    order = Window.partitionBy("source").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    taken = F.when(F.expr("2 * upto + size <= 2 * rest"), F.struct("key", "doc_id", "size"))
+    near = near.withColumn("upto", F.col("before") + F.sum("size").over(order) - F.col("size"))
+    last = near.groupBy("source").agg(F.coalesce(F.max(taken), F.max("passed")).alias("last")).alias("l")
     cut = edge.join(last, F.col("e.source").eqNullSafe(F.col("l.source")), "left").select(F.col("e.source").alias("source"), "bucket", "last").alias("c")
     out = g.join(cut, F.col("g.source").eqNullSafe(F.col("c.source")), "left")
     return written(out.select("g.source", "source_size", "target", "epochs", F.col("c.bucket").alias("edge"), "last"))

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trailsight.llm.common import WORD, let, small, written
+from trailsight.llm.common import WORD, let, small, small_sized, written
 
 #: Characters of a line that may be one edit away from another.
 MIN_CHARS = 20
@@ -128,7 +128,7 @@ def dropped(docs: DataFrame) -> DataFrame:
 
 def deduped(docs: DataFrame) -> DataFrame:
     """Documents with the lines that go taken out of text (n_chars follows); _ll_lines and _ll_gone count lines."""
-    gone = small(dropped(docs), 96).select(F.col("doc_id").alias("_ll_id"), F.col("key").alias("_ll_of"), F.col("gone").alias("_ll_at"))
+    gone = small_sized(dropped(docs), 96 + 4 * F.size("gone")).select(F.col("doc_id").alias("_ll_id"), F.col("key").alias("_ll_of"), F.col("gone").alias("_ll_at"))
     rows = docs.withColumn("_ll_key", F.xxhash64("doc_id", "text"))
     rows = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("_ll_id")) & (F.col("_ll_key") == F.col("_ll_of")), "left")
     left = let(F.split("text", "\n"), lambda x: F.array_join(F.filter(x, lambda _, i: ~F.array_contains("_ll_at", i)), "\n"))
