@@ -49,6 +49,8 @@ SAMPLE, COMMON, COMMON_MOST = 4000, 4, 200_000
 HELD, BUCKET = 400_000, 1_500_000
 #: Rounds of one set against the others of a signature, and sets of a block that are compared at once.
 STARS, BLOCK = 3, 256
+#: Smallest signatures of a set that go with it, so that a pair of many common signatures is given once.
+FIRSTS = 48
 _U = np.uint64
 _BASE, _A, _B = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
 _INVERSE = _U(pow(int(_BASE), -1, 1 << 64))
@@ -334,18 +336,22 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def block_pairs(tagged: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (a, b) of a signature in different components whose sketches allow for similarity.
 
-    `tagged`: sig, node, c (component), n (sets of the signature). A set is sent to each block of its signature.
+    `tagged`: sig, node, c (component), n (sets of the signature). A set is sent to each block of its signature,
+    with its FIRSTS smallest signatures: a pair that has one of them in common is given by the smallest only.
     """
-    own = tagged.join(sets.select("node", F.col("n").alias("size"), "sketch"), "node").withColumn("parts", F.ceil(F.col("n") / BLOCK))
+    firsts = tagged.groupBy("node").agg(F.slice(F.sort_array(F.collect_set("sig")), 1, FIRSTS).alias("firsts"))
+    own = tagged.join(sets.select("node", F.col("n").alias("size"), "sketch"), "node").join(firsts, "node")
+    own = own.withColumn("parts", F.ceil(F.col("n") / BLOCK))
     own = own.withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")))
     sent = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     sent = sent.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
-    blocks = sent.groupBy("sig", "i", "j").agg(F.collect_list(F.struct("node", "c", "size", "sketch", "own")).alias("m"))
+    blocks = sent.groupBy("sig", "i", "j").agg(F.collect_list(F.struct("node", "c", "size", "sketch", "own", "firsts")).alias("m"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):  # one block at a time as Python objects
-                i, j, m = (batch[c][row].as_py() for c in ("i", "j", "m"))
+                sig, i, j, m = (batch[c][row].as_py() for c in ("sig", "i", "j", "m"))
+                below = [{x for x in y["firsts"] if x < sig} for y in m]
                 words = min(len(x["sketch"]) for x in m) // 8
                 sketches = np.stack([folded(np.frombuffer(x["sketch"], dtype=_U), words) for x in m])
                 node, c, size, own = (np.array([x[f] for x in m], dtype=np.int64) for f in ("node", "c", "size", "own"))
@@ -354,8 +360,9 @@ def block_pairs(tagged: DataFrame, sets: DataFrame) -> DataFrame:
                     near &= (node < node[k]) & (c != c[k])
                     if i != j:
                         near &= own != own[k]
-                    if near.any():
-                        yield pa.record_batch([pa.array(np.full(int(near.sum()), node[k])), pa.array(node[near])], names=["a", "b"])
+                    others = [node[x] for x in np.flatnonzero(near) if below[k].isdisjoint(below[x])]
+                    if others:
+                        yield pa.record_batch([pa.array(np.full(len(others), node[k])), pa.array(np.array(others))], names=["a", "b"])
 
     return blocks.mapInArrow(compare, "a long, b long").distinct()
 
