@@ -25,7 +25,19 @@ def heatmap(
     time_range: str,
     regions: Mapping[str, str] = fixed.REGIONS,
 ) -> DataFrame:
-    """Visits per 0.01 degree cell and region, busiest cells first.
+    """Visits per 0.01 degree cell and region, busiest cells first."""
+    counts = heat_counts(visits, items, as_of, time_range, regions)
+    return counts.orderBy("region", F.desc("count"), "latitude", "longitude")
+
+
+def heat_counts(
+    visits: DataFrame,
+    items: DataFrame,
+    as_of: date,
+    time_range: str,
+    regions: Mapping[str, str] = fixed.REGIONS,
+) -> DataFrame:
+    """The rows of the heatmap in no order.
 
     Visits are counted per item before they meet the items. No visit type is excluded here.
     """
@@ -44,7 +56,6 @@ def heatmap(
         .withColumn("region", F.explode(scopes.region_keys("country", regions)))
         .groupBy("region", "latitude", "longitude")
         .agg(F.sum("n").alias("count"))
-        .orderBy("region", F.desc("count"), "latitude", "longitude")
     )
 
 

@@ -22,8 +22,13 @@ def last_per_key(rows: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     )
 
 
-def merge_users(incoming: DataFrame, stored: DataFrame) -> DataFrame:
-    """Users by name: a stored guid stays, a new date or place wins, the status is replaced."""
+def merge_users(incoming: DataFrame, stored: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """Users by name: a stored guid stays, a new date or place wins, the status is replaced.
+
+    ``order`` says which record of a name is the last; without it names have to be unique.
+    """
+    if order:
+        incoming = last_per_key(incoming, "user_name", order)
     new, old = incoming.alias("new"), stored.alias("old")
     return new.join(old, F.col("new.user_name") == F.col("old.user_name"), "full_outer").select(
         F.coalesce("new.user_name", "old.user_name").alias("user_name"),

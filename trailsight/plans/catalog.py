@@ -650,8 +650,7 @@ def _(spark, sf):
 
 @query("user_merge")
 def _(spark, sf):
-    batch = merge.last_per_key(view(spark, sf, "user_batch"), "user_name", ["seq"])
-    return merge.merge_users(batch, view(spark, sf, "stored_users"))
+    return merge.merge_users(view(spark, sf, "user_batch"), view(spark, sf, "stored_users"), ["seq"])
 
 
 @query("user_last_wins")
@@ -661,8 +660,12 @@ def _(spark, sf):
 
 @query("avatar_merge")
 def _(spark, sf):
+    """A batch in which an older record, an explicit default, comes before each picture that is taken."""
     stored = view(spark, sf, "avatars").withColumn("checked_at", F.lit("2001-01-01"))
-    return merge.merge_avatars(view(spark, sf, "avatar_batch"), stored, F.lit("2001-06-15"))
+    last = view(spark, sf, "avatar_batch").withColumn("seq", F.lit(2))
+    taken = (F.col("avatar_status") == "real") & F.col("avatar_url").startswith("https://img.geocaching.com/")
+    older = last.filter(taken).withColumn("avatar_status", F.lit("default")).withColumn("seq", F.lit(1))
+    return merge.merge_avatars(last.unionByName(older), stored, F.lit("2001-06-15"), ["seq"])
 
 
 @query("avatar_resolve")

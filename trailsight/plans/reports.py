@@ -259,7 +259,7 @@ def overview(d: Inputs) -> DataFrame:
         measures(grid.dt_matrix(d.items, d.regions), "matrix", cell, ["count"]),
     ]
     for time_range in ("30d", "ytd"):
-        heat = grid.heatmap(d.visits, d.items, d.as_of, time_range, d.regions)
+        heat = grid.heat_counts(d.visits, d.items, d.as_of, time_range, d.regions)
         parts.append(measures(heat, f"heatmap_{time_range}", spot, ["count"]))
     out = parts[0]
     for part in parts[1:]:
