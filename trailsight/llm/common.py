@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -54,6 +55,20 @@ def small_sized(df: DataFrame, row_bytes: Column) -> DataFrame:
     return F.broadcast(df) if total <= BROADCAST_BYTES else df
 
 
+def freeing(task):
+    """A task over Arrow batches that gives the memory it no longer needs back to the system when it ends,
+    as its worker process goes on living."""
+
+    @wraps(task)
+    def run(batches):
+        import pyarrow as pa
+
+        yield from task(batches)
+        pa.default_memory_pool().release_unused()
+
+    return run
+
+
 def fold(doc_id: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo `parts`; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % parts

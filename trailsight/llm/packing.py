@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trailsight.llm.common import written
+from trailsight.llm.common import freeing, written
 from trailsight.llm.token_ids import encoder
 
 LENGTH, END = 2048, 0
@@ -38,6 +38,7 @@ def cuts(n: int, length: int = LENGTH) -> list[tuple[int, int]]:
 def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = END, ids: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 and, if asked for, ids of every piece."""
 
+    @freeing
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoder(tokenizer, True)
         for b in batches:
@@ -97,6 +98,7 @@ def packed(rows: DataFrame, length: int = LENGTH, most: int = OPEN) -> DataFrame
     dealt = rows.repartition(tasks).sortWithinPartitions(F.xxhash64("doc_id", "piece", F.lit(5)), "ids_crc32")
     names = rows.columns
 
+    @freeing
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins = None
         for b in batches:

@@ -39,14 +39,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trailsight.llm.common import small, written
+from trailsight.llm.common import freeing, small, written
 from trailsight.llm.components import components
 
 WORDS, PERCENT = 5, 80
 #: Documents that the common shingles are estimated on, and how many of them must share one.
 SAMPLE, COMMON, COMMON_MOST = 4000, 4, 200_000
 #: Signatures that a task holds at a time, and of a bucket, about.
-HELD, BUCKET = 400_000, 1_500_000
+HELD, BUCKET = 400_000, 1_000_000
 #: Rounds of one set against the others of a signature, and sets of a block that are compared at once.
 STARS, BLOCK = 3, 256
 #: Smallest signatures of a set that go with it, so that a pair of many common signatures is given once.
@@ -162,6 +162,7 @@ def signatures(s: np.ndarray, common: np.ndarray) -> np.ndarray:
 def counted(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """doc_id, n_shingles, node (a number for the set, null for an empty one) and text_hash."""
 
+    @freeing
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [shingles(t, words) for t in b["text"].to_pylist()]
@@ -176,6 +177,7 @@ def common_shingles(docs: DataFrame, rows: int, words: int = WORDS) -> np.ndarra
     """Shingles that many documents of a sample share; they steer the cost, not the result."""
     sample = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(max(1, rows // SAMPLE))) == 0).select("text")
 
+    @freeing
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             h, n = np.unique(np.concatenate([shingles(t, words) for t in b["text"].to_pylist()]), return_counts=True)
@@ -196,6 +198,7 @@ def shared(docs: DataFrame, common: np.ndarray, total: int, words: int = WORDS)
     known = docs.sparkSession.sparkContext.broadcast(common)
     buckets = max(1, -(-total // BUCKET))
 
+    @freeing
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sigs: list[np.ndarray] = []
         nodes: list[np.ndarray] = []
@@ -295,6 +298,7 @@ def may_differ(n: np.ndarray, m: np.ndarray) -> np.ndarray:
 def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) of nodes whose sketches allow for similarity."""
 
+    @freeing
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             most = may_differ(batch["na"].to_numpy(), batch["nb"].to_numpy())
@@ -314,6 +318,7 @@ def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) of nodes, a written table, whose sets are similar."""
 
+    @freeing
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ok = []
@@ -347,6 +352,7 @@ def block_pairs(tagged: DataFrame, sets: DataFrame) -> DataFrame:
     sent = sent.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
     blocks = sent.groupBy("sig", "i", "j").agg(F.collect_list(F.struct("node", "c", "size", "sketch", "own", "firsts")).alias("m"))
 
+    @freeing
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):  # one block at a time as Python objects
@@ -370,6 +376,7 @@ def block_pairs(tagged: DataFrame, sets: DataFrame) -> DataFrame:
 def node_sets(docs: DataFrame, reps: DataFrame, words: int = WORDS) -> DataFrame:
     """node, n, sketch and set (sorted hashes) of the documents that stand for the nodes of reps (doc_id, node)."""
 
+    @freeing
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for node, text in zip(b["node"].to_pylist(), b["text"].to_pylist(), strict=True):

@@ -19,7 +19,7 @@ import numpy as np
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Pieces that are kept at most, some 200 bytes each: half of them new, half those that were kept before.
-PIECES = 600_000
+PIECES = 400_000
 #: White space other than space and newline.
 _ODD_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
