@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF
 from trailsight.operators import ingest
-from trailsight.plans import views
+from trailsight.plans import catalog, views
 from trailsight.streaming import newest, retry
 from trailsight.streaming import visits as incremental
 
@@ -129,3 +129,31 @@ def test_broken_batches_are_not_read(spark, tmp_path):
     assert rows_of(incremental.read_visits(spark, root, ORDER)) == table
     incremental.append_batch(rows, 1, root, ORDER)
     assert rows_of(incremental.read_visits(spark, root, ORDER)) == rows_of(ingest.dedup_visits(rows, ORDER))
+
+
+def test_changes_are_folded_when_they_hold_as_much_as_the_table(spark, tmp_path, monkeypatch):
+    """Equal batches in turn: rewriting the table with each would rewrite 36 times a batch's rows."""
+    root, folds = str(tmp_path), []
+    put = newest.put
+    monkeypatch.setattr(newest, "put", lambda rows, *a: (folds.append(rows.count()), put(rows, *a)))
+    schema = "gc_code string, user_name string, user_guid string, visited date, n int"
+    want = {}
+    for n in range(9):
+        rows = [(f"GC{i}", "u", f"g{n // 2}", date(2001, 1, 1 + n), n) for i in range(40)] + [(f"GC{n}", "again", None, date(2001, 1, 1), n)]
+        newest.put_batch(spark.createDataFrame(rows, schema), n, root, 4)
+        want |= {(r[0], r[2]): r for r in rows}
+        got = [tuple(r) for r in newest.read_newest(spark, root).select("gc_code", "user_name", "user_guid", "visited", "n").collect()]
+        assert sorted(map(str, got)) == sorted(map(str, want.values()))
+    assert 2 <= len(folds) <= 5 and sum(folds) <= 9 * 41
+    newest.put_batch(spark.createDataFrame(rows, schema), 8, root, 4)  # replayed
+    again = [tuple(r) for r in newest.read_newest(spark, root).select("gc_code", "user_name", "user_guid", "visited", "n").collect()]
+    assert sorted(map(str, again)) == sorted(map(str, want.values()))
+
+
+def test_landed_files_do_not_grow_with_the_tasks(spark, tmp_path):
+    rows = views.view(spark, SF, "repeated")
+    catalog._land(rows.repartition(16), str(tmp_path / "landed"))
+    months = [d for d in os.listdir(tmp_path / "landed") if d.startswith("month=")]
+    files = [f for d in months for f in os.listdir(tmp_path / "landed" / d) if f.endswith(".parquet")]
+    assert len(months) > 50 and len(files) == len(months)
+    assert rows_of(spark.read.parquet(str(tmp_path / "landed")).drop("month").select(*rows.columns)) == rows_of(rows)
