@@ -45,10 +45,14 @@ def joined_text(page: str) -> Column:
     return F.nullif(one_line(first_match(page, fixed.JOINED_PATTERNS)), F.lit(""))
 
 
+def joined_layout(raw: Column) -> Column:
+    """The text of a registration date with its commas spaced as the layouts have them."""
+    return one_line(F.replace(raw, F.lit(","), F.lit(", ")))
+
+
 def joined_date(page: str) -> Column:
     """Registration date: the first date layout that fits, month before day."""
-    cleaned = one_line(F.replace(joined_text(page), F.lit(","), F.lit(", ")))
-    return parse_date(cleaned, fixed.JOINED_FORMATS)
+    return parse_date(joined_layout(joined_text(page)), fixed.JOINED_FORMATS)
 
 
 def find_count(page: str) -> Column:
@@ -56,13 +60,15 @@ def find_count(page: str) -> Column:
     return F.coalesce(digits.try_cast("bigint"), F.lit(0))
 
 
-def profile_status(url: str, page: str) -> Column:
-    """ok, parse_failed, not_found or login_required, as stored with the user."""
+def profile_status(url: str, page: str, raw: Column | None = None, day: Column | None = None) -> Column:
+    """ok, parse_failed, not_found or login_required, as stored with the user. ``raw`` and ``day`` are
+    the text and the date of the registration, where they are at hand already."""
     profile_like = looks_like_profile(page) | F.col(page).contains(fixed.PROFILE_MARKERS[0])
+    raw, day = joined_text(page) if raw is None else raw, joined_date(page) if day is None else day
     return (
         F.when(is_login_page(url, page), F.lit("login_required"))
-        .when(joined_date(page).isNotNull(), F.lit("ok"))
-        .when(joined_text(page).isNotNull(), F.lit("parse_failed"))
+        .when(day.isNotNull(), F.lit("ok"))
+        .when(raw.isNotNull(), F.lit("parse_failed"))
         .when(profile_like, F.lit("parse_failed"))
         .otherwise(F.lit("not_found"))
     )

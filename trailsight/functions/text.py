@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,9 +25,23 @@ VISIT_DATE_FORMATS = (
 NO_DATE = "0001-01-01"
 
 
+def date_shape(layout: str) -> str:
+    """A pattern that every text has to match that a date layout can read, and few others do."""
+    number, word = r"\s*[-+]?\d+", r".*?"
+    parts = re.findall(r"([A-Za-z]+)|([^A-Za-z]+)", layout)
+    shape = "".join(
+        word if "MMM" in letters and letters.strip("M") == "" else number if letters else re.escape(literal) for letters, literal in parts
+    )
+    return rf"(?sU)^{shape}"
+
+
 def parse_date(text: Column, formats: tuple[str, ...]) -> Column:
-    """First format that fits, in order; NULL when none does."""
-    return F.coalesce(*[F.try_to_date(text, f) for f in formats])
+    """First format that fits, in order; NULL when none does.
+
+    A layout that does not fit is found out by an exception inside the parser, which costs many times
+    what a pattern does; so a layout is only tried on texts of its shape.
+    """
+    return F.coalesce(*[F.when(text.rlike(date_shape(f)), F.try_to_date(text, f)) for f in formats])
 
 
 def normal_date(name: str) -> Column:
@@ -55,6 +71,9 @@ def normal_timestamp(name: str) -> Column:
     iso = text.rlike(
         r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}([.,]\d{1,9})?)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
     )
+    # Nothing to complete or move: the steps below would leave such a text as it is.
+    plain = text.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}:\d{2})?$")
+    as_is = F.date_format(F.try_to_timestamp(text), "yyyy-MM-dd HH:mm:ss")
     # Spark wants minutes and seconds in a time and a colon in an offset.
     hours = F.regexp_replace(text, r"^(\d{4}-\d{2}-\d{2}[T ]\d{2})(?=$|Z|[+-])", "$1:00")
     minutes = F.regexp_replace(hours, r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2})(?=$|Z|[+-])", "$1:00")
@@ -63,7 +82,8 @@ def normal_timestamp(name: str) -> Column:
     instant = F.try_to_timestamp(full)
     utc = F.when(full.rlike(r":\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})$"), in_utc(instant)).otherwise(instant)
     stamp = F.date_format(utc, "yyyy-MM-dd HH:mm:ss")
-    return F.when(blank, F.lit(None).cast("string")).when(iso, F.coalesce(stamp, text)).otherwise(text)
+    shown = F.when(plain, F.coalesce(as_is, text)).when(iso, F.coalesce(stamp, text)).otherwise(text)
+    return F.when(blank, F.lit(None).cast("string")).otherwise(shown)
 
 
 def flag(name: str | Column) -> Column:

@@ -264,8 +264,11 @@ def field_changed(name: str, new: str = "new.", old: str = "old.") -> Column:
 
 
 def _item_pairs(incoming: DataFrame, stored: DataFrame, how: str) -> DataFrame:
+    """Both sides of a code with ``_changed_<field>`` for each compared field: comparing costs far more
+    than the rest of a merge, and every column that comes of it asks for these."""
     new, old = incoming.alias("new"), stored.alias("old")
-    return new.join(old, F.col("new.code") == F.col("old.code"), how)
+    flags = {f"_changed_{f}": field_changed(f) for f in _comparable(incoming, stored)}
+    return new.join(old, F.col("new.code") == F.col("old.code"), how).withColumns(flags)
 
 
 def _comparable(incoming: DataFrame, stored: DataFrame) -> list[str]:
@@ -276,7 +279,7 @@ def _comparable(incoming: DataFrame, stored: DataFrame) -> list[str]:
 def _item_change(fields: Sequence[str]) -> Column:
     changed = F.lit(False)
     for f in fields:
-        changed = changed | field_changed(f)
+        changed = changed | F.col(f"_changed_{f}")
     return (
         F.when(F.col("old.code").isNull(), F.lit("new"))
         .when(changed, F.lit("updated"))
@@ -304,7 +307,7 @@ def _item_notes(fields: Sequence[str]) -> Column:
         F.array(
             *[
                 F.when(
-                    F.col("old.code").isNotNull() & field_changed(f),
+                    F.col("old.code").isNotNull() & F.col(f"_changed_{f}"),
                     F.concat(F.lit(f"{f}: "), shown(f"old.{f}"), F.lit(" -> "), shown(f"new.{f}")),
                 )
                 for f in fields
@@ -337,7 +340,8 @@ def diff_counts(diffs: DataFrame, *keys: str) -> DataFrame:
 
 
 def _taken_items(incoming: DataFrame, stored: DataFrame) -> tuple[Column, list[Column]]:
-    """Whether a pair takes the incoming record, and the columns of ``stored`` after it did or not."""
+    """Whether a pair takes the incoming record, and the columns of ``stored`` after it did or not; these
+    read the first as ``_take``."""
     take = F.col("old.code").isNull() | (_item_change(_comparable(incoming, stored)) == "updated")
     take = F.col("new.code").isNotNull() & take
     premium_known = F.col("old.code").isNotNull() & F.coalesce(
@@ -354,7 +358,7 @@ def _taken_items(incoming: DataFrame, stored: DataFrame) -> tuple[Column, list[C
             new = F.when(premium_known, old).otherwise(new)
         elif c == "owner_guid":
             new = F.coalesce(new, old)
-        out.append(F.when(take, new).otherwise(old).alias(c))
+        out.append(F.when(F.col("_take"), new).otherwise(old).alias(c))
     return take, out
 
 
@@ -367,8 +371,8 @@ def merge_items(incoming: DataFrame, stored: DataFrame, order: Sequence[str] = (
     position and a known owner id is never erased by a missing one.
     """
     incoming = settled_items(incoming, order)
-    _, out = _taken_items(incoming, stored)
-    return _item_pairs(incoming, stored, "full_outer").select(*out)
+    take, out = _taken_items(incoming, stored)
+    return _item_pairs(incoming, stored, "full_outer").withColumn("_take", take).select(*out)
 
 
 def _tagged(take: Column, is_new: Column, notes: Column, before: Column, after: Sequence[Column]) -> list[Column]:
@@ -386,8 +390,9 @@ def tag_items(incoming: DataFrame, stored: DataFrame) -> DataFrame:
     update or keep), changes as text, the row before an update, and the row after."""
     take, out = _taken_items(incoming, stored)
     before = F.struct(*[F.col(f"old.{c}").alias(c) for c in stored.columns])
-    tags = _tagged(take, F.col("old.code").isNull(), _item_notes(_comparable(incoming, stored)), before, out)
-    return _item_pairs(incoming, stored, "full_outer").select(*tags)
+    notes = _item_notes(_comparable(incoming, stored))
+    tags = _tagged(F.col("_take"), F.col("old.code").isNull(), notes, before, out)
+    return _item_pairs(incoming, stored, "full_outer").withColumn("_take", take).select(*tags)
 
 
 def vanished_items(
@@ -507,7 +512,8 @@ def insert_absent(incoming: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def _taken_visits(stored: DataFrame) -> tuple[Column, list[Column]]:
-    """Whether a pair takes the incoming visit, and the columns of ``stored`` after it did or not."""
+    """Whether a pair takes the incoming visit, and the columns of ``stored`` after it did or not; these
+    read the first as ``_take``."""
     defaults = {
         "favorite_point_used": F.lit(False),
         "is_ftf": F.lit(False),
@@ -522,7 +528,7 @@ def _taken_visits(stored: DataFrame) -> tuple[Column, list[Column]]:
     for cond in visit_change().values():
         changed = changed | cond
     take = F.col("new.gc_code").isNotNull() & (F.col("old.gc_code").isNull() | changed)
-    return take, [F.when(take, value(c)).otherwise(F.col(f"old.{c}")).alias(c) for c in stored.columns]
+    return take, [F.when(F.col("_take"), value(c)).otherwise(F.col(f"old.{c}")).alias(c) for c in stored.columns]
 
 
 def merge_visits(incoming: DataFrame, stored: DataFrame) -> DataFrame:
@@ -534,8 +540,8 @@ def merge_visits(incoming: DataFrame, stored: DataFrame) -> DataFrame:
     incoming, stored = settled_visits(dated(incoming)), settled_visits(stored)
     old = stored.filter(has_account()).alias("old")
     new = incoming.filter(has_account()).alias("new")
-    _, out = _taken_visits(stored)
-    merged = new.join(old, _visit_match(), "full_outer").select(*out)
+    take, out = _taken_visits(stored)
+    merged = new.join(old, _visit_match(), "full_outer").withColumn("_take", take).select(*out)
     rest = stored.filter(~has_account()).select(*columns)
     nameless = incoming.filter(~has_account()).select(*columns)
     return merged.unionByName(rest).unionByName(nameless)
@@ -548,8 +554,8 @@ def tag_visits(incoming: DataFrame, stored: DataFrame) -> DataFrame:
     old, new = stored.filter(has_account()).alias("old"), incoming.filter(has_account()).alias("new")
     take, out = _taken_visits(stored)
     before = F.struct(*[F.col(f"old.{c}").alias(c) for c in columns])
-    tags = _tagged(take, F.col("old.gc_code").isNull(), F.concat_ws("; ", *_visit_reasons()), before, out)
-    merged = new.join(old, _visit_match(), "full_outer").select(*tags)
+    tags = _tagged(F.col("_take"), F.col("old.gc_code").isNull(), F.concat_ws("; ", *_visit_reasons()), before, out)
+    merged = new.join(old, _visit_match(), "full_outer").withColumn("_take", take).select(*tags)
     shape = lambda action: [
         F.lit(action).alias("action"), F.lit("").alias("changes"),
         F.lit(None).cast(merged.schema["before"].dataType).alias("before"),

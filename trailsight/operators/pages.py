@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trailsight.functions import fixed, pages
+from trailsight.functions.text import parse_date
 
 
 def page_classes(landed: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
@@ -31,16 +32,25 @@ def page_summary(landed: DataFrame, page: str = "html") -> DataFrame:
 
 
 def profile_fields(landed: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
-    """Registration date, its raw text, find count, picture and fetch status per profile page."""
-    return landed.withColumns(
+    """Registration date, its raw text, find count, picture and fetch status per profile page.
+
+    The text, its cleaned form and the date are columns of steps of their own, each worked out once.
+    """
+    raw, day = F.col("_raw"), F.col("_day")
+    read = (
+        landed.withColumn("_raw", pages.joined_text(page))
+        .withColumn("_clean", pages.joined_layout(raw))
+        .withColumn("_day", parse_date(F.col("_clean"), fixed.JOINED_FORMATS))
+    )
+    return read.withColumns(
         {
-            "registration_date": pages.joined_date(page),
-            "raw_date": pages.joined_text(page),
+            "registration_date": day,
+            "raw_date": raw,
             "find_count": pages.find_count(page),
             "avatar_url": pages.avatar(page),
-            "fetch_status": pages.profile_status(url, page),
+            "fetch_status": pages.profile_status(url, page, raw, day),
         }
-    ).drop(page)
+    ).drop(page, "_raw", "_clean", "_day")
 
 
 def item_page_fields(landed: DataFrame, page: str = "html") -> DataFrame:

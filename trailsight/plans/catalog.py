@@ -802,8 +802,13 @@ def _(spark, sf):
 
 
 def profile_pages(spark: SparkSession, sf: str) -> DataFrame:
-    """Profile pages of the known users, their date written in one of the usual layouts."""
-    u = view(spark, sf, "users").withColumn("k", F.substring("guid", 2, 20).cast("bigint"))
+    """Profile pages of the known users, their date written in one of the usual layouts.
+
+    The users are dealt out while they are rows of a few bytes: their table may lie in one piece, and
+    reading a page costs far more than a row of it.
+    """
+    dealt = view(spark, sf, "users").repartition(4 * spark.sparkContext.defaultParallelism, "user_name", "guid")
+    u = dealt.withColumn("k", F.substring("guid", 2, 20).cast("bigint"))
     formats = (
         "MM/dd/yyyy", "yyyy-MM-dd", "MMM d, yyyy", "MMMM d,yyyy", "d MMM yyyy", "d MMMM yyyy",
         "MM.dd.yyyy", "yyyy. MM. dd.", "yyyy.MM.dd",
