@@ -613,3 +613,50 @@ def test_rejected_rows_carry_the_first_broken_rule(spark):
     )
     assert as_set(good, "a", "b") == {(2, 5)}
     assert as_set(bad, "a", "b", "error") == {(1, None, "b"), (None, 7, "a")}
+
+
+def test_a_field_of_a_merge_is_compared_once(spark):
+    """Every column of the merged row depends on the comparison; each side of a date is parsed once all the same."""
+    old = spark.createDataFrame([("a", "A", "2001-01-01", 1)], "code string, name string, placed_date string, favorite_points int")
+    new = spark.createDataFrame([("a", "A", "2001-01-01T00:00:00Z", 2)], "code string, name string, placed_date string, favorite_points int")
+    tagged = ingest.tag_items(new, old)
+    plan = tagged._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("to_utc_timestamp(") == 2
+    assert [(r["action"], r["changes"]) for r in tagged.collect()] == [("update", "favorite_points: 1 -> 2")]
+
+
+@pytest.mark.parametrize("layouts", [text.VISIT_DATE_FORMATS, fixed.JOINED_FORMATS])
+def test_date_shapes_let_every_fitting_text_pass(spark, layouts):
+    days = ["2001-01-02", "1999-12-31", "2000-02-29", "0099-03-04"]
+    rows = [(d, f) for d in days for f in (*layouts, "MM/dd/yyyy", "yyyy-MM-dd", "dd MMM yyyy", "MMM dd, yyyy")]
+    wanted = spark.createDataFrame(rows, "day string, layout string")
+    texts = wanted.select(F.expr("CASE layout " + " ".join(f"WHEN '{f}' THEN date_format(CAST(day AS DATE), '{f}')" for f in {r[1] for r in rows}) + " END").alias("t"))
+    more = spark.createDataFrame([(t,) for t in ("", "x", "some day", None, "13/1/2001", "1/13/2001", "Jan 5, 2001", "JAN 5, 2001", "5 january 2001", "-5/1/2001")], "t string")
+    held = spark.conf.get("spark.sql.legacy.timeParserPolicy")
+    spark.conf.set("spark.sql.legacy.timeParserPolicy", "CORRECTED")
+    try:
+        plain = F.coalesce(*[F.try_to_date(F.col("t"), f) for f in layouts])
+        got = texts.unionByName(more).select("t", plain.alias("want"), text.parse_date(F.col("t"), layouts).alias("got")).collect()
+    finally:
+        spark.conf.set("spark.sql.legacy.timeParserPolicy", held)
+    assert all(r["want"] == r["got"] for r in got) and sum(r["got"] is not None for r in got) > len(days) * len(layouts)
+
+
+@pytest.mark.parametrize("margins", ["region", "type", "cube"])
+def test_board_margins_equal_lists_over_repeated_rows(spark, margins):
+    """Lists made from the first rows of each cell, against rows repeated for every list they count in."""
+    rng = random.Random(11)
+    kinds, places = [*fixed.TYPE_KEYS, 999, None], ["Aland", "Bland", "Nowhere", None]
+    rows = [(f"c{i:04d}", "n", "o", rng.choice(kinds), rng.choice(places), rng.choice(["logs", "favorites"]), "all", rng.choice([0, 1, 1, 2, 9]), rng.choice([0, 1, 3])) for i in range(900)]
+    frame = spark.createDataFrame(rows, "code string, name string, owner string, geocache_type int, country string, type string, range string, score bigint, prev_score bigint")
+    regions = {"a": "Aland", "b": "Bland"}
+    extra = ["name", "owner", "geocache_type"]
+    groups = ["region", "type_key", "type", "range"]
+    keep = {"region": F.col("type_key") == "all", "type": F.col("region") == "all", "cube": F.lit(True)}[margins]
+    cells = scores.item_score_cells(frame, regions, margins != "type", margins != "region")
+    got = ranking.leaderboard(cells, groups, key="code", limit=4, extra=extra, margins=["region", "type_key"])
+    want = ranking.leaderboard(scores.item_score_cube(frame, regions).filter(keep), groups, key="code", limit=4, extra=extra)
+    assert got.columns == want.columns and got.count() == want.count() > 10
+    assert got.exceptAll(want).count() == 0
+    # rows meet the first window once each, as they came
+    assert ranking.first_rows(cells, groups, ["code"], 10**6).count() == frame.filter("score > 0").count()

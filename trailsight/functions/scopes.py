@@ -116,6 +116,12 @@ def type_keys(kind: str = "geocache_type") -> Column:
     return F.expr(f"CASE {kind} {arms} ELSE array('all') END")
 
 
+def own_type(kind: str = "geocache_type") -> Column:
+    """The item-type filter a row passes, NULL if none."""
+    arms = " ".join(f"WHEN {v} THEN {quoted(k)}" for k, v in fixed.TYPE_KEYS.items())
+    return F.expr(f"CASE {kind} {arms} END")
+
+
 def type_label(kind: str = "geocache_type") -> Column:
     arms = " ".join(f"WHEN {v} THEN {quoted(label)}" for v, label in fixed.TYPE_LABELS.items())
     return F.expr(

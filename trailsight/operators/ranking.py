@@ -12,13 +12,17 @@ from trailsight.functions.periods import growth_pct
 from trailsight.operators.frames import spine
 
 
+#: A list with ties at its edge holds up to so many times its limit.
+TIE_CAP = 2
+
+
 def top_with_ties(
     scores: DataFrame,
     groups: Sequence[str],
     order: Sequence[str],
     limit: int,
     score: str = "score",
-    tie_cap: int | None = 2,
+    tie_cap: int | None = TIE_CAP,
 ) -> DataFrame:
     """Rows ranked 1..limit with competition ranks, ties at the edge kept up to ``tie_cap`` x limit
     rows of a list, or all of them with ``tie_cap=None``.
@@ -41,11 +45,27 @@ def top_with_ties(
     )
 
 
-def score_histogram(scores: DataFrame, groups: Sequence[str]) -> DataFrame:
+def spread(rows: DataFrame, margins: Sequence[str]) -> DataFrame:
+    """Rows of the own values of some columns, NULL for none, once for each value and once for ``all``."""
+    for m in margins:
+        own = F.col(m)
+        rows = rows.withColumn(m, F.explode(F.when(own.isNull(), F.array(F.lit("all"))).otherwise(F.array(F.lit("all"), own))))
+    return rows
+
+
+def first_rows(scores: DataFrame, groups: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
+    """The first n scorers of each group. A row that is among the first n of a margin is among the first
+    n of its own cell, so lists of margins can be made from these."""
+    place = Window.partitionBy(*groups).orderBy(F.desc("score"), *[F.asc(c) for c in order])
+    return scores.filter(F.col("score") > 0).withColumn("_place", F.row_number().over(place)).filter(F.col("_place") <= n).drop("_place")
+
+
+def score_histogram(scores: DataFrame, groups: Sequence[str], margins: Sequence[str] = ()) -> DataFrame:
     """(groups, side, score, n, rank): how many rows share a score, and the rank they share.
 
     rank() over a whole population would sort it in one task per group. Counting rows per
-    distinct score first leaves a short list whose running total gives the same ranks.
+    distinct score first leaves a short list whose running total gives the same ranks. Columns in
+    ``margins`` hold own values: their totals (``all``) are summed from the short list.
     """
     sides = F.array(
         F.struct(F.lit("cur").alias("side"), F.col("score").alias("score")),
@@ -58,6 +78,8 @@ def score_histogram(scores: DataFrame, groups: Sequence[str]) -> DataFrame:
         .groupBy(*groups, "side", "score")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    if margins:
+        counted = spread(counted, margins).groupBy(*groups, "side", "score").agg(F.sum("n").alias("n"))
     above = (
         Window.partitionBy(*groups, "side")
         .orderBy(F.desc("score"))
@@ -87,13 +109,21 @@ def leaderboard(
     extra: Sequence[str] = (),
     tie_order: Sequence[str] = (),
     key_repeats: bool = False,
+    margins: Sequence[str] = (),
 ) -> DataFrame:
     """Top list per group with the movement against the *full* previous list.
 
+    Groups in ``margins`` are columns with the own value of a row, or NULL: a row counts in the list of
+    that value and in that of ``all``. It is sorted once in its own cell, not once in every list.
+
     ``key_repeats`` says one key may hold several rows of a group (a city in two countries): the
     worst of its previous ranks then counts for all of them.
     """
-    top = top_with_ties(scores, groups, [key, *tie_order], limit)
+    if margins and key_repeats:
+        raise ValueError("lists with margins need keys that don't repeat")
+    order = [key, *tie_order]
+    near = spread(first_rows(scores, groups, order, TIE_CAP * limit), margins) if margins else scores
+    top = top_with_ties(near, groups, order, limit)
     if key_repeats:
         worst = (
             scores.filter(F.col("prev_score") > 0)
@@ -104,7 +134,7 @@ def leaderboard(
     else:
         top = top.withColumn("_prev", F.col("prev_score"))
     ranks = (
-        score_histogram(scores, groups)
+        score_histogram(scores, groups, margins)
         .filter(F.col("side") == "prev")
         .select(*groups, F.col("score").alias("_prev"), F.col("rank").alias("_prev_rank"))
     )

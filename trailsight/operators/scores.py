@@ -339,6 +339,15 @@ def item_score_cube(scores: DataFrame, regions: Mapping[str, str] = fixed.REGION
     )
 
 
+def item_score_cells(scores: DataFrame, regions: Mapping[str, str] = fixed.REGIONS, by_region: bool = True, by_type: bool = True) -> DataFrame:
+    """Item scores with the region and the type filter that they belong to, NULL for none, or for a
+    margin that is not wanted."""
+    none = F.lit(None).cast("string")
+    return scores.withColumn("region", scopes.own_region("country", regions) if by_region else none).withColumn(
+        "type_key", scopes.own_type() if by_type else none
+    )
+
+
 def newbie_scores(
     visits: DataFrame,
     items: DataFrame,

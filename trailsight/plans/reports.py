@@ -124,17 +124,16 @@ def item_board(
     rows: DataFrame | None = None,
 ) -> DataFrame:
     """Top items by ``region``, by item ``type``, or by both (``cube``, margins included)."""
-    keep = {
-        "region": F.col("type_key") == "all",
-        "type": F.col("region") == "all",
-        "cube": F.lit(True),
-    }[margins]
+    by_region, by_type = {"region": (True, False), "type": (False, True), "cube": (True, True)}[margins]
+    if rows is None:
+        rows = scores.item_scores(d.visits, d.items, d.as_of, types, ranges)
     board = ranking.leaderboard(
-        _item_cube(d, types, ranges, rows).filter(keep),
+        scores.item_score_cells(rows, d.regions, by_region, by_type),
         ITEM_GROUPS,
         key="code",
         limit=limit,
         extra=["name", "owner", "geocache_type"],
+        margins=["region", "type_key"],
     )
     return board.withColumn("type_label", scopes.type_label())
 
