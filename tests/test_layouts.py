@@ -112,3 +112,25 @@ def test_unknown_fields_are_reported_and_kept(spark):
     both = ingest.with_extra(items, ingest.flatten_extra(pages), {"rank": ("rank", "int", 0), "first_tag": ("tags", "array<string>", None), "size": ("size", "double", None)})
     got = {r["code"]: (r["rank"], r["first_tag"], r["size"]) for r in both.collect()}
     assert got == {"a": (1, ["x"], None), "b": (0, None, None), "c": (0, None, 1.0), "d": (0, None, 2.5), "e": (0, None, None)}
+
+
+def test_a_large_table_gets_larger_folders(spark, tmp_path, monkeypatch):
+    """Each folder is a task and a report to the driver: their number must not grow without end."""
+    monkeypatch.setattr(tables, "MOST_RANGES", 6)
+    rows = spark.range(500).selectExpr("concat('GC', lpad(id, 4, '0')) AS code", "id AS n")
+    root = str(tmp_path / "t")
+    tables.write_pages(rows, root, ["code"], 10)
+    counts = [r["n"] for r in spark.read.parquet(f"{root}/counts").collect()]
+    assert len(counts) <= 6 and sum(counts) == 500
+    for offset, size in ((0, 3), (77, 30), (498, 10)):
+        got = [r["n"] for r in tables.read_page(spark, root, ["code"], offset, size).collect()]
+        assert got == list(range(500))[offset : offset + size]
+
+
+def test_buckets_grow_with_the_larger_table(spark, monkeypatch):
+    monkeypatch.setattr(tables, "BUCKET_ROWS", 500)
+    d = catalog.co_located(spark, SF, 4)
+    n, m = d.visits.count(), d.items.count()
+    assert d.visits.rdd.getNumPartitions() == d.items.rdd.getNumPartitions() == -(-max(n, m) // 500) > 4
+    plain = catalog.inputs(spark, SF)
+    assert summary.scope_metrics(d.visits, d.items, d.regions).exceptAll(summary.scope_metrics(plain.visits, plain.items, plain.regions)).count() == 0

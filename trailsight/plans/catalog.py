@@ -13,7 +13,7 @@ from trailsight.functions.periods import Clock, growth_pct
 from trailsight.operators import daily, grid, ingest, merge, ranking, scores, spatial, summary, trends, upsert, users
 from trailsight.operators import pages as page_ops
 from trailsight.plans import reports
-from trailsight.sources.tables import bucketed, new_folder, read_page, write_pages
+from trailsight.sources.tables import bucket_count, bucketed, new_folder, read_page, write_pages
 from trailsight.streaming import newest, retry
 from trailsight.streaming import visits as incremental
 from trailsight.plans.views import (
@@ -139,8 +139,10 @@ def _(spark, sf):
 
 
 def co_located(spark: SparkSession, sf: str, buckets: int = 8) -> reports.Inputs:
-    """Visits and items as tables in buckets of the item code."""
+    """Visits and items as tables in buckets of the item code: ``buckets`` of them, or as many as the
+    larger table needs."""
     d = inputs(spark, sf)
+    buckets = bucket_count(buckets, d.visits, d.items)
     d.visits = bucketed(d.visits, "gc_code", buckets, "visits")
     d.items = bucketed(d.items, "code", buckets, "items")
     return d

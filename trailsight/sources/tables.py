@@ -12,6 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+#: Rows that one task sorts and groups in a bucket, about.
+BUCKET_ROWS = 500_000
+#: Folders of a layout by ranges. Each is a task, a folder to list, and a report to the driver.
+MOST_RANGES = 1000
+
+
 def read_table(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
     """A stored table; files of older generations may lack columns when schemas are merged."""
     return spark.read.option("mergeSchema", merge_schema).parquet(path)
@@ -191,6 +197,12 @@ def city_provinces(features: DataFrame, provinces: Mapping[str, str], direct: Ma
     return named.join(fixed_rows, "city", "left_anti").unionByName(fixed_rows)
 
 
+def bucket_count(least: int, *frames: DataFrame) -> int:
+    """How many buckets tables need that lie together: one for each BUCKET_ROWS of the largest, since a
+    bucket is written, joined and grouped by one task."""
+    return max(least, -(-max(f.count() for f in frames) // BUCKET_ROWS))
+
+
 def bucketed(frame: DataFrame, column: str, buckets: int, label: str) -> DataFrame:
     """The rows as a stored table in buckets of a column, sorted in each: tables with the same number of
     buckets join and group on it without a shuffle."""
@@ -202,8 +214,11 @@ def bucketed(frame: DataFrame, column: str, buckets: int, label: str) -> DataFra
 
 
 def write_pages(rows: DataFrame, root: str, order: Sequence[str], rows_per_range: int) -> None:
-    """Lay rows out in order, in folders of about so many, with the number of rows of each."""
-    ranges = max(1, -(-rows.count() // rows_per_range))
+    """Lay rows out in order, in folders of about so many, with the number of rows of each.
+
+    A table that would need more than MOST_RANGES folders gets that many, with more rows in each.
+    """
+    ranges = min(max(1, -(-rows.count() // rows_per_range)), MOST_RANGES)
     dealt = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order).withColumn("_range", F.spark_partition_id())
     dealt.write.mode("errorifexists").partitionBy("_range").parquet(f"{root}/rows")
     counts = rows.sparkSession.read.parquet(f"{root}/rows").groupBy("_range").agg(F.count(F.lit(1)).alias("n"))
