@@ -130,7 +130,9 @@ def test_a_large_table_gets_larger_folders(spark, tmp_path, monkeypatch):
 def test_buckets_grow_with_the_larger_table(spark, monkeypatch):
     monkeypatch.setattr(tables, "BUCKET_ROWS", 500)
     d = catalog.co_located(spark, SF, 4)
-    n, m = d.visits.count(), d.items.count()
-    assert d.visits.rdd.getNumPartitions() == d.items.rdd.getNumPartitions() == -(-max(n, m) // 500) > 4
+    wanted = -(-max(d.visits.count(), d.items.count()) // 500)
+    assert wanted > 4 and tables.bucket_count(4, d.visits, d.items) == wanted and tables.bucket_count(10**6, d.items) == 10**6
+    for frame in (d.visits, d.items):
+        assert 0.9 * wanted < len(frame.inputFiles()) <= wanted  # a file a bucket, if any row falls in it
     plain = catalog.inputs(spark, SF)
     assert summary.scope_metrics(d.visits, d.items, d.regions).exceptAll(summary.scope_metrics(plain.visits, plain.items, plain.regions)).count() == 0

@@ -646,7 +646,7 @@ def test_date_shapes_let_every_fitting_text_pass(spark, layouts):
 def test_board_margins_equal_lists_over_repeated_rows(spark, margins):
     """Lists made from the first rows of each cell, against rows repeated for every list they count in."""
     rng = random.Random(11)
-    kinds, places = [*fixed.TYPE_KEYS, 999, None], ["Aland", "Bland", "Nowhere", None]
+    kinds, places = [*fixed.TYPE_KEYS.values(), 999, None], ["Aland", "Bland", "Nowhere", None]
     rows = [(f"c{i:04d}", "n", "o", rng.choice(kinds), rng.choice(places), rng.choice(["logs", "favorites"]), "all", rng.choice([0, 1, 1, 2, 9]), rng.choice([0, 1, 3])) for i in range(900)]
     frame = spark.createDataFrame(rows, "code string, name string, owner string, geocache_type int, country string, type string, range string, score bigint, prev_score bigint")
     regions = {"a": "Aland", "b": "Bland"}
