@@ -131,6 +131,29 @@ def test_line_dedup_at_every_place(spark, size):
     assert left == {1} | set(short.values())
 
 
+@pytest.mark.parametrize("size", [127, 128, 129, 255, 256, 257, 4097])
+def test_line_dedup_at_every_place_of_narrow_stretches(spark, size):
+    test_line_dedup_at_every_place(spark, size)
+
+
+def test_few_variants_of_lines_that_share_a_half(spark, monkeypatch):
+    """Lines that agree on a long stretch, but differ in several places, get no variants; near ones get few."""
+    base = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(400))
+    texts = [base[:300] + chr(65 + i) * 50 + base[350:370] + chr(65 + i) * 30 for i in range(20)] + [base, base[:111] + "é" + base[112:]]
+    counts, real = {}, near_lines.written
+
+    def written(df, *rest):
+        out = real(df, *rest)
+        if "kind" in out.columns:
+            counts["variants"] = out.count()
+        return out
+
+    monkeypatch.setattr(near_lines, "written", written)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"] for r in near_lines.deduped(frame).where("_ll_gone > 0").collect()} == {21}
+    assert counts["variants"] < 500
+
+
 def test_mixing(docs):
     keyed = mixing.narrow(mixing.keyed(clashing(docs)))
     got = mixing.mixed(keyed, mixing.plan(keyed)).select("doc_id", *(F.col(f"_mix_{c}").alias(c) for c in ("size", "source_size", "target", "taken")))

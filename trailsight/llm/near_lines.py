@@ -5,9 +5,10 @@ taken out or changed) apart. Of alike lines the earliest, by document id and pla
 earlier line is alike. Lines of under MIN_CHARS characters are alike only if they are equal, as one edit
 makes another word of a short one.
 
-Variants are emitted in two steps, so that long lines don't cost the square of their length. First a
+Variants are emitted in steps, so that long lines don't cost the square of their length. First a
 stretch of a line is deleted: lines one edit apart agree on what is before some stretch, counted from
-the start, and on what is after it, counted from the end. Where two different lines share such a key,
+the start, and on what is after it, counted from the end. Stretches are long ones for all lines, then short
+ones for the lines that share a key with a different line. Where such lines share a key of a short stretch,
 each character of the stretch is deleted in turn, and the hash of what is left is the key. A key holds
 the place of the deletion (or says that one line is longer by one), so all lines of a key are one edit
 apart; each needs only the earliest, no pairs are made. The edit distance of a line and its earliest
@@ -29,6 +30,8 @@ from trailsight.llm.common import WORD, let, small, small_sized, written
 MIN_CHARS = 20
 HAS_WORD = r"[^\x20\x09-\x0D]"
 BLOCK = 256
+#: Blocks of a line at least, if they have eight characters: of all lines, and of those that share a key.
+WIDE, NARROW = 2, 16
 _LAST_ID = str(1 << 63)
 
 
@@ -44,15 +47,15 @@ def rank(doc_id: Column, pos: Column) -> Column:
     return (F.coalesce(doc_id.cast("decimal(20,0)"), F.lit(_LAST_ID).cast("decimal(20,0)")) * F.lit(1 << 31).cast("decimal(12,0)") + pos).cast("decimal(38,0)")
 
 
-def shape(size: Column) -> Column:
+def shape(size: Column, least: int) -> Column:
     """(block, count): a line is taken as so many blocks, counted from either end; the last may be longer."""
-    block, power = F.lit(BLOCK), BLOCK // 2  # the largest power of two that is half of the size, or BLOCK
+    block, power = F.lit(BLOCK), BLOCK // 2  # the largest power of two that the size holds `least` times, from 8 to BLOCK
     while power >= 8:
-        block, power = F.when(size < 4 * power, power).otherwise(block), power // 2
+        block, power = F.when(size < 2 * least * power, power).otherwise(block), power // 2
     return let(block, lambda b: F.struct(b.alias("block"), F.floor(size / b).cast("int").alias("count")))
 
 
-def stretch_keys(norm: Column, parts: bool) -> Column:
+def stretch_keys(norm: Column, parts: bool, least: int = WIDE) -> Column:
     """A key for each stretch of the line that may be deleted; with `parts` a struct (key, part, longer).
 
     A line stands for its own length, and (`longer`) for one less, to meet lines of that length; a key
@@ -78,7 +81,7 @@ def stretch_keys(norm: Column, parts: bool) -> Column:
         return let(F.struct(head.alias("head"), tail.alias("tail")), keys)
 
     def all_of(size: Column) -> Column:
-        stands = lambda s, longer: F.struct(s.alias("size"), shape(s).alias("shape"), F.lit(longer).alias("longer"))
+        stands = lambda s, longer: F.struct(s.alias("size"), shape(s, least).alias("shape"), F.lit(longer).alias("longer"))
         each = lambda bases: F.transform(F.array_distinct(F.transform(bases, lambda y: y["shape"])), lambda x: of(x, size, bases))
         return let(F.array(stands(size, False), stands(size - 1, True)), lambda bases: F.flatten(each(bases)))
 
@@ -109,8 +112,10 @@ def dropped(docs: DataFrame) -> DataFrame:
     first = lines.join(maybe, "h", "left_semi").groupBy("h").agg(F.min(rank(F.col("doc_id"), F.col("pos"))).alias("at"))
     texts = numbered(docs).select(F.xxhash64("norm").alias("h"), "norm").join(maybe, "h", "left_semi")
     lone = written(texts.groupBy("h").agg(F.first("norm").alias("norm")).join(first, "h"))
-    parts = lone.select("h", "at", F.explode(stretch_keys(F.col("norm"), parts=True)).alias("x")).select("h", "at", "x.key", "x.part", "x.longer")
-    parts = parts.join(shared, F.col("key") == F.col("block"), "left_semi")
+    parts = lone.select("h", "at", F.explode(stretch_keys(F.col("norm"), parts=True, least=NARROW)).alias("x")).select("h", "at", "x.key", "x.part", "x.longer")
+    parts = written(parts)
+    narrow = parts.groupBy("key").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a < b").select("key")
+    parts = parts.join(small(written(narrow), 16), "key", "left_semi")
     fine = parts.select("h", "at", F.explode(variant_keys(F.col("key"), F.col("part"), F.col("longer"))).alias("v")).select("h", "at", "v.key", "v.kind")
     fine = written(fine)
     least = [F.min(F.when(F.col("kind") == k, F.col("at"))).alias(f"at{k}") for k in range(3)]
