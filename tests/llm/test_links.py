@@ -107,6 +107,36 @@ def test_signatures_lose_no_similar_sets():
             assert len(np.intersect1d(a, b)) or (len(x) == len(y) == both)
 
 
+def test_one_signature_of_each_group(spark):
+    """Signatures of the same sets are one; each group of sets that had a signature has one still."""
+    groups = [(1, 2), (1, 2), (2, 3), (1, 2, 3), (3, 2, 1), (1, 3), (2, 3)]
+    sigs = spark.createDataFrame([(100 + i, n) for i, g in enumerate(groups) for n in g], "sig long, node long")
+    left = {}
+    for r in part_enum.one_of_each_group(sigs).collect():
+        left.setdefault(r["sig"], set()).add(r["node"])
+    assert sorted(map(sorted, left.values())) == [[1, 2], [1, 2, 3], [1, 3], [2, 3]]
+
+
+def test_near_copies_have_few_signature_rows(spark, monkeypatch):
+    """Two near copies share some hundred signatures; the rounds see one of them."""
+    words = [f"word{i * i}" for i in range(600)]
+    rows, real = [], part_enum.written
+    monkeypatch.setattr(part_enum, "written", lambda df, *rest: (out := real(df, *rest), rows.append(out.count()) if "lead" in out.columns else None)[0])
+    frame = spark.createDataFrame([(1, " ".join(words)), (2, " ".join([*words[:-1], "other"]))], "doc_id long, text string")
+    assert [r["component_id"] for r in part_enum.joined(frame).collect()] == [1, 1]
+    assert rows[0] == 2
+
+
+def test_stacked_sketches_are_folded():
+    sets = [np.sort(np.unique(part_enum.mix(np.arange(n, dtype=np.uint64)))) for n in (500, 700, 90, 512, 2000)]
+    sketches = [part_enum.sketch(s) for s in sets]
+    words = min(map(len, sketches))
+    want = np.stack([part_enum.folded(x, words) for x in sketches])
+    assert (part_enum.stacked([x.tobytes() for x in sketches]) == want).all()
+    plain = [np.bitwise_xor.reduce(np.unpackbits(x.view(np.uint8), bitorder="little").reshape(64 * words, -1), axis=1) for x in sketches]
+    assert (np.unpackbits(want.view(np.uint8), axis=1, bitorder="little") == np.stack(plain)).all()
+
+
 def test_shingles_follow_words():
     sets = [part_enum.shingles(t) for t in ("a b c d e", "A  b\tC\nd e", "a b c d", "", None, " \n", "a b c d f", "ab c d e f", "É a b c d", "é a b c d")]
     assert (sets[0] == sets[1]).all() and len(sets[2]) == 1 and not len(sets[3]) and not len(sets[4]) and not len(sets[5])

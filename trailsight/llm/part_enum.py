@@ -15,7 +15,8 @@ Two refinements keep this exact and keep signatures from being shared for nothin
 * Shingles that very many documents share (estimated on a sample) are left out of the domain, which
   can't raise the difference of two sets, and come last in a prefix.
 
-Sets that share a signature are candidates. In some rounds one set of each signature is held against
+Sets that share a signature are candidates. Near copies share most of their signatures, so of signatures
+with the same sets one is taken. In some rounds one set of each signature is held against
 the others, and components are formed of the true links. Then only pairs of a signature that are still
 in different components are left; they are compared in blocks. Before two sets are fetched, sketches
 of them must allow for the similarity: a bit for each range of hashes holds the parity of its count,
@@ -274,6 +275,17 @@ def shared(docs: DataFrame, common: np.ndarray, total: int, words: int = WORDS)
     return sent.groupBy("bucket").applyInPandas(match, "sig long, node long").distinct()
 
 
+def one_of_each_group(sigs: DataFrame) -> DataFrame:
+    """The rows (sig, node) of one signature for each group of nodes that have a signature in common.
+
+    Signatures of equal groups give the same pairs. Groups are told apart by their size and two hashes.
+    """
+    hashes = (F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"h{k}") for k in range(2))
+    groups = sigs.groupBy("sig").agg(F.count("*").alias("n"), *hashes)
+    one = groups.groupBy("n", "h0", "h1").agg(F.min("sig").alias("sig"))
+    return sigs.join(one.select("sig"), "sig", "left_semi")
+
+
 def sketch(s: np.ndarray) -> np.ndarray:
     """Parities of the numbers of hashes in equal ranges, at least as many ranges as hashes, in 64-bit words."""
     bits = max(9, int(len(s) - 1).bit_length())
@@ -282,13 +294,23 @@ def sketch(s: np.ndarray) -> np.ndarray:
 
 
 def folded(x: np.ndarray, words: int) -> np.ndarray:
-    """A sketch in fewer ranges: neighbouring parities are added up until so many words are left."""
-    while len(x) > words:
-        bits = np.unpackbits(x.view(np.uint8), bitorder="little")
-        x = np.packbits(bits[::2] ^ bits[1::2], bitorder="little").view(_U)
+    """A sketch (or rows of sketches) in fewer ranges: neighbouring parities are added up until so many words are left."""
+    while x.shape[-1] > words:
+        bits = np.unpackbits(x.view(np.uint8), axis=-1, bitorder="little")
+        x = np.packbits(bits[..., ::2] ^ bits[..., 1::2], axis=-1, bitorder="little").view(_U)
     return x
 
 
+def stacked(sketches: list[bytes]) -> np.ndarray:
+    """Sketches as rows, all of as many words as the shortest one."""
+    size = np.array([len(x) for x in sketches])
+    out = np.empty((len(size), size.min() // 8), dtype=_U)
+    for n in np.unique(size):
+        at = np.flatnonzero(size == n)
+        out[at] = folded(np.frombuffer(b"".join([sketches[x] for x in at]), dtype=_U).reshape(len(at), -1), out.shape[1])
+    return out
+
+
 def may_differ(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     """Shingles that similar sets of these sizes can differ in at most; -1 if the sizes rule it out."""
     most = (n + m) * (100 - PERCENT) // (100 + PERCENT)
@@ -342,10 +364,12 @@ def block_pairs(tagged: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (a, b) of a signature in different components whose sketches allow for similarity.
 
     `tagged`: sig, node, c (component), n (sets of the signature). A set is sent to each block of its signature,
-    with its FIRSTS smallest signatures: a pair that has one of them in common is given by the smallest only.
+    with those of its FIRSTS smallest signatures that are smaller: a pair that has one of them in common is left to it.
     """
     firsts = tagged.groupBy("node").agg(F.slice(F.sort_array(F.collect_set("sig")), 1, FIRSTS).alias("firsts"))
     own = tagged.join(sets.select("node", F.col("n").alias("size"), "sketch"), "node").join(firsts, "node")
+    place = F.array_position("firsts", F.col("sig"))
+    own = own.withColumn("firsts", F.when(place > 0, F.slice("firsts", F.lit(1), (place - 1).cast("int"))).otherwise(F.col("firsts")))
     own = own.withColumn("parts", F.ceil(F.col("n") / BLOCK))
     own = own.withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")))
     sent = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
@@ -355,20 +379,24 @@ def block_pairs(tagged: DataFrame, sets: DataFrame) -> DataFrame:
     @freeing
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(batch.num_rows):  # one block at a time as Python objects
-                sig, i, j, m = (batch[c][row].as_py() for c in ("sig", "i", "j", "m"))
-                below = [{x for x in y["firsts"] if x < sig} for y in m]
-                words = min(len(x["sketch"]) for x in m) // 8
-                sketches = np.stack([folded(np.frombuffer(x["sketch"], dtype=_U), words) for x in m])
-                node, c, size, own = (np.array([x[f] for x in m], dtype=np.int64) for f in ("node", "c", "size", "own"))
-                for k in range(len(m)):
-                    near = np.bitwise_count(sketches ^ sketches[k]).sum(axis=1) <= may_differ(size, size[k])
-                    near &= (node < node[k]) & (c != c[k])
+            for row in range(batch.num_rows):  # one block at a time
+                (i, j), m = (batch[c][row].as_py() for c in ("i", "j")), batch["m"][row].values
+                node, c, size, own = (m.field(f).to_numpy() for f in ("node", "c", "size", "own"))
+                sketches, firsts = stacked(m.field("sketch").to_pylist()), m.field("firsts")
+                step = max(1, (1 << 18) // sketches.size)
+                for k in range(0, len(node), step):
+                    mine = slice(k, k + step)
+                    near = (node[None] < node[mine, None]) & (c[None] != c[mine, None])
                     if i != j:
-                        near &= own != own[k]
-                    others = [node[x] for x in np.flatnonzero(near) if below[k].isdisjoint(below[x])]
-                    if others:
-                        yield pa.record_batch([pa.array(np.full(len(others), node[k])), pa.array(np.array(others))], names=["a", "b"])
+                        near &= own[None] != own[mine, None]
+                    if not near.any():
+                        continue
+                    differ = np.bitwise_count(sketches[None] ^ sketches[mine, None]).sum(axis=2, dtype=np.int64)
+                    near &= differ <= may_differ(size[None], size[mine, None])
+                    pairs = [(a + k, b) for a, b in np.argwhere(near).tolist() if not len(np.intersect1d(firsts[a + k].values, firsts[b].values))]
+                    if pairs:
+                        a, b = np.array(pairs).T
+                        yield pa.record_batch([pa.array(node[a]), pa.array(node[b])], names=["a", "b"])
 
     return blocks.mapInArrow(compare, "a long, b long").distinct()
 
@@ -394,7 +422,7 @@ def grouped(docs: DataFrame, words: int = WORDS) -> DataFrame:
     rows = written(counted(docs, words))
     n, total = rows.agg(F.count("*"), F.sum("n_shingles")).first()
     common = common_shingles(docs, n, words)
-    sigs = written(shared(docs, common, total or 0, words))
+    sigs = written(one_of_each_group(written(shared(docs, common, total or 0, words))))
     nodes = sigs.select("node").distinct()
     reps = rows.where("doc_id is not null").join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     sets = written(node_sets(docs, small(written(reps), 16), words).dropDuplicates(["node"]), "none")
