@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import re
 import zlib
 from collections import Counter
@@ -15,7 +16,7 @@ from tests.llm.test_links import brute_join
 from tests.llm.test_native import clashing, plain_dropped
 from tests.llm.test_tokens import BYTES, plain_ids
 from trailsight.llm import mixing, rank_profiles
-from trailsight.llm.common import table, written
+from trailsight.llm.common import freeing, table, written
 
 SF = "/root/testdata/sf0.001"
 NAMES = ("doc_id", "text", "lang", "source", "n_chars")
@@ -116,6 +117,27 @@ def as_rows(docs):
     return sorted((tuple(d[c] for c in NAMES) for d in docs), key=lambda r: tuple((v is None, str(v)) for v in r))
 
 
+def resident_mb():
+    with open("/proc/self/statm") as f:
+        return int(f.read().split()[1]) * os.sysconf("SC_PAGE_SIZE") / 1e6
+
+
+def test_tasks_give_freed_memory_back():
+    """What a task has freed goes back to the system, also if something kept lies behind it."""
+    kept = []
+
+    @freeing
+    def task(batches):
+        parts = [bytes(2000) for _ in range(100_000)]
+        kept.append(parts[-1])
+        yield resident_mb()
+
+    before = resident_mb()
+    during = next(run := task([]))
+    assert during > before + 150
+    assert list(run) == [] and resident_mb() < before + 50
+
+
 def test_stages_are_named_in_order():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language ID", "line dedup", "n-gram Jaccard join", "mixing sources to target weights", "best-fit packing"]
 

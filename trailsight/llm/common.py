@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
@@ -57,7 +58,7 @@ def small_sized(df: DataFrame, row_bytes: Column) -> DataFrame:
 
 def freeing(task):
     """A task over Arrow batches that gives the memory it no longer needs back to the system when it ends,
-    as its worker process goes on living."""
+    as its worker process goes on living: Arrow's, and numpy's where the C library can."""
 
     @wraps(task)
     def run(batches):
@@ -65,6 +66,9 @@ def freeing(task):
 
         yield from task(batches)
         pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
 
     return run
 
