@@ -127,6 +127,44 @@ def test_near_copies_have_few_signature_rows(spark, monkeypatch):
     assert rows[0] == 2
 
 
+def test_common_shingles_follow_the_table(spark, monkeypatch):
+    """A shingle of 40 of 400 documents is common, however much larger the table is than SAMPLE."""
+    monkeypatch.setattr(part_enum, "SAMPLE", 10)
+    monkeypatch.setattr(part_enum, "SAMPLE_OF", 2, raising=False)
+    docs = spark.createDataFrame([(i, "all of these five words " * (i % 10 == 0) + f"a{i} b{i} c{i} d{i} e{i}") for i in range(400)], "doc_id long, text string")
+    assert part_enum.shingles("all of these five words")[0] in part_enum.common_shingles(docs, 400)
+
+
+def test_signatures_are_a_bucket_and_a_half(spark):
+    """Only half a signature is sent, beside its bucket; and no pair of documents that share one is lost."""
+    docs = [(i, " ".join(f"{'xy'[j == i]}{i % 6} w{j}" for j in range(40))) for i in range(24)]
+    none = np.zeros(0, dtype=np.uint64)
+    of = {part_enum.node_of(s): {int(x) for x in part_enum.signatures(s, none)} for s in (part_enum.shingles(t) for _, t in docs)}
+    found = {}
+    for r in part_enum.shared(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), none, 5 * part_enum.BUCKET).collect():
+        assert 0 <= r["sig"] >> 32 < 5
+        found.setdefault(r["sig"], set()).add(r["node"])
+    pairs = {(a, b) for g in found.values() for a in g for b in g if a < b}
+    assert pairs and pairs == {(a, b) for a in of for b in of if a < b and of[a] & of[b]}
+
+
+@pytest.mark.parametrize("again", [False, True])
+def test_sets_are_shuffled_only_if_rows_repeat(spark, monkeypatch, again):
+    plans, plain = [], part_enum.written
+
+    def seen(df, *rest):
+        if "sketch" in df.columns:
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return plain(df, *rest)
+
+    monkeypatch.setattr(part_enum, "written", seen)
+    words = " ".join(f"w{j}" for j in range(60))
+    data = [(1, words), (2, words + " end"), (3, "something else"), (1, words), (1, words)][: 5 if again else 3]
+    got = join_rows(spark.createDataFrame(data, "doc_id long, text string"))
+    assert got == brute_join(data)
+    assert len(plans) == 1 and ("Aggregate" in plans[0]) == again
+
+
 def test_stacked_sketches_are_folded():
     sets = [np.sort(np.unique(part_enum.mix(np.arange(n, dtype=np.uint64)))) for n in (500, 700, 90, 512, 2000)]
     sketches = [part_enum.sketch(s) for s in sets]

@@ -44,8 +44,8 @@ from trailsight.llm.common import freeing, small, written
 from trailsight.llm.components import components
 
 WORDS, PERCENT = 5, 80
-#: Documents that the common shingles are estimated on, and how many of them must share one.
-SAMPLE, COMMON, COMMON_MOST = 4000, 4, 200_000
+#: Documents that the common shingles are estimated on: at least so many, and one of so many. How many of them must share one.
+SAMPLE, SAMPLE_OF, COMMON, COMMON_MOST = 4000, 16, 4, 200_000
 #: Signatures that a task holds at a time, and of a bucket, about.
 HELD, BUCKET = 400_000, 1_000_000
 #: Rounds of one set against the others of a signature, and sets of a block that are compared at once.
@@ -166,17 +166,21 @@ def counted(docs: DataFrame, words: int = WORDS) -> DataFrame:
     @freeing
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = [shingles(t, words) for t in b["text"].to_pylist()]
-            nodes = pa.array([node_of(s) if len(s) else None for s in sets], pa.int64())
-            yield pa.record_batch([b["doc_id"], pa.array([len(s) for s in sets], pa.int64()), nodes, b["text_hash"]], names=["doc_id", "n_shingles", "node", "text_hash"])
+            sets = (shingles(t.as_py(), words) for t in b["text"])  # one at a time
+            sizes, nodes = zip(*((len(s), node_of(s) if len(s) else None) for s in sets), strict=True) if b.num_rows else ((), ())
+            yield pa.record_batch([b["doc_id"], pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), b["text_hash"]], names=["doc_id", "n_shingles", "node", "text_hash"])
 
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     return rows.mapInArrow(count, "doc_id long, n_shingles long, node long, text_hash long")
 
 
 def common_shingles(docs: DataFrame, rows: int, words: int = WORDS) -> np.ndarray:
-    """Shingles that many documents of a sample share; they steer the cost, not the result."""
-    sample = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(max(1, rows // SAMPLE))) == 0).select("text")
+    """Shingles that many documents of a sample share; they steer the cost, not the result.
+
+    The sample is a share of the table, so that as many documents make a shingle common however large it is.
+    """
+    one_of = min(SAMPLE_OF, max(1, rows // SAMPLE))
+    sample = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(one_of)) == 0).select("text")
 
     @freeing
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +198,8 @@ def shared(docs: DataFrame, common: np.ndarray, total: int, words: int = WORDS)
 
     Tasks send signatures in blocks, one for each bucket. What a task itself finds shared is sent as
     found, with one set of it to look for more elsewhere, so a bucket gets each signature from a task
-    at most once and a very common one makes no large bucket.
+    at most once and a very common one makes no large bucket. A signature becomes its bucket and its lower
+    half, of which only the half is sent; different ones that become equal give candidates that fail.
     """
     known = docs.sparkSession.sparkContext.broadcast(common)
     buckets = max(1, -(-total // BUCKET))
@@ -215,12 +220,15 @@ def shared(docs: DataFrame, common: np.ndarray, total: int, words: int = WORDS)
             nodes, counts = n[run], np.diff(np.r_[run, len(n)]).astype(np.uint32)
             runs = list(zip(np.searchsorted(run, at), np.r_[np.searchsorted(run, at[1:]), len(run)], strict=True))
             raw = lambda v, ranges: pa.array([v[a:z].tobytes() for a, z in ranges], pa.binary())
-            values = [pa.array(deal[at].astype(np.int32)), pa.array([kind] * len(cut), pa.int32()), raw(s, cut), raw(nodes, runs), raw(counts, runs)]
+            sent = s if kind == 2 else s.astype(np.uint32)
+            values = [pa.array(deal[at].astype(np.int32)), pa.array([kind] * len(cut), pa.int32()), raw(sent, cut), raw(nodes, runs), raw(counts, runs)]
             return pa.record_batch(values, names=["bucket", "kind", "sigs", "nodes", "counts"])
 
         def flush() -> Iterator[pa.RecordBatch]:
             s, n = np.concatenate(sigs), np.concatenate(nodes)
-            deal = ((s >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int64)
+            deal = (s >> _U(32)) * _U(buckets) >> _U(32)
+            s = deal << _U(32) | s & _U(0xFFFFFFFF)
+            deal = deal.astype(np.int64)
             order = np.argsort(s)
             same = s[order][1:] == s[order][:-1]
             again = order[np.r_[False, same] | np.r_[same, False]]  # signatures seen more than once, few
@@ -242,8 +250,8 @@ def shared(docs: DataFrame, common: np.ndarray, total: int, words: int = WORDS)
                 yield blocks(s[rest], n[rest], 2, np.arange(len(rest)) * buckets // len(rest))
 
         for b in batches:
-            for text in b["text"].to_pylist():
-                s = shingles(text, words)
+            for text in b["text"]:
+                s = shingles(text.as_py(), words)
                 sig = signatures(s, known.value)
                 if len(sig):
                     sigs.append(sig)
@@ -259,8 +267,8 @@ def shared(docs: DataFrame, common: np.ndarray, total: int, words: int = WORDS)
         part = lambda rows, c, t: np.concatenate([np.zeros(0, dtype=t), *(np.frombuffer(x, dtype=t) for x in rows[c])])
         named = lambda rows: np.repeat(part(rows, "nodes", np.int64), part(rows, "counts", np.uint32))
         found, rest = block[block["kind"] == 2], block[block["kind"] != 2]
-        s, n = part(rest, "sigs", _U), named(rest)
-        sure = np.concatenate([np.zeros(0, dtype=bool), *(np.full(len(x) // 8, k == 1) for x, k in zip(rest["sigs"], rest["kind"], strict=True))])
+        s, n = part(rest, "sigs", np.uint32), named(rest)
+        sure = np.concatenate([np.zeros(0, dtype=bool), *(np.full(len(x) // 4, k == 1) for x, k in zip(rest["sigs"], rest["kind"], strict=True))])
         order = np.argsort(s)
         s, n, sure = s[order], n[order], sure[order]
         at = np.flatnonzero(np.r_[True, s[1:] != s[:-1]]) if len(s) else np.zeros(0, dtype=np.int64)
@@ -268,6 +276,7 @@ def shared(docs: DataFrame, common: np.ndarray, total: int, words: int = WORDS)
         if len(at):
             keep = np.repeat(np.logical_or.reduceat(sure, at) | (np.minimum.reduceat(n, at) < np.maximum.reduceat(n, at)), size)
             s, n = s[keep], n[keep]
+        s = s.astype(_U) | _U(block["bucket"].iloc[0]) << _U(32)
         s, n = np.concatenate([s, part(found, "sigs", _U)]), np.concatenate([n, named(found)])
         return pd.DataFrame({"sig": s.view(np.int64), "node": n})
 
@@ -413,7 +422,8 @@ def node_sets(docs: DataFrame, reps: DataFrame, words: int = WORDS) -> DataFrame
                     values = [pa.array([node], pa.int64()), pa.array([len(s)], pa.int64()), pa.array([sketch(s).tobytes()], pa.binary()), pa.array([s.tobytes()], pa.binary())]
                     yield pa.record_batch(values, names=["node", "n", "sketch", "set"])
 
-    return docs.select("doc_id", "text").join(reps, "doc_id").select("node", "text").mapInArrow(build, "node long, n long, sketch binary, set binary")
+    rows = docs.select("doc_id", "text").join(reps.select("node", "doc_id"), "doc_id")
+    return rows.select("node", "text").mapInArrow(build, "node long, n long, sketch binary, set binary")
 
 
 def grouped(docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -424,8 +434,14 @@ def grouped(docs: DataFrame, words: int = WORDS) -> DataFrame:
     common = common_shingles(docs, n, words)
     sigs = written(one_of_each_group(written(shared(docs, common, total or 0, words))))
     nodes = sigs.select("node").distinct()
-    reps = rows.where("doc_id is not null").join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    sets = written(node_sets(docs, small(written(reps), 16), words).dropDuplicates(["node"]), "none")
+    ids = rows.where("doc_id is not null").join(nodes, "node", "left_semi").groupBy("node", "doc_id").agg(F.count("*").alias("rows"))
+    reps = written(ids.groupBy("node").agg(F.min(F.struct("doc_id", "rows")).alias("r")).select("node", "r.doc_id", "r.rows"))
+    # Only rows that are repeated give a set twice; the sets of the others need no shuffle.
+    sets = node_sets(docs, small(reps.where("rows = 1"), 16), words)
+    again = reps.where("rows > 1")
+    if not again.isEmpty():
+        sets = sets.unionByName(node_sets(docs, small(again, 16), words).dropDuplicates(["node"]))
+    sets = written(sets, "none")
     tagged, links, of = sigs.withColumn("c", F.col("node")), None, None
     for turn in range(STARS + 1):
         # Signatures whose sets are not all in one component so far.
