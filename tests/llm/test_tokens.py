@@ -8,7 +8,7 @@ from tokenizers import Tokenizer
 
 from tests.llm.fixture import SCHEMA, rows
 from tests.llm.test_native import clashing
-from trailsight.llm import grammar_files, packing
+from trailsight.llm import grammar_files, packing, token_ids
 from trailsight.llm.queries import QUERIES, tokenizer
 from trailsight.llm.token_ids import Encoder
 
@@ -32,6 +32,38 @@ def test_ids(path, keeps):
         assert got.tolist() == plain.encode(text or "", add_special_tokens=False).ids, text
 
 
+@pytest.mark.parametrize("kept", [0, 500_000])
+@pytest.mark.parametrize(("path", "keeps"), [(BYTES, True), (WORDS, False)])
+def test_ids_in_bulk(path, keeps, kept, monkeypatch):
+    """Groups of any size give the library's ids, and words are known from one group to the next or not."""
+    monkeypatch.setattr(token_ids, "KEPT", kept)
+    plain, code = Tokenizer.from_file(path), Encoder(path, keeps)
+    texts = [None, *ODD, *(r[1] for r in rows()), *ODD, "\n", "x"]
+    want = [plain.encode(text or "", add_special_tokens=False).ids for text in texts]
+    for group in (1000, 1 << 20):
+        assert [x.tolist() for x in code.bulk(texts, group)] == want
+    assert not list(code.bulk([]))
+
+
+def test_few_calls_and_little_memory():
+    """New words take no call each, and what is kept of them are no Python objects."""
+    code = Encoder(BYTES, True)
+    calls, words = [], code.words
+
+    class Counted:
+        def encode_batch_fast(self, texts, **more):
+            calls.append(texts)
+            return words.encode_batch_fast(texts, **more)
+
+    code.words = Counted()
+    letters = np.array(list("abcdefghij"))
+    texts = [" ".join("".join(letters[[int(d) for d in str(n)]]) for n in range(i, i + 5000)) for i in range(0, 50_000, 5000)]
+    assert sum(len(x) for x in code.bulk(texts + texts, 50_000)) > 100_000
+    assert len(calls) < 200 and not code and not code.before
+    code.forget()
+    assert not len(code.known[0])
+
+
 def plain_ids(path, text, end):
     return np.array(Tokenizer.from_file(path).encode(text or "", add_special_tokens=False).ids + [end], dtype="<u4")
 

@@ -56,19 +56,24 @@ def small_sized(df: DataFrame, row_bytes: Column) -> DataFrame:
     return F.broadcast(df) if total <= BROADCAST_BYTES else df
 
 
+def free() -> None:
+    """Gives the memory that this process no longer needs back to the system: Arrow's, and numpy's where the
+    C library can."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def freeing(task):
-    """A task over Arrow batches that gives the memory it no longer needs back to the system when it ends,
-    as its worker process goes on living: Arrow's, and numpy's where the C library can."""
+    """A task over Arrow batches that frees memory when it ends, as its worker process goes on living."""
 
     @wraps(task)
     def run(batches):
-        import pyarrow as pa
-
         yield from task(batches)
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim:
-            trim(0)
+        free()
 
     return run
 

@@ -33,6 +33,8 @@ END = 1
 #: Documents of a range of ids, about, and ids of a shard after which the next one begins.
 RANGE_DOCS, SHARD_IDS = 2500, 4_000_000
 RULES_A_ROUND, LEAST = 4000, 24
+#: Characters of the texts that are encoded together.
+GROUP = 8_000_000
 _NONE = np.int32(2**31 - 1)
 _SLOTS = 18
 SCHEMA = "part long, shard int, n_docs long, n_ids long, base int, doc_ids binary, null_ids binary, first_ids binary, first_symbols binary, rules binary, lengths binary, symbols binary"
@@ -183,7 +185,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end: int = END, shard_ids:
 
         for b in batches:
             part = b["part"][0].as_py() if b.num_rows else part
-            for doc, got in zip(b["doc_id"].to_pylist(), code.encode(b["text"].to_pylist()), strict=True):
+            for doc, got in zip(b["doc_id"].to_pylist(), code.bulk((x.as_py() for x in b["text"]), GROUP), strict=True):
                 held.append(np.append(got, code.type(end)))
                 docs_held.append(doc)
                 count += len(held[-1])

@@ -43,7 +43,7 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = END
         code = encoder(tokenizer, True)
         for b in batches:
             rows: list[tuple] = []
-            for doc, got in zip(b["doc_id"].to_pylist(), code.encode(b["text"].to_pylist()), strict=True):
+            for doc, got in zip(b["doc_id"].to_pylist(), code.bulk(x.as_py() for x in b["text"]), strict=True):
                 whole = np.append(got, code.type(end)).astype("<u4")
                 for i, (s, n) in enumerate(cuts(len(whole), length)):
                     part = whole[s : s + n]
