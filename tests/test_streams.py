@@ -2,6 +2,7 @@
 
 import os
 import shutil
+import time
 from collections import Counter
 from datetime import date
 
@@ -9,8 +10,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF
-from trailsight.operators import ingest
+from trailsight.operators import ingest, upsert
 from trailsight.plans import catalog, views
+from trailsight.sources import tables
 from trailsight.streaming import newest, retry
 from trailsight.streaming import visits as incremental
 
@@ -157,3 +159,86 @@ def test_landed_files_do_not_grow_with_the_tasks(spark, tmp_path):
     files = [f for d in months for f in os.listdir(tmp_path / "landed" / d) if f.endswith(".parquet")]
     assert len(months) > 50 and len(files) == len(months)
     assert rows_of(spark.read.parquet(str(tmp_path / "landed")).drop("month").select(*rows.columns)) == rows_of(rows)
+
+
+VISIT = "gc_code string, user_name string, user_guid string, visited date, favorite_point_used boolean, is_ftf boolean, log_type string, seq int"
+
+
+def visit_rows(spark, numbers):
+    rows = [(f"GC{n % 50}", f"u{n % 7}", f"g{n % 3}" if n % 2 else None, date(2001, 1, 1 + n % 28), n % 5 == 0, n % 4 == 0, "", n) for n in numbers]
+    return spark.createDataFrame(rows, VISIT)
+
+
+def shuffle_files(spark):
+    tops = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for top in tops for _, _, files in os.walk(top) for f in files if f.startswith("shuffle_")}
+
+
+def test_a_stream_leaves_no_shuffle_files_and_no_copies(spark, tmp_path, monkeypatch):
+    """With the state in its own partitions, a file of 4 MB set aside by each would be most of the disk."""
+    root, manifests = str(tmp_path), []
+    put_batch, spark_dirs = newest.put_batch, spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    tops = {os.path.dirname(d) for d in spark_dirs}
+
+    def watched(df, n, *rest):
+        put_batch(df, n, *rest)
+        manifests.extend(os.stat(f"{d}/{f}").st_blocks * 512 for top in tops for d, _, files in os.walk(top) if "StateStore" in d for f in files if f.startswith("MANIFEST"))
+
+    monkeypatch.setattr(newest, "put_batch", watched)
+    monkeypatch.setattr(tables, "new_folder", lambda *_: pytest.fail("a copy was made"))
+    keys, before = [*newest.STATE, *newest.LEAN], shuffle_files(spark)
+    was = [spark.conf.get(k, None) for k in keys]
+    for n in range(3):
+        catalog._land(visit_rows(spark, range(200 * n, 200 * n + 300)), f"{root}/landed")
+        newest.run_available(spark, f"{root}/landed", visit_rows(spark, [0]).schema, root, ["seq"], parts=4).awaitTermination()
+    newest.compact(spark, root, 4)
+    assert manifests and max(manifests) < 1_000_000
+    assert [spark.conf.get(k, None) for k in keys] == was
+    for _ in range(50):  # they are removed beside the jobs
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.2)
+    assert not left
+    assert rows_of(newest.read_newest(spark, root)) == rows_of(ingest.dedup_visits(visit_rows(spark, range(700)), ["seq"]))
+
+
+def test_folds_go_by_folders_and_may_break_off(spark, tmp_path, monkeypatch):
+    root, written = str(tmp_path), []
+    monkeypatch.setattr(upsert, "ROUND_ROWS", 1)
+    whole = lambda to: rows_of(ingest.dedup_visits(visit_rows(spark, range(to)), ["seq"]))
+    folders = lambda: [n for n, _ in upsert.put_folders(spark, f"{root}/newest")]
+    on_disk = lambda: [d for top, names, _ in os.walk(f"{root}/newest") for d in names if d.startswith("_part=")]
+    newest.put_batch(ingest.dedup_visits(visit_rows(spark, range(150)), ["seq"]), 0, root, 4)
+    assert folders() == [0, 1, 2, 3] == sorted(int(d[6:]) for d in on_disk()) and rows_of(newest.read_newest(spark, root)) == whole(150)
+    clear = upsert._clear
+
+    def broken(*a):
+        written.append(a)
+        if len(written) == 2:
+            raise OSError("stopped")
+        clear(*a)
+
+    monkeypatch.setattr(upsert, "_clear", broken)
+    later = ingest.dedup_visits(visit_rows(spark, range(400)), ["seq"])
+    with pytest.raises(OSError):
+        newest.put_batch(later, 1, root, 4)
+    assert rows_of(newest.read_newest(spark, root)) == whole(400) and len(on_disk()) == 5  # one folder is doubled, none is lost
+    newest.put_batch(later, 1, root, 4)
+    newest.compact(spark, root, 4)
+    assert rows_of(newest.read_newest(spark, root)) == whole(400) and len(on_disk()) == 4 and len(written) > 4
+
+
+def test_a_table_of_the_old_layout_is_read_and_folded(spark, tmp_path):
+    root = str(tmp_path)
+    old = ingest.dedup_visits(visit_rows(spark, range(150)), ["seq"]).withColumn("_key", ingest.visit_key())
+    old.withColumn("_part", upsert.part_of(newest._keys(), 4)).write.partitionBy("_part").parquet(f"{root}/newest")
+    old.write.parquet(f"{root}/changes/batch_id=0")
+    spark.range(1).selectExpr("0L AS upto").write.parquet(f"{root}/folded/v00000001")
+    whole = lambda to: rows_of(ingest.dedup_visits(visit_rows(spark, range(to)), ["seq"]))
+    assert rows_of(newest.read_newest(spark, root)) == whole(150)
+    few = ingest.dedup_visits(visit_rows(spark, range(170)), ["seq"]).filter("seq >= 150")
+    newest.put_batch(few, 1, root, 4)
+    assert rows_of(newest.read_newest(spark, root)) == whole(170)
+    newest.compact(spark, root, 4)
+    newest.compact(spark, root, 4)  # nothing is waiting
+    assert rows_of(newest.read_newest(spark, root)) == whole(170)
